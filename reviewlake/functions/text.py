@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace class used by strip and split (Java regex syntax).
+# Whitespace class used by strip and split (Java regex syntax), and the
+# same characters as a plain string for ``trim``.
 WS = "[ \\t\\n\\x0B\\f\\r\\u00a0\\u3000]"
+WS_CHARS = " \t\n\x0b\f\r\u00a0\u3000"
 
 # Character classes kept by the keyword cleaner.
 # hangul+jamo is the batch rule, hangul the daily rule;
@@ -35,8 +37,12 @@ def col_(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Strip leading and trailing whitespace (pandas ``str.strip`` rule)."""
-    return F.regexp_replace(col_(c), f"^{WS}+|{WS}+$", "")
+    """Strip leading and trailing whitespace (pandas ``str.strip`` rule).
+
+    ``trim`` with a character set looks at the two ends only; a regex
+    would scan the whole text.
+    """
+    return F.trim(col_(c), F.lit(WS_CHARS))
 
 
 def is_present(c) -> Column:
@@ -51,9 +57,22 @@ def min_length(c, n: int = 10) -> Column:
 
 
 def keep_charset(c, charset: str = "hangul+jamo") -> Column:
-    """Remove every character outside ``charset`` and whitespace."""
+    """Remove every character outside ``charset`` and whitespace.
+
+    Java evaluates a negated class built from many ranges an order of
+    magnitude slower per character than a single-property class, so the
+    latin set is removed in two fast passes that keep exactly the same
+    characters: first everything that is neither a letter nor whitespace,
+    then the letters outside U+0000-U+024F and the three letters inside it
+    that are not in the set (ª, µ, º).
+    """
+    c = col_(c)
+    if charset == "latin":
+        letters_ws = F.regexp_replace(c, "[^\\p{L}\\s\\u00a0\\u3000]+", "")
+        latin = F.regexp_replace(letters_ws, "[^\\x{0}-\\x{24f}\\u3000]+", "")
+        return F.translate(latin, "\u00aa\u00b5\u00ba", "")
     cls = CHARSETS[charset]
-    return F.regexp_replace(col_(c), f"[^{cls} \\t\\n\\x0B\\f\\r\\u00a0\\u3000]", "")
+    return F.regexp_replace(c, f"[^{cls} \\t\\n\\x0B\\f\\r\\u00a0\\u3000]", "")
 
 
 def word_pattern(charset: str, min_len: int = 2) -> str:

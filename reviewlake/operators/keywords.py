@@ -14,17 +14,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.tags import clean_tags, parse_tags
-from reviewlake.functions.text import STOPWORDS_KO, clean_for_tokens, split_words, word_pattern
+from reviewlake.functions.text import STOPWORDS_KO, clean_for_tokens, split_words
 
 
 def tokens(df: DataFrame, text_col: str = "context", charset: str = "hangul+jamo",
            stopwords: Sequence[str] = STOPWORDS_KO, min_len: int = 2,
            keep: Sequence[str] = ("movieNm",), word_col: str = "word") -> DataFrame:
     """T-chain: charset filter, lower, strip, split, explode, then drop blank
-    words, stop words and words shorter than ``min_len``."""
+    words, stop words and words shorter than ``min_len``.
+
+    The words come out of text that holds only ``charset`` letters and
+    whitespace, so the reference's whole-word pattern test
+    (``word_pattern``) reduces to the length test.
+    """
     w = F.col(word_col)
     exploded = df.select(*keep, F.explode(split_words(clean_for_tokens(text_col, charset))).alias(word_col))
-    cond = w.isNotNull() & (w != "") & w.rlike(word_pattern(charset, min_len))
+    cond = w.isNotNull() & (F.length(w) >= max(min_len, 1))
     if stopwords:
         cond = cond & ~w.isin(list(stopwords))
     return exploded.where(cond)

@@ -120,9 +120,17 @@ def sentiment_words(scored: DataFrame, charset: str = "hangul+jamo",
     )
 
 
-def sentiment_top10(words: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most frequent words per sentiment."""
-    per = words.groupBy("sentiment", "word").agg(F.sum("count").alias("count"))
+def sentiment_top10(scored: DataFrame, n: int = 10, charset: str = "hangul+jamo",
+                    stopwords: Sequence[str] = STOPWORDS_KO_LONG) -> DataFrame:
+    """The ``n`` most frequent words per sentiment.
+
+    The sum over reviews of per-review word counts (A20) is the word count
+    per sentiment, so the tokens are aggregated straight to
+    ``(sentiment, word)``: the partial aggregate leaves each map task with
+    one row per word and sentiment instead of one per review and word.
+    """
+    words = tokens(scored, "context", charset, stopwords, 2, keep=["sentiment"])
+    per = words.groupBy("sentiment", "word").agg(F.count(F.lit(1)).alias("count"))
     return top_n(per, ["sentiment"], [F.desc("count"), F.asc("word")], n, rank_col="rank").orderBy(
         "sentiment", "rank")
 

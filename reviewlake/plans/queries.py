@@ -285,7 +285,7 @@ def sentiment_words(spark, d):
 
 
 def sentiment_top10(spark, d):
-    return se.sentiment_top10(se.sentiment_words(_scored(spark, d), "latin", STOPWORDS_LATIN))
+    return se.sentiment_top10(_scored(spark, d), 10, "latin", STOPWORDS_LATIN)
 
 
 def sentiment_by_platform(spark, d):
