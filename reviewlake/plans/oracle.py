@@ -377,6 +377,12 @@ FROM scored GROUP BY platform""",
 
     "sentiment_plugin": SCORED + "SELECT id, movieNm, platform, date, raw_label, sentiment FROM scored",
 
+    "stream_daily_counts": f"""WITH rt AS ({rt()})
+SELECT movieNm, {parse_date('date')} AS review_date, count(*) AS count FROM rt GROUP BY 1, 2""",
+
+    "stream_dedup": f"""WITH rt AS ({rt()})
+SELECT DISTINCT id, context, date FROM rt""",
+
     "page_extract": f"""
 WITH b AS (
     SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1) AS domain,

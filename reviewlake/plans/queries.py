@@ -313,6 +313,29 @@ def sentiment_ml(spark, d):
                                                                "sentiment")
 
 
+# ------------------------------------------------------------ streaming (events)
+def _event_stream(spark, d):
+    from reviewlake.streaming.daily import parquet_stream, with_event_time
+
+    schema = td.table(spark, d, "events").schema
+    return with_event_time(td.reviews_from_events(parquet_stream(spark, d, schema, glob="events.parquet")))
+
+
+def stream_daily_counts(spark, d):
+    """R1 + R3: reviews per film and day from the event stream."""
+    from reviewlake.streaming.daily import daily_counts_stream, run_to_table
+
+    return run_to_table(spark, daily_counts_stream(_event_stream(spark, d)), "daily-counts")
+
+
+def stream_dedup(spark, d):
+    """R1 + R2 + R4: distinct review keys from the stream, merged by key."""
+    from reviewlake.streaming.daily import dedup_stream, run_to_table
+
+    s = dedup_stream(_event_stream(spark, d), MERGE_KEYS).select(*MERGE_KEYS)
+    return run_to_table(spark, s, "dedup", mode="upsert", keys=MERGE_KEYS)
+
+
 # ------------------------------------------------------------ pages, matching
 def page_extract(spark, d):
     return extract_reviews(td.table(spark, d, "pages"))
@@ -371,6 +394,8 @@ QUERIES: dict[str, Query] = {
     "sentiment_platform_counts": sentiment_platform_counts,
     "sentiment_plugin": sentiment_plugin,
     "sentiment_ml": sentiment_ml,
+    "stream_daily_counts": stream_daily_counts,
+    "stream_dedup": stream_dedup,
     "page_extract": page_extract,
     "candidate_match": candidate_match_q,
 }
