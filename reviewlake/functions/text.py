@@ -56,6 +56,12 @@ def min_length(c, n: int = 10) -> Column:
     return F.length(strip_ws(c)) >= n
 
 
+def has_reviewer(c) -> Column:
+    """the row names its reviewer (id or name not blank)."""
+    c = col_(c)
+    return c.isNotNull() & (F.length(strip_ws(c)) > 0)
+
+
 def keep_charset(c, charset: str = "hangul+jamo") -> Column:
     """Remove every character outside ``charset`` and whitespace.
 

@@ -158,3 +158,14 @@ def star_distribution(df: DataFrame) -> DataFrame:
         .groupBy("round_rating").agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.asc_nulls_first("round_rating"))
     )
+
+
+def review_texts(df: DataFrame) -> DataFrame:
+    """The review texts (word-cloud feed) as a table, not a driver list."""
+    return df.where(F.col("context").isNotNull()).select("movieNm", "platform", "context")
+
+
+def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
+    """O3: the first ``n`` rows by a total order (planned as
+    ``TakeOrderedAndProject``: each task keeps its own top ``n``)."""
+    return df.orderBy(*order).limit(n)

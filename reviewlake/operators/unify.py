@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.files import title_from_file
+from reviewlake.functions.text import has_reviewer
 
 # Column renames across platforms.
 RENAMES = {"name": "id", "review_date": "date", "rating": "star"}
@@ -24,12 +25,13 @@ RAW_COLUMNS = ["movieNm", "id", "context", "star", "date", "platform", "recommen
 
 def normalize_platform(df: DataFrame, platform: str, *, file_col: str | None = None,
                        title_col: str | None = None, who: str | None = None,
-                       lower_names: bool = True) -> DataFrame:
+                       lower_names: bool = True, require_reviewer: bool = True) -> DataFrame:
     """One platform's rows as ``reviews_raw``.
 
     The title comes from ``title_col`` when given, else from the landed
     file name in ``file_col`` (C1 + C2). ``who`` keeps only expert or
-    netizen rows (F17) before the column is dropped (P4).
+    netizen rows (F17) before the column is dropped (P4). Rows without a
+    reviewer id are dropped (F14), as the crawlers never stored them.
     """
     keep = {title_col, file_col} - {None}
     if lower_names:  # P3, file columns only
@@ -49,7 +51,8 @@ def normalize_platform(df: DataFrame, platform: str, *, file_col: str | None = N
     }
     for c in ("id", "context", "star", "date", "recommend_tags"):
         cols[c] = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
-    return df.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
+    out = df.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
+    return out.where(has_reviewer("id")) if require_reviewer else out
 
 
 def union_platforms(frames: Iterable[DataFrame]) -> DataFrame:

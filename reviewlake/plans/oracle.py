@@ -217,6 +217,12 @@ FROM (SELECT platform, count(*) AS review_count FROM cleaned GROUP BY platform)"
     "star_distribution": WITH_CLEAN_RT + """
 SELECT round(star * 2) / 2 AS round_rating, count(*) AS count FROM cleaned GROUP BY 1""",
 
+    "review_texts": WITH_CLEAN_RT + "SELECT movieNm, platform, context FROM cleaned",
+
+    "top_movies_report": WITH_CLEAN_RT + """
+SELECT movieNm, count(*) AS review_count FROM cleaned GROUP BY movieNm
+ORDER BY review_count DESC, movieNm ASC LIMIT 10""",
+
     "tag_counts": f"SELECT tag, count(*) AS count FROM ({TAGS}) GROUP BY tag",
 
     "tag_counts_by_movie": f"SELECT movieNm, tag, count(*) AS count FROM ({TAGS}) GROUP BY movieNm, tag",

@@ -145,6 +145,15 @@ def star_distribution(spark, d):
     return m.star_distribution(_cleaned_rt(spark, d))
 
 
+def review_texts(spark, d):
+    return m.review_texts(_cleaned_rt(spark, d))
+
+
+def top_movies_report(spark, d):
+    """O3: the ten most reviewed films (the limit is the report)."""
+    return m.top_rows(m.movie_counts(_cleaned_rt(spark, d)), 10, F.desc("review_count"), F.asc("movieNm"))
+
+
 # ------------------------------------------------------------ tags (part)
 def tag_counts(spark, d):
     return kw.tag_counts(td.tag_reviews(spark, d))
@@ -364,6 +373,8 @@ QUERIES: dict[str, Query] = {
     "movie_card": movie_card,
     "platform_share": platform_share,
     "star_distribution": star_distribution,
+    "review_texts": review_texts,
+    "top_movies_report": top_movies_report,
     "tag_counts": tag_counts,
     "tag_counts_by_movie": tag_counts_by_movie,
     "platform_tag_counts": platform_tag_counts,

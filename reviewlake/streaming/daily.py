@@ -85,34 +85,62 @@ def snapshot_to_parquet(df: DataFrame, out_path: str, checkpoint: str) -> Stream
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
+MAX_PRUNED_VALUES = 1000
+
+
+def _touched(fresh: DataFrame, col: str):
+    """Partition filter for the values of ``col`` present in ``fresh``."""
+    vals = [r[0] for r in fresh.select(col).distinct().limit(MAX_PRUNED_VALUES + 1).collect()]
+    if len(vals) > MAX_PRUNED_VALUES:
+        return F.lit(True)
+    present = [v for v in vals if v is not None]
+    cond = F.col(col).isin(present) if present else F.lit(False)
+    return cond | F.col(col).isNull() if None in vals else cond
+
+
+def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint: str,
+                   partition_col: str | None = None) -> StreamingQuery:
     """Append each micro-batch's rows whose keys the table lacks.
 
     Null keys compare equal. Rerunning a batch (after a lost executor or a
-    restart) appends nothing twice.
+    restart) appends nothing twice. With ``partition_col`` (one of the
+    keys, e.g. the review day) the table is partitioned by it and a batch
+    reads back only the partitions it touches: the batch's distinct
+    partition values (a handful of days, at most ``MAX_PRUNED_VALUES``)
+    become a partition filter on the scan, so the cost per batch follows
+    the batch, not the table. A batch spanning more values reads all keys.
     """
     keys = list(keys)
+    if partition_col is not None and partition_col not in keys:
+        raise ValueError("partition_col must be one of the keys")
 
     def merge(batch: DataFrame, _epoch: int) -> None:
         fresh = batch.dropDuplicates(keys)
         try:
-            existing = batch.sparkSession.read.parquet(out_path).select(*keys)
+            existing = batch.sparkSession.read.schema(fresh.schema).parquet(out_path)
         except AnalysisException:  # first batch: no table yet
             existing = None
         if existing is not None:
+            if partition_col is not None:
+                existing = existing.where(_touched(fresh, partition_col))
+            existing = existing.select(*keys)
             cond = [fresh[k].eqNullSafe(existing[k]) for k in keys]
             fresh = fresh.join(existing, cond, "left_anti")
-        fresh.write.mode("append").parquet(out_path)
+        w = fresh.write.mode("append")
+        if partition_col is not None:
+            w = w.partitionBy(partition_col)
+        w.parquet(out_path)
 
     return (df.writeStream.outputMode("append").foreachBatch(merge)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, tag: str, mode: str = "snapshot",
-                 keys: Sequence[str] = ()) -> DataFrame:
+                 keys: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Run a stream until the available input is consumed; read the result."""
     out = _new_dir(spark, tag)
     ckpt = _new_dir(spark, tag + "-ckpt")
-    q = snapshot_to_parquet(df, out, ckpt) if mode == "snapshot" else upsert_batches(df, out, keys, ckpt)
+    q = (snapshot_to_parquet(df, out, ckpt) if mode == "snapshot"
+         else upsert_batches(df, out, keys, ckpt, partition_col))
     q.awaitTermination()
     return spark.read.parquet(out)

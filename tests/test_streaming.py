@@ -66,3 +66,23 @@ def test_rerun_of_same_input_adds_nothing(spark, tmp):
         s = st.review_file_stream(spark, land, "megabox").select(*keys)
         st.upsert_batches(s, out, keys, ck).awaitTermination()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_partitioned_upsert_reads_only_touched_days(spark, tmp):
+    land = os.path.join(tmp, "megabox_reviews")
+    base = checkpoint_dir(spark)
+    out = os.path.join(base, f"upsert-{uuid.uuid4().hex}")
+    ck = os.path.join(base, f"ck-{uuid.uuid4().hex}")
+    keys = ["id", "context", "date"]
+    drops = [
+        [["a", "첫번째 리뷰 텍스트입니다", "4", "2025.03.11", "[]"], ["b", "두번째 리뷰 텍스트입니다", "3", "", "[]"]],
+        [["a", "첫번째 리뷰 텍스트입니다", "4", "2025.03.11", "[]"], ["b", "두번째 리뷰 텍스트입니다", "3", "", "[]"],
+         ["c", "세번째 리뷰 텍스트입니다", "5", "2025.03.12", "[]"]],
+    ]
+    for n, rows in enumerate(drops, start=1):
+        _drop(land, n, rows)
+        s = normalize_platform(st.review_file_stream(spark, land, "megabox", max_files=1), "megabox",
+                               file_col="file_name").select(*keys)
+        st.upsert_batches(s, out, keys, ck, partition_col="date").awaitTermination()
+    got = sorted((r.id, r.date) for r in spark.read.parquet(out).collect())
+    assert got == [("a", "2025.03.11"), ("b", None), ("c", "2025.03.12")]
