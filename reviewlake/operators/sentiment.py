@@ -105,6 +105,23 @@ def pos_filter(words: DataFrame, pos_lexicon: DataFrame, tags: Sequence[str] = (
     return words.join(allowed, word_col, "left_semi")
 
 
+def tag_with_plugin(words: DataFrame, make_tagger: Callable[[], Callable[[pd.Series], pd.Series]],
+                    word_col: str = "word") -> DataFrame:
+    """U2 plug-in: part of speech per word from any batch tagger (e.g. a
+    morphological analyser), built once per task and fed Arrow batches.
+    The result feeds ``pos_filter`` through its ``word, pos`` columns."""
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema.fields] + ["pos string"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tagger = make_tagger()
+        for pdf in batches:
+            pdf = pdf.copy()
+            pdf["pos"] = tagger(pdf[word_col]).astype(str).values
+            yield pdf
+
+    return words.mapInPandas(run, schema)
+
+
 def sentiment_words(scored: DataFrame, charset: str = "hangul+jamo",
                     stopwords: Sequence[str] = STOPWORDS_KO_LONG, pos_lexicon: DataFrame | None = None,
                     id_col: str = "id") -> DataFrame:

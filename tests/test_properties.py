@@ -127,3 +127,17 @@ def test_share_of_group_columns(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "g string, v long")
     got = {(r.g, r.v): r.share for r in share_of_group(df, ["g"], "v").collect()}
     assert got == {("a", 1): 0.25, ("a", 3): 0.75, ("b", 2): 1.0}
+
+
+def test_pos_plugin_then_filter(spark):
+    words = spark.createDataFrame([("최고",), ("연기",), ("졸려요",), ("그냥",)], "word string")
+    verbs = {"졸려요"}
+
+    def make():
+        return lambda s: s.map(lambda w: "Verb" if w in verbs else "Noun")
+
+    tagged = se.tag_with_plugin(words, make)
+    assert {(r.word, r.pos) for r in tagged.collect()} == {("최고", "Noun"), ("연기", "Noun"), ("졸려요", "Verb"),
+                                                           ("그냥", "Noun")}
+    kept = {r.word for r in se.pos_filter(words, tagged, ("Verb",)).collect()}
+    assert kept == {"졸려요"}
