@@ -41,7 +41,8 @@ REL_ONE_DAY = "하루전"  # a day ago
 
 
 def relative_to_date_text(c, as_of) -> Column:
-    """Relative time text to ``yyyy.MM.dd`` as seen at ``as_of``.
+    """C19 (the reference's U4 helper): relative time text to ``yyyy.MM.dd``
+    as seen at ``as_of``; a C6 ``when`` chain without ``otherwise``.
 
     Dated text (``yyyy.MM.dd`` prefix) passes through unchanged; unknown
     text gives null. ``as_of`` is a timestamp column or a literal; the

@@ -14,7 +14,8 @@ TAG_OTHERS = "외"
 
 
 def parse_tags(c) -> Column:
-    """JSON or Python list literal text to ``array<string>``.
+    """C9 (replaces the U3 list-literal parse): JSON or Python list literal
+    text to ``array<string>``.
 
     ``from_json`` accepts the single-quoted form; broken text gives null.
     """

@@ -63,7 +63,8 @@ def has_reviewer(c) -> Column:
 
 
 def keep_charset(c, charset: str = "hangul+jamo") -> Column:
-    """Remove every character outside ``charset`` and whitespace.
+    """C8 (replaces the U5 regex lambda): remove every character outside
+    ``charset`` and whitespace.
 
     Java evaluates a negated class built from many ranges an order of
     magnitude slower per character than a single-property class, so the

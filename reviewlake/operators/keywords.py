@@ -30,7 +30,7 @@ def tokens(df: DataFrame, text_col: str = "context", charset: str = "hangul+jamo
     w = F.col(word_col)
     exploded = df.select(*keep, F.explode(split_words(clean_for_tokens(text_col, charset))).alias(word_col))
     cond = w.isNotNull() & (F.length(w) >= max(min_len, 1))
-    if stopwords:
+    if stopwords:  # F9 with C24 membership: a short fixed list is an InSet lookup
         cond = cond & ~w.isin(list(stopwords))
     return exploded.where(cond)
 
@@ -65,7 +65,8 @@ def tag_rows(df: DataFrame, tag_col: str = "tag", clean: bool = False) -> DataFr
 
 
 def platform_tag_counts(df: DataFrame, platform: str) -> DataFrame:
-    """A4: tag count per film on one platform (the reference's megabox table)."""
+    """A4: tag count per film on one platform (the reference's megabox table);
+    F5: equality and not-null filter."""
     rows = tag_rows(df.where((F.col("platform") == platform) & F.col("recommend_tags").isNotNull()), "keyword")
     return rows.groupBy("movieNm", "keyword").agg(F.count(F.lit(1)).alias("count"))
 

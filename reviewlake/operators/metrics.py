@@ -1,9 +1,11 @@
-"""Review metrics.
+"""Review metrics.
 
 All are ``groupBy`` aggregates: Spark adds the partial (map-side)
 aggregate, so a film with a third of all reviews costs one row per map
 task in the shuffle. Averages are rounded to 6 digits so results compare
-across engines. Every sort carries a full tie-break (SURVEY D20).
+across engines. Every sort, on one column (O1) or several with mixed
+directions (O2), carries a full tie-break (SURVEY D20). Rated-only
+metrics use a not-null filter (F4).
 """
 
 from __future__ import annotations
@@ -50,7 +52,8 @@ def movie_counts(df: DataFrame) -> DataFrame:
 
 
 def review_pace(df: DataFrame) -> DataFrame:
-    """First and last review day, count, active days and reviews per day."""
+    """First and last review day, count, active days and reviews per day
+    (C12: ``datediff + 1``, never below 1, ratio as double)."""
     if "date" not in df.columns:
         return movie_counts(df)
     g = df.groupBy("movieNm").agg(

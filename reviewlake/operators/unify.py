@@ -47,7 +47,7 @@ def normalize_platform(df: DataFrame, platform: str, *, file_col: str | None = N
         raise ValueError("need title_col or file_col")
     cols = {
         "movieNm": title,
-        "platform": F.lit(platform),
+        "platform": F.lit(platform),  # P6 / C25: constant column
     }
     for c in ("id", "context", "star", "date", "recommend_tags"):
         cols[c] = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
