@@ -383,6 +383,10 @@ FROM scored GROUP BY platform""",
 
     "sentiment_plugin": SCORED + "SELECT id, movieNm, platform, date, raw_label, sentiment FROM scored",
 
+    "file_ingest": f"WITH tx AS ({TX}) SELECT * FROM tx",
+
+    "table_sinks": WITH_CLEAN_RT + f"SELECT *, DATE '{q.LOAD_DAY}' AS load_date FROM cleaned",
+
     "stream_daily_counts": f"""WITH rt AS ({rt()})
 SELECT movieNm, {parse_date('date')} AS review_date, count(*) AS count FROM rt GROUP BY 1, 2""",
 

@@ -322,6 +322,44 @@ def sentiment_ml(spark, d):
                                                                "sentiment")
 
 
+# ------------------------------------------------------------ files and tables
+LOAD_DAY = "2024-02-01"
+
+
+def _scratch(spark, tag):
+    import os
+    import uuid
+
+    from reviewlake.session import checkpoint_dir
+
+    return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def file_ingest(spark, d):
+    """S21 then S1/S5: whole documents as review rows written through the CSV
+    sink (quotes, line breaks) and read back with the explicit-schema reader."""
+    from reviewlake.operators.unify import RAW_COLUMNS
+    from reviewlake.sources.files import read_csv
+    from reviewlake.sources.schemas import strings
+    from reviewlake.sources.sinks import write_csv
+
+    out = _scratch(spark, "file-ingest")
+    write_csv(td.reviews_tx(spark, d), out)
+    return read_csv(spark, out, strings(*RAW_COLUMNS), glob="*.csv")
+
+
+def table_sinks(spark, d):
+    """The cleaned reviews appended twice for the same load day to a
+    day-partitioned folder; the rerun replaces the day instead of adding."""
+    from reviewlake.sources.sinks import append_day
+
+    out = _scratch(spark, "table-sinks")
+    cleaned = _cleaned_rt(spark, d)
+    append_day(cleaned, out, LOAD_DAY)
+    append_day(cleaned, out, LOAD_DAY)
+    return spark.read.parquet(out)
+
+
 # ------------------------------------------------------------ streaming (events)
 def _event_stream(spark, d):
     from reviewlake.streaming.daily import parquet_stream, with_event_time
@@ -405,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "sentiment_platform_counts": sentiment_platform_counts,
     "sentiment_plugin": sentiment_plugin,
     "sentiment_ml": sentiment_ml,
+    "file_ingest": file_ingest,
+    "table_sinks": table_sinks,
     "stream_daily_counts": stream_daily_counts,
     "stream_dedup": stream_dedup,
     "page_extract": page_extract,

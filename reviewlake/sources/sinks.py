@@ -41,8 +41,10 @@ def append_day(df: DataFrame, path: str, load_date, day_col: str = "load_date")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV, quotes doubled inside fields."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    """Header CSV, quotes doubled inside fields, text kept byte for byte
+    (no trimming of leading or trailing spaces)."""
+    (df.write.mode("overwrite").option("header", "true").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def merge_into_folder(spark, existing_path: str, new: DataFrame, keys: Sequence[str], out_path: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewlake.functions.dates import parse_review_date
 from reviewlake.functions.files import source_file_name
+from reviewlake.operators.skew import keep_first
 from reviewlake.session import checkpoint_dir
 from reviewlake.sources import schemas
 from reviewlake.sources.files import CSV_OPTIONS, review_glob
@@ -115,7 +116,7 @@ def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint
         raise ValueError("partition_col must be one of the keys")
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        fresh = batch.dropDuplicates(keys)
+        fresh = keep_first(batch, keys)  # repeatable choice if the batch is retried
         try:
             existing = batch.sparkSession.read.schema(fresh.schema).parquet(out_path)
         except AnalysisException:  # first batch: no table yet
