@@ -372,7 +372,7 @@ def stream_daily_counts(spark, d):
     """R1 + R3: reviews per film and day from the event stream."""
     from reviewlake.streaming.daily import daily_counts_stream, run_to_table
 
-    return run_to_table(spark, daily_counts_stream(_event_stream(spark, d)), "daily-counts")
+    return run_to_table(spark, daily_counts_stream(_event_stream(spark, d)), "daily-counts", mode="counts")
 
 
 def stream_dedup(spark, d):

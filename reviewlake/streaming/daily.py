@@ -7,7 +7,9 @@ arrived since the last one (the checkpoint records them) and stops.
 
 * R1 ``review_file_stream``: new review files as a stream.
 * R2 ``dedup_stream``: duplicates dropped across runs within a watermark.
-* R3 ``daily_counts_stream``: reviews per film and day, kept up to date.
+* R3 ``daily_counts_stream``: reviews per film and day, kept up to date;
+  ``counts_to_table`` keeps the state bounded (update mode, watermark) and
+  merges each batch into a day-partitioned table.
 * R4 ``upsert_batches``: each micro-batch merged into a Parquet table by
   key; a retried batch finds its rows already there, so it adds nothing.
 
@@ -136,12 +138,47 @@ def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def counts_to_table(df: DataFrame, out_path: str, checkpoint: str, keys: Sequence[str] = ("movieNm",),
+                    day_col: str = "review_date") -> StreamingQuery:
+    """R3 sink with bounded state: update mode under the watermark, so a
+    window's state is dropped once the watermark passes it, and each
+    micro-batch's updated counts replace the matching rows of a
+    day-partitioned table.
+
+    Only the days a batch touches are read back and rewritten (dynamic
+    partition overwrite). The merged rows are checkpointed to the shared
+    checkpoint folder first, which cuts their lineage from the table they
+    overwrite.
+    """
+    keys = [*keys, day_col]
+
+    def merge(batch: DataFrame, _epoch: int) -> None:
+        spark = batch.sparkSession
+        try:
+            existing = spark.read.schema(batch.schema).parquet(out_path).where(_touched(batch, day_col))
+        except AnalysisException:  # first batch: no table yet
+            existing = None
+        merged = batch
+        if existing is not None:
+            merged = existing.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        checkpoint_dir(spark)
+        (merged.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(day_col).parquet(out_path))
+
+    return (df.writeStream.outputMode("update").foreachBatch(merge)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def run_to_table(spark: SparkSession, df: DataFrame, tag: str, mode: str = "snapshot",
                  keys: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Run a stream until the available input is consumed; read the result."""
     out = _new_dir(spark, tag)
     ckpt = _new_dir(spark, tag + "-ckpt")
-    q = (snapshot_to_parquet(df, out, ckpt) if mode == "snapshot"
-         else upsert_batches(df, out, keys, ckpt, partition_col))
+    if mode == "snapshot":
+        q = snapshot_to_parquet(df, out, ckpt)
+    elif mode == "counts":
+        q = counts_to_table(df, out, ckpt, keys or ("movieNm",))
+    else:
+        q = upsert_batches(df, out, keys, ckpt, partition_col)
     q.awaitTermination()
     return spark.read.parquet(out)

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import functions as F
+
 from reviewlake.functions.dates import parse_review_date
 from reviewlake.operators.unify import normalize_platform
 from reviewlake.session import checkpoint_dir
@@ -86,3 +88,23 @@ def test_partitioned_upsert_reads_only_touched_days(spark, tmp):
         st.upsert_batches(s, out, keys, ck, partition_col="date").awaitTermination()
     got = sorted((r.id, r.date) for r in spark.read.parquet(out).collect())
     assert got == [("a", "2025.03.11"), ("b", None), ("c", "2025.03.12")]
+
+
+def test_update_mode_counts_merge_into_day_partitions(spark, tmp):
+    land = os.path.join(tmp, "megabox_reviews")
+    base = checkpoint_dir(spark)
+    out = os.path.join(base, f"counts-{uuid.uuid4().hex}")
+    ck = os.path.join(base, f"ck-{uuid.uuid4().hex}")
+    drops = [
+        [["a", "첫번째 리뷰 텍스트입니다", "4", "2025.03.11", "[]"], ["b", "두번째 리뷰 텍스트입니다", "3", "2025.03.12", "[]"]],
+        [["c", "세번째 리뷰 텍스트입니다", "5", "2025.03.12", "[]"]],
+        [["d", "네번째 리뷰 텍스트입니다", "5", "2025.03.12", "[]"], ["e", "다섯번째 리뷰 텍스트", "1", "2025.03.13", "[]"]],
+    ]
+    for n, rows in enumerate(drops, start=1):
+        _drop(land, n, rows)
+        s = st.with_event_time(normalize_platform(st.review_file_stream(spark, land, "megabox"), "megabox",
+                                                  file_col="file_name"))
+        s = s.withColumn("movieNm", F.lit("same film"))
+        st.counts_to_table(st.daily_counts_stream(s), out, ck).awaitTermination()
+    got = sorted((r.review_date.isoformat(), r["count"]) for r in spark.read.parquet(out).collect())
+    assert got == [("2025-03-11", 1), ("2025-03-12", 3), ("2025-03-13", 1)]
