@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.functions.casts import to_star
 from reviewlake.functions.files import title_from_file
 from reviewlake.functions.text import has_reviewer
 
@@ -25,13 +26,16 @@ RAW_COLUMNS = ["movieNm", "id", "context", "star", "date", "platform", "recommen
 
 def normalize_platform(df: DataFrame, platform: str, *, file_col: str | None = None,
                        title_col: str | None = None, who: str | None = None,
-                       lower_names: bool = True, require_reviewer: bool = True) -> DataFrame:
+                       lower_names: bool = True, require_reviewer: bool = True,
+                       star_divisor: float | None = None) -> DataFrame:
     """One platform's rows as ``reviews_raw``.
 
     The title comes from ``title_col`` when given, else from the landed
     file name in ``file_col`` (C1 + C2). ``who`` keeps only expert or
     netizen rows (F17) before the column is dropped (P4). Rows without a
     reviewer id are dropped (F14), as the crawlers never stored them.
+    ``star_divisor`` rescales a source's stars (C21, e.g. ten-point expert
+    ratings halved; SURVEY D25), read from the text, bad text giving null.
     """
     keep = {title_col, file_col} - {None}
     if lower_names:  # P3, file columns only
@@ -51,6 +55,8 @@ def normalize_platform(df: DataFrame, platform: str, *, file_col: str | None = N
     }
     for c in ("id", "context", "star", "date", "recommend_tags"):
         cols[c] = F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+    if star_divisor is not None and "star" in df.columns:
+        cols["star"] = (to_star("star") / F.lit(float(star_divisor))).cast("string")
     out = df.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
     return out.where(has_reviewer("id")) if require_reviewer else out
 

@@ -156,3 +156,12 @@ def test_r2_watermark_delay_is_a_parameter(spark, delay):
 def test_f7_any_null_rows_dropped_before_scoring(spark):
     df = raw(spark, [("m", "1", "최고 감동", None, None, "p", None), (None, "2", "최고 감동", None, "2025.03.19", "p", None)])
     assert se.review_inputs(df.withColumn("date", F.col("date"))).count() == 0
+
+
+def test_d25_star_scale_per_source(spark):
+    experts = spark.createDataFrame([("expert", "critic", "평론가 리뷰 텍스트입니다", "8", "", "T"),
+                                     ("expert", "other", "평론가 리뷰 텍스트입니다", "별점없음", "", "T")],
+                                    "who string, name string, context string, star string, date string, t string")
+    out = {r.id: r.star for r in normalize_platform(experts, "cine", title_col="t", who="expert",
+                                                     star_divisor=2).collect()}
+    assert out == {"critic": "4.0", "other": None}
