@@ -50,8 +50,9 @@ def merge_append(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> Da
 def append_new(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """S22, append form: only the new rows whose keys are not stored yet
     (null keys compare equal, as in the merge)."""
-    cond = [existing[k].eqNullSafe(new[k]) for k in keys]
-    return new.join(existing.select(*keys), cond, "left_anti")
+    stored = existing.select(*keys).distinct()  # hot keys collapse map-side
+    cond = [stored[k].eqNullSafe(new[k]) for k in keys]
+    return new.join(stored, cond, "left_anti")
 
 
 def date_bound(df: DataFrame, columns: Sequence[str], lo: _dt.date | str,

@@ -104,7 +104,7 @@ def pos_filter(words: DataFrame, pos_lexicon: DataFrame, tags: Sequence[str] = (
                word_col: str = "word") -> DataFrame:
     """F16: keep words whose part of speech is in ``tags`` (semi join to a
     ``word, pos`` table; the tag list is the reference's)."""
-    allowed = pos_lexicon.where(F.col("pos").isin(list(tags))).select(F.col("word").alias(word_col))
+    allowed = pos_lexicon.where(F.col("pos").isin(list(tags))).select(F.col("word").alias(word_col)).distinct()
     return words.join(allowed, word_col, "left_semi")
 
 
