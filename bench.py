@@ -51,10 +51,13 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(app="reviewlake-bench")
-    times = {}
+    times, errors = {}, {}
     for n in names:
-        run(spark, n, sf_dir)  # warm-up: JIT, file listing, Python workers
-        times[n] = round(statistics.median(run(spark, n, sf_dir) for _ in range(repeat)), 3)
+        try:
+            run(spark, n, sf_dir)  # warm-up: JIT, file listing, Python workers
+            times[n] = round(statistics.median(run(spark, n, sf_dir) for _ in range(repeat)), 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the other queries
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "sum of median wall time over headline queries",
@@ -63,6 +66,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(os.environ.get("BENCH_CPUS", "8")),
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
