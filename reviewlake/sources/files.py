@@ -42,13 +42,16 @@ def _day(d: _dt.date | str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, *, glob: str | None = None,
-             recursive: bool = True, modified_after: str | None = None, **options) -> DataFrame:
+             recursive: bool = True, modified_after: str | None = None, modified_before: str | None = None,
+             **options) -> DataFrame:
     """CSV with header, explicit schema, multi-line quoted fields."""
     r = spark.read.schema(schema).options(**CSV_OPTIONS).option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
+    if modified_before:
+        r = r.option("modifiedBefore", modified_before)
     for k, v in options.items():
         r = r.option(k, v)
     return r.csv(path)
@@ -63,10 +66,11 @@ def review_glob(platform: str, day=None, movie: str | None = None) -> str:
 
 
 def read_reviews(spark: SparkSession, path: str, platform: str, *, day=None, movie: str | None = None,
-                 recursive: bool = True, modified_after: str | None = None) -> DataFrame:
+                 recursive: bool = True, modified_after: str | None = None,
+                 modified_before: str | None = None) -> DataFrame:
     """One platform's landed review files, with the source file name."""
     df = read_csv(spark, path, schemas.REVIEW_SCHEMAS[platform], glob=review_glob(platform, day, movie),
-                  recursive=recursive, modified_after=modified_after)
+                  recursive=recursive, modified_after=modified_after, modified_before=modified_before)
     return df.withColumn("file_name", source_file_name())
 
 
@@ -82,7 +86,9 @@ def read_all_reviews(spark: SparkSession, folders: dict[str, str], *, day=None,
     for platform, folder in folders.items():
         if day is not None and platform == "watcha":
             d = _dt.date.fromisoformat(day) if isinstance(day, str) else day
-            raw = read_reviews(spark, folder, platform, modified_after=f"{d.isoformat()}T00:00:00")
+            nxt = d + _dt.timedelta(days=1)
+            raw = read_reviews(spark, folder, platform, modified_after=f"{d.isoformat()}T00:00:00",
+                               modified_before=f"{nxt.isoformat()}T00:00:00")
         else:
             raw = read_reviews(spark, folder, platform, day=day)
         frames.append(normalize_platform(raw, platform, file_col="file_name", who=who))

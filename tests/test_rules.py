@@ -70,6 +70,9 @@ def test_d6_undated_files_chosen_by_modification_time(spark, tmp):
     os.utime(os.path.join(folder, "Old_watcha_reviews.csv"), (old, old))
     new = time.mktime(dt.datetime(2025, 3, 19, 12).timetuple())
     os.utime(os.path.join(folder, "New_watcha_reviews.csv"), (new, new))
+    fx.write_csv(os.path.join(folder, "Later_watcha_reviews.csv"), ["id", "star", "context"], [["l", "4", "다음날 리뷰 텍스트"]])
+    later = time.mktime(dt.datetime(2025, 3, 20, 12).timetuple())
+    os.utime(os.path.join(folder, "Later_watcha_reviews.csv"), (later, later))
     got = src.read_all_reviews(spark, {"watcha": folder}, day="2025-03-19").collect()
     assert [(r.movieNm, r.id) for r in got] == [("New", "n")]
 
