@@ -29,6 +29,7 @@ def spark():
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="reviewlake-test-ckpt-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="reviewlake-test-warehouse-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

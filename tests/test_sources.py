@@ -143,3 +143,23 @@ def test_review_page_extract(spark):
     rows = extract_reviews(pages).orderBy("pos").collect()
     assert [(r.pos, r.context) for r in rows] == [(1, "first review"), (2, "second review")]
     assert rows[0].domain == "www.example.com" and rows[0].title == "T 1"
+
+
+def test_replace_table_twice_is_once(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    sinks.replace_table(df, "reviewlake_test_replace")
+    sinks.replace_table(df, "reviewlake_test_replace")
+    from reviewlake.sources.tables import read_table
+    assert read_table(spark, "reviewlake_test_replace").count() == 2
+    assert read_table(spark, "reviewlake_test_replace", ["k"]).columns == ["k"]
+
+
+def test_csv_table_with_and_without_schema(spark, tmp):
+    path = os.path.join(tmp, "codes")
+    fx.write_csv(os.path.join(path, "region_codes.csv"), ["fullCd", "korNm"], [["0105001000", "서울시"]])
+    typed = src.read_csv_table(spark, path, src.schemas.REGION_CODES_CSV).first()
+    inferred = src.read_csv_table(spark, path)
+    assert typed.fullCd == "0105001000"            # explicit schema keeps the leading zero
+    assert dict(inferred.dtypes)["fullCd"] in ("int", "bigint")
+    codes = src.read_region_codes(spark, path, fmt="csv").first()
+    assert (codes.fullCd, codes.korNm) == ("0105001000", "서울시")
