@@ -13,6 +13,6 @@ plans/       the registered queries and their DuckDB oracle SQL
 streaming/   Structured Streaming versions of the daily increments
 """
 
-from reviewlake.session import build_session, checkpoint_dir
+from reviewlake.session import build_session, checkpoint_dir, cluster_settings
 
-__all__ = ["build_session", "checkpoint_dir"]
+__all__ = ["build_session", "checkpoint_dir", "cluster_settings"]

@@ -37,6 +37,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Runtime SQL settings for large inputs (hundreds of TB): AQE picks the
+# partition count from a generous start, skewed partitions are split, scan
+# splits and shuffle partitions target about 256 MB.
+SCALE_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def cluster_settings(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
+    """Apply ``SCALE_SETTINGS`` (and ``overrides``) to a running session."""
+    for k, v in {**SCALE_SETTINGS, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
