@@ -15,7 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.functions.text import strip_ws
+from reviewlake.functions.casts import ten_point_to_five
+from reviewlake.functions.dates import relative_to_date_text
+from reviewlake.functions.tags import clean_tags, tags_literal
+from reviewlake.functions.text import has_reviewer, strip_ws
 
 
 @dataclass(frozen=True)
@@ -23,6 +26,10 @@ class SiteRule:
     container: str = "(?s)<article[^>]*>(.*)</article>"   # group 1: the review list
     block_split: str = "<p[^>]*>"                          # one review per piece after the first
     title: str = "(?s)<h1[^>]*>(.*?)</h1>"
+    context: str | None = None        # group 1: the review text; the whole block when None
+    fields: tuple = ()                # (column, pattern with group 1) read inside each block
+    tag_area: str | None = None       # group 1: the part of a block holding the tags
+    tag: str = "(?s)<em[^>]*>(.*?)</em>"   # group 1: one tag inside the tag area
 
 
 DEFAULT_RULE = SiteRule()
@@ -37,8 +44,14 @@ def strip_tags(c) -> F.Column:
     return strip_ws(F.regexp_replace(c, TAG, ""))
 
 
+def _field(block, pattern: str):
+    v = strip_tags(F.regexp_extract(block, pattern, 1))
+    return F.when(F.length(v) > 0, v)
+
+
 def extract_reviews(pages: DataFrame, rule: SiteRule = DEFAULT_RULE) -> DataFrame:
-    """One row per non-blank review block: page_id, domain, title, pos, context, n_chars."""
+    """One row per non-blank review block: page_id, domain, title, pos, context,
+    n_chars, then the rule's fields and, with a tag area, ``tags`` (array)."""
     body = F.regexp_extract("html", rule.container, 1)
     blocks = pages.select(
         "page_id",
@@ -46,10 +59,49 @@ def extract_reviews(pages: DataFrame, rule: SiteRule = DEFAULT_RULE) -> DataFram
         strip_tags(F.regexp_extract("html", rule.title, 1)).alias("title"),
         F.posexplode(F.split(body, rule.block_split)).alias("pos", "block"),
     )
+    block = F.col("block")
+    text = strip_tags(F.regexp_extract(block, rule.context, 1)) if rule.context else strip_tags(block)
+    extra = [_field(block, rx).alias(name) for name, rx in rule.fields]
+    if rule.tag_area:
+        area = F.regexp_extract(block, rule.tag_area, 1)
+        extra.append(F.transform(F.regexp_extract_all(area, F.lit(rule.tag), 1), strip_tags).alias("tags"))
     return (
         blocks.where(F.col("pos") > 0)
-        .select("page_id", "domain", "title", F.col("pos").cast("int").alias("pos"),
-                strip_tags("block").alias("context"))
+        .select("page_id", "domain", "title", F.col("pos").cast("int").alias("pos"), text.alias("context"),
+                *extra)
         .where(F.length("context") > 0)
         .withColumn("n_chars", F.length("context"))
     )
+
+
+# The markup of one site's review list, named as in the
+# crawler's selectors (list item "type01 oneContentTag"; classes user-id,
+# story-txt, story-point, story-date, story-recommend with <em> tags).
+MEGABOX_RULE = SiteRule(
+    container='(?s)<div class="movie-idv-story">(.*)</div>',
+    block_split='<li class="type01 oneContentTag"[^>]*>',
+    context='(?s)<div class="story-txt"[^>]*>(.*?)</div>',
+    fields=(
+        ("id", '(?s)<div class="user-id"[^>]*>(.*?)</div>'),
+        ("rating", '(?s)<div class="story-point"[^>]*>\\s*<span[^>]*>(.*?)</span>'),
+        ("date_text", '(?s)<div class="story-date"[^>]*>\\s*<div[^>]*>\\s*<span[^>]*>(.*?)</span>'),
+    ),
+    tag_area='(?s)<div class="story-recommend"[^>]*>(.*?)</div>',
+)
+
+
+def megabox_review_rows(pages: DataFrame, as_of) -> DataFrame:
+    """S16 for one site: landed review pages to rows in its landed CSV
+    layout (id, context, star, review_date, recommend_tags).
+
+    Ten-point ratings are halved (C21), relative days are resolved at the
+    crawl time ``as_of`` (C19), collapsed tags are dropped (F13) and blocks
+    without a reviewer id are skipped (F14).
+    """
+    rows = extract_reviews(pages, MEGABOX_RULE).where(has_reviewer("id"))
+    return rows.select(
+        "page_id", "id", "context",
+        ten_point_to_five("rating").cast("string").alias("star"),
+        relative_to_date_text("date_text", as_of).alias("review_date"),
+        tags_literal(clean_tags("tags")).alias("recommend_tags"),
+    )

@@ -163,3 +163,31 @@ def test_csv_table_with_and_without_schema(spark, tmp):
     assert dict(inferred.dtypes)["fullCd"] in ("int", "bigint")
     codes = src.read_region_codes(spark, path, fmt="csv").first()
     assert (codes.fullCd, codes.korNm) == ("0105001000", "서울시")
+
+
+MEGABOX_PAGE = """<html><body><div class="movie-idv-story"><ul>
+<li class="type01 oneContentTag"><div class="user-id">ab**12</div>
+  <div class="story-area"><div class="story-txt">연출이 정말 좋았어요 최고</div>
+  <div class="story-point"><span>9</span></div>
+  <div class="story-recommend"><em>연출</em><em>배우</em><em>+2</em></div></div>
+  <div class="story-date"><div><span>50분전</span></div></div></li>
+<li class="type01 oneContentTag"><div class="user-id">cd**34</div>
+  <div class="story-area"><div class="story-txt">스토리가 아쉬워요</div>
+  <div class="story-point"><span>4</span></div>
+  <div class="story-recommend"><em>스토리 외</em></div></div>
+  <div class="story-date"><div><span>2025.03.18</span></div></div></li>
+<li class="type01 oneContentTag"><div class="user-id"> </div>
+  <div class="story-area"><div class="story-txt">작성자 없는 리뷰</div></div></li>
+</ul></div></body></html>"""
+
+
+def test_megabox_page_rows(spark):
+    from reviewlake.sources.pages import megabox_review_rows
+
+    pages = spark.createDataFrame([(1, "https://www.example.com/movie/1", MEGABOX_PAGE)],
+                                  "page_id long, url string, html string")
+    rows = megabox_review_rows(pages, "2025-03-20 00:30:00").orderBy("id").collect()
+    assert [(r.id, r.context, r.star, r.review_date, r.recommend_tags) for r in rows] == [
+        ("ab**12", "연출이 정말 좋았어요 최고", "4.5", "2025.03.19", "['연출', '배우']"),
+        ("cd**34", "스토리가 아쉬워요", "2.0", "2025.03.18", "[]"),
+    ]
