@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions.casts import ten_point_to_five
 from reviewlake.functions.dates import relative_to_date_text
+from reviewlake.functions.files import decode_name
 from reviewlake.functions.tags import clean_tags, tags_literal
 from reviewlake.functions.text import has_reviewer, strip_ws
 
@@ -105,3 +106,40 @@ def megabox_review_rows(pages: DataFrame, as_of) -> DataFrame:
         relative_to_date_text("date_text", as_of).alias("review_date"),
         tags_literal(clean_tags("tags")).alias("recommend_tags"),
     )
+
+
+@dataclass(frozen=True)
+class SearchRule:
+    block_split: str                  # one search hit per piece after the first
+    title: str                        # group 1: the hit's title
+    year: str                         # group 1: the hit's opening year
+    image: str = "<img"               # present when the hit shows an image
+    query_param: str = "query"        # the search term in the page URL
+
+
+# The markup of one site's search results, named as in the
+# crawler's selectors (hit "li.zK9dEEA5", title attribute of its link,
+# year before "・" in "div.qz_zPMlN.RiDHrQhO").
+WATCHA_SEARCH_RULE = SearchRule(
+    block_split='<li class="zK9dEEA5"[^>]*>',
+    title='<a[^>]*title="([^"]*)"',
+    year='(?s)<div class="qz_zPMlN RiDHrQhO"[^>]*>\\s*(\\d{4})\\s*・',
+)
+
+
+def search_hits(pages: DataFrame, rule: SearchRule = WATCHA_SEARCH_RULE) -> DataFrame:
+    """J5 input: landed search-result pages to one row per hit (movieNm =
+    the search term, hit_id, title, open_year, position, has_image), the
+    shape ``operators.matching.candidate_match`` reads."""
+    term = decode_name(F.regexp_extract("url", f"[?&]{rule.query_param}=([^&#]*)", 1))
+    hits = pages.select("page_id", term.alias("movieNm"),
+                        F.posexplode(F.split("html", rule.block_split)).alias("pos", "block"))
+    block = F.col("block")
+    return hits.where(F.col("pos") > 0).select(
+        "movieNm",
+        (F.col("page_id") * 10000 + F.col("pos")).alias("hit_id"),
+        F.regexp_extract(block, rule.title, 1).alias("title"),
+        F.regexp_extract(block, rule.year, 1).alias("open_year"),
+        F.col("pos").cast("int").alias("position"),
+        block.contains(rule.image).alias("has_image"),
+    )

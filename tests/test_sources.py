@@ -191,3 +191,24 @@ def test_megabox_page_rows(spark):
         ("ab**12", "연출이 정말 좋았어요 최고", "4.5", "2025.03.19", "['연출', '배우']"),
         ("cd**34", "스토리가 아쉬워요", "2.0", "2025.03.18", "[]"),
     ]
+
+
+def _hit(title, year, img):
+    pic = '<img src="x.jpg">' if img else ""
+    return (f'<li class="zK9dEEA5"><a title="{title}" href="#">{pic}<div class="bVUVO8nJ">'
+            f'<div class="qz_zPMlN RiDHrQhO">{year} ・ 한국</div></div></a></li>')
+
+
+def test_search_pages_to_matches(spark):
+    from reviewlake.operators.matching import candidate_match
+    from reviewlake.sources.pages import search_hits
+
+    p1 = "<ul>" + _hit("파묘", "2019", True) + _hit("파묘", "2024", False) + _hit("파묘 2", "2024", True) + "</ul>"
+    p2 = "<ul>" + _hit("Other", "2020", False) + _hit("Dune: Part Two", "2023", True) + "</ul>"
+    pages = spark.createDataFrame([(1, "https://search.example/ko?query=%ED%8C%8C%EB%AC%98&x=1", p1),
+                                   (2, "https://search.example/ko?query=Dune%20Part%20Two", p2)],
+                                  "page_id long, url string, html string")
+    films = spark.createDataFrame([("파묘", "2024"), ("Dune Part Two", "2024"), ("None Found", "2020")],
+                                  "movieNm string, open_year string")
+    got = {r.movieNm: (r.position, r.match) for r in candidate_match(films, search_hits(pages)).collect()}
+    assert got == {"파묘": (2, "exact"), "Dune Part Two": (2, "image"), "None Found": (None, None)}
