@@ -23,6 +23,7 @@ from reviewlake.operators import metrics as m
 from reviewlake.operators import sentiment as se
 from reviewlake.operators.clean import BATCH_KEYS, clean_reviews
 from reviewlake.operators.incremental import append_new
+from reviewlake.session import checkpoint_dir
 from reviewlake.sources import files as src
 from reviewlake.sources.sinks import append_day, write_parquet
 
@@ -90,7 +91,10 @@ def review_daily_job(spark: SparkSession, folders: dict[str, str], out: str, run
     except Exception as e:  # noqa: BLE001 - first day: no cleaned table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    append_day(cleaned, clean_path, day)
+    # the day's rows depend on the table they are written to: checkpoint them
+    # to the shared folder first, so the write no longer reads that table
+    checkpoint_dir(spark)
+    append_day(cleaned.checkpoint(), clean_path, day)
     return {"review_data": raw_path, "cleaned_reviews": clean_path}
 
 
