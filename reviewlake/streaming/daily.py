@@ -65,12 +65,18 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], delay: str = "30 days") ->
 
 
 def daily_counts_stream(df: DataFrame, delay: str = "30 days") -> DataFrame:
-    """Reviews per film and day (tumbling one-day windows)."""
+    """Reviews per film and day.
+
+    ``event_ts`` is the review day's midnight, so it is itself the day key:
+    grouping on it gives the same day in any session time zone (a one-day
+    ``window`` would align to UTC midnight), and as the watermarked column
+    it lets Spark drop a day's state once the watermark passes it.
+    """
     return (
         df.withWatermark("event_ts", delay)
-        .groupBy(F.window("event_ts", "1 day").alias("w"), "movieNm")
+        .groupBy("event_ts", "movieNm")
         .agg(F.count(F.lit(1)).alias("count"))
-        .select("movieNm", F.col("w.start").cast("date").alias("review_date"), "count")
+        .select("movieNm", F.col("event_ts").cast("date").alias("review_date"), "count")
     )
 
 
