@@ -50,10 +50,16 @@ def top_n(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], n:
 
 def share_of_group(df: DataFrame, group_cols: Sequence[str], value_col: str,
                    share_col: str = "share", digits: int | None = 6) -> DataFrame:
-    """``value / sum(value) over group`` via aggregate + join."""
+    """``value / sum(value) over group`` via aggregate + join.
+
+    The join is null-safe, so a null group (e.g. an unreadable day) keeps
+    its rows, as ``partition by`` does.
+    """
     group_cols = list(group_cols)
-    totals = df.groupBy(*group_cols).agg(F.sum(value_col).alias("_total"))
+    keys = [f"_g{i}" for i in range(len(group_cols))]
+    totals = df.groupBy(*group_cols).agg(F.sum(value_col).alias("_total")).toDF(*keys, "_total")
+    cond = [df[c].eqNullSafe(totals[k]) for c, k in zip(group_cols, keys)]
     share = F.col(value_col).cast("double") / F.col("_total").cast("double")
     if digits is not None:
         share = F.round(share, digits)
-    return df.join(totals, group_cols, "inner").withColumn(share_col, share).drop("_total")
+    return df.join(totals, cond, "inner").withColumn(share_col, share).drop("_total", *keys)

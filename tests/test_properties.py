@@ -141,3 +141,9 @@ def test_pos_plugin_then_filter(spark):
                                                            ("그냥", "Noun")}
     kept = {r.word for r in se.pos_filter(words, tagged, ("Verb",)).collect()}
     assert kept == {"졸려요"}
+
+
+def test_share_of_group_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 3), ("b", 2)], "g string, v long")
+    got = sorted((r.g or "", r.v, r.share) for r in share_of_group(df, ["g"], "v").collect())
+    assert got == [("", 1, 0.25), ("", 3, 0.75), ("b", 2, 1.0)]
