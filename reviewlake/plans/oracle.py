@@ -135,6 +135,26 @@ REGION = """WITH ra AS (
 FILMS = """films AS (SELECT p_brand AS movieNm, CAST(1990 + min(p_size) % 30 AS VARCHAR) AS open_year
            FROM part GROUP BY p_brand)"""
 
+RAW_CHART = """WITH raw AS (
+    SELECT CAST(l_linenumber AS VARCHAR) AS rank,
+           CASE WHEN l_linenumber = 7 THEN 'x' ELSE CAST(l_linenumber - 4 AS VARCHAR) END AS rankInten,
+           CASE WHEN l_linenumber = 1 THEN 'NEW' ELSE 'OLD' END AS rankOldAndNew,
+           CAST(l_partkey AS VARCHAR) AS movieCd,
+           'movie_' || CAST(l_partkey AS VARCHAR) AS movieNm,
+           strftime(o_orderdate, '%Y-%m-%d') AS openDt,
+           CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS salesAmt,
+           CAST(l_discount * 100 AS VARCHAR) AS salesShare,
+           CAST(CAST(round(l_tax * 10000) AS BIGINT) AS VARCHAR) AS salesInten,
+           CAST(l_tax * 100 AS VARCHAR) AS salesChange,
+           CAST(CAST(round(o_totalprice * 100) AS BIGINT) * 1000 AS VARCHAR) AS salesAcc,
+           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS audiCnt,
+           ' ' || CAST(CAST(l_quantity AS BIGINT) - 25 AS VARCHAR) || ' ' AS audiInten,
+           CAST(l_discount AS VARCHAR) AS audiChange,
+           CAST(CAST(l_quantity AS BIGINT) * 1000 + l_linenumber AS VARCHAR) AS audiAcc,
+           CAST(l_suppkey AS VARCHAR) AS scrnCnt,
+           CAST(l_linenumber * 3 AS VARCHAR) AS showCnt
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
 TAGS = "SELECT p_brand AS movieNm, p_type AS platform, unnest(string_split(p_name, ' ')) AS tag FROM part"
 
 
@@ -247,26 +267,8 @@ GROUP BY movieNm, word""",
     "stopword_antijoin": f"""WITH tx AS ({TX})
 SELECT platform, word, count(*) AS count FROM ({_tokens('tx', 'platform', True)}) GROUP BY platform, word""",
 
-    "cast_boxoffice": """
-WITH raw AS (
-    SELECT CAST(l_linenumber AS VARCHAR) AS rank,
-           CASE WHEN l_linenumber = 7 THEN 'x' ELSE CAST(l_linenumber - 4 AS VARCHAR) END AS rankInten,
-           CASE WHEN l_linenumber = 1 THEN 'NEW' ELSE 'OLD' END AS rankOldAndNew,
-           CAST(l_partkey AS VARCHAR) AS movieCd,
-           'movie_' || CAST(l_partkey AS VARCHAR) AS movieNm,
-           strftime(o_orderdate, '%Y-%m-%d') AS openDt,
-           CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS salesAmt,
-           CAST(l_discount * 100 AS VARCHAR) AS salesShare,
-           CAST(CAST(round(l_tax * 10000) AS BIGINT) AS VARCHAR) AS salesInten,
-           CAST(l_tax * 100 AS VARCHAR) AS salesChange,
-           CAST(CAST(round(o_totalprice * 100) AS BIGINT) * 1000 AS VARCHAR) AS salesAcc,
-           CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS audiCnt,
-           ' ' || CAST(CAST(l_quantity AS BIGINT) - 25 AS VARCHAR) || ' ' AS audiInten,
-           CAST(l_discount AS VARCHAR) AS audiChange,
-           CAST(CAST(l_quantity AS BIGINT) * 1000 + l_linenumber AS VARCHAR) AS audiAcc,
-           CAST(l_suppkey AS VARCHAR) AS scrnCnt,
-           CAST(l_linenumber * 3 AS VARCHAR) AS showCnt
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    "cast_boxoffice": f"""
+{RAW_CHART}
 SELECT TRY_CAST(rank AS INTEGER) AS rank, TRY_CAST(rankInten AS INTEGER) AS rankInten, rankOldAndNew,
        movieCd, movieNm, TRY_CAST(openDt AS DATE) AS openDt, TRY_CAST(salesAmt AS BIGINT) AS salesAmt,
        TRY_CAST(salesShare AS DOUBLE) AS salesShare, TRY_CAST(salesInten AS BIGINT) AS salesInten,
@@ -385,6 +387,13 @@ FROM scored GROUP BY platform""",
 
     "file_ingest": f"WITH tx AS ({TX}) SELECT * FROM tx",
 
+    "api_json_ingest": f"""
+{RAW_CHART}
+SELECT CAST(strptime(openDt, '%Y-%m-%d') AS DATE) AS boxoffice_date, rank, rankInten, rankOldAndNew, movieCd,
+       movieNm, openDt, salesAmt, salesShare, salesInten, salesChange, salesAcc, audiCnt, audiInten,
+       audiChange, audiAcc, scrnCnt, showCnt
+FROM raw""",
+
     "table_sinks": WITH_CLEAN_RT + f"SELECT *, DATE '{q.LOAD_DAY}' AS load_date FROM cleaned",
 
     "stream_daily_counts": f"""WITH rt AS ({rt()})

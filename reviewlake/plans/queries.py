@@ -348,6 +348,23 @@ def file_ingest(spark, d):
     return read_csv(spark, out, strings(*RAW_COLUMNS), glob="*.csv")
 
 
+def api_json_ingest(spark, d):
+    """Chart rows landed as API responses (one response per line, one
+    entry each) and read back through the strict nested reader."""
+    from reviewlake.sources.files import read_boxoffice_json
+    from reviewlake.sources.schemas import BOXOFFICE_FIELDS
+
+    raw = td.raw_chart_strings(spark, d)
+    day = F.regexp_replace("openDt", "-", "")
+    doc = F.to_json(F.struct(F.struct(
+        F.concat(day, F.lit("~"), day).alias("showRange"),
+        F.array(F.struct(*[F.col(c) for c in BOXOFFICE_FIELDS])).alias("dailyBoxOfficeList"),
+    ).alias("boxOfficeResult")))
+    out = _scratch(spark, "api-json")
+    raw.select(doc.alias("value")).write.mode("overwrite").text(out)
+    return read_boxoffice_json(spark, out, multi_line=False)
+
+
 def table_sinks(spark, d):
     """The cleaned reviews appended twice for the same load day to a
     day-partitioned folder; the rerun replaces the day instead of adding."""
@@ -444,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "sentiment_plugin": sentiment_plugin,
     "sentiment_ml": sentiment_ml,
     "file_ingest": file_ingest,
+    "api_json_ingest": api_json_ingest,
     "table_sinks": table_sinks,
     "stream_daily_counts": stream_daily_counts,
     "stream_dedup": stream_dedup,

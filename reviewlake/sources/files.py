@@ -134,12 +134,15 @@ def _show_day(c):
     return F.try_to_date(F.when(F.length(d) == 8, d), "yyyyMMdd")
 
 
-def read_boxoffice_json(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
+def read_boxoffice_json(spark: SparkSession, path: str, *, strict: bool = True,
+                        multi_line: bool = True) -> DataFrame:
     """Landed API responses to chart rows (17 string columns + day).
 
     Strict, as the daily job: a response without the list fails the job.
+    ``multi_line``: one pretty-printed response per file (as landed);
+    false for JSON Lines (one response per line).
     """
-    raw = spark.read.schema(schemas.BOXOFFICE_JSON).option("multiLine", "true").json(path)
+    raw = spark.read.schema(schemas.BOXOFFICE_JSON).option("multiLine", str(multi_line).lower()).json(path)
     lst = F.col("boxOfficeResult.dailyBoxOfficeList")
     if strict:
         lst = F.when(lst.isNull(), F.raise_error(F.lit("response without boxOfficeResult.dailyBoxOfficeList"))
