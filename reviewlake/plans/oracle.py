@@ -394,6 +394,20 @@ SELECT CAST(strptime(openDt, '%Y-%m-%d') AS DATE) AS boxoffice_date, rank, rankI
        audiChange, audiAcc, scrnCnt, showCnt
 FROM raw""",
 
+    "region_json_ingest": """
+SELECT CAST(o.o_orderdate AS DATE) AS boxoffice_date, CAST(n.n_regionkey AS VARCHAR) AS region_code,
+       r.r_name AS region_name, CAST(l.l_linenumber AS VARCHAR) AS rank,
+       CAST(l.l_linenumber - 4 AS VARCHAR) AS rankInten,
+       CASE WHEN l.l_linenumber = 1 THEN 'NEW' ELSE 'OLD' END AS rankOldAndNew,
+       CAST(l.l_partkey AS VARCHAR) AS movieCd, 'movie_' || CAST(l.l_partkey AS VARCHAR) AS movieNm,
+       CAST(CAST(round(l.l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS salesAmt,
+       CAST(CAST(round(o.o_totalprice * 100) AS BIGINT) * 1000 AS VARCHAR) AS salesAcc,
+       CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS audiCnt,
+       CAST(CAST(l.l_quantity AS BIGINT) * 1000 + l.l_linenumber AS VARCHAR) AS audiAcc,
+       CAST(l.l_suppkey AS VARCHAR) AS scrnCnt, CAST(l.l_linenumber * 3 AS VARCHAR) AS showCnt
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
+
     "table_sinks": WITH_CLEAN_RT + f"SELECT *, DATE '{q.LOAD_DAY}' AS load_date FROM cleaned",
 
     "stream_daily_counts": f"""WITH rt AS ({rt()})

@@ -365,6 +365,24 @@ def api_json_ingest(spark, d):
     return read_boxoffice_json(spark, out, multi_line=False)
 
 
+def region_json_ingest(spark, d):
+    """Regional chart rows landed as region-stamped API responses (one
+    per line) and read back through the lenient reader."""
+    from reviewlake.sources.files import read_region_json
+    from reviewlake.sources.schemas import REGION_FIELDS
+
+    raw = td.raw_region_strings(spark, d)
+    entry = F.struct(*[F.col(c) for c in REGION_FIELDS if c not in ("region_code", "region_name")])
+    doc = F.to_json(F.struct(
+        "region_code", "region_name",
+        F.struct(F.struct(F.concat("day", F.lit("~"), "day").alias("showRange"),
+                          F.array(entry).alias("dailyBoxOfficeList")).alias("boxOfficeResult")).alias("data"),
+    ))
+    out = _scratch(spark, "region-json")
+    raw.select(doc.alias("value")).write.mode("overwrite").text(out)
+    return read_region_json(spark, out, multi_line=False)
+
+
 def table_sinks(spark, d):
     """The cleaned reviews appended twice for the same load day to a
     day-partitioned folder; the rerun replaces the day instead of adding."""
@@ -462,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "sentiment_ml": sentiment_ml,
     "file_ingest": file_ingest,
     "api_json_ingest": api_json_ingest,
+    "region_json_ingest": region_json_ingest,
     "table_sinks": table_sinks,
     "stream_daily_counts": stream_daily_counts,
     "stream_dedup": stream_dedup,

@@ -151,10 +151,10 @@ def read_boxoffice_json(spark: SparkSession, path: str, *, strict: bool = True,
                       F.inline(lst)).select("boxoffice_date", *schemas.BOXOFFICE_FIELDS)
 
 
-def read_region_json(spark: SparkSession, path: str) -> DataFrame:
+def read_region_json(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Landed regional responses, lenient: a missing or empty list gives
     no rows; each row is stamped with its region code and name."""
-    raw = spark.read.schema(schemas.REGION_JSON).option("multiLine", "true").json(path)
+    raw = spark.read.schema(schemas.REGION_JSON).option("multiLine", str(multi_line).lower()).json(path)
     return raw.select(
         _show_day(F.col("data.boxOfficeResult.showRange")).alias("boxoffice_date"),
         "region_code", "region_name",

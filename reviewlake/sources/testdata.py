@@ -213,3 +213,33 @@ def search_hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         (F.col("p_size") % 3 == 0).alias("has_image"),
     )
     return films, hits
+
+
+def raw_region_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regional chart rows as landed text: lineitem ⋈ orders ⋈ customer ⋈
+    nation ⋈ region, region code = region key, region name = region name."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice",
+                                                  "l_quantity", "l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+         .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey))
+    s = lambda x: x.cast("string")
+    return j.select(
+        F.date_format("o_orderdate", "yyyyMMdd").alias("day"),
+        s(F.col("n_regionkey")).alias("region_code"),
+        F.col("r_name").alias("region_name"),
+        s(F.col("l_linenumber")).alias("rank"),
+        s(F.col("l_linenumber") - 4).alias("rankInten"),
+        F.when(F.col("l_linenumber") == 1, F.lit("NEW")).otherwise(F.lit("OLD")).alias("rankOldAndNew"),
+        s(F.col("l_partkey")).alias("movieCd"),
+        F.concat(F.lit("movie_"), s(F.col("l_partkey"))).alias("movieNm"),
+        s(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("salesAmt"),
+        s(F.round(F.col("o_totalprice") * 100).cast("bigint") * 1000).alias("salesAcc"),
+        s(F.col("l_quantity").cast("bigint")).alias("audiCnt"),
+        s(F.col("l_quantity").cast("bigint") * 1000 + F.col("l_linenumber")).alias("audiAcc"),
+        s(F.col("l_suppkey")).alias("scrnCnt"),
+        s(F.col("l_linenumber") * 3).alias("showCnt"),
+    )
