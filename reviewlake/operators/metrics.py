@@ -10,9 +10,11 @@ metrics use a not-null filter (F4).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlake.operators.skew import share_of_total
+
 DIGITS = 6
 
 
@@ -142,16 +144,10 @@ def movie_card(df: DataFrame) -> DataFrame:
 
 
 def platform_share(df: DataFrame) -> DataFrame:
-    """Reviews per platform and their share of all reviews.
-
-    The window runs over the aggregated table (one row per platform).
-    """
+    """Reviews per platform and their share of all reviews (the total is
+    a scalar subquery over the aggregated table)."""
     per = df.groupBy("platform").agg(F.count(F.lit(1)).alias("review_count"))
-    total = F.sum("review_count").over(Window.partitionBy())
-    return (
-        per.withColumn("share", F.round(F.col("review_count") / total, DIGITS))
-        .orderBy(F.desc("review_count"), "platform")
-    )
+    return share_of_total(per, "review_count", "share", DIGITS).orderBy(F.desc("review_count"), "platform")
 
 
 def star_distribution(df: DataFrame) -> DataFrame:

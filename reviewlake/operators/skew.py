@@ -63,3 +63,18 @@ def share_of_group(df: DataFrame, group_cols: Sequence[str], value_col: str,
     if digits is not None:
         share = F.round(share, digits)
     return df.join(totals, cond, "inner").withColumn(share_col, share).drop("_total", *keys)
+
+
+def share_of_total(df: DataFrame, value_col: str, share_col: str = "share", digits: int | None = 6) -> DataFrame:
+    """``value / sum(value)`` over the whole table.
+
+    The total is a scalar subquery (a global aggregate: one partial row
+    per map task, then one row), read by the projection: no join, and the
+    table itself is never moved to a single partition. Spark reuses the
+    input's exchange for the subquery.
+    """
+    total = df.agg(F.sum(value_col)).scalar()
+    share = F.col(value_col).cast("double") / total.cast("double")
+    if digits is not None:
+        share = F.round(share, digits)
+    return df.withColumn(share_col, share)

@@ -147,3 +147,12 @@ def test_share_of_group_keeps_null_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 3), ("b", 2)], "g string, v long")
     got = sorted((r.g or "", r.v, r.share) for r in share_of_group(df, ["g"], "v").collect())
     assert got == [("", 1, 0.25), ("", 3, 0.75), ("b", 2, 1.0)]
+
+
+def test_share_of_total_has_no_single_partition_window(spark):
+    from reviewlake.operators.skew import share_of_total
+
+    df = spark.createDataFrame([("a", 1), ("b", 3)], "g string, v long")
+    out = share_of_total(df, "v")
+    assert sorted((r.g, r.share) for r in out.collect()) == [("a", 0.25), ("b", 0.75)]
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
