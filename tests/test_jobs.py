@@ -42,3 +42,26 @@ def test_boxoffice_job(spark, tmp):
     paths = jobs.boxoffice_job(spark, daily, os.path.join(tmp, "out"))
     rows = spark.read.parquet(paths["monthly_sales"]).collect()
     assert [(r.month.isoformat(), r.sales, r.audience) for r in rows] == [("2025-03-01", 3000, 300)]
+
+
+def test_job_cli(spark, tmp, capsys):
+    import json
+    import sys
+
+    from reviewlake.session import SCALE_SETTINGS
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
+    import run_job
+
+    saved = {k: spark.conf.get(k, None) for k in SCALE_SETTINGS}
+    try:
+        daily = fx.write_box_csv(os.path.join(tmp, "land"))
+        run_job.main(["boxoffice", "--out", os.path.join(tmp, "out"), "--daily", daily])
+        paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+        assert spark.read.parquet(paths["monthly_sales"]).count() == 1
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
