@@ -17,7 +17,7 @@ TEXTS = st.lists(st.text(alphabet=CHARS, max_size=40), min_size=1, max_size=25)
 
 
 @pytest.mark.parametrize("charset", sorted(text.CHARSETS))
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(texts=TEXTS)
 def test_fast_equals_single(spark, charset, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
