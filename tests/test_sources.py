@@ -182,6 +182,8 @@ MEGABOX_PAGE = """<html><body><div class="movie-idv-story"><ul>
 
 
 def test_megabox_page_rows(spark):
+    """Fields are read within each review block, so every row has its own
+    reviewer id (SURVEY D26), with C19, C21, F13 and F14 applied."""
     from reviewlake.sources.pages import megabox_review_rows
 
     pages = spark.createDataFrame([(1, "https://www.example.com/movie/1", MEGABOX_PAGE)],
