@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, decontaminate, language_id, secrets, simhash
+from reviewlake.llm import bpe, chat, decontaminate, fingerprints, html_text, language_id, secrets, simhash, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,22 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, byte_bpe(), keep=["doc_id"], with_ids=False)
 
 
+def op2_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and its edited version, and their likeness."""
+    rows = fingerprints.fingerprint_versions(_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+#: The rule set that op3 judges by.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of every document."""
     rows = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -50,6 +66,14 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                        line(F.col("secrets")).alias("spans"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text, learnt from the labelled rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train_toxicity(docs.where("not held_out"), labels)
+    return toxicity.score_toxicity(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every text, learnt from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.held_out(F.col("doc_id")))
@@ -58,12 +82,28 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation with its repaired role and its piece of the rendered conversation."""
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages, keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_paragraph_sketch": op2_paragraph_sketch,
+    "op3_url_rules": op3_url_rules,
     "op4_simhash_groups": op4_simhash_groups,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
+    "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
+    "op9_chat_repair": op9_chat_repair,
+    "op10_main_text": op10_main_text,
 }
 
 
