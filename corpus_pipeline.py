@@ -17,7 +17,7 @@ from reviewlake.llm.queries import byte_bpe
 from reviewlake.session import checkpoint_dir
 
 #: A document stays if the words of one language hold at least this share of its letters.
-MIN_LANGUAGE_SHARE = 0.5
+MIN_LANGUAGE_SHARE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ its worst sentence, calibrated on the training texts.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import combinations
@@ -112,32 +113,34 @@ def read_words(texts: list[str]) -> Words:
     return Words(letters, first[example], size[example], np.searchsorted(begins, at, side="right") - 1, sentence, which)
 
 
-def subsequences(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, bucket, value) of the gapped subsequences of the distinct words; values have norm 1 per word."""
+def _by_pattern(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(word, bucket, weight) of the gapped subsequences of the distinct words, pattern by pattern."""
     n = len(words.first)
     size = words.size + 2
     first = np.concatenate(([0], np.cumsum(size)))
     total = int(first[-1])
     owner = np.repeat(np.arange(n), size)
     place = np.arange(total) - first[owner]
+    left = size[owner] - place
     x = np.zeros(total, np.uint64)
-    inner = (place > 0) & (place < size[owner] - 1)
+    inner = (place > 0) & (left > 1)
     x[inner] = words.letters[words.first[owner[inner]] + place[inner] - 1]
     x[place == 0] = _EDGE_OPEN
-    x[place == size[owner] - 1] = _EDGE_CLOSE
-    left = size[owner] - place
-    who, bucket, value = [], [], []
+    x[left == 1] = _EDGE_CLOSE
     for pattern in _PATTERNS:
         at = np.flatnonzero(left > pattern[-1])
         h = np.zeros(len(at), np.uint64)
         for p in pattern:
             h = (h + x[at + p]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(32)
-        who.append(owner[at])
-        bucket.append((_mix(h) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
-        value.append(np.full(len(at), DECAY ** (pattern[-1] + 1 - ORDER), np.float32))
-    who, bucket, value = np.concatenate(who), np.concatenate(bucket), np.concatenate(value)
-    norm = np.sqrt(np.bincount(who, value * value, minlength=n))
+        yield owner[at], (_mix(h) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), DECAY ** (pattern[-1] + 1 - ORDER)
+
+
+def subsequences(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, bucket, value) of all gapped subsequences; values have norm 1 per word."""
+    parts = [(w, b, np.full(len(w), v, np.float32)) for w, b, v in _by_pattern(words)]
+    who, bucket, value = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    norm = np.sqrt(np.bincount(who, value * value, minlength=len(words.first)))
     return who, bucket, value / np.maximum(norm, 1e-9)[who].astype(np.float32)
 
 
@@ -153,8 +156,12 @@ class ToxicityModel:
 
 def word_values(model: ToxicityModel, words: Words) -> np.ndarray:
     """Value of each distinct word."""
-    who, bucket, value = subsequences(words)
-    return np.bincount(who, model.weights[bucket] * value, minlength=len(words.first)) + model.bias
+    n = len(words.first)
+    sums, norm = np.zeros(n), np.zeros(n)
+    for who, bucket, v in _by_pattern(words):
+        sums += v * np.bincount(who, model.weights[bucket], minlength=n)
+        norm += v * v * np.bincount(who, minlength=n)
+    return sums / np.sqrt(np.maximum(norm, 1e-18)) + model.bias
 
 
 def worst_sentences(model: ToxicityModel, texts: list[str]) -> np.ndarray:
