@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions.casts import to_star
 from reviewlake.functions.dates import parse_review_date
-from reviewlake.functions.text import is_present, strip_ws
+from reviewlake.functions.text import strip_ws
 from reviewlake.operators.skew import keep_first
 
 # Dedup keys: batch rule (default) and daily rule.
@@ -27,26 +27,33 @@ def star_in_range(c="star", lo: float = 0.0, hi: float = 5.0):
     return c.isNull() | c.between(lo, hi)
 
 
-def clean_reviews(raw: DataFrame, keys: Sequence[str] = BATCH_KEYS, min_len: int = 10) -> DataFrame:
+REVIEW_COLUMNS = ("movieNm", "id", "context", "star", "date", "platform", "recommend_tags")
+
+
+def clean_reviews(raw: DataFrame, keys: Sequence[str] = BATCH_KEYS, min_len: int = 10,
+                  columns: Sequence[str] | None = None) -> DataFrame:
     """``reviews_raw`` to ``cleaned_reviews``.
 
     context present and at least ``min_len`` characters after stripping;
     star parsed (bad text such as ``None`` becomes null) and null or
     within 0..5; date parsed from ``yyyy.MM.dd`` or ``yyyy-MM-dd``; then
-    one row per ``keys``, the earliest date winning.
+    one row per ``keys``, the earliest date winning (then star, platform).
+
+    ``columns`` (all by default) are the columns the caller reads. Texts are
+    compared by digest, so without ``context`` among them no text is
+    shuffled; the rows kept are the same.
     """
-    typed = (
-        raw.where(is_present("context"))
-        .select(
-            "movieNm", "id",
-            strip_ws("context").alias("context"),
-            to_star("star").alias("star"),
-            parse_review_date("date").alias("date"),
-            "platform", "recommend_tags",
-        )
-        .where((F.length("context") >= min_len) & star_in_range("star"))
-    )
-    return keep_first(typed, keys, order=["date", "star", "platform"])
+    wanted = [c for c in REVIEW_COLUMNS if columns is None or c in columns]
+    # at least one character is left after stripping iff the text is present (F1), so F2 tests both
+    typed = raw.select(
+        "movieNm", "id", strip_ws("context").alias("context"), to_star("star").alias("star"),
+        parse_review_date("date").alias("date"), "platform", "recommend_tags",
+    ).where((F.length("context") >= max(min_len, 1)) & star_in_range("star"))
+    order = ["date", "star", "platform"]
+    narrow = [k if k != "context" else "_sha_context" for k in keys]
+    hashed = typed.withColumn("_sha_context", F.unhex(F.sha2(F.col("context"), 256)))
+    carried = [c for c in REVIEW_COLUMNS if c in wanted or c in narrow or c in order]
+    return keep_first(hashed.select(*carried, "_sha_context"), narrow, order=order).select(*wanted)
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -107,14 +107,24 @@ def score_lexicon(df: DataFrame, lexicon: Sequence[tuple] = LEXICON_KO, charset:
         "sentiment", value_map("raw_label", LABELS))
 
 
-def score_lexicon_table(df: DataFrame, lexicon: DataFrame, charset: str = "hangul+jamo",
-                        id_col: str = "id") -> DataFrame:
-    """U1(a) for a lexicon table: explode, join, re-aggregate per review."""
-    base = review_inputs(df)
-    words = base.select(id_col, F.explode(split_words(clean_for_tokens("context", charset))).alias("word"))
+def review_key(*cols: str) -> Column:
+    """Digest that identifies a review: by default reviewer, text and film (``id`` alone is the reviewer)."""
+    return F.sha2(F.to_json(F.struct(*(cols or ("id", "context", "movieNm")))), 256)
+
+
+def score_lexicon_table(df: DataFrame, lexicon: DataFrame, charset: str = "hangul+jamo") -> DataFrame:
+    """U1(a) for a lexicon table (word, weight): explode, join, re-aggregate per review.
+
+    Words are counted per review before the join, so a common word reaches
+    the join once per review; scores meet their reviews by ``review_key``.
+    """
+    base = review_inputs(df).withColumn("_review", review_key(*[c for c in ("id", "context", "movieNm") if c in df.columns]))
+    words = (base.select("_review", "context").distinct()
+             .select("_review", F.explode(split_words(clean_for_tokens("context", charset))).alias("word"))
+             .groupBy("_review", "word").agg(F.count(F.lit(1)).alias("_n")))
     lex = lexicon.select("word", F.col("weight").cast("bigint").alias("weight"))
-    scores = words.join(lex, "word", "inner").groupBy(id_col).agg(F.sum("weight").alias("score"))
-    out = base.join(scores, id_col, "left").withColumn("score", F.coalesce("score", F.lit(0).cast("bigint")))
+    scores = words.join(lex, "word", "inner").groupBy("_review").agg(F.sum(F.col("weight") * F.col("_n")).alias("score"))
+    out = base.join(scores, "_review", "left").withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))).drop("_review")
     return out.withColumn("raw_label", label_of("score")).withColumn("sentiment", value_map("raw_label", LABELS))
 
 
@@ -144,17 +154,18 @@ def tag_with_plugin(words: DataFrame, make_tagger: Callable[[], Callable[[pd.Ser
 
 
 def sentiment_words(scored: DataFrame, charset: str = "hangul+jamo",
-                    stopwords: Sequence[str] = STOPWORDS_KO_LONG, pos_lexicon: DataFrame | None = None,
-                    id_col: str = "id") -> DataFrame:
+                    stopwords: Sequence[str] = STOPWORDS_KO_LONG, pos_lexicon: DataFrame | None = None) -> DataFrame:
     """Per review, the count of each word, with film, platform, day and
-    sentiment (the word-cloud feed). One row per review and word."""
-    keep = [id_col, "movieNm", "platform", "date", "sentiment"]
-    words = tokens(scored, "context", charset, stopwords, 2, keep=keep)
+    sentiment (the word-cloud feed). One row per review and word; reviews
+    are told apart by ``review_key``, as one reviewer writes many."""
+    keep = ["_review", "movieNm", "platform", "date", "sentiment"]
+    keyed = scored.withColumn("_review", review_key(*[c for c in ("id", "context", "movieNm") if c in scored.columns]))
+    words = tokens(keyed, "context", charset, stopwords, 2, keep=keep)
     if pos_lexicon is not None:
         words = pos_filter(words, pos_lexicon)
     return (
         words.groupBy(*keep, "word").agg(F.count(F.lit(1)).alias("count"))
-        .drop(id_col)
+        .drop("_review")
     )
 
 
@@ -199,28 +210,52 @@ def sentiment_platform_counts(scored: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- U1(b)
+def _with_tokens(df: DataFrame, text_col: str, charset: str) -> DataFrame:
+    """The T-chain's words of a text as an array, so that the model reads the script that the rules read."""
+    words = F.filter(split_words(clean_for_tokens(text_col, charset)), lambda w: F.length(w) > 0)
+    return df.withColumn("_tokens", words)
+
+
+def fit_naive_bayes(labelled: DataFrame, text_col: str = "context", label_col: str = "label",
+                    charset: str = "hangul+jamo", scale: int = 1_000_000) -> DataFrame:
+    """U1(b), exact form: multinomial naive Bayes as a lexicon table (word, weight).
+
+    The weight of a word is the log ratio of its add-one smoothed shares of
+    the positive and the negative words, in millionths: one count per word
+    and label (pre-aggregated), two totals, no driver work. Score with
+    ``score_lexicon_table``; sums of whole numbers do not depend on order.
+    """
+    words = _with_tokens(labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()), text_col, charset)
+    counts = (words.select(F.explode("_tokens").alias("word"), (F.col(label_col) > 0).alias("_pos")).groupBy("word")
+              .agg(F.count_if("_pos").alias("pos"), F.count_if(~F.col("_pos")).alias("neg")))
+    totals = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("words"))).scalar()
+    ratio = (F.log((F.col("pos") + 1) / (totals["pos"] + totals["words"]).cast("double"))
+             - F.log((F.col("neg") + 1) / (totals["neg"] + totals["words"]).cast("double")))
+    return counts.select("word", F.round(ratio * scale).cast("bigint").alias("weight"))
+
+
 def fit_sentiment_model(labelled: DataFrame, text_col: str = "context", label_col: str = "label",
-                        num_features: int = 1 << 18, max_iter: int = 20):
-    """Train tokenizer -> hashing TF -> IDF -> logistic regression."""
+                        num_features: int = 1 << 18, max_iter: int = 20, charset: str = "hangul+jamo"):
+    """Train T-chain words -> hashing TF -> IDF -> logistic regression."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+    from pyspark.ml.feature import IDF, HashingTF
 
     stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern="\\W+", toLowercase=True),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
         IDF(inputCol="_tf", outputCol="_features"),
         LogisticRegression(featuresCol="_features", labelCol=label_col, maxIter=max_iter,
                            predictionCol="_prediction", probabilityCol="_probability",
                            rawPredictionCol="_raw"),
     ]
-    return Pipeline(stages=stages).fit(labelled.select(text_col, F.col(label_col).cast("double").alias(label_col)))
+    rows = labelled.select(text_col, F.col(label_col).cast("double").alias(label_col))
+    return Pipeline(stages=stages).fit(_with_tokens(rows, text_col, charset))
 
 
-def score_model(df: DataFrame, model) -> DataFrame:
-    """U1(b): label reviews with a fitted pipeline."""
+def score_model(df: DataFrame, model, charset: str = "hangul+jamo") -> DataFrame:
+    """U1(b): label reviews with a pipeline fitted on the same ``charset``."""
     base = review_inputs(df)
-    out = model.transform(base)
+    out = model.transform(_with_tokens(base, "context", charset))
     raw = F.when(F.col("_prediction") > 0.5, F.lit("LABEL_1")).otherwise(F.lit("LABEL_0"))
     return out.select(*base.columns, raw.alias("raw_label")).withColumn(
         "sentiment", value_map("raw_label", LABELS))

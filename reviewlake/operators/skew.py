@@ -22,13 +22,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
+               digest: Sequence[str] = ()) -> DataFrame:
     """One row per ``keys``: the smallest by ``order``, then by every other column.
 
     Ascending, nulls first, like ``row_number() over (partition by keys
     order by ... nulls first) = 1`` but as a map-side-combined aggregate.
+    Key columns named in ``digest`` (long texts) are grouped by their SHA-256
+    instead, on the assumption that different texts differ in it; the text
+    itself then travels once, with the chosen row, and nulls stay one group.
     """
     keys = list(keys)
+    if digest:
+        narrow = {c: f"_sha_{c}" for c in digest}
+        hashed = df.withColumns({h: F.unhex(F.sha2(F.col(c), 256)) for c, h in narrow.items()})
+        return keep_first(hashed, [narrow.get(k, k) for k in keys], order).select(*df.columns)
     rest = [c for c in df.columns if c not in keys]
     ordered = list(order) + [c for c in rest if c not in order]
     packed = F.min(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(ordered)])).alias("_best")

@@ -26,6 +26,7 @@ from reviewlake.operators.incremental import append_new
 from reviewlake.session import checkpoint_dir
 from reviewlake.sources import files as src
 from reviewlake.sources.sinks import append_day, write_parquet
+from reviewlake.streaming.daily import table_or_none
 
 
 def _path(out: str, name: str) -> str:
@@ -85,12 +86,9 @@ def review_daily_job(spark: SparkSession, folders: dict[str, str], out: str, run
     append_day(src.read_all_reviews(spark, folders, day=day), raw_path, day)
     todays = spark.read.parquet(raw_path).where(F.col("load_date") == F.lit(day)).drop("load_date")
     cleaned = clean_reviews(todays, keys)
-    try:
-        earlier = spark.read.parquet(clean_path).where(F.col("load_date") != F.lit(day)).drop("load_date")
-        cleaned = append_new(earlier, cleaned, keys)
-    except Exception as e:  # noqa: BLE001 - first day: no cleaned table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    stored = table_or_none(spark, clean_path)
+    if stored is not None:  # else the first day
+        cleaned = append_new(stored.where(F.col("load_date") != F.lit(day)).drop("load_date"), cleaned, keys)
     # the day's rows depend on the table they are written to: checkpoint them
     # to the shared folder first, so the write no longer reads that table
     checkpoint_dir(spark)

@@ -9,9 +9,11 @@ model).
 
 from __future__ import annotations
 
-from reviewlake.functions.text import STOPWORDS_LATIN
+from reviewlake.functions.text import STOPWORDS_KO, STOPWORDS_LATIN
 from reviewlake.operators.sentiment import LEXICON_LATIN
 from reviewlake.plans import queries as q
+from reviewlake.sources.pages import ENTITIES
+from reviewlake.sources.testdata import HANGUL_LETTERS
 
 # RE2 spellings of the Java classes in functions.text.
 WS = r"[ \t\n\x0B\f\r\x{00a0}\x{3000}]"
@@ -22,6 +24,15 @@ def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 
 
+def strip_tags(x: str) -> str:
+    """Breaks and block ends to line feeds, other tags away, named references decoded, ``&amp;`` last."""
+    brk = "(?i)<(?:br|/p|/div|/li|/tr|/h[1-6])(?:[ \\t\\n\\x0B\\f\\r][^>]*|/)?>"
+    out = f"regexp_replace(regexp_replace({x}, '{brk}', chr(10), 'g'), '<[^>]*>', '', 'g')"
+    for name, char in [*ENTITIES, ("&amp;", "&")]:
+        out = f"replace({out}, {sql_list([name])}, {sql_list([char])})"
+    return strip(out)
+
+
 def parse_date(x: str) -> str:
     s = strip(x)
     return f"CAST(coalesce(try_strptime({s}, '%Y.%m.%d'), try_strptime({s}, '%Y-%m-%d')) AS DATE)"
@@ -101,6 +112,53 @@ words AS (SELECT movieNm, platform, date, sentiment, word, count(*) AS count FRO
           GROUP BY id, movieNm, platform, date, sentiment, word)
 """
 
+# The three drops of the streaming queries: very late and dateless events, and events landed again.
+DROPS = f"""ev2 AS (
+    SELECT * REPLACE (CASE WHEN {q.DATELESS} THEN NULL WHEN {q.LATE} THEN ts - INTERVAL 400 DAY ELSE ts END AS ts) FROM events),
+landed AS (SELECT * FROM ev2 UNION ALL SELECT * FROM ev2 WHERE {q.REPEATED}),
+rt AS ({rt().replace("FROM events", "FROM landed")})"""
+
+HANGUL, HANGUL_JAMO = "\\x{ac00}-\\x{d7a3}", "\\x{3131}-\\x{314e}\\x{ac00}-\\x{d7a3}"
+KO = TX.replace("text AS context", f"translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '{HANGUL_LETTERS}') AS context")
+
+
+def clean_set(x: str, cls: str) -> str:
+    inner = f"regexp_replace(coalesce({x}, ''), '[^{cls} \\t\\n\\x0B\\f\\r\\x{{00a0}}\\x{{3000}}]', '', 'g')"
+    return strip(f"lower({inner})")
+
+
+HANGUL_KEYWORDS = f"""WITH tx AS ({KO}),
+{cleaned_ctes('tx')},
+tok AS (SELECT movieNm, unnest(string_split_regex({clean_set('context', '@SET@')}, '{WS}+')) AS word FROM cleaned)
+SELECT movieNm, word AS keyword, count(*) AS count FROM tok
+WHERE length(word) >= 2 AND word NOT IN ({sql_list(STOPWORDS_KO)}) GROUP BY 1, 2"""
+
+HANGUL_SCORED = f"""WITH tx AS ({KO}),
+{cleaned_ctes('tx')},
+base AS (SELECT movieNm, context, platform, date, id FROM cleaned
+         WHERE movieNm IS NOT NULL AND context IS NOT NULL AND platform IS NOT NULL AND date IS NOT NULL),
+lex(word, weight) AS (VALUES {", ".join(f"('{w}', {wt})" for w, wt in q.LEXICON_HANGUL)}),
+sw AS (SELECT id, unnest(string_split_regex({clean_set('context', HANGUL)}, '{WS}+')) AS w FROM base),
+sc AS (SELECT sw.id, sum(lex.weight) AS s FROM sw JOIN lex ON sw.w = lex.word GROUP BY sw.id),
+scored AS (
+    SELECT b.*, CAST(coalesce(sc.s, 0) AS BIGINT) AS score,
+           CASE WHEN coalesce(sc.s, 0) > 0 THEN 'LABEL_1' ELSE 'LABEL_0' END AS raw_label,
+           CASE WHEN coalesce(sc.s, 0) > 0 THEN 'positive' ELSE 'negative' END AS sentiment
+    FROM base b LEFT JOIN sc ON b.id = sc.id)
+"""
+
+EVENT_SCORED = f"""{WITH_CLEAN_RT.rstrip()},
+base AS (SELECT movieNm, context, platform, date, id FROM cleaned
+         WHERE movieNm IS NOT NULL AND context IS NOT NULL AND platform IS NOT NULL AND date IS NOT NULL),
+lex(word, weight) AS (VALUES {", ".join(f"('{w}', {wt})" for w, wt in q.LEXICON_EVENTS)}),
+sw AS (SELECT id, context, movieNm, unnest(string_split_regex({clean_latin('context')}, '{WS}+')) AS w FROM base),
+sc AS (SELECT sw.id, sw.context, sw.movieNm, sum(lex.weight) AS s FROM sw JOIN lex ON sw.w = lex.word GROUP BY 1, 2, 3),
+scored AS (
+    SELECT b.*, CAST(coalesce(sc.s, 0) AS BIGINT) AS score,
+           CASE WHEN coalesce(sc.s, 0) > 0 THEN 'positive' ELSE 'negative' END AS sentiment
+    FROM base b LEFT JOIN sc ON b.id = sc.id AND b.context = sc.context AND b.movieNm = sc.movieNm)
+"""
+
 BO = """WITH bo AS (
     SELECT CAST(o.o_orderdate AS DATE) AS boxoffice_date, p.p_brand AS movieNm,
            replace(p.p_name, ' ', ', ') AS genreNm,
@@ -410,22 +468,56 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey =
 
     "table_sinks": WITH_CLEAN_RT + f"SELECT *, DATE '{q.LOAD_DAY}' AS load_date FROM cleaned",
 
-    "stream_daily_counts": f"""WITH rt AS ({rt()})
+    "append_day_rerun": WITH_CLEAN_RT + f"""SELECT *, DATE '{q.LOAD_DAY}' AS load_date FROM cleaned WHERE star >= 2
+UNION ALL SELECT *, DATE '{q.NEXT_DAY}' AS load_date FROM cleaned WHERE star < 2""",
+
+    "stream_daily_counts": f"""WITH {DROPS}
 SELECT movieNm, {parse_date('date')} AS review_date, count(*) AS count FROM rt GROUP BY 1, 2""",
 
-    "stream_dedup": f"""WITH rt AS ({rt()})
-SELECT DISTINCT id, context, date FROM rt""",
+    "stream_dedup": f"""WITH {DROPS}
+SELECT DISTINCT id, context, {parse_date('date')} AS review_date FROM rt""",
+
+    "movie_keywords_hangul": HANGUL_KEYWORDS.replace("@SET@", HANGUL),
+
+    "movie_keywords_hangul_jamo": HANGUL_KEYWORDS.replace("@SET@", HANGUL_JAMO),
+
+    "sentiment_table": EVENT_SCORED + "SELECT id, movieNm, platform, date, context, score, sentiment FROM scored",
+
+    "sentiment_words_reviews": EVENT_SCORED.rstrip() + f""",
+tok AS (SELECT id, context, movieNm, platform, date, sentiment,
+               unnest(string_split_regex({clean_latin('context')}, '{WS}+')) AS word FROM scored)
+SELECT movieNm, platform, date, sentiment, word, count(*) AS count FROM tok
+WHERE word <> '' AND regexp_full_match(word, '[{LATIN}]{{2,}}') AND word NOT IN ({STOP})
+GROUP BY id, context, movieNm, platform, date, sentiment, word""",
+
+    "sentiment_lexicon_hangul": HANGUL_SCORED + "SELECT id, movieNm, platform, date, score, raw_label, sentiment FROM scored",
+
+    "sentiment_nb": f"""{WITH_CLEAN_TX.rstrip()},
+base AS (SELECT movieNm, context, platform, date, id FROM cleaned
+         WHERE movieNm IS NOT NULL AND context IS NOT NULL AND platform IS NOT NULL AND date IS NOT NULL),
+lw AS (SELECT quality, unnest(string_split_regex({clean_latin('text')}, '{WS}+')) AS word
+       FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND quality IS NOT NULL),
+cnt AS (SELECT word, count_if(quality > 0) AS pos, count_if(NOT quality > 0) AS neg FROM lw WHERE length(word) > 0 GROUP BY word),
+tot AS (SELECT CAST(sum(pos) AS BIGINT) AS tp, CAST(sum(neg) AS BIGINT) AS tn, count(*) AS v FROM cnt),
+lex AS (SELECT word, CAST(round((ln((pos + 1) / CAST(tp + v AS DOUBLE)) - ln((neg + 1) / CAST(tn + v AS DOUBLE))) * 1000000) AS BIGINT) AS weight
+        FROM cnt, tot),
+sw AS (SELECT id, unnest(string_split_regex({clean_latin('context')}, '{WS}+')) AS w FROM base),
+sc AS (SELECT sw.id, sum(lex.weight) AS s FROM sw JOIN lex ON sw.w = lex.word GROUP BY sw.id)
+SELECT b.id, b.movieNm, b.platform, b.date,
+       CASE WHEN coalesce(sc.s, 0) > 0 THEN 'LABEL_1' ELSE 'LABEL_0' END AS raw_label,
+       CASE WHEN coalesce(sc.s, 0) > 0 THEN 'positive' ELSE 'negative' END AS sentiment
+FROM base b LEFT JOIN sc ON b.id = sc.id""",
 
     "page_extract": f"""
 WITH b AS (
     SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1) AS domain,
-           {strip("regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")} AS title,
+           {strip_tags("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS title,
            string_split_regex(regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1), '<p[^>]*>') AS blocks
     FROM pages),
 x AS (SELECT page_id, domain, title, unnest(generate_series(0, len(blocks) - 1)) AS pos,
              unnest(blocks) AS block FROM b),
 y AS (SELECT page_id, domain, title, CAST(pos AS INTEGER) AS pos,
-             {strip("regexp_replace(block, '<[^>]*>', '', 'g')")} AS context FROM x WHERE pos > 0)
+             {strip_tags("block")} AS context FROM x WHERE pos > 0)
 SELECT page_id, domain, title, pos, context, CAST(length(context) AS INTEGER) AS n_chars
 FROM y WHERE length(context) > 0""",
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions.casts import to_star
 from reviewlake.functions.dates import parse_review_date, relative_to_date_text
 from reviewlake.functions.tags import clean_tags, parse_tags
-from reviewlake.functions.text import STOPWORDS_LATIN
+from reviewlake.functions.text import STOPWORDS_KO, STOPWORDS_LATIN
 from reviewlake.operators import boxoffice as bo
 from reviewlake.operators import incremental as inc
 from reviewlake.operators import keywords as kw
@@ -47,8 +47,12 @@ def _typed_raw(spark, d):
                      parse_review_date("date").alias("date"))
 
 
-def _cleaned_rt(spark, d):
-    return clean_reviews(td.reviews_rt(spark, d))
+#: What the metrics read of a review; the text stays out of their shuffles.
+NARROW = ("movieNm", "id", "star", "date", "platform")
+
+
+def _cleaned_rt(spark, d, columns=NARROW):
+    return clean_reviews(td.reviews_rt(spark, d), columns=columns)
 
 
 def _cleaned_tx(spark, d):
@@ -78,12 +82,12 @@ def unify_platforms(spark, d):
 
 
 def clean_reviews_q(spark, d):
-    return _cleaned_rt(spark, d)
+    return _cleaned_rt(spark, d, None)
 
 
 def dedup_keys(spark, d):
     docs = td.table(spark, d, "documents").select("lang", "text", "doc_id", "source")
-    kept = keep_first(docs, ["lang", "text"], order=["doc_id"])
+    kept = keep_first(docs, ["lang", "text"], order=["doc_id"], digest=["text"])
     return kept.select("lang", "doc_id", "source", F.length("text").alias("n_chars"))
 
 
@@ -146,7 +150,7 @@ def star_distribution(spark, d):
 
 
 def review_texts(spark, d):
-    return m.review_texts(_cleaned_rt(spark, d))
+    return m.review_texts(_cleaned_rt(spark, d, None))
 
 
 def top_movies_report(spark, d):
@@ -178,6 +182,16 @@ def movie_keywords(spark, d):
     return kw.movie_keywords(_cleaned_tx(spark, d), charset="latin", stopwords=STOPWORDS_LATIN)
 
 
+def movie_keywords_hangul(spark, d):
+    """A5 in Hangul (syllables only, the daily rule)."""
+    return kw.movie_keywords(clean_reviews(td.reviews_ko(spark, d)), "hangul", STOPWORDS_KO)
+
+
+def movie_keywords_hangul_jamo(spark, d):
+    """A5 in Hangul (syllables and jamo, the batch rule)."""
+    return kw.movie_keywords(clean_reviews(td.reviews_ko(spark, d)), "hangul+jamo", STOPWORDS_KO)
+
+
 def stopword_antijoin(spark, d):
     words = kw.tokens(td.reviews_tx(spark, d), charset="latin", stopwords=(), keep=("platform",))
     stop = spark.createDataFrame([(w,) for w in STOPWORDS_LATIN], "word string")
@@ -289,6 +303,38 @@ def sentiment_lexicon(spark, d):
     return _scored(spark, d).select("id", "movieNm", "platform", "date", "score", "raw_label", "sentiment")
 
 
+# A lexicon over words that the reviews of repeated reviewers hold, and over Hangul spellings.
+LEXICON_EVENTS = [("click", 1), ("view", 2), ("error", -3), ("purchase", 4), ("k", -1)]
+LEXICON_HANGUL = [("러사마", 1), ("카너", -1), ("가카라", 2), ("하바", -2), ("라마", 3), ("파가", -1)]
+
+
+def sentiment_table(spark, d):
+    """U1(a), lexicon table, over reviews whose reviewers repeat."""
+    lexicon = spark.createDataFrame(LEXICON_EVENTS, "word string, weight int")
+    out = se.score_lexicon_table(_cleaned_rt(spark, d, None), lexicon, "latin")
+    return out.select("id", "movieNm", "platform", "date", "context", "score", "sentiment")
+
+
+def sentiment_words_reviews(spark, d):
+    """A20 over reviews whose reviewers repeat."""
+    lexicon = spark.createDataFrame(LEXICON_EVENTS, "word string, weight int")
+    return se.sentiment_words(se.score_lexicon_table(_cleaned_rt(spark, d, None), lexicon, "latin"), "latin", STOPWORDS_LATIN)
+
+
+def sentiment_lexicon_hangul(spark, d):
+    """U1(a) in Hangul."""
+    out = se.score_lexicon(clean_reviews(td.reviews_ko(spark, d)), LEXICON_HANGUL, "hangul")
+    return out.select("id", "movieNm", "platform", "date", "score", "raw_label", "sentiment")
+
+
+def sentiment_nb(spark, d):
+    """U1(b), exact form: naive Bayes learnt from the labelled documents, scored as a lexicon table."""
+    labelled = (td.table(spark, d, "documents").join(td.table(spark, d, "labels"), "doc_id")
+                .select(F.col("text").alias("context"), F.col("quality").alias("label")))
+    out = se.score_lexicon_table(_cleaned_tx(spark, d), se.fit_naive_bayes(labelled, charset="latin"), "latin")
+    return out.select("id", "movieNm", "platform", "date", "raw_label", "sentiment")
+
+
 def sentiment_words(spark, d):
     return se.sentiment_words(_scored(spark, d), "latin", STOPWORDS_LATIN)
 
@@ -317,13 +363,13 @@ def sentiment_plugin(spark, d):
 def sentiment_ml(spark, d):
     labelled = (td.table(spark, d, "documents").join(td.table(spark, d, "labels"), "doc_id")
                 .select(F.col("text").alias("context"), F.col("quality").alias("label")))
-    model = se.fit_sentiment_model(labelled)
-    return se.score_model(_cleaned_tx(spark, d), model).select("id", "movieNm", "platform", "date", "raw_label",
+    model = se.fit_sentiment_model(labelled, charset="latin")
+    return se.score_model(_cleaned_tx(spark, d), model, "latin").select("id", "movieNm", "platform", "date", "raw_label",
                                                                "sentiment")
 
 
 # ------------------------------------------------------------ files and tables
-LOAD_DAY = "2024-02-01"
+LOAD_DAY, NEXT_DAY, EMPTY_DAY = "2024-02-01", "2024-02-02", "2024-02-03"
 
 
 def _scratch(spark, tag):
@@ -389,33 +435,61 @@ def table_sinks(spark, d):
     from reviewlake.sources.sinks import append_day
 
     out = _scratch(spark, "table-sinks")
-    cleaned = _cleaned_rt(spark, d)
+    cleaned = _cleaned_rt(spark, d, None).persist()
     append_day(cleaned, out, LOAD_DAY)
     append_day(cleaned, out, LOAD_DAY)
+    cleaned.unpersist()
+    return spark.read.parquet(out)
+
+
+def append_day_rerun(spark, d):
+    """A rerun with fewer rows and a rerun with none replace their day; the other days stay."""
+    from reviewlake.sources.sinks import append_day
+
+    out = _scratch(spark, "append-day-rerun")
+    cleaned = _cleaned_rt(spark, d, None).persist()
+    for day, kept in ((LOAD_DAY, "true"), (LOAD_DAY, "star >= 2"), (NEXT_DAY, "star < 2"), (EMPTY_DAY, "star < 2"), (EMPTY_DAY, "false")):
+        append_day(cleaned.where(kept), out, day)
+    cleaned.unpersist()
     return spark.read.parquet(out)
 
 
 # ------------------------------------------------------------ streaming (events)
-def _event_stream(spark, d):
-    from reviewlake.streaming.daily import parquet_stream, with_event_time
+# Fixed parameters of the drops: late by more than a year, dateless, and repeated events.
+LATE, DATELESS, REPEATED = "event_id % 50 = 7", "event_id % 97 = 5", "event_id % 10 = 0"
 
-    schema = td.table(spark, d, "events").schema
-    return with_event_time(td.reviews_from_events(parquet_stream(spark, d, schema, glob="events.parquet")))
 
+def _drops(spark, d):
+    """Three landings of the events as reviews: some very late, some without a day, some landed again."""
+    ev = td.table(spark, d, "events")
+    ts = (F.when(F.expr(DATELESS), F.lit(None).cast("timestamp_ntz"))
+          .when(F.expr(LATE), F.col("ts") - F.expr("interval 400 days")).otherwise(F.col("ts")))
+    ev = ev.withColumn("ts", ts)
+    part = lambda cond: td.reviews_from_events(ev.where(cond)).select("movieNm", "id", "context", "date")
+    return [part("event_id % 3 = 0"), part("event_id % 3 = 1"), part("event_id % 3 = 2").unionByName(part(REPEATED))]
 
-def stream_daily_counts(spark, d):
-    """R1 + R3: reviews per film and day from the event stream."""
-    from reviewlake.streaming.daily import daily_counts_stream, run_to_table
 
-    return run_to_table(spark, daily_counts_stream(_event_stream(spark, d)), "daily-counts", mode="counts")
+def _stream_drops(spark, d, tag, prepare, **how):
+    """Lands the drops one by one and runs the stream after each; returns the table behind the last run."""
+    from reviewlake.streaming.daily import parquet_stream, run_to_table, with_review_day
 
+    land, out, ckpt = (_scratch(spark, f"{tag}-{x}") for x in ("land", "table", "ckpt"))
+    for drop in _drops(spark, d):
+        drop.write.mode("append").parquet(land)
+        stream = prepare(with_review_day(parquet_stream(spark, land, drop.schema)))
+        result = run_to_table(spark, stream, out, ckpt, **how)
+    return result
 
-def stream_dedup(spark, d):
-    """R1 + R2 + R4: distinct review keys from the stream, merged by key."""
-    from reviewlake.streaming.daily import dedup_stream, run_to_table
 
-    s = dedup_stream(_event_stream(spark, d), MERGE_KEYS).select(*MERGE_KEYS)
-    return run_to_table(spark, s, "dedup", mode="upsert", keys=MERGE_KEYS)
+def stream_daily_counts(spark, d):
+    """R1 + R3: reviews per film and day over three landings."""
+    return _stream_drops(spark, d, "daily-counts", lambda s: s, mode="counts")
+
+
+def stream_dedup(spark, d):
+    """R1 + R2 + R4: distinct review keys over three landings, merged by key and day."""
+    return _stream_drops(spark, d, "dedup", lambda s: s.select("id", "context", "review_date"), mode="upsert",
+                         keys=("id", "context", "review_date"), partition_col="review_date")
 
 
 # ------------------------------------------------------------ pages, matching
@@ -453,6 +527,13 @@ QUERIES: dict[str, Query] = {
     "platform_tag_counts": platform_tag_counts,
     "clean_tags": clean_tags_q,
     "movie_keywords": movie_keywords,
+    "movie_keywords_hangul": movie_keywords_hangul,
+    "movie_keywords_hangul_jamo": movie_keywords_hangul_jamo,
+    "sentiment_table": sentiment_table,
+    "sentiment_words_reviews": sentiment_words_reviews,
+    "sentiment_lexicon_hangul": sentiment_lexicon_hangul,
+    "sentiment_nb": sentiment_nb,
+    "append_day_rerun": append_day_rerun,
     "stopword_antijoin": stopword_antijoin,
     "cast_boxoffice": cast_boxoffice,
     "genre_explode": genre_explode,

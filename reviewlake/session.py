@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,11 +63,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster to a shared
-    filesystem). Only when it is unset, as in local tests, a scratch folder
-    is created and registered.
+    filesystem). Only a local session without it, as in tests, gets a scratch
+    folder; elsewhere executors would write to their own disks, so it raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {master} it must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="reviewlake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

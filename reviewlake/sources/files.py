@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewlake.functions.dates import day_from_name
-from reviewlake.functions.files import source_file_name
+from reviewlake.functions.files import decode_name, source_file_name, title_from_file
 from reviewlake.operators.unify import normalize_platform, union_platforms
 from reviewlake.sources import schemas
 
@@ -44,25 +44,31 @@ def _day(d: _dt.date | str) -> str:
 def read_csv(spark: SparkSession, path: str, schema: StructType, *, glob: str | None = None,
              recursive: bool = True, modified_after: str | None = None, modified_before: str | None = None,
              **options) -> DataFrame:
-    """CSV with header, explicit schema, multi-line quoted fields."""
+    """CSV with header, explicit schema, multi-line quoted fields.
+
+    ``modified_after`` is inclusive and ``modified_before`` exclusive, so
+    that every file belongs to exactly one day, also one stamped midnight.
+    """
     r = spark.read.schema(schema).options(**CSV_OPTIONS).option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if modified_after:
-        r = r.option("modifiedAfter", modified_after)
-    if modified_before:
-        r = r.option("modifiedBefore", modified_before)
     for k, v in options.items():
         r = r.option(k, v)
-    return r.csv(path)
+    df = r.csv(path)
+    stamp = F.col("_metadata.file_modification_time")  # prunes files before they are opened
+    if modified_after:
+        df = df.where(stamp >= F.lit(modified_after).cast("timestamp"))
+    if modified_before:
+        df = df.where(stamp < F.lit(modified_before).cast("timestamp"))
+    return df
 
 
 def review_glob(platform: str, day=None, movie: str | None = None) -> str:
     """The file-name glob for one day's and/or one film's files."""
     head = glob_escape(movie) + "_" if movie is not None else ""
     if day is not None:
-        return f"{head}*{_day(day)}_{platform}_reviews.csv" if head else f"*_{_day(day)}_{platform}_reviews.csv"
-    return f"{head}*_{platform}_reviews.csv" if head else f"*_{platform}_reviews.csv"
+        return f"{head}{_day(day)}_{platform}_reviews.csv" if head else f"*_{_day(day)}_{platform}_reviews.csv"
+    return f"{head}*{platform}_reviews.csv" if head else f"*_{platform}_reviews.csv"
 
 
 def read_reviews(spark: SparkSession, path: str, platform: str, *, day=None, movie: str | None = None,
@@ -71,7 +77,10 @@ def read_reviews(spark: SparkSession, path: str, platform: str, *, day=None, mov
     """One platform's landed review files, with the source file name."""
     df = read_csv(spark, path, schemas.REVIEW_SCHEMAS[platform], glob=review_glob(platform, day, movie),
                   recursive=recursive, modified_after=modified_after, modified_before=modified_before)
-    return df.withColumn("file_name", source_file_name())
+    df = df.withColumn("file_name", source_file_name())
+    if movie is not None:  # the glob prunes; "A_*" also names films that begin with "A_"
+        df = df.where(title_from_file("file_name", platform) == decode_name(F.lit(movie)))
+    return df
 
 
 def read_all_reviews(spark: SparkSession, folders: dict[str, str], *, day=None,
@@ -84,7 +93,7 @@ def read_all_reviews(spark: SparkSession, folders: dict[str, str], *, day=None,
     """
     frames = []
     for platform, folder in folders.items():
-        if day is not None and platform == "watcha":
+        if day is not None and platform in schemas.UNDATED_PLATFORMS:
             d = _dt.date.fromisoformat(day) if isinstance(day, str) else day
             nxt = d + _dt.timedelta(days=1)
             raw = read_reviews(spark, folder, platform, modified_after=f"{d.isoformat()}T00:00:00",

@@ -35,14 +35,49 @@ class SiteRule:
 
 DEFAULT_RULE = SiteRule()
 TAG = "<[^>]*>"
+# Ends of blocks and line breaks: the text before and after them is not one word.
+BREAK = "(?i)<(?:br|/p|/div|/li|/tr|/h[1-6])(?:\\s[^>]*|/)?>"
+# The named character references that review pages use (HTML).
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"),
+            ("&copy;", "\u00a9"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014")]
 
 
 def domain_of(url) -> F.Column:
     return F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1)
 
 
+def decode_entities(c) -> F.Column:
+    """Numeric and the common named character references as characters; ``&amp;`` last, so that nothing decodes twice.
+
+    Numeric ones are found per text and replaced piece by piece: the text between references is split off,
+    each reference becomes its character, and the two lists are joined in turn.
+    """
+    for name, char in ENTITIES:
+        c = F.replace(c, F.lit(name), F.lit(char))
+    pattern = "&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+    code = lambda r: F.when(F.lower(F.substring(r, 3, 1)) == "x", F.conv(F.regexp_extract(r, "([0-9a-fA-F]+);", 1), 16, 10)).otherwise(
+        F.regexp_extract(r, "([0-9]+);", 1)).cast("int")
+    # one UTF-8 character from its code point, byte by byte
+    def char_of(n):
+        def byte(x):
+            return F.lpad(F.hex(x.cast("bigint")), 2, "0")
+
+        tail = lambda shift: byte(F.lit(0x80) + F.shiftright(n, shift).bitwiseAND(0x3F))
+        spelled = (F.when(n < 0x80, byte(n)).when(n < 0x800, F.concat(byte(F.lit(0xC0) + F.shiftright(n, 6)), tail(0)))
+                   .when(n < 0x10000, F.concat(byte(F.lit(0xE0) + F.shiftright(n, 12)), tail(6), tail(0)))
+                   .otherwise(F.concat(byte(F.lit(0xF0) + F.shiftright(n, 18)), tail(12), tail(6), tail(0))))
+        valid = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(spelled), "UTF-8")).otherwise(F.lit("\ufffd"))
+
+    found = F.regexp_extract_all(c, F.lit(pattern), 0)
+    chars = F.concat(F.transform(found, lambda r: char_of(code(r))), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(F.split(c, pattern, -1), chars, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.replace(F.when(c.contains("&#"), joined).otherwise(c), F.lit("&amp;"), F.lit("&"))
+
+
 def strip_tags(c) -> F.Column:
-    return strip_ws(F.regexp_replace(c, TAG, ""))
+    """Markup to text: breaks and block ends become line feeds, other tags go, character references are decoded."""
+    return strip_ws(decode_entities(F.regexp_replace(F.regexp_replace(c, BREAK, "\n"), TAG, "")))
 
 
 def _field(block, pattern: str):
@@ -137,7 +172,7 @@ def search_hits(pages: DataFrame, rule: SearchRule = WATCHA_SEARCH_RULE) -> Data
     block = F.col("block")
     return hits.where(F.col("pos") > 0).select(
         "movieNm",
-        (F.col("page_id") * 10000 + F.col("pos")).alias("hit_id"),
+        F.concat_ws("-", "page_id", "pos").alias("hit_id"),
         F.regexp_extract(block, rule.title, 1).alias("title"),
         F.regexp_extract(block, rule.year, 1).alias("open_year"),
         F.col("pos").cast("int").alias("position"),

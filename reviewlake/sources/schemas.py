@@ -58,3 +58,6 @@ REGION_JSON = StructType([
 REGION_CODES_JSON = StructType([
     StructField("codes", ArrayType(strings("fullCd", "korNm")), True),
 ])
+
+# Fixed value: platforms whose review files carry no day in their name (FIXTURES.md §1).
+UNDATED_PLATFORMS = {"watcha"}

@@ -3,8 +3,8 @@
 * ``write_parquet``: overwrite a folder (never the folder being read).
 * ``replace_table``: replace a catalog table (the warehouse "truncate" load).
 * ``append_day``: rerun-safe append: the table is partitioned by load
-  day and written with dynamic partition overwrite, so a rerun replaces
-  its own day instead of adding the rows again.
+  day and the day's partition is overwritten, so a rerun replaces its own
+  day (also with no rows at all) instead of adding the rows again.
 * ``write_csv``: header CSV for hand-off files.
 * ``merge_into_folder``: existing rows plus new rows, deduplicated on keys,
   written to a new folder version (``merge_append`` in ``incremental``).
@@ -12,10 +12,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from reviewlake.operators.incremental import merge_append
 
@@ -34,10 +34,13 @@ def replace_table(df: DataFrame, table: str) -> None:
 
 
 def append_day(df: DataFrame, path: str, load_date, day_col: str = "load_date") -> None:
-    """Idempotent append of one load day to a day-partitioned folder."""
-    out = df.withColumn(day_col, F.lit(load_date).cast("date"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(day_col).parquet(path))
+    """Idempotent append of one load day to a day-partitioned folder.
+
+    The day's own partition folder is overwritten, so a rerun replaces its
+    day also where it has fewer rows or none.
+    """
+    day = str(load_date)[:10]
+    df.drop(day_col).write.mode("overwrite").parquet(os.path.join(path, f"{day_col}={day}"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

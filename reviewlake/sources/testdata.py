@@ -8,32 +8,13 @@ data. The same mappings are written in SQL in ``plans.oracle``.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Tables above this size that arrive as fewer files than cores are spread.
-SPREAD_MIN_BYTES = 1 << 20
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.
-
-    Each test table is one Parquet file with one row group, which Spark
-    reads as a single task, so every per-row step after the scan would run
-    on one core. A table that is larger than ``SPREAD_MIN_BYTES`` and comes
-    as fewer files than the session has cores is spread round-robin over
-    the cores first (one small shuffle). Partitioned data with many files,
-    as on a cluster, is read as it is.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    local = path.removeprefix("file:")
-    if os.path.isfile(local) and os.path.getsize(local) > SPREAD_MIN_BYTES and cores > 1:
-        df = df.repartition(cores)
-    return df
+    """One driver table, read as it lies."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def reviews_from_events(events: DataFrame) -> DataFrame:
@@ -84,6 +65,17 @@ def reviews_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One Hangul syllable for each latin letter, in alphabetical order.
+HANGUL_LETTERS = "가나다라마바사아자차카타파하거너더러머버서어저처커터"
+
+
+def reviews_ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reviews_tx`` written in Hangul: each letter a-z becomes a syllable; accented letters stay latin and
+    are what the Hangul charset filter removes."""
+    return reviews_tx(spark, sf_dir).withColumn(
+        "context", F.translate(F.lower("context"), "abcdefghijklmnopqrstuvwxyz", HANGUL_LETTERS))
+
+
 def tag_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tags``: one review per part: film = brand, platform = type, tags =
     the words of the part name as a Python list literal."""

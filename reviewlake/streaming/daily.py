@@ -6,26 +6,29 @@ same increments are streaming queries over the landing folder, run with
 arrived since the last one (the checkpoint records them) and stops.
 
 * R1 ``review_file_stream``: new review files as a stream.
-* R2 ``dedup_stream``: duplicates dropped across runs within a watermark.
-* R3 ``daily_counts_stream``: reviews per film and day, kept up to date;
-  ``counts_to_table`` keeps the state bounded (update mode, watermark) and
-  merges each batch into a day-partitioned table.
-* R4 ``upsert_batches``: each micro-batch merged into a Parquet table by
-  key; a retried batch finds its rows already there, so it adds nothing.
-
-Checkpoints and outputs live under the session's ``spark.checkpoint.dir``
-(a shared folder on a cluster).
+* R2 + R4 ``upsert_batches``: each micro-batch merged into a Parquet table by
+  key. A key stored by any earlier run is a duplicate, however old its day:
+  a newly charted film brings its whole back catalogue, so nothing may
+  depend on a watermark. A retried batch finds its rows already there.
+* R3 ``counts_to_table`` / ``read_counts``: reviews per film and day. Each
+  micro-batch writes its own counts under its own name and a read sums them,
+  so late and dateless reviews count like any other, a retried batch
+  replaces itself, and no stored row is read back or rewritten.
+
+The streams hold no state between batches. Checkpoints and outputs live
+under the session's ``spark.checkpoint.dir`` (a shared folder on a cluster).
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewlake.functions.dates import parse_review_date
@@ -53,92 +56,67 @@ def parquet_stream(spark: SparkSession, folder: str, schema, glob: str | None =
     return r.parquet(folder)
 
 
-def with_event_time(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Event time for watermarks: the review day as a timestamp. Rows
-    without a readable day cannot carry a watermark and go through R4."""
-    return df.withColumn("event_ts", parse_review_date(date_col).cast("timestamp"))
-
-
-def dedup_stream(df: DataFrame, keys: Sequence[str], delay: str = "30 days") -> DataFrame:
-    """R2: drop a row when an equal-key row was seen within ``delay`` of event time."""
-    return df.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(list(keys))
-
-
-def daily_counts_stream(df: DataFrame, delay: str = "30 days") -> DataFrame:
-    """Reviews per film and day.
-
-    ``event_ts`` is the review day's midnight, so it is itself the day key:
-    grouping on it gives the same day in any session time zone (a one-day
-    ``window`` would align to UTC midnight), and as the watermarked column
-    it lets Spark drop a day's state once the watermark passes it.
-    """
-    return (
-        df.withWatermark("event_ts", delay)
-        .groupBy("event_ts", "movieNm")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select("movieNm", F.col("event_ts").cast("date").alias("review_date"), "count")
-    )
+def with_review_day(df: DataFrame, date_col: str = "date") -> DataFrame:
+    """The review day as a date, ``review_date``; null where it cannot be read."""
+    return df.withColumn("review_date", parse_review_date(date_col))
 
 
 def _new_dir(spark: SparkSession, tag: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def snapshot_to_parquet(df: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
-    """Run an aggregating stream to completion, rewriting the full result
-    table at ``out_path`` after each micro-batch (complete mode)."""
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
-
-    return (df.writeStream.outputMode("complete").foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
+def table_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where there is no such folder yet; other errors are raised."""
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
-MAX_PRUNED_VALUES = 1000
 
+def touched(stored: DataFrame, fresh: DataFrame, col: str) -> DataFrame:
+    """The partitions of ``stored`` whose ``col`` occurs in ``fresh``.
 
-def _touched(fresh: DataFrame, col: str):
-    """Partition filter for the values of ``col`` present in ``fresh``."""
-    vals = [r[0] for r in fresh.select(col).distinct().limit(MAX_PRUNED_VALUES + 1).collect()]
-    if len(vals) > MAX_PRUNED_VALUES:
-        return F.lit(True)
-    present = [v for v in vals if v is not None]
-    cond = F.col(col).isin(present) if present else F.lit(False)
-    return cond | F.col(col).isNull() if None in vals else cond
+    A join on the partition column: Spark prunes the scan by it at run time
+    whatever the number of values. The null partition always stays.
+    """
+    values = fresh.select(col).where(F.col(col).isNotNull()).distinct()
+    return stored.join(values, col, "left_semi").unionByName(stored.where(F.col(col).isNull()))
 
 
 def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint: str,
                    partition_col: str | None = None) -> StreamingQuery:
-    """Append each micro-batch's rows whose keys the table lacks.
+    """R2 + R4: append each micro-batch's rows whose keys the table lacks.
 
     Null keys compare equal. Rerunning a batch (after a lost executor or a
     restart) appends nothing twice. With ``partition_col`` (one of the
     keys, e.g. the review day) the table is partitioned by it and a batch
-    reads back only the partitions it touches: the batch's distinct
-    partition values (a handful of days, at most ``MAX_PRUNED_VALUES``)
-    become a partition filter on the scan, so the cost per batch follows
-    the batch, not the table. A batch spanning more values reads all keys.
+    reads back only the partitions it touches, so the cost per batch
+    follows the batch, not the table. Rows are clustered by the partition
+    column before the write, so a day gets few files.
     """
     keys = list(keys)
     if partition_col is not None and partition_col not in keys:
         raise ValueError("partition_col must be one of the keys")
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        fresh = keep_first(batch, keys)  # repeatable choice if the batch is retried
+        fresh = keep_first(batch, keys).persist()  # repeatable choice if the batch is retried
         try:
-            existing = batch.sparkSession.read.schema(fresh.schema).parquet(out_path)
-        except AnalysisException:  # first batch: no table yet
-            existing = None
-        if existing is not None:
+            new = fresh
+            existing = table_or_none(batch.sparkSession, out_path, fresh.schema)
+            if existing is not None:
+                if partition_col is not None:
+                    existing = touched(existing, fresh, partition_col)
+                existing = existing.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+                cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+                new = fresh.join(existing, cond, "left_anti")
             if partition_col is not None:
-                existing = existing.where(_touched(fresh, partition_col))
-            existing = existing.select(*keys)
-            cond = [fresh[k].eqNullSafe(existing[k]) for k in keys]
-            fresh = fresh.join(existing, cond, "left_anti")
-        w = fresh.write.mode("append")
-        if partition_col is not None:
-            w = w.partitionBy(partition_col)
-        w.parquet(out_path)
+                new.repartition(partition_col).write.mode("append").partitionBy(partition_col).parquet(out_path)
+            else:
+                new.write.mode("append").parquet(out_path)
+        finally:
+            fresh.unpersist()
 
     return (df.writeStream.outputMode("append").foreachBatch(merge)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -146,45 +124,40 @@ def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint
 
 def counts_to_table(df: DataFrame, out_path: str, checkpoint: str, keys: Sequence[str] = ("movieNm",),
                     day_col: str = "review_date") -> StreamingQuery:
-    """R3 sink with bounded state: update mode under the watermark, so a
-    window's state is dropped once the watermark passes it, and each
-    micro-batch's updated counts replace the matching rows of a
-    day-partitioned table.
-
-    Only the days a batch touches are read back and rewritten (dynamic
-    partition overwrite). The merged rows are checkpointed to the shared
-    checkpoint folder first, which cuts their lineage from the table they
-    overwrite.
+    """R3 sink: the counts of each micro-batch's reviews, in a folder named after the batch.
+
+    The name holds the checkpoint and the batch number, so a retried batch
+    overwrites its own counts and nothing else. ``read_counts`` sums them.
     """
     keys = [*keys, day_col]
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
-    def merge(batch: DataFrame, _epoch: int) -> None:
-        spark = batch.sparkSession
-        try:
-            existing = spark.read.schema(batch.schema).parquet(out_path).where(_touched(batch, day_col))
-        except AnalysisException:  # first batch: no table yet
-            existing = None
-        merged = batch
-        if existing is not None:
-            merged = existing.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-        checkpoint_dir(spark)
-        (merged.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(day_col).parquet(out_path))
-
-    return (df.writeStream.outputMode("update").foreachBatch(merge)
+    def write(batch: DataFrame, epoch: int) -> None:
+        counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+        counts.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={run}-{epoch}"))
+
+    return (df.writeStream.outputMode("append").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def run_to_table(spark: SparkSession, df: DataFrame, tag: str, mode: str = "snapshot",
+def read_counts(spark: SparkSession, path: str, keys: Sequence[str] = ("movieNm",),
+                day_col: str = "review_date") -> DataFrame:
+    """Reviews per film and day over all batches so far (a null day is a day of its own)."""
+    return (spark.read.parquet(path).groupBy(*keys, day_col)
+            .agg(F.sum("count").cast("bigint").alias("count")))
+
+
+def compact_counts(spark: SparkSession, path: str, out_path: str, keys: Sequence[str] = ("movieNm",),
+                   day_col: str = "review_date") -> None:
+    """The summed counts as one batch in a new folder, for a table that has gathered many batches."""
+    read_counts(spark, path, keys, day_col).write.mode("overwrite").parquet(os.path.join(out_path, "batch=compacted"))
+
+
+def run_to_table(spark: SparkSession, df: DataFrame, out: str, checkpoint: str, mode: str = "counts",
                  keys: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Run a stream until the available input is consumed; read the result."""
-    out = _new_dir(spark, tag)
-    ckpt = _new_dir(spark, tag + "-ckpt")
-    if mode == "snapshot":
-        q = snapshot_to_parquet(df, out, ckpt)
-    elif mode == "counts":
-        q = counts_to_table(df, out, ckpt, keys or ("movieNm",))
-    else:
-        q = upsert_batches(df, out, keys, ckpt, partition_col)
-    q.awaitTermination()
+    if mode == "counts":
+        counts_to_table(df, out, checkpoint, keys or ("movieNm",)).awaitTermination()
+        return read_counts(spark, out, keys or ("movieNm",))
+    upsert_batches(df, out, keys, checkpoint, partition_col).awaitTermination()
     return spark.read.parquet(out)

@@ -148,12 +148,50 @@ def test_pace_days_active_at_least_one(spark):
     assert (r.days_active, r.avg_reviews_per_day) == (1, 1.0)
 
 
-@pytest.mark.parametrize("delay", ["1 day", "30 days"])
-def test_r2_watermark_delay_is_a_parameter(spark, delay):
-    from reviewlake.streaming.daily import dedup_stream
-
-    df = spark.createDataFrame([("1", dt.datetime(2025, 3, 19))], "id string, event_ts timestamp")
-    assert dedup_stream(df, ["id"], delay).columns == ["id", "event_ts"]
+def test_reviews_of_one_reviewer_stay_apart(spark):
+    """A reviewer's id is no review key: scores and word counts are per review."""
+    df = raw(spark, [("A", "u1", "최고 최고 감동 입니다 정말로", None, "2025.03.18", "p", None),
+                     ("A", "u1", "지루 최악 실망 이었습니다 정말", None, "2025.03.18", "p", None),
+                     ("A", "u1", "최고 연기 였다고 생각합니다", None, "2025.03.18", "p", None)])
+    cleaned = clean_reviews(df)
+    literal = {r.context: r.score for r in se.score_lexicon(cleaned).collect()}
+    lexicon = spark.createDataFrame([(w, x) for w, x, _ in se.LEXICON_KO], "word string, weight int")
+    table = se.score_lexicon_table(cleaned, lexicon)
+    assert {r.context: r.score for r in table.collect()} == literal
+    assert sorted(literal.values()) == [-6, 3, 6]
+    words = se.sentiment_words(table)
+    assert sorted(r["count"] for r in words.where("word = '최고'").collect()) == [1, 2]
+
+
+def test_trained_models_read_hangul(spark):
+    rows = [("최고 감동 영화 추천", 1), ("감동 최고 연기 추천", 1), ("최악 지루 영화 실망", 0), ("지루 실망 최악 별로", 0)]
+    labelled = spark.createDataFrame(rows, "context string, label int")
+    df = spark.createDataFrame([("A", "u1", "감동 최고 였어요 추천", "p", dt.date(2025, 3, 18)), ("A", "u2", "최악 실망 지루 했어요", "p", dt.date(2025, 3, 18))],
+                               "movieNm string, id string, context string, platform string, date date")
+    want = {"u1": "positive", "u2": "negative"}
+    assert {r.id: r.sentiment for r in se.score_model(df, se.fit_sentiment_model(labelled)).collect()} == want
+    assert {r.id: r.sentiment for r in se.score_lexicon_table(df, se.fit_naive_bayes(labelled)).collect()} == want
+
+
+def test_checkpoint_dir_must_be_shared_off_local_mode():
+    from types import SimpleNamespace
+
+    from reviewlake.session import checkpoint_dir
+
+    away = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(away)
+
+
+def test_narrow_clean_keeps_the_same_rows(spark):
+    rows = [("m", "1", "같은 리뷰 텍스트입니다", "4", "2025.03.19", "p", "a"), ("m", "1", "같은 리뷰 텍스트입니다", "3", "2025.03.18", "q", "b"),
+            ("m", None, "같은 리뷰 텍스트입니다", None, None, "q", "b"), ("m", None, "같은 리뷰 텍스트입니다", None, None, "p", None),
+            ("n", "1", "다른 리뷰 텍스트입니다", "5", "2025.03.18", "p", None)]
+    cols = ["movieNm", "id", "star", "date", "platform"]
+    whole = sorted(map(str, clean_reviews(raw(spark, rows)).select(*cols).collect()))
+    narrow = clean_reviews(raw(spark, rows), columns=cols)
+    assert sorted(map(str, narrow.select(*cols).collect())) == whole and len(whole) == 3
+    assert narrow.columns == cols
 
 
 def test_f7_any_null_rows_dropped_before_scoring(spark):

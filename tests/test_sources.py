@@ -214,3 +214,32 @@ def test_search_pages_to_matches(spark):
                                   "movieNm string, open_year string")
     got = {r.movieNm: (r.position, r.match) for r in candidate_match(films, search_hits(pages)).collect()}
     assert got == {"파묘": (2, "exact"), "Dune Part Two": (2, "image"), "None Found": (None, None)}
+
+
+def test_append_day_rerun_without_rows_clears_the_day(spark, tmp):
+    out = os.path.join(tmp, "table")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
+    sinks.append_day(df, out, "2025-03-19")
+    sinks.append_day(df, out, dt.date(2025, 3, 20))
+    sinks.append_day(df.where("id > 5"), out, "2025-03-19")
+    assert sorted((r.id, str(r.load_date)) for r in spark.read.parquet(out).collect()) == [(1, "2025-03-20"), (2, "2025-03-20")]
+
+
+def test_s9_one_film_of_dated_and_undated_files(spark, tmp):
+    header = ["id", "context", "star", "review_date", "recommend_tags"]
+    for film in ("A", "A_B"):
+        fx.write_csv(os.path.join(tmp, "megabox_reviews", f"{film}_20250311_megabox_reviews.csv"), header, [[film, "리뷰", "4", "2025.03.11", "[]"]])
+        fx.write_csv(os.path.join(tmp, "watcha_reviews", f"{film}_watcha_reviews.csv"), ["id", "star", "context"], [[film, "4", "리뷰"]])
+    for platform in ("megabox", "watcha"):
+        rows = src.read_reviews(spark, os.path.join(tmp, f"{platform}_reviews"), platform, movie="A")
+        assert [r.id for r in rows.collect()] == ["A"]
+    dated = src.read_reviews(spark, os.path.join(tmp, "megabox_reviews"), "megabox", movie="A", day="2025-03-11")
+    assert [r.id for r in dated.collect()] == ["A"]
+
+
+def test_page_text_breaks_and_references(spark):
+    from reviewlake.sources.pages import strip_tags
+
+    df = spark.createDataFrame([("좋아요<br>최고 &amp; 감동 &#39;굿&#39; &#xAC00;&lt;b&gt; &amp;lt;<p>둘</p>셋<br/>넷",), ("&#0; &#x110000; &#128512;",), (None,)], "h string")
+    got = [r[0] for r in df.select(strip_tags(F.col("h"))).collect()]
+    assert got == ["좋아요\n최고 & 감동 '굿' 가<b> &lt;둘\n셋\n넷", "\ufffd \ufffd 😀", None]
