@@ -47,6 +47,8 @@ OUTER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|logo)(?:$|[\s_-])", r
 CONTAINERS = set("div section ul ol dl table header center figure details fieldset tr li dd dt".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
+#: A last tag that is cut off, perhaps inside a quoted value.
+_OPEN_TAG = re.compile(r"</?[a-zA-Z][^>]*\Z")
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s\"'/>]|\Z)", re.I)
 
 
@@ -77,8 +79,9 @@ def parse(page: str) -> _Node:
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
-            if at < n:
-                node.parts.append(page[at:])
+            rest = page[at:]
+            cut_tag = _OPEN_TAG.search(rest)
+            node.parts.append(rest[:cut_tag.start()] if cut_tag else rest)
             break
         if m.start() > at:
             node.parts.append(page[at:m.start()])
