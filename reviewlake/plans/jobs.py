@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.functions.dates import yesterday
 from reviewlake.functions.text import STOPWORDS_KO, STOPWORDS_KO_LONG
 from reviewlake.operators import boxoffice as bo
 from reviewlake.operators import keywords as kw
@@ -26,6 +27,7 @@ from reviewlake.operators.incremental import append_new
 from reviewlake.session import checkpoint_dir
 from reviewlake.sources import files as src
 from reviewlake.sources.sinks import append_day, write_parquet
+from reviewlake.sources.tables import read_table
 from reviewlake.streaming.daily import table_or_none
 
 
@@ -65,12 +67,19 @@ def review_batch_job(spark: SparkSession, folders: dict[str, str], out: str, *,
         "megabox_keywords": kw.platform_tag_counts(cleaned, tag_platform),
         "movie_keywords": kw.movie_keywords(cleaned, charset, stopwords),
         "review_sentiment": se.score_lexicon(cleaned, lexicon, charset),
+        "movie_counts": m.movie_counts(cleaned),
+        "review_texts": m.review_texts(cleaned),
+        "movie_card": m.movie_card(cleaned),
+        "star_distribution": m.star_distribution(cleaned),
+        "platform_share": m.platform_share(cleaned),
     })
     scored = spark.read.parquet(paths["review_sentiment"])
     paths |= _write_all(spark, out, {
         "review_sentiment_wordcloud": se.sentiment_words(scored, charset, STOPWORDS_KO_LONG),
         "sentiment_by_platform": se.sentiment_by_platform(scored),
         "sentiment_by_day": se.sentiment_by_day(scored),
+        "sentiment_top10": se.sentiment_top10(scored, 10, charset, STOPWORDS_KO_LONG),
+        "sentiment_platform_counts": se.sentiment_platform_counts(scored),
     })
     return paths
 
@@ -116,3 +125,46 @@ def boxoffice_job(spark: SparkSession, daily_folder: str, out: str, *, region_fo
         paths |= _write_all(spark, out, {"region_audience": bo.region_audience(regional),
                                          "region_top10": bo.region_top10(regional)})
     return paths
+
+
+def _day(run_date: _dt.date | str) -> _dt.date:
+    return _dt.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
+
+
+def review_analysis_daily_job(spark: SparkSession, cleaned: str, out: str, run_date: _dt.date | str, *, charset: str = "hangul",
+                              stopwords: Sequence[str] = STOPWORDS_KO, lexicon: Sequence[tuple] = se.LEXICON_KO,
+                              tag_platform: str = "megabox") -> dict[str, str]:
+    """The daily analysis of the reviews dated the day before ``run_date``: keywords, one platform's tags, sentiment.
+
+    The cleaned table is read by day bound (S11). Each derived table is
+    partitioned by that day and the day's partition is replaced, so a rerun
+    changes nothing and the days together are the batch tables.
+    """
+    day = yesterday(run_date)
+    rows = read_table(spark, cleaned, since=day, until=day + _dt.timedelta(days=1))
+    tables = {
+        "daily_keywords": kw.movie_keywords(rows, charset, stopwords),
+        "daily_tags": kw.platform_tag_counts(rows, tag_platform),
+        "daily_sentiment": se.score_lexicon(rows, lexicon, charset),
+    }
+    for name, df in tables.items():
+        append_day(df, _path(out, name), day, "review_date")
+    return {name: _path(out, name) for name in tables}
+
+
+def boxoffice_daily_job(spark: SparkSession, out: str, run_date: _dt.date | str, daily_json: str, *,
+                        region_json: str | None = None, region_codes: DataFrame | None = None) -> dict[str, str]:
+    """The daily charts from landed API responses: typed daily rows, their genre rows, and regional rows with
+    the region's name (J1 where the responses carry codes only). Every table replaces the chart day's partition."""
+    day = _day(run_date)
+    chart_day = F.col("boxoffice_date") == F.lit(day)
+    daily = bo.cast_boxoffice(src.read_boxoffice_json(spark, daily_json)).where(chart_day)
+    tables = {"boxoffice": daily}
+    if "genreNm" in daily.columns:
+        tables["analysis_genre"] = bo.genre_explode(daily)
+    if region_json is not None:
+        regional = bo.cast_region_boxoffice(src.read_region_json(spark, region_json)).where(chart_day)
+        tables["region_boxoffice"] = regional if region_codes is None else bo.region_attach(regional.drop("region_name"), region_codes)
+    for name, df in tables.items():
+        append_day(df.drop("boxoffice_date"), _path(out, name), day, "boxoffice_date")
+    return {name: _path(out, name) for name in tables}

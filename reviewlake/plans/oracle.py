@@ -477,6 +477,48 @@ SELECT movieNm, {parse_date('date')} AS review_date, count(*) AS count FROM rt G
     "stream_dedup": f"""WITH {DROPS}
 SELECT DISTINCT id, context, {parse_date('date')} AS review_date FROM rt""",
 
+    "daily_keywords": f"""{WITH_CLEAN_TX.rstrip()},
+tok AS ({_tokens('(SELECT movieNm, date, context FROM cleaned)', 'movieNm, date', True)})
+SELECT movieNm, word AS keyword, count(*) AS count, date AS review_date FROM tok
+WHERE date IN (DATE '2024-01-05', DATE '2024-01-06') GROUP BY movieNm, word, date""",
+
+    "file_titles": """
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Film ' || source || ' [IMAX]' WHEN 1 THEN 'Film ' || source || '+1'
+       WHEN 2 THEN 'Film ' || source || ' 100%' ELSE 'Film ' || source || '_2' END AS title,
+       CASE WHEN doc_id % 3 > 0 THEN DATE '2024-01-15' END AS day FROM documents""",
+
+    "expert_reviews": """
+SELECT source AS movieNm, CAST(doc_id AS VARCHAR) AS id, md5(text) AS context,
+       CASE WHEN doc_id % 7 <> 0 THEN CAST((doc_id % 11) / CAST(2 AS DOUBLE) AS VARCHAR) END AS star,
+       CAST(NULL AS VARCHAR) AS date, 'cine' AS platform, CAST(NULL AS VARCHAR) AS recommend_tags
+FROM documents WHERE doc_id % 5 = 0""",
+
+    "pos_words": f"""{WITH_CLEAN_TX.rstrip()},
+tok AS ({_tokens('cleaned', 'movieNm', False)})
+SELECT movieNm, word, count(*) AS count FROM tok
+WHERE word IN ({sql_list([w for w, _, p in LEXICON_LATIN if p in ("Noun", "Verb")])}) GROUP BY 1, 2""",
+
+    "chart_union": BO + f"""
+SELECT {strip('movieNm')} AS movieNm, CAST(openDt AS VARCHAR) AS openDt FROM bo
+UNION SELECT {strip('movieNm')}, CAST(CAST(openDt + CAST(audiCnt % 3 AS INTEGER) AS DATE) AS VARCHAR) FROM bo WHERE audiCnt >= 25""",
+
+    "csv_table": "SELECT p_partkey, p_name, p_brand, p_size FROM part",
+
+    "region_cast": """
+SELECT strftime(o.o_orderdate, '%Y%m%d') AS day, CAST(n.n_regionkey AS VARCHAR) AS region_code,
+       r.r_name AS region_name, CAST(l.l_linenumber AS INTEGER) AS rank, CAST(l.l_linenumber - 4 AS INTEGER) AS rankInten,
+       CASE WHEN l.l_linenumber = 1 THEN 'NEW' ELSE 'OLD' END AS rankOldAndNew,
+       CAST(l.l_partkey AS VARCHAR) AS movieCd, 'movie_' || CAST(l.l_partkey AS VARCHAR) AS movieNm,
+       CAST(round(l.l_extendedprice * 100) AS BIGINT) AS salesAmt,
+       CAST(round(o.o_totalprice * 100) AS BIGINT) * 1000 AS salesAcc,
+       CAST(l.l_quantity AS INTEGER) AS audiCnt, CAST(l.l_quantity AS BIGINT) * 1000 + l.l_linenumber AS audiAcc,
+       CAST(l.l_suppkey AS INTEGER) AS scrnCnt, CAST(l.l_linenumber * 3 AS INTEGER) AS showCnt
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
+
+    "date_parts": """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS first, CAST(year(ts) AS INTEGER) AS year, CAST(ts AS DATE) AS day FROM events""",
+
     "movie_keywords_hangul": HANGUL_KEYWORDS.replace("@SET@", HANGUL),
 
     "movie_keywords_hangul_jamo": HANGUL_KEYWORDS.replace("@SET@", HANGUL_JAMO),

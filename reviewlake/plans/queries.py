@@ -454,6 +454,78 @@ def append_day_rerun(spark, d):
     return spark.read.parquet(out)
 
 
+def daily_keywords(spark, d):
+    """C20 + S11 + A5 + S19: the daily keyword job over two days, the second of them run twice."""
+    from reviewlake.plans.jobs import review_analysis_daily_job
+
+    cleaned, out = _scratch(spark, "daily-cleaned"), _scratch(spark, "daily-keywords")
+    _cleaned_tx(spark, d).write.parquet(cleaned)
+    for run_date in ("2024-01-06", "2024-01-07", "2024-01-07"):
+        paths = review_analysis_daily_job(spark, cleaned, out, run_date, charset="latin", stopwords=STOPWORDS_LATIN,
+                                          lexicon=se.LEXICON_LATIN, tag_platform="en")
+    return spark.read.parquet(paths["daily_keywords"])
+
+
+def file_titles(spark, d):
+    """C1 + C2 + C3: titles and days from review file names, dated and not, with escapes, brackets and a lone percent sign."""
+    from reviewlake.functions.files import day_in_review_file, title_from_file
+
+    k = F.col("doc_id") % 4
+    tail = F.when(k == 0, "%20%5BIMAX%5D").when(k == 1, "+1").when(k == 2, " 100%").otherwise("_2")
+    name = F.concat(F.lit("Film "), "source", tail, F.when(F.col("doc_id") % 3 > 0, "_20240115").otherwise(""), F.lit("_megabox_reviews.csv"))
+    docs = td.table(spark, d, "documents").select("doc_id", name.alias("name"))
+    return docs.select("doc_id", title_from_file("name", "megabox").alias("title"), day_in_review_file("name", "megabox").alias("day"))
+
+
+def expert_reviews(spark, d):
+    """F17 + C21: one kind of reviewer only, ten-point stars halved."""
+    doc = td.table(spark, d, "documents").select(
+        F.when(F.col("doc_id") % 5 == 0, F.lit("expert")).otherwise(F.lit("netizen")).alias("who"),
+        F.col("doc_id").cast("string").alias("name"), F.md5("text").alias("context"), F.col("source").alias("title"),
+        F.when(F.col("doc_id") % 7 == 0, F.lit("none yet")).otherwise((F.col("doc_id") % 11).cast("string")).alias("star"))
+    return normalize_platform(doc, "cine", title_col="title", who="expert", star_divisor=2)
+
+
+def pos_words(spark, d):
+    """F16: words of allowed parts of speech per film."""
+    words = kw.tokens(_cleaned_tx(spark, d), charset="latin", stopwords=())
+    pos = spark.createDataFrame([(w, p) for w, _, p in se.LEXICON_LATIN], "word string, pos string")
+    return se.pos_filter(words, pos, ("Noun", "Verb")).groupBy("movieNm", "word").agg(F.count(F.lit(1)).alias("count"))
+
+
+def chart_union(spark, d):
+    """A18 + U-3: films of two charts that both carry an opening day and overlap."""
+    daily = td.boxoffice_rows(spark, d)
+    other = daily.where("audiCnt >= 25").select(F.concat(F.lit(" "), "movieNm", F.lit("\t")).alias("movieNm"),
+                                                F.date_add("openDt", F.col("audiCnt") % 3).alias("openDt"))
+    return bo.movie_list([daily, other])
+
+
+def csv_table(spark, d):
+    """S20 + S21 + S2: a table through the CSV sink and back by an explicit schema."""
+    from reviewlake.sources.files import read_csv_table
+    from reviewlake.sources.sinks import write_csv
+
+    out = _scratch(spark, "csv-table")
+    part = td.table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    write_csv(part, out)
+    return read_csv_table(spark, out, part.schema)
+
+
+def region_cast(spark, d):
+    """P11, regional half."""
+    return bo.cast_region_boxoffice(td.raw_region_strings(spark, d))
+
+
+def date_parts(spark, d):
+    """C22 + C23 + C26: year, first token, day."""
+    from reviewlake.functions.dates import first_token, to_day, year_of
+
+    ev = td.table(spark, d, "events")
+    text = F.concat(F.lit(" \u3000"), F.date_format("ts", "yyyy-MM-dd"), F.lit("\t"), "event_type")
+    return ev.select("event_id", first_token(text).alias("first"), year_of(first_token(text)).alias("year"), to_day("ts").alias("day"))
+
+
 # ------------------------------------------------------------ streaming (events)
 # Fixed parameters of the drops: late by more than a year, dateless, and repeated events.
 LATE, DATELESS, REPEATED = "event_id % 50 = 7", "event_id % 97 = 5", "event_id % 10 = 0"
@@ -534,6 +606,14 @@ QUERIES: dict[str, Query] = {
     "sentiment_lexicon_hangul": sentiment_lexicon_hangul,
     "sentiment_nb": sentiment_nb,
     "append_day_rerun": append_day_rerun,
+    "daily_keywords": daily_keywords,
+    "file_titles": file_titles,
+    "expert_reviews": expert_reviews,
+    "pos_words": pos_words,
+    "chart_union": chart_union,
+    "csv_table": csv_table,
+    "region_cast": region_cast,
+    "date_parts": date_parts,
     "stopword_antijoin": stopword_antijoin,
     "cast_boxoffice": cast_boxoffice,
     "genre_explode": genre_explode,

@@ -65,3 +65,61 @@ def test_job_cli(spark, tmp, capsys):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_daily_analysis_is_the_batch_by_days(spark, tmp):
+    """Two days and a rerun give the batch tables of those days."""
+    from reviewlake.operators import keywords as kw
+    from reviewlake.operators import sentiment as se
+    from reviewlake.operators.clean import clean_reviews
+
+    rows = [("A", "u1", "최고 감동 연기 최고였다", "5", "2025.03.18", "megabox", "['연출', '배우']"),
+            ("A", "u2", "지루 최악 실망 입니다요", "1", "2025.03.19", "megabox", "['연출']"),
+            ("B", "u1", "감동 추천 최고 입니다요", "4", "2025.03.19", "cgv", None),
+            ("B", "u3", "다른 날의 리뷰 텍스트입니다", "3", "2025.03.21", "cgv", None)]
+    schema = "movieNm string, id string, context string, star string, date string, platform string, recommend_tags string"
+    cleaned = os.path.join(tmp, "cleaned")
+    clean_reviews(spark.createDataFrame(rows, schema)).write.parquet(cleaned)
+    out = os.path.join(tmp, "out")
+    for run_date in ("2025-03-19", "2025-03-20", "2025-03-20"):
+        paths = jobs.review_analysis_daily_job(spark, cleaned, out, run_date)
+    both = spark.read.parquet(cleaned).where("date between '2025-03-18' and '2025-03-19'")
+
+    def same(name, batch):
+        got = spark.read.parquet(paths[name]).drop("review_date").groupBy("movieNm", batch.columns[1]).agg(F.sum("count").alias("count"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+    same("daily_keywords", kw.movie_keywords(both, "hangul"))
+    same("daily_tags", kw.platform_tag_counts(both, "megabox"))
+    scored = se.score_lexicon(both, charset="hangul")
+    got = spark.read.parquet(paths["daily_sentiment"]).select(scored.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, scored.collect()))
+
+
+def test_boxoffice_daily_job_from_landed_json(spark, tmp):
+    import json
+
+    from reviewlake.sources import schemas
+
+    def entry(rank, name):
+        return {f: None for f in schemas.BOXOFFICE_FIELDS} | {"rank": str(rank), "movieNm": name, "salesAmt": "1000", "audiCnt": "10"}
+
+    folder, region = os.path.join(tmp, "daily"), os.path.join(tmp, "region")
+    os.makedirs(folder)
+    os.makedirs(region)
+    for day in ("20250318", "20250319"):
+        with open(os.path.join(folder, f"{day}.json"), "w", encoding="utf-8") as f:
+            json.dump({"boxOfficeResult": {"showRange": f"{day}~{day}", "dailyBoxOfficeList": [entry(1, "A"), entry(2, "B")]}}, f)
+        listed = {"boxOfficeResult": {"showRange": f"{day}~{day}", "dailyBoxOfficeList": [{"rank": "1", "movieNm": "A", "audiCnt": "7"}]}}
+        for code, data in (("R1", listed), ("R2", {"boxOfficeResult": {"showRange": f"{day}~{day}", "dailyBoxOfficeList": []}}), ("R3", {})):
+            with open(os.path.join(region, f"{day}-{code}.json"), "w", encoding="utf-8") as f:
+                json.dump({"region_code": code, "region_name": None, "data": data}, f)
+    codes = spark.createDataFrame([("R1", "서울"), ("R2", "부산")], "fullCd string, korNm string")
+    out = os.path.join(tmp, "out")
+    for day in ("2025-03-18", "2025-03-19", "2025-03-19"):
+        paths = jobs.boxoffice_daily_job(spark, out, day, folder, region_json=region, region_codes=codes)
+    rows = spark.read.parquet(paths["boxoffice"])
+    assert sorted((str(r.boxoffice_date), r["rank"], r.movieNm, r.salesAmt) for r in rows.collect()) == [
+        (d, k, n, 1000) for d in ("2025-03-18", "2025-03-19") for k, n in ((1, "A"), (2, "B"))]
+    regional = spark.read.parquet(paths["region_boxoffice"])
+    assert sorted((str(r.boxoffice_date), r.region_name, r.audiCnt) for r in regional.collect()) == [("2025-03-18", "서울", 7), ("2025-03-19", "서울", 7)]
