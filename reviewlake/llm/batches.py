@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 from reviewlake.session import checkpoint_dir
 
 #: Code points handled at once by the vectorised operators; bounds a task's memory, whatever the batch.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
 
 def without(df: DataFrame, names: list[str]) -> list[str]:

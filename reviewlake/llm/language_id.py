@@ -31,6 +31,8 @@ TRAIN_ROWS_PER_LANG = 3000
 #: A language is written in a script that holds at least this share of its training letters.
 SCRIPT_SHARE = 0.01
 _EXCLUDED = -1e4
+#: Code points whose words are labelled at once.
+_LABEL_CHARS = 3_000_000
 
 #: First and last code point of each script's main blocks (Unicode).
 SCRIPT_RANGES = [
@@ -180,16 +182,17 @@ def _label(model: LanguageModel, penalty: float, texts: list) -> list:
         ok = model.allowed[g["script"]] if k else np.zeros((words, 0), bool)
         known = ok.any(axis=1) & (g["letters"] > 0)
         s = np.where(known[:, None], np.where(ok, s, np.float32(_EXCLUDED)), np.float32(0))
-        parts.append((g["row"] + base, g["start"], g["end"], np.where(known, g["letters"], 0), s))
-    row, start, end, letters, scores = (np.concatenate([p[i] for p in parts]) if parts else np.zeros((0, k) if i == 4 else 0) for i in range(5))
+        use = np.flatnonzero(known)
+        parts.append(((g["row"][use] + base).astype(np.int32), g["start"][use].astype(np.int32), g["end"][use].astype(np.int32),
+                      g["letters"][use].astype(np.int32), s[use].astype(np.float32)))
+    row, start, end, letters, scores = ((np.concatenate([p[i] for p in parts]) if parts else np.zeros((0, k) if i == 4 else 0, np.int32)) for i in range(5))
+    del parts
     n = len(texts)
-    use = np.flatnonzero(letters > 0)
-    row, start, end, letters, scores = row[use].astype(np.int64), start[use], end[use], letters[use], scores[use]
     count = np.bincount(row, minlength=n) if len(row) else np.zeros(n, np.int64)
     first = np.concatenate(([0], np.cumsum(count)))[:-1]
-    labels = _viterbi(scores.astype(np.float32), first, count, penalty) if len(row) else np.zeros(0, np.int8)
+    labels = _viterbi(scores, first, count, penalty) if len(row) else np.zeros(0, np.int8)
     weight = np.zeros((n, max(k, 1)))
-    np.add.at(weight, (row, labels), letters)
+    weight = np.bincount(row * max(k, 1) + labels, letters, n * max(k, 1)).reshape(n, -1) if len(row) else weight
     total = weight.sum(axis=1)
     top = weight.argmax(axis=1)
     names = np.array([*model.langs, UNDETERMINED], dtype=object)
@@ -221,7 +224,11 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size: buckets by languages
 
     def setup():
-        return lambda texts: _label(shared.value, penalty, texts)
+        def run(texts: list) -> list:
+            done = [_label(shared.value, penalty, part) for _, part in slices(texts, _LABEL_CHARS)]
+            return [pa.concat_arrays(a) for a in zip(*done, strict=True)] if done else _label(shared.value, penalty, [])
+
+        return run
 
     return map_texts(docs, text_col, setup, out, keep)
 
