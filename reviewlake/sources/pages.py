@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.casts import ten_point_to_five
-from reviewlake.functions.dates import relative_to_date_text
+from reviewlake.functions.dates import first_token, relative_to_date_text
 from reviewlake.functions.files import decode_name
 from reviewlake.functions.tags import clean_tags, tags_literal
 from reviewlake.functions.text import has_reviewer, strip_ws
@@ -143,6 +143,75 @@ def megabox_review_rows(pages: DataFrame, as_of) -> DataFrame:
     )
 
 
+# The markup of the other sites' review lists, named as in the
+# crawlers' selectors. Lists are read to their closing tag, so a block may
+# hold nested elements but the two flat lists no nested list.
+CINE_EXPERT_RULE = SiteRule(
+    container='(?s)<ul class="expert_rating"[^>]*>(.*?)</ul>',
+    block_split="<li[^>]*>",
+    context='(?s)<div class="comment_area"[^>]*>.*?</a>\\s*<span[^>]*>(.*?)</span>',
+    fields=(
+        ("name", '(?s)<div class="comment_area"[^>]*>\\s*<a[^>]*>\\s*<span[^>]*>(.*?)</span>'),
+        ("star", '(?s)<div class="star_area"[^>]*>\\s*<span[^>]*>(.*?)</span>'),
+    ),
+)
+CINE_NETIZEN_RULE = SiteRule(
+    container='(?s)<ul class="reply_box"[^>]*>(.*?)</ul>',
+    block_split="<li[^>]*>",
+    context='(?s)<div class="comment(?: ellipsis_3)?"[^>]*>(.*?)</div>',
+    fields=(
+        ("name", '(?s)class="id"[^>]*>(.*?)</'),
+        ("date", '(?s)class="date"[^>]*>(.*?)</'),
+        ("star", '(?s)^\\s*(?:<div[^>]*>.*?</div>\\s*){2}<div[^>]*>\\s*<span[^>]*>(.*?)</span>'),
+    ),
+)
+# A review is a list item that begins with a box; the writer's list inside it does not.
+CGV_RULE = SiteRule(
+    container='(?s)id="movie_point_list_container"[^>]*>(.*)</ul>',
+    block_split="<li[^>]*>\\s*<div[^>]*>",
+    context="(?s)<p[^>]*>(.*?)</p>",
+    fields=(
+        ("id", "(?s)<ul[^>]*>\\s*<li[^>]*>(.*?)</li>"),
+        ("date", "(?s)<ul[^>]*>\\s*<li[^>]*>.*?</li>\\s*<li[^>]*>\\s*<span[^>]*>(.*?)</span>"),
+    ),
+)
+WATCHA_RULE = SiteRule(
+    container="(?s)<body[^>]*>(.*)</body>",
+    block_split='<div class="GvYMMD2G sCUeLl5F"[^>]*>',
+    context='(?s)<div class="tCqzOhhS Jgl_VtOt _4_jash0F"[^>]*>\\s*<a[^>]*>\\s*<div[^>]*>\\s*<div[^>]*>(.*?)</div>',
+    fields=(
+        ("id", '(?s)<div class="TfbnQJp1 qfFKTvc9"[^>]*>(.*?)</div>'),
+        ("star", '(?s)<div class="H7gLZE2m KYbG4TeN"[^>]*>\\s*<span[^>]*>(.*?)</span>'),
+    ),
+)
+
+
+def cine_review_rows(pages: DataFrame) -> DataFrame:
+    """One site's page to rows of both its lists in its landed layout (who, name, context, star, date).
+
+    Experts have no date and their star as shown; netizens' ten-point stars
+    are halved (D25) and their date is its first word (C23). Rows without a
+    name are skipped (F14).
+    """
+    expert = extract_reviews(pages, CINE_EXPERT_RULE).select(
+        "page_id", F.lit("expert").alias("who"), "name", "context", "star", F.lit(None).cast("string").alias("date"))
+    netizen = extract_reviews(pages, CINE_NETIZEN_RULE).select(
+        "page_id", F.lit("netizen").alias("who"), "name", "context", ten_point_to_five("star").cast("string").alias("star"),
+        first_token("date").alias("date"))
+    return expert.unionByName(netizen).where(has_reviewer("name"))
+
+
+def cgv_review_rows(pages: DataFrame) -> DataFrame:
+    """Rows in the landed layout (id, context, date)."""
+    return extract_reviews(pages, CGV_RULE).where(has_reviewer("id")).select("page_id", "id", "context", "date")
+
+
+def watcha_review_rows(pages: DataFrame) -> DataFrame:
+    """Rows in the landed layout (id, star, context); an unrated review has the star text ``None``."""
+    rows = extract_reviews(pages, WATCHA_RULE).where(has_reviewer("id"))
+    return rows.select("page_id", "id", F.coalesce("star", F.lit("None")).alias("star"), "context")
+
+
 @dataclass(frozen=True)
 class SearchRule:
     block_split: str                  # one search hit per piece after the first

@@ -243,3 +243,21 @@ def test_page_text_breaks_and_references(spark):
     df = spark.createDataFrame([("좋아요<br>최고 &amp; 감동 &#39;굿&#39; &#xAC00;&lt;b&gt; &amp;lt;<p>둘</p>셋<br/>넷",), ("&#0; &#x110000; &#128512;",), (None,)], "h string")
     got = [r[0] for r in df.select(strip_tags(F.col("h"))).collect()]
     assert got == ["좋아요\n최고 & 감동 '굿' 가<b> &lt;둘\n셋\n넷", "\ufffd \ufffd 😀", None]
+
+
+def test_review_pages_of_the_other_sites(spark):
+    from reviewlake.sources import pages as pg
+
+    cine = ('<ul class="expert_rating"><li><div><div class="star_area"><span>8</span></div><div class="comment_area"><a href="#"><span>평론가</span></a>'
+            '<span>좋은 &amp; 깊은<br>영화</span></div></div></li></ul><ul class="reply_box"><li><div class="id">관객</div><div class="date">2025.03.18 10:20</div>'
+            '<div class="star"><span>7</span></div><div class="comment ellipsis_3">재미있는 <b>영화</b></div></li>'
+            '<li><div class="id"></div><div class="date"></div><div><span>2</span></div><div class="comment">이름 없음</div></li></ul>')
+    cgv = ('<ul id="movie_point_list_container"><li class="x"><div class="a">img</div><div class="b"><ul><li>nick</li><li><span>2025.03.17</span> <span>1</span></li></ul></div>'
+           '<div class="c"><p>정말 좋은 영화</p></div></li><li><div></div><ul><li>둘째</li><li><span>2025.03.16</span></li></ul><div><p>별로예요</p></div></li></ul>')
+    one = '<div class="GvYMMD2G sCUeLl5F"><div class="TfbnQJp1 qfFKTvc9">{}</div>{}<div class="tCqzOhhS Jgl_VtOt _4_jash0F"><a href="#"><div><div>{}</div></div></a></div></div>'
+    watcha = "<body>" + one.format("별명", '<div class="H7gLZE2m KYbG4TeN"><span>4.5</span></div>', "볼만한 영화") + one.format("둘째", "", "그저 그런 영화") + "</body>"
+    df = spark.createDataFrame([(1, "https://a", cine), (2, "https://b", cgv), (3, "https://c", watcha)], "page_id long, url string, html string")
+    assert sorted(map(tuple, pg.cine_review_rows(df).drop("page_id").collect()), key=str) == [
+        ("expert", "평론가", "좋은 & 깊은\n영화", "8", None), ("netizen", "관객", "재미있는 영화", "3.5", "2025.03.18")]
+    assert sorted(map(tuple, pg.cgv_review_rows(df).drop("page_id").collect())) == [("nick", "정말 좋은 영화", "2025.03.17"), ("둘째", "별로예요", "2025.03.16")]
+    assert sorted(map(tuple, pg.watcha_review_rows(df).drop("page_id").collect())) == [("둘째", "None", "그저 그런 영화"), ("별명", "4.5", "볼만한 영화")]
