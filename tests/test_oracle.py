@@ -8,10 +8,10 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from reviewlake.plans.oracle import ORACLE
+from reviewlake.plans.queries import QUERIES
 from tests.conftest import SF001, SF01
 
-ORACLE = E.oracle_sql()
-
 
 def _norm(v):
     if isinstance(v, float):
@@ -29,7 +29,7 @@ def _rows(cols, rows):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     res = duck.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
@@ -37,7 +37,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_but_the_trained_model_has_an_oracle():
-    assert set(E.queries()) - set(ORACLE) == {"sentiment_ml"}
+    assert set(QUERIES) - set(ORACLE) == {"sentiment_ml"}
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
