@@ -1,5 +1,22 @@
-"""DuckDB twins of the queries that SQL can express."""
+"""DuckDB twins of the queries that SQL can express.
+
+Digests of tokens, sketches, SimHash groups, trained scores, random walks, role repair and page trees have
+no SQL form; ``tests/llm`` holds those queries against brute force, round trips or held-out rows.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from reviewlake.llm.queries import URL_RULES
+
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+ORACLE: dict[str, str] = {
+    "op3_url_rules": f"""
+WITH rules(rh, rp, v) AS (VALUES {_RULES}),
+rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+hp AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+              regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fit AS (SELECT page_id, rh || rp AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC, length(rh) DESC, v DESC) AS rn
+        FROM hp JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT hp.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM hp LEFT JOIN fit ON hp.page_id = fit.page_id AND rn = 1""",
+}
