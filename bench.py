@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from reviewlake.plans.queries import QUERIES  # noqa: E402
 from reviewlake.session import build_session  # noqa: E402
+from reviewlake.sources.testdata import SPREAD_CONF  # noqa: E402
 
 HEADLINE = [
     "clean_reviews",
@@ -51,6 +52,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(app="reviewlake-bench")
+    spark.conf.set(SPREAD_CONF, os.environ.get("BENCH_CPUS", "8"))  # the tables are files of one row group each
     times, errors = {}, {}
     for n in names:
         try:

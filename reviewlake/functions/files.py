@@ -17,9 +17,6 @@ def source_file_name() -> Column:
     return F.col("_metadata.file_name")
 
 
-def source_file_path() -> Column:
-    return F.col("_metadata.file_path")
-
 
 def decode_name(c) -> Column:
     """Percent-decode a title.

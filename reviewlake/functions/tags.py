@@ -22,9 +22,6 @@ def parse_tags(c) -> Column:
     return F.from_json(col_(c), "array<string>")
 
 
-def tags_or_empty(c) -> Column:
-    return F.coalesce(parse_tags(c), F.array().cast("array<string>"))
-
 
 def clean_tags(arr) -> Column:
     """strip, then drop blank tags and tags holding ``+`` or ``외``."""

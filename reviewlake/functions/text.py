@@ -114,7 +114,7 @@ def split_words(c) -> Column:
 
 def clean_for_tokens(c, charset: str = "hangul+jamo") -> Column:
     """The first half of the T-chain: charset filter, lower, strip."""
-    return strip_ws(F.lower(keep_charset(F.coalesce(col_(c), F.lit("")), charset)))
+    return strip_ws(F.lower(keep_charset(blank_if_null(c), charset)))
 
 
 def text_prefix(c, n: int = 200) -> Column:

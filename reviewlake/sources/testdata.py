@@ -12,9 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The driver's large tables, and the session setting by which a benchmark asks for them in several partitions.
+FACT_TABLES = ("events", "documents", "lineitem", "orders", "pages")
+SPREAD_CONF = "reviewlake.bench.spread"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, read as it lies."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table, read as it lies.
+
+    The test tables are single files of one row group, which Spark reads as
+    one task. A benchmark that wants all cores sets ``SPREAD_CONF`` to a
+    number of partitions; it is unset everywhere else.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    spread = int(spark.conf.get(SPREAD_CONF, "0"))
+    return df.repartition(spread) if spread > 1 and name in FACT_TABLES else df
 
 
 def reviews_from_events(events: DataFrame) -> DataFrame:

@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -34,7 +33,6 @@ from pyspark.sql.streaming import StreamingQuery
 from reviewlake.functions.dates import parse_review_date
 from reviewlake.functions.files import source_file_name
 from reviewlake.operators.skew import keep_first
-from reviewlake.session import checkpoint_dir
 from reviewlake.sources import schemas
 from reviewlake.sources.files import CSV_OPTIONS, review_glob
 
@@ -61,9 +59,6 @@ def with_review_day(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.withColumn("review_date", parse_review_date(date_col))
 
 
-def _new_dir(spark: SparkSession, tag: str) -> str:
-    return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
-
 
 def table_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The Parquet table at ``path``, or None where there is no such folder yet; other errors are raised."""
