@@ -64,12 +64,13 @@ def sketch_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda c: F.concat_ws(".", F.hex(c["n"].cast("long")), F.hex(c["k"]), F.hex(c["c"]))), "-")
 
 
-def _peel(cells: DataFrame, keys: list[str], width: str) -> DataFrame:
-    """``cells`` (keys, width, slot, n, k, c) of differences -> (keys, left, gained, lost): cells that did not
-    peel, and the digests peeled from the second and the first version.
+def _peel(cells: DataFrame, keys: list[str], width: str, digests: bool) -> DataFrame:
+    """``cells`` (keys, width, slot, n, k, c) of differences -> (keys, left, n_gained, n_lost[, gained, lost]):
+    the number of cells that did not peel, and the digests peeled from the second and the first version.
 
     Pass after pass the pure cells of one row hand their digest to its three cells with the opposite sign; a
-    digest has one cell in a row, so it is handed on once. All passes group by the same keys.
+    digest has one cell in a row, so it is handed on once. ``cells`` come dealt by ``keys`` and every pass
+    groups within them, so no pass shuffles.
     """
     empty = (F.col("n") == 0) & (F.col("k") == 0) & (F.col("c") == 0)
     now = cells.select(*keys, width, F.lit(False).alias("peeled"), "slot", "n", "k", "c").where(~empty)
@@ -79,56 +80,57 @@ def _peel(cells: DataFrame, keys: list[str], width: str) -> DataFrame:
         pure = ((~F.col("peeled")) & (F.col("n").isin(1, -1)) & (F.col("c") == _check(F.col("k"))) & (F.col("slot") >= row * w)
                 & (F.col("slot") < (row + 1) * w) & (F.col("slot") == _cell(F.col("k"), row, w)))
         entry = lambda peeled, slot, n, k, c: F.struct(
-            F.lit(peeled).alias("peeled") if isinstance(peeled, bool) else peeled.alias("peeled"), slot.alias("slot"), n.alias("n"), k.alias("k"), c.alias("c"))
+            peeled.alias("peeled"), slot.alias("slot"), n.alias("n"), k.alias("k"), c.alias("c"))
         same = entry(F.col("peeled"), F.col("slot"), F.col("n"), F.col("k"), F.col("c"))
-        gone = [entry(False, _cell(F.col("k"), r, w), -F.col("n"), F.col("k"), F.col("c")) for r in range(3) if r != row]
-        kept = entry(True, F.col("k"), F.col("n"), F.lit(0).cast("long"), F.lit(0).cast("long"))
+        gone = [entry(F.lit(False), _cell(F.col("k"), r, w), -F.col("n"), F.col("k"), F.col("c")) for r in range(3) if r != row]
+        kept = entry(F.lit(True), F.col("k"), F.col("n"), F.lit(0).cast("long"), F.lit(0).cast("long"))
         rows = now.select(*keys, width, F.explode(F.when(pure, F.array(kept, *gone)).otherwise(F.array(same))).alias("e")).select(*keys, width, "e.*")
         now = rows.groupBy(*keys, width, "peeled", "slot").agg(
             F.sum("n").cast("int").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c")).where(F.col("peeled") | ~empty)
-    digests = lambda sign: F.array_sort(F.collect_list(F.when(F.col("peeled") & (F.col("n") * sign > 0), F.col("slot"))))
-    return now.groupBy(*keys).agg(F.sum(F.when(~F.col("peeled"), 1).otherwise(0)).alias("left"), digests(-1).alias("gained"), digests(1).alias("lost"))
+    of = lambda sign: F.col("peeled") & (F.col("n") * sign > 0)
+    lists = [F.array_sort(F.collect_list(F.when(of(s), F.col("slot")))).alias(name) for s, name in ((-1, "gained"), (1, "lost"))]
+    return now.groupBy(*keys).agg(F.count_if(~F.col("peeled")).alias("left"), F.count_if(of(-1)).alias("n_gained"), F.count_if(of(1)).alias("n_lost"),
+                                  *(lists if digests else []))
 
 
 def _signed(digests: Column, sign: int) -> Column:
     return F.transform(digests, lambda k: F.struct(k.alias("k"), F.lit(sign).alias("n")))
 
 
-def differing_digests(pairs: DataFrame, keys: list[str], first: str, second: str, first_sketch: str | None = None,
-                      second_sketch: str | None = None) -> DataFrame:
-    """(keys, gained, lost) for each pair of digest arrays that differ: digests only in ``second``, only in ``first``.
+def differing_digests(pairs: DataFrame, keys: list[str], first: str, second: str, digests: bool = True) -> DataFrame:
+    """(keys, n_gained, n_lost[, gained, lost]) for each pair of digest arrays that differ: digests only in
+    ``second``, only in ``first``.
 
-    The stored sketches, where given, are subtracted first. Pairs that do not peel are sketched anew with
+    The fingerprints' own sketches are subtracted first. Pairs that do not peel are sketched anew with
     cells for all their digests, then with twice as many, until none is left; the loop sees only whether
-    pairs remain. ``keys`` tell the pairs apart; pairs without a difference have no row.
+    pairs remain. ``keys`` tell the pairs apart; pairs without a difference have no row. Each attempt
+    deals its pairs by ``keys`` once.
     """
-    ks = [column(k) for k in keys]
     done: list[DataFrame] = []
-    attempt, rest = 0, pairs
-    if first_sketch:
-        cells = pairs.select(*keys, F.lit(BASE_ROW).cast("long").alias("width"), F.posexplode(F.arrays_zip(
-            column(first_sketch).alias("a"), column(second_sketch).alias("b")))).select(
-            *keys, "width", F.col("pos").cast("long").alias("slot"), (F.col("col.a.n") - F.col("col.b.n")).alias("n"),
-            F.col("col.a.k").bitwiseXOR(F.col("col.b.k")).alias("k"), F.col("col.a.c").bitwiseXOR(F.col("col.b.c")).alias("c"))
-        result = cut(_peel(cells, keys, "width"))
-        done.append(result.where("left = 0"))
-        failed = result.where("left > 0").select(*ks)
-        rest = pairs.join(failed, keys, "left_semi")
+    rest = pairs.select(*keys, column(first).alias("first"), column(second).alias("second"))
+    attempt = 0
     while True:
-        attempt += 1
-        need = F.size(column(first)) + F.size(column(second))
-        width = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(need, F.lit(1)) * 0.8)) + attempt - 1).cast("long")
-        signed = F.concat(_signed(column(first), 1), _signed(column(second), -1))
-        hits = rest.select(*ks, F.greatest(width, F.lit(4).cast("long")).alias("width"), F.explode(signed).alias("h"))
-        hits = hits.select(*ks, "width", F.col("h.n").alias("n"), F.col("h.k").alias("k"), _check(F.col("h.k")).alias("c"))
-        hits = hits.select(*ks, "width", "n", "k", "c", F.explode(F.array(*[_cell(F.col("k"), r, F.col("width")) for r in range(3)])).alias("slot"))
-        cells = hits.groupBy(*ks, "width", "slot").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
-        result = cut(_peel(cells, keys, "width"))
-        done.append(result.where("left = 0"))
-        failed = result.where("left > 0").select(*ks)
+        dealt = rest.repartition(*keys)
+        if attempt == 0:
+            both = F.arrays_zip(base_sketch(F.col("first")).alias("a"), base_sketch(F.col("second")).alias("b"))
+            cells = dealt.select(*keys, F.lit(BASE_ROW).cast("long").alias("width"), F.posexplode(both)).select(
+                *keys, "width", F.col("pos").cast("long").alias("slot"), (F.col("col.a.n") - F.col("col.b.n")).alias("n"),
+                F.col("col.a.k").bitwiseXOR(F.col("col.b.k")).alias("k"), F.col("col.a.c").bitwiseXOR(F.col("col.b.c")).alias("c"))
+        else:
+            need = F.size("first") + F.size("second")
+            width = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(need, F.lit(1)) * 0.8)) + attempt - 1).cast("long")
+            hits = dealt.select(*keys, F.greatest(width, F.lit(4).cast("long")).alias("width"),
+                                F.explode(F.concat(_signed(F.col("first"), 1), _signed(F.col("second"), -1))).alias("h"))
+            hits = hits.select(*keys, "width", F.col("h.n").alias("n"), F.col("h.k").alias("k"), _check(F.col("h.k")).alias("c"))
+            hits = hits.select(*keys, "width", "n", "k", "c", F.explode(F.array(*[_cell(F.col("k"), r, F.col("width")) for r in range(3)])).alias("slot"))
+            cells = hits.groupBy(*keys, "width", "slot").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
+        result = cut(_peel(cells, keys, "width", digests))
+        done.append(result.where("left = 0").drop("left"))
+        failed = result.where("left > 0").select(*keys)
         if failed.isEmpty():
-            return reduce(DataFrame.unionByName, done).select(*ks, "gained", "lost")
-        rest = pairs.join(failed, keys, "left_semi")
+            return reduce(DataFrame.unionByName, done)
+        attempt += 1
+        rest = pairs.join(failed, keys, "left_semi").select(*keys, column(first).alias("first"), column(second).alias("second"))
 
 
 def likeness(size_a: Column, size_b: Column, differing: Column) -> Column:
@@ -146,15 +148,14 @@ def with_next(rows: DataFrame, order: str, tie: str, carry: list[str]) -> DataFr
     Also adds ``bucket`` and ``place``, which together identify a row.
     """
     value = column(order).cast("long")
-    group = F.when(value.isNull(), F.lit(0)).otherwise(F.lit(1))
-    number = F.when(value.isNull(), F.shiftright(column(tie), 40)).otherwise(F.shiftright(value, BUCKET_BITS))
-    df = rows.withColumn("bucket", F.struct(group.alias("known"), number.alias("number")))
+    # buckets of null values lie below those of all longs
+    number = F.when(value.isNull(), F.lit(-(1 << 62)) + F.shiftright(column(tie), 40)).otherwise(F.shiftright(value, BUCKET_BITS))
+    df = rows.withColumn("bucket", number)
     w = Window.partitionBy("bucket").orderBy(value.desc_nulls_last(), column(tie).desc())
     df = df.withColumn("place", F.row_number().over(w))
     packed = F.struct(*[column(c).alias(c) for c in carry])
     df = df.withColumn("following", F.lead(packed).over(w))
-    buckets = rows.select(F.struct(group.alias("known"), number.alias("number")).alias("bucket")).distinct()
-    buckets = buckets.withColumn("coarse", F.struct(F.col("bucket.known").alias("known"), F.shiftright(F.col("bucket.number"), _COARSE_BITS).alias("number")))
+    buckets = rows.select(number.alias("bucket")).distinct().withColumn("coarse", F.shiftright("bucket", _COARSE_BITS))
     inner = Window.partitionBy("coarse").orderBy(F.col("bucket").desc())
     chain = buckets.withColumn("after", F.lead("bucket").over(inner))
     tops = buckets.groupBy("coarse").agg(F.max("bucket").alias("top"))
@@ -168,15 +169,15 @@ def with_next(rows: DataFrame, order: str, tie: str, carry: list[str]) -> DataFr
                      *[F.coalesce(F.col("following"), F.col("edge"))[c].alias(f"next_{c}") for c in carry])
 
 
-def fingerprint_versions(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def fingerprint_versions(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", digests: bool = True) -> DataFrame:
     """Fingerprints of every text and of an edited version, and their likeness.
 
     Edited: the last floor(n/2) code points give way to the first as many (or all) of the next text by
     descending id (see ``with_next``; a table of one row follows itself). Returns the id, n_chars,
-    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and the peeled
-    ``edited_gained`` / ``edited_lost`` digests. Null texts count as empty; the likeness of two empty
-    texts is 1, of an empty and another 0. Equal texts have equal fingerprints. Rows of equal id stay
-    separate rows. Other columns are ignored.
+    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and, with ``digests``, the peeled
+    ``edited_gained`` / ``edited_lost``. Null texts count as empty; the likeness of two empty texts is 1, of
+    an empty and another 0. Equal texts have equal fingerprints. Rows of equal id stay separate rows.
+    Other columns are ignored. What is kept between the steps are digests, not texts.
     """
     rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("digests", paragraph_digests(F.col("text")))
@@ -184,21 +185,18 @@ def fingerprint_versions(docs: DataFrame, text_col: str = "text", id_col: str =
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select("bucket", "place", "id", F.length("text").cast("long").alias("n_chars"), "digests", "next_digests", edited.alias("edited"))
-    rows = rows.select("bucket", "place", "id", "n_chars", "digests", "next_digests", F.sha2("edited", 256).alias("edited_sha256"),
-                       paragraph_digests(F.col("edited")).alias("edited_digests"))
-    rows = cut(rows.select("*", base_sketch(F.col("digests")).alias("sketch"), base_sketch(F.col("edited_digests")).alias("edited_sketch")))
-    sides = F.array(
-        F.struct(F.lit("edited").alias("version"), F.col("edited_digests").alias("other"), F.col("edited_sketch").alias("other_sketch")),
-        F.struct(F.lit("next").alias("version"), F.col("next_digests").alias("other"), base_sketch(F.col("next_digests")).alias("other_sketch")))
-    pairs = rows.select("bucket", "place", "digests", "sketch", F.explode(sides).alias("s")).select("bucket", "place", "digests", "sketch", "s.*")
-    found = differing_digests(pairs, ["bucket", "place", "version"], "digests", "other", "sketch", "other_sketch")
+    rows = cut(rows.select("bucket", "place", "id", "n_chars", "digests", "next_digests", F.unhex(F.sha2("edited", 256)).alias("edited_sha"),
+                           paragraph_digests(F.col("edited")).alias("edited_digests")))
+    sides = F.array(F.struct(F.lit(0).alias("version"), F.col("edited_digests").alias("other")), F.struct(F.lit(1).alias("version"), F.col("next_digests").alias("other")))
+    pairs = rows.select("bucket", "place", "digests", F.explode(sides).alias("s")).select("bucket", "place", "digests", "s.*")
+    found = differing_digests(pairs, ["bucket", "place", "version"], "digests", "other", digests)
+    kept = [c for c in found.columns if c not in ("bucket", "place", "version")]
     of = lambda v, c: F.max(F.when(F.col("version") == v, F.col(c)))
-    found = found.groupBy("bucket", "place").agg(*[of(v, c).alias(f"{v}_{c}") for v in ("edited", "next") for c in ("gained", "lost")])
+    found = found.groupBy("bucket", "place").agg(*[of(v, c).alias(f"{name}_{c}") for v, name in enumerate(("edited", "next")) for c in kept])
     done = rows.join(found, ["bucket", "place"], "left")
+    count = lambda v: sum((F.coalesce(F.col(f"{v}_{c}"), F.lit(0)) for c in ("n_gained", "n_lost")), F.lit(0))
+    near = lambda v: likeness(F.size("digests"), F.size(f"{v}_digests"), count(v)).alias(f"near_{v}")
     none = F.expr("cast(array() as array<bigint>)")
-    size = lambda c: F.size(F.coalesce(F.col(c), none))
-    near = lambda v, other: likeness(F.size("digests"), F.size(other), size(f"{v}_gained") + size(f"{v}_lost"))
-    return done.select("id", "n_chars", "edited_sha256", sketch_text(F.col("sketch")).alias("fingerprint"),
-                       sketch_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-                       near("edited", "edited_digests").alias("near_edited"), near("next", "next_digests").alias("near_next"),
-                       F.coalesce("edited_gained", none).alias("edited_gained"), F.coalesce("edited_lost", none).alias("edited_lost"))
+    lists = [F.coalesce(F.col(c), none).alias(c) for c in ("edited_gained", "edited_lost")] if digests else []
+    return done.select("id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), sketch_text(base_sketch(F.col("digests"))).alias("fingerprint"),
+                       sketch_text(base_sketch(F.col("edited_digests"))).alias("edited_fingerprint"), near("edited"), near("next"), *lists)
