@@ -211,7 +211,9 @@ def fingerprint_links(distinct: DataFrame, col: str = "simhash", bits: int = MAX
                 yield rows(0, 0, 0, *_run_links(rest_k[:run_limit], rest_f[:run_limit], bits))
                 rest_k, rest_f = rest_k[run_limit:], rest_f[run_limit:]
 
-    keyed = distinct.select(column(col).alias("fp")).mapInArrow(emit, "key int, fp long")
+    # up to 108 keys come of a fingerprint, so they are dealt evenly first; a given number of partitions is not merged
+    width = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = distinct.select(column(col).alias("fp")).repartition(width, "fp").mapInArrow(emit, "key int, fp long")
     found = cut(keyed.repartition("key").sortWithinPartitions("key", "fp")
                 .mapInArrow(link, "kind int, key int, block int, a long, b long").distinct())
     links = found.where("kind = 0").select("a", "b")
