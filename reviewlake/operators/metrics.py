@@ -96,10 +96,10 @@ def platform_summary(df: DataFrame) -> DataFrame:
 
 
 def movie_summary(df: DataFrame) -> DataFrame:
-    """Non-null texts and mean star per film."""
+    """Non-null texts and mean star per film (without the text column every cleaned review counts: it has one)."""
     return (
         df.groupBy("movieNm")
-        .agg(F.count("context").alias("review_count"), _avg("star").alias("avg_rating"))
+        .agg(F.count("context" if "context" in df.columns else F.lit(1)).alias("review_count"), _avg("star").alias("avg_rating"))
         .orderBy(F.desc("review_count"), "movieNm")
     )
 
