@@ -77,7 +77,8 @@ def decode_entities(c) -> F.Column:
 
 def strip_tags(c) -> F.Column:
     """Markup to text: breaks and block ends become line feeds, other tags go, character references are decoded."""
-    return strip_ws(decode_entities(F.regexp_replace(F.regexp_replace(c, BREAK, "\n"), TAG, "")))
+    plain = F.regexp_replace(F.regexp_replace(c, BREAK, "\n"), TAG, "")
+    return strip_ws(F.when(plain.contains("&"), decode_entities(plain)).otherwise(plain))
 
 
 def _field(block, pattern: str):
@@ -103,7 +104,8 @@ def extract_reviews(pages: DataFrame, rule: SiteRule = DEFAULT_RULE) -> DataFram
         extra.append(F.transform(F.regexp_extract_all(area, F.lit(rule.tag), 1), strip_tags).alias("tags"))
     return (
         blocks.where(F.col("pos") > 0)
-        .select("page_id", "domain", "title", F.col("pos").cast("int").alias("pos"), text.alias("context"),
+        # exploded as a list of one, so that the text is made once for the test, the column and its length
+        .select("page_id", "domain", "title", F.col("pos").cast("int").alias("pos"), F.explode(F.array(text)).alias("context"),
                 *extra)
         .where(F.length("context") > 0)
         .withColumn("n_chars", F.length("context"))
