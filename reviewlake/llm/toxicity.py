@@ -304,9 +304,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", i
     characters, chosen by a hash of the id. Null texts, ids and labels teach nothing."""
     marked = labels.select(column(id_col).alias("id"), column(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
     sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("y") == 1, min(1.0, toxic_rows / max(1, sizes.get(1, 0)))).otherwise(min(1.0, clean_rows / max(1, sizes.get(0, 0))))
-    chosen = marked.where(F.pmod(F.xxhash64(F.lit("toxicity sample"), "id"), F.lit(1_000_000)) < share * 1_000_000).distinct()
-    texts = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("t")).where((F.length("t") <= max_chars) & F.col("id").isNotNull())
+    shares = {1: min(1.0, toxic_rows / max(1, sizes.get(1, 0))), 0: min(1.0, clean_rows / max(1, sizes.get(0, 0)))}
+    place = F.pmod(F.xxhash64(F.lit("toxicity sample"), "id"), F.lit(1_000_000))
+    chosen = marked.where(place < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0]) * 1_000_000).distinct()
+    # the same hash thins the texts before they meet the labels, so the join moves about a sample
+    texts = docs.select(column(id_col).cast(marked.schema["id"].dataType).alias("id"), column(text_col).cast("string").alias("t"))
+    texts = texts.where((place < max(shares.values()) * 1_000_000) & (F.length("t") <= max_chars) & F.col("id").isNotNull())
     rows = sorted((r["t"], r["y"]) for r in texts.join(chosen, "id").select("t", "y").collect())
     return fit([t for t, _ in rows], [y for _, y in rows])
 
