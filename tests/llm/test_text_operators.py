@@ -341,6 +341,18 @@ def test_random_tokens_are_found_among_words(spark):
     assert not rows[400] and not rows[401]
 
 
+def test_random_tokens_need_no_words(spark):
+    """The same token is found in a table without one long word and among few of them."""
+    rng = random.Random(16)
+    abc = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    token = lambda: "".join(rng.choice(abc) for _ in range(rng.choice([24, 32, 44])))
+    found = lambda texts: [[s for s in r.secrets if s.kind == "random"] for r in secrets.scan_secrets(table(spark, texts)).orderBy("doc_id").collect()]
+    alone = found([token() for _ in range(20)])
+    assert sum(map(bool, alone)) >= 19
+    mixed = found([f"{prose(rng, 30)} {token()}" for _ in range(20)] + ["internationalization of electroencephalograms"] * 3 + ["a1" * 20, "0" * 40])
+    assert sum(map(bool, mixed[:20])) >= 19 and not any(mixed[20:])
+
+
 # ------------------------------------------------------------------ toxicity
 def test_toxicity_on_held_out_texts(spark):
     rng = random.Random(12)
