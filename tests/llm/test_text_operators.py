@@ -353,6 +353,19 @@ def test_random_tokens_need_no_words(spark):
     assert sum(map(bool, mixed[:20])) >= 19 and not any(mixed[20:])
 
 
+def test_random_letters_are_found_and_long_words_stay(spark):
+    rng = random.Random(26)
+    small, great = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tokens = ["".join(rng.choice(abc) for _ in range(n)) for abc in (small, great, small + great) for n in (32, 40) for _ in range(20)]
+    words = ["internationalization", "electroencephalographically", "counterrevolutionaries", "antidisestablishmentarianism", "uncharacteristically",
+             "Donaudampfschifffahrtsgesellschaft", "Rechtsschutzversicherungsgesellschaften", "anticonstitutionnellement", "institutionalization",
+             "INTERNATIONALIZATION", "getElementsByClassNameAndValue", "path/to/some/other/folder", "state-of-the-art-technology", "aaaaaaaaaaaaaaaaaaaaaaaa"]
+    rows = secrets.scan_secrets(table(spark, [f"{prose(rng, 20)} {t} {prose(rng, 5)}" for t in tokens + words * 4])).orderBy("doc_id").collect()
+    found = [any(s.kind == "random" for s in r.secrets) for r in rows]
+    assert sum(found[:len(tokens)]) >= 0.95 * len(tokens)
+    assert not any(found[len(tokens):])
+
+
 # ------------------------------------------------------------------ toxicity
 def test_toxicity_on_held_out_texts(spark):
     rng = random.Random(12)
