@@ -184,23 +184,24 @@ def blocks(root: _Node, template: set[int] | None = None) -> list[str]:
 
 
 def _candidates(root: _Node) -> tuple[set[int], int]:
-    """Hashes of the subtrees that may be template, and the page's mark: the hash of its longest block.
+    """Hashes of the subtrees that may be template, and the page's mark: the hash of all its blocks.
 
-    Copies of a page have one mark, so that copies do not make their common text template. In an article
+    Copies of a page have one mark, so that copies do not make their common text template; pages that share
+    only some blocks, however long, have marks of their own. In an article
     only lists, tables and sections count, not its single rows."""
     hash_subtrees(root)
     out = set()
     for node in _walk(root):
         if node.tag in CONTAINERS and not node.gone and not (node.article and node.tag in ("li", "tr", "dd", "dt")):
             out.add(_signed(node.hash))
-    longest = max(blocks(root), key=len, default="")
-    return out, _signed(xxhash.xxh64_intdigest(longest.encode("utf-8", "surrogatepass")))
+    text = "\n".join(blocks(root))
+    return out, _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")))
 
 
 def site_templates(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
     """(host, subtree): subtrees that recur on many pages of their host (``MIN_PAGES``, ``MIN_SHARE``).
 
-    Pages of a host are counted by their longest block, so that copies count once. The distinct rows are
+    Pages of a host are counted by the hash of their text, so that copies count once. The distinct rows are
     pre-aggregated by Spark before the shuffle, so that a host with a third of all pages is no hot key.
     """
     rows = pages.select(url_host(column(url_col).cast("string")).alias("host"), column(html_col).cast("string").alias("html"))

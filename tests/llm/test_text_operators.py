@@ -521,3 +521,15 @@ def test_templates_go_copies_stay(spark, limit):
     assert all("news box" not in got[i].text and "Archive" not in got[i].text and got[i].n_chars == len(got[i].text) > 100 for i in range(40))
     assert all("shared words" in got[100 + i].text and "long paragraph" in got[100 + i].text for i in range(30))
     assert "news box" in got[200].text
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_template_longer_than_any_own_paragraph_goes(spark, limit):
+    rng = random.Random(13)
+    legal = f"<div><p>Legal {prose(rng, 300)}</p></div>"
+    shared = f"<p>{prose(rng, 120)}</p>"  # a passage that many pages quote is no sign of a copy
+    own = [f"own{i} {prose(rng, 20)}" for i in range(20)]
+    rows = [(i, "http://site.example.com/a", f"<div>Site news box</div><p>{own[i]}</p>{shared if i % 2 else ''}{legal}") for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(df, broadcast_limit=limit).collect()}
+    assert all("Legal" not in got[i] and "news box" not in got[i] and f"own{i} " in got[i] for i in range(20))
