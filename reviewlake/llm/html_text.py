@@ -3,7 +3,8 @@
 Pages are read tag by tag into a tree. The subtree of each container outside paragraphs is hashed with its
 tags, marks and text; Spark counts, per host, the pages on which a hash recurs, and subtrees that recur
 on many pages of their host are template and deleted. Furniture (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts) is known by element and by class, id or role.
+notices, adverts, forms, comments, scripts) is known by element and by class, id or role; a class word deletes no
+article or main element and no wrapper of one.
 """
 
 from __future__ import annotations
@@ -43,6 +44,10 @@ MARKS = re.compile(
     r"widget|login|signup|search|searchbox|pagination|pager|toolbar|skip|contentinfo|complementary|hidden)(?:$|[\s_-])", re.I)
 #: Furniture outside an article only: inside, a header holds its title.
 OUTER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|logo)(?:$|[\s_-])", re.I)
+#: What a class has or lacks is not what its element is: the rest of the class name behind these words counts for nothing.
+MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:with|without|has|have|no|non)[_-]\S*", re.I)
+#: Elements that hold articles go by these words only, and only if the page has an article elsewhere (comments and teasers may be articles).
+APART = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|disqus|respond|related|recommended)(?:$|[\s_-])", re.I)
 #: Elements whose subtrees may be template.
 CONTAINERS = set("div section ul ol dl table header center figure details fieldset tr li dd dt".split())
 
@@ -53,21 +58,56 @@ _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(
 
 
 class _Node:
-    __slots__ = ("tag", "marks", "parent", "parts", "article", "hash", "gone")
+    __slots__ = ("tag", "marks", "parent", "parts", "article", "hash", "gone", "marked", "main", "holds")
 
     def __init__(self, tag: str, marks: str, parent: _Node | None) -> None:
         self.tag, self.marks, self.parent, self.parts = tag, marks, parent, []
-        self.article = tag in ("article", "main") or "main" in marks.split() or (parent is not None and parent.article)
-        self.gone = (tag in FURNITURE or bool(MARKS.search(marks))
-                     or (not self.article and (tag == "header" or bool(OUTER.search(marks)))))
+        self.main = tag in ("article", "main") or "main" in marks.split()
+        self.article = self.main or (parent is not None and parent.article)
+        self.holds = False  # an article or main part, at any depth
+        plain = _plain(marks)
+        self.marked = bool(plain) and not self.main and bool(MARKS.search(plain) or (not self.article and OUTER.search(plain)))
+        self.gone = self.marked or tag in FURNITURE or _HIDDEN in marks or (tag == "header" and not self.article)
         self.hash = 0
+        if self.main:
+            up = parent
+            while up is not None and not up.holds:
+                up.holds = True
+                up = up.parent
+
+
+#: Stands among the marks for the attribute ``hidden``.
+_HIDDEN = "[hidden]"
+
+
+def _plain(marks: str) -> str:
+    """The marks without modified words."""
+    return MODIFIED.sub("", marks) if marks else marks
+
+
+def _spare_articles(root: _Node) -> None:
+    """Takes back that elements which hold an article or main part are furniture by a class word (see ``APART``)."""
+    if not root.holds:
+        return
+    nodes = list(_walk(root))
+    apart = {id(n) for n in nodes if n.marked and n.holds and APART.search(_plain(n.marks))}
+    elsewhere = False
+    for node in nodes if apart else ():
+        if node.tag == "article" and not elsewhere:
+            up = node
+            while up is not None and id(up) not in apart:
+                up = up.parent
+            elsewhere = up is None
+    for node in nodes:
+        if node.marked and node.holds and not (elsewhere and id(node) in apart):
+            node.gone = node.tag in FURNITURE or _HIDDEN in node.marks or (node.tag == "header" and not node.article)
 
 
 def _attributes(text: str) -> str:
     found = []
     for name, a, b, c in _ATTR.findall(text):
         name = name.lower()
-        found.append("hidden" if name == "hidden" or (name == "aria-hidden" and (a or b or c).lower() == "true") else "" if name == "aria-hidden" else a or b or c)
+        found.append(_HIDDEN if name == "hidden" or (name == "aria-hidden" and (a or b or c).lower() == "true") else "" if name == "aria-hidden" else a or b or c)
     return " ".join(f for f in found if f)
 
 
@@ -124,6 +164,7 @@ def parse(page: str) -> _Node:
             continue
         if not m.group(3).endswith("/") or tag in BLOCK:
             node = child
+    _spare_articles(root)
     return root
 
 

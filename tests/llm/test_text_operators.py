@@ -533,3 +533,17 @@ def test_template_longer_than_any_own_paragraph_goes(spark, limit):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.extract_text(df, broadcast_limit=limit).collect()}
     assert all("Legal" not in got[i] and "news box" not in got[i] and f"own{i} " in got[i] for i in range(20))
+
+
+def test_class_words_delete_no_article(spark):
+    body = "<p>The story itself.</p>"
+    pages = [f"<div class='layout with-sidebar'><article>{body}</article></div>", f"<main class='search-results'>{body}</main>",
+             f"<article class='post related-post'>{body}</article>", f"<div id='page' class='has-notice'><article>{body}</article></div>",
+             f"<div class='social_layout'><div class='widget'><article>{body}</article></div></div>", f"<div class='page no-menu'>{body}</div>",
+             f"<div role=main class=search>{body}</div>", f"<div class='masthead-page'><div class='related'><article>{body}</article></div></div>",
+             f"<main><div class='sidebar-page'><article>{body}</article></div></main>",
+             f"<article>{body}</article><div class='related'><article>Teaser</article></div><div class='sidebar no-print'>Side</div>",
+             f"<article>{body}</article><article hidden>Unseen</article><div hidden><article>Unseen</article></div>"]
+    df = spark.createDataFrame([(i, f"http://h{i}.example.com/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+    assert got == {i: "The story itself." for i in range(len(pages))}
