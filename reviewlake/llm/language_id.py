@@ -181,23 +181,25 @@ def _label(model: LanguageModel, penalty: float, texts: list) -> list:
         s = np.add.reduceat(model.weights[g["bucket"]], g["first"], axis=0) if words and k else np.zeros((words, k), np.float32)
         ok = model.allowed[g["script"]] if k else np.zeros((words, 0), bool)
         known = ok.any(axis=1) & (g["letters"] > 0)
-        s = np.where(known[:, None], np.where(ok, s, np.float32(_EXCLUDED)), np.float32(0))
-        use = np.flatnonzero(known)
+        use = np.flatnonzero(g["letters"] > 0)
+        s = np.where(ok[known], s[known], np.float32(_EXCLUDED))
         parts.append(((g["row"][use] + base).astype(np.int32), g["start"][use].astype(np.int32), g["end"][use].astype(np.int32),
-                      g["letters"][use].astype(np.int32), s[use].astype(np.float32)))
-    row, start, end, letters, scores = ((np.concatenate([p[i] for p in parts]) if parts else np.zeros((0, k) if i == 4 else 0, np.int32)) for i in range(5))
+                      g["letters"][use].astype(np.int32), known[use], s.astype(np.float32)))
+    row, start, end, letters, known, scores = (
+        (np.concatenate([p[i] for p in parts]) if parts else np.zeros((0, k) if i == 5 else 0, bool if i == 4 else np.int32)) for i in range(6))
     del parts
     n = len(texts)
-    count = np.bincount(row, minlength=n) if len(row) else np.zeros(n, np.int64)
+    count = np.bincount(row[known], minlength=n)
     first = np.concatenate(([0], np.cumsum(count)))[:-1]
-    labels = _viterbi(scores, first, count, penalty) if len(row) else np.zeros(0, np.int8)
-    weight = np.zeros((n, max(k, 1)))
-    weight = np.bincount(row * max(k, 1) + labels, letters, n * max(k, 1)).reshape(n, -1) if len(row) else weight
+    labels = np.full(len(row), k, np.int16)  # a word in a script that no language uses
+    if known.any():
+        labels[known] = _viterbi(scores, first, count, penalty)
+    weight = np.bincount(row.astype(np.int64) * (k + 1) + labels, letters, n * (k + 1)).reshape(n, k + 1)
     total = weight.sum(axis=1)
-    top = weight.argmax(axis=1)
+    found = weight[:, :k].max(axis=1, initial=0.0)
     names = np.array([*model.langs, UNDETERMINED], dtype=object)
-    pred = names[np.where(total > 0, top, k)]
-    share = np.where(total > 0, weight[np.arange(n), top] / np.maximum(total, 1), 0.0)
+    pred = names[np.where(found > 0, weight[:, :k].argmax(axis=1) if k else 0, k)]
+    share = found / np.maximum(total, 1)
     fresh_span = np.ones(len(row), bool)
     fresh_span[1:] = (row[1:] != row[:-1]) | (labels[1:] != labels[:-1])
     s0 = np.flatnonzero(fresh_span)
@@ -211,11 +213,12 @@ def _label(model: LanguageModel, penalty: float, texts: list) -> list:
 
 def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text", penalty: float = SWITCH_PENALTY,
                        keep: list[str] | None = None) -> DataFrame:
-    """Adds ``lang_pred`` (the language with most letters, or ``und``), ``score`` (its share of the letters)
+    """Adds ``lang_pred`` (the language with most letters, or ``und``), ``score`` (its share of all letters)
     and ``lang_spans`` (array of start, end, lang; code points, end exclusive; words joined to runs).
 
-    A null or empty text, one without a letter, or one in scripts that no learned language uses gives
-    ``und``, score 0 and no spans. Equal scores go to the language first in name order. Whole texts are
+    A null or empty text or one without a letter gives ``und``, score 0 and no spans. Words in scripts that no
+    learned language uses are ``und`` in the spans and count in the share; a text of such words only is ``und``
+    with score 0. Equal scores go to the language first in name order. Whole texts are
     read; equal texts get equal results. ``keep`` names the input columns kept (default all); input
     columns named like an output give way to it. No shuffle.
     """

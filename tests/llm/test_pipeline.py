@@ -62,6 +62,13 @@ def test_each_stage_keeps_the_columns(spark, tmp):
         assert stage(spark, empty, tmp).count() == 0
 
 
+def test_language_stage_drops_texts_of_unknown_scripts(spark, tmp):
+    rows = [(i, prose(random.Random(i), 80), "en") for i in range(12)] + [(50, "ภาษาไทย " * 1000 + "river stone", None), (51, "river stone garden " * 9 + "ไทย", None)]
+    write_tables(spark, tmp, rows, [(1, "a")])
+    docs = spark.read.parquet(os.path.join(tmp, "documents.parquet"))
+    assert {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, tmp).collect()} == {*range(12), 51}
+
+
 def test_secret_stage_updates_lengths(spark, tmp):
     write_tables(spark, tmp, [(1, "key token=abcdefgh12 end", "en"), (2, "none", "en"), (3, None, "en")], [(1, "a")])
     docs = spark.read.parquet(os.path.join(tmp, "documents.parquet"))

@@ -425,6 +425,20 @@ def test_languages_spans_and_undetermined(spark):
     assert {r.lang_pred for r in language_id.identify_languages(table(spark, texts), none).collect()} == {"und"}
 
 
+def test_letters_of_unknown_scripts_count(spark):
+    rng = random.Random(31)
+    train = spark.createDataFrame([(i, sentence(rng, lang) * 3, lang) for i, lang in enumerate(["xx", "yy"] * 30)], "doc_id long, text string, lang string")
+    model = language_id.train_language_model(train)
+    texts = ["ภาษาไทย " * 1000 + "karo", "karo mitu " * 10 + "ไทย " * 5, "ไทย", "12 ไทย karo", "karo"]
+    got = [(r.lang_pred, r.score, [(s.start, s.end, s.lang) for s in r.lang_spans])
+           for r in language_id.identify_languages(table(spark, texts), model, keep=["doc_id"]).orderBy("doc_id").collect()]
+    letters = lambda t: sum(c.isalpha() for c in t)
+    for (_, score, _), t in zip(got, texts, strict=True):
+        assert score == pytest.approx(letters("".join(c for c in t if c.isascii())) / letters(t))
+    assert [g[0] for g in got] == ["xx", "xx", "und", "xx", "xx"]
+    assert got[0][2] == [(0, 7999, "und"), (8000, 8004, "xx")] and got[2][2] == [(0, 3, "und")] and got[3][2] == [(3, 6, "und"), (7, 11, "xx")]
+
+
 def test_viterbi_equals_exhaustive_search():
     rng = np.random.default_rng(3)
     from itertools import product
