@@ -18,9 +18,14 @@ from reviewlake.llm.batches import column, cut
 
 #: Cells of a stored fingerprint (three rows of a power of two).
 BASE_ROW = 8
-#: A line is a paragraph; a longer one is cut behind a sentence that ends after so many characters.
-LONG_LINE = 200
-PARAGRAPH = rf"[^\n]{{{LONG_LINE},}}?[.!?](?=\s)|[^\n]+"
+#: A paragraph is a line's stretch up to a sentence end (of any script), or up to a place that its own characters
+#: define, so that places behind an edit are found again; without either it ends after so many characters.
+LONGEST = 128
+_SENTENCE = r"""[.!?\u2026]["'\u201d\u2019)\]]*(?:[ \t\r]+|(?![^\n]))|[\u3002\uff01\uff1f\uff0e\uff61\u0964\u0965\u061f\u06d4\u1362\u0589\u104b\u17d4\u0f0d][\u201d\u2019\u300d\u300f\uff09 \t]*"""
+#: Spaces and signs before some letters, some common characters of scripts without spaces, and rare ones inside long codes.
+_PLACE = (r"[ \t,:=&/|](?=[bmpwBMPW07\u03ba\u03c4\u0432\u043f\u0441\u05d4\u0627\u0915\u0938\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\uadf8\uc774])"
+          r"|[;{}\u3001\uff0c\uff1b\u7684\u662f\u3092\u304c]|[7Q](?=[0-9A-Za-z+/_-]{12})")
+PARAGRAPH = rf"[^\n]{{0,{LONGEST - 1}}}?(?:{_SENTENCE}|{_PLACE})|[^\n]{{1,{LONGEST}}}"
 #: Passes over each row of cells in one attempt; what is not peeled by then is tried again with more cells.
 CYCLES = 3
 #: log2 of the range of ids that are sorted together, and of the number of such ranges named together.

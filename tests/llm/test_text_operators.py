@@ -102,6 +102,19 @@ def test_sketches_of_tiny_tables(spark):
     assert len(nulls) == 3
 
 
+def test_an_unchanged_half_leaves_common_paragraphs(spark):
+    rng = random.Random(23)
+    han = "".join(chr(rng.randint(0x4e00, 0x9fff)) for _ in range(600))
+    lines = ["".join(han[i:i + 30] + "。" for i in range(0, 600, 30)), han, " ".join(f"k{rng.random()}=v{rng.random()}" for _ in range(40)),
+             "".join(f"var a{rng.randint(0, 9999)}={rng.randint(0, 9999)};" for _ in range(60)), "".join(rng.choice("ACGT") for _ in range(900)),
+             " ".join(rng.choice(WORDS) for _ in range(120)), "Short one. " + "Then another short one. " * 3 + prose(rng, 30).replace("\n", " "),
+             "".join(chr(rng.randint(0xe01, 0xe2e)) for _ in range(700))]
+    rows = {r.id: r for r in fingerprints.fingerprint_versions(table(spark, lines)).collect()}
+    assert all(0 < rows[i].near_edited < 1 for i in range(len(lines)))
+    shifted = re.findall(fingerprints.PARAGRAPH, "new words here " + lines[5])  # found again behind an insertion
+    assert len(set(shifted) & set(re.findall(fingerprints.PARAGRAPH, lines[5]))) >= 0.8 * len(shifted)
+
+
 # ------------------------------------------------------------------ url rules
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
          ("b.net", "/fr/x", "allow"), ("", "/empty", "block")]
