@@ -5,7 +5,8 @@ walk: at step j it outputs the word under its pointer, and a random bit of that
 the pointer moves on. Both walks of an edited pair fall into step again soon after an edit, so a small edit
 distance gives a small Hamming distance between the outputs. Every word position of every text starts a
 window; ``SAMPLES`` keys of ``SAMPLE_STEPS`` sampled outputs are taken from each of ``WALKS`` walks, and each
-benchmark item is entered under the keys of its own window and of the windows of its later starts. A meeting
+benchmark item is entered under the keys of its own window and of the windows of its later starts. Short items
+are entered by pieces, one of which stands unchanged in every match (pigeonhole). A meeting
 is verified by the exact word edit distance between the item and the best-fitting stretch of the text.
 """
 
@@ -33,8 +34,10 @@ WALKS, SAMPLES, SAMPLE_STEPS = 2, 6, 6
 STEPS = 24
 #: An item's window starts: its first word and every such many words further, while a walk still fits.
 START_STRIDE = 2
-#: Words of the shortest item that is searched by walks; shorter ones are searched by their whole word sequence.
+#: Words that a walk reads at least; the last start of an item leaves it so many.
 MIN_WALK_WORDS = STEPS // 2
+#: Items up to so many words are cut into one piece more than edits are allowed: a piece stands unchanged in every match.
+EXACT_WORDS = 20
 #: At most so many benchmark words are held in memory and sent to the tasks at once; more items go in further blocks.
 BLOCK_WORDS = 2_000_000
 _SEED = 0x5EED
@@ -166,8 +169,10 @@ def index_items(items: list[tuple]) -> BenchmarkIndex:
         ids.append(item_id)
         words.append(h)
         number = len(ids) - 1
-        if len(h) < MIN_WALK_WORDS:
-            short.setdefault(len(h), {}).setdefault(_sequence_key(h), []).append(number)
+        if len(h) <= EXACT_WORDS:
+            cuts = np.linspace(0, len(h), _allowed(len(h)) + 2).astype(int)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                short.setdefault(int(b - a), {}).setdefault(_sequence_key(h[a:b]), []).append((number, int(a)))
             continue
         at = np.arange(0, len(h) - MIN_WALK_WORDS + 1, START_STRIDE)
         for k in walk_keys(np.append(h, np.uint64(0)), at):
@@ -205,6 +210,15 @@ def _find(index: BenchmarkIndex, texts: list[str]) -> list[tuple]:
                 if n.any():
                     which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     pairs.append(np.stack((at[np.repeat(hit, n)] - index.start[which], index.item[which])))
+    for n, table in index.short.items():  # the pieces of short items, word for word
+        if len(h) >= n:
+            acc = np.zeros(len(h) - n + 1, np.uint64)
+            for j in range(n):
+                acc = _mix(acc * _ODD + h[j:len(h) - n + 1 + j])
+            same = row[:len(acc)] == row[n - 1:]
+            hits = [(i - a, item) for i in np.flatnonzero(same & np.isin(acc, np.fromiter(table, np.uint64, len(table)))).tolist() for item, a in table[int(acc[i])]]
+            if hits:
+                pairs.append(np.array(hits, np.int64).T)
     found = []
     if pairs:
         p = np.unique(np.concatenate(pairs, axis=1), axis=1)
@@ -225,15 +239,6 @@ def _find(index: BenchmarkIndex, texts: list[str]) -> list[tuple]:
                 m = edit_match(x, h[lo2:hi2], slack)
                 if m and m[2] > m[1]:
                     found.append((d, int(item), m[0], int(start[lo2 + m[1]]), int(end[lo2 + m[2] - 1])))
-    for n, table in index.short.items():  # items too short for a walk: their words in a row
-        if len(h) >= n:
-            acc = np.zeros(len(h) - n + 1, np.uint64)
-            for j in range(n):
-                acc = _mix(acc * _ODD + h[j:len(h) - n + 1 + j])
-            same = row[:len(acc)] == row[n - 1:]
-            for i in np.flatnonzero(same & np.isin(acc, np.fromiter(table, np.uint64, len(table)))):
-                for item in table[int(acc[i])]:
-                    found.append((int(row[i]), item, 0, int(start[i]), int(end[i + n - 1])))
     best: dict[tuple, tuple] = {}
     for f in found:
         key = (f[0], f[1])
@@ -260,8 +265,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
 
     The benchmark is the query set: it is read in blocks of bounded size and every text is searched
     for all blocks, with no shuffle. Items that are null or have no word are never found; items
-    under ``MIN_WALK_WORDS`` words are found only word for word (their edit limit may be above 0, but a
-    stray word or two is no leak); a null or empty text has no leaks. Items of equal text are all
+    up to ``EXACT_WORDS`` words are found in every text that holds them within the limit; a null or empty text has no leaks. Items of equal text are all
     reported. An input column named like the output gives way to it.
     """
     id_type = benchmark.select(column(item_id)).schema[0].dataType

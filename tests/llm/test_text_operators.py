@@ -293,6 +293,24 @@ def test_contamination_recall_and_exactness(spark):
         assert not found[d]
 
 
+def test_short_items_are_found_within_their_limit():
+    rng = random.Random(14)
+    vocab = [a + b for a in WORDS for b in ("", "er", "ow", "ti", "ma")]
+    items = [[rng.choice(vocab) for _ in range(n)] for n in range(1, 21) for _ in range(8)]
+    index = decontaminate.index_items([(i, " ".join(x)) for i, x in enumerate(items)])
+    texts = []
+    for x in items:
+        words = list(x)
+        for at in rng.sample(range(len(x)), len(x) // 5):
+            words[at] = rng.choice(["", "new", words[at] + " more"])
+        texts.append(" ".join([*rng.choices(vocab, k=rng.randint(0, 30)), *words, *rng.choices(vocab, k=rng.randint(0, 30))]))
+    got = {(f[0], f[1]): f[2] for f in decontaminate._find(index, texts)}
+    for d, t in enumerate(texts):
+        for i, x in enumerate(items):
+            least = edits(x, t.split())
+            assert got.get((d, i)) == (least if least <= len(x) // 5 else None)
+
+
 def test_contamination_in_blocks_and_without_items(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 8)
     items = ["one two three four five six seven eight nine ten eleven twelve thirteen fourteen", "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"]
