@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, decontaminate, fingerprints, html_text, language_id, secrets, simhash, toxicity, url_rules
+from reviewlake.llm import bpe, chat, conversations, decontaminate, fingerprints, html_text, language_id, mixing, phrases, secrets, simhash, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +95,26 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages, keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"), min_count=30, top=2000)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document; sources weigh 3, 1, 2, repeating, and share 150 % of all words."""
+    rows = mixing.mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest repair and the digest of the repaired text."""
+    turns = _table(spark, sf_dir, "conversations")
+    facts, edits = conversations.repair_conversations(conversations.damage_turns(turns))
+    empty = hashlib.sha256(b"").hexdigest()
+    columns = {"gaps": 0, "blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "cost": 0, "audit": "", "repaired_sha256": empty}
+    return conversations.merge_facts([turns.select("conv_id").distinct(), facts, conversations.repaired_digests(edits)], columns)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_paragraph_sketch": op2_paragraph_sketch,
@@ -104,6 +126,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_repair": op9_chat_repair,
     "op10_main_text": op10_main_text,
+    "op11_collocations": op11_collocations,
+    "op12_source_mix": op12_source_mix,
+    "op13_conversation_repair": op13_conversation_repair,
 }
-
-
