@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.llm import bpe, decontaminate, language_id, secrets, simhash
-from reviewlake.llm.batches import column, fresh
+from reviewlake.llm.batches import column, cut, fresh
 from reviewlake.llm.queries import byte_bpe
 from reviewlake.session import checkpoint_dir
 
@@ -31,21 +31,27 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id in each near-duplicate group.
+    """Keeps one document of each near-duplicate group: the one of the least id, of equal ids that with the least text digest.
 
-    Rows that share an id are one document (one of them stays); rows without an id cannot be told apart
-    by it and stay.
+    Documents without an id come after all others. Rows that share id and text are one document, whatever their other columns say;
+    one of them stays. An id that stands for two texts names two documents.
     """
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    left = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").select(*[column(c) for c in docs.columns])
-    if groups.where("id is not null").groupBy("id").count().where("count > 1").isEmpty():
-        kept = left
-    else:
-        rank = fresh(docs, "__rank")
-        order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[column(c) for c in docs.columns]))
-        kept = left.withColumn(rank, F.row_number().over(order)).where(column(rank) == 1).drop(rank)
-    return kept.unionByName(docs.where("doc_id is null"))
+    cols = [column(c) for c in docs.columns]
+    handle = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.coalesce(F.sha2("text", 256), F.lit("")).alias("digest"))
+    key, data, order = fresh(docs, "__key"), fresh(docs, "__row"), fresh(docs, "__order")
+    spelled = lambda h: F.sha2(F.concat_ws(":", h["none"].cast("string"), h["id"].cast("string"), h["digest"]), 256)
+    groups = simhash.near_duplicates(docs.select(handle.alias("doc_id"), "text"))
+    first = groups.where(F.col("id").eqNullSafe(F.col("component"))).groupBy(spelled(F.col("id")).alias(key)).agg(F.count(F.lit(1)).alias("n"))
+    first = cut(first)
+    left = docs.select(*cols, spelled(handle).alias(key))
+    kept = left.join(first.select(key), key, "left_semi").select(*cols)
+    repeated = first.where("n > 1").select(key)
+    if repeated.isEmpty():
+        return kept
+    plain = [column(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    copies = left.join(repeated, key, "left_semi").select(key, F.struct(*cols).alias(data), F.xxhash64(*plain).alias(order))
+    one = copies.groupBy(key).agg(F.min_by(data, order).alias(data)).select(f"{data}.*")
+    return left.join(first.where("n = 1").select(key), key, "left_semi").select(*cols).unionByName(one)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

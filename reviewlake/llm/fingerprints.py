@@ -4,13 +4,15 @@ A sketch has three rows of cells; a digest falls into one cell of each row, and
 xor of its digests and the xor of their check sums. Sketches of two versions subtract cell by cell: what
 both have cancels, and cells left with one digest ("pure") give it up, which empties its other cells and
 makes further cells pure. The digests peeled this way are the paragraphs that differ. A difference too
-large for the sketch leaves cells behind; such pairs are sketched again with more cells until all peel.
+large for the sketch leaves cells behind; the size of what is left in the cells tells how many sketches of the same
+form, each for its share of the digests, the next attempt needs. Shares that fail again are cut further until all peel.
+
+A pair of versions is one row: sketches are small arrays, subtracted and peeled by higher-order functions, so the
+attempts move nothing between tasks; only the few shares that fail twice are written out and tried again.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,9 +30,10 @@ _PLACE = (r"[ \t,:=&/|](?=[bmpwBMPW07\u03ba\u03c4\u0432\u043f\u0441\u05d4\u0627\
 PARAGRAPH = rf"[^\n]{{0,{LONGEST - 1}}}?(?:{_SENTENCE}|{_PLACE})|[^\n]{{1,{LONGEST}}}"
 #: Passes over each row of cells in one attempt; what is not peeled by then is tried again with more cells.
 CYCLES = 3
-#: log2 of the range of ids that are sorted together, and of the number of such ranges named together.
-BUCKET_BITS = 6
-_COARSE_BITS = 10
+#: Differing digests that one sketch is meant for in a further attempt, and digests of a pair that are handled at once.
+SHARE, CHUNK = 6, 4096
+#: Rows that are sorted together to find their successors, and the most such groups there are (their first rows are broadcast by digest).
+GROUP_ROWS, MOST_GROUPS = 512, 200_000
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -42,100 +45,153 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit("check"))
 
 
-def _cell(key: Column, row: int, width: Column) -> Column:
-    """Index of a digest's cell in one row of ``width`` cells (a power of two), counted over all rows."""
-    return F.pmod(F.xxhash64(key, F.lit(row)), width) + row * width
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
-def base_sketch(digests: Column) -> Column:
-    """The stored sketch: array of (count, key, check) with 3 x ``BASE_ROW`` cells."""
-    width = F.lit(BASE_ROW).cast("long")
-    hits = F.transform(digests, lambda k: F.struct(k.alias("k"), _check(k).alias("c"), F.array(*[_cell(k, r, width) for r in range(3)]).alias("at")))
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
+def _places(key: Column, seed: Column) -> Column:
+    """The cells of a digest, one in each row of a sketch; attempts differ in ``seed``."""
+    return F.array(*[(F.pmod(F.xxhash64(key, seed, F.lit(r)), F.lit(BASE_ROW)) + r * BASE_ROW).cast("int") for r in range(3)])
+
 
-    def row_cells(all_hits: Column, r: int) -> Column:
-        return F.transform(F.sequence(F.lit(r * BASE_ROW), F.lit((r + 1) * BASE_ROW - 1)), lambda i: F.aggregate(
-            F.filter(all_hits, lambda h: h["at"][r] == i), zero,
-            lambda a, h: F.struct((a["n"] + 1).alias("n"), a["k"].bitwiseXOR(h["k"]).alias("k"), a["c"].bitwiseXOR(h["c"]).alias("c"))))
+def _add(cell: Column, hit: Column, sign: int | Column) -> Column:
+    return F.struct((cell["n"] + hit["n"] * sign).alias("n"), cell["k"].bitwiseXOR(hit["k"]).alias("k"), cell["c"].bitwiseXOR(hit["c"]).alias("c"))
 
-    def cells(all_hits: Column) -> Column:
-        return F.concat(*[row_cells(all_hits, r) for r in range(3)])
 
-    return F.flatten(F.transform(F.array(hits), cells))  # the inner array is bound once, not per cell
+def sketch(digests: Column, seed: Column) -> Column:
+    """Array of (n, k, c) with 3 x ``BASE_ROW`` cells."""
+    hits = F.transform(digests, lambda k: F.struct(F.lit(1).alias("n"), k.alias("k"), _check(k).alias("c"), _places(k, seed).alias("at")))
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
+    slots = F.sequence(F.lit(0), F.lit(3 * BASE_ROW - 1))
+    cells = lambda all_hits: F.transform(slots, lambda i: F.aggregate(
+        F.filter(all_hits, lambda h: h["at"][F.floor(i / BASE_ROW).cast("int")] == i), zero, lambda a, h: _add(a, h, 1)))
+    return _let(hits, cells)
 
 
-def sketch_text(sketch: Column) -> Column:
+def base_sketch(digests: Column) -> Column:
+    """The stored sketch."""
+    return sketch(digests, F.lit(0))
+
+
+def sketch_text(cells: Column) -> Column:
     """A sketch as text: count, key and check of each cell in hex."""
-    return F.array_join(F.transform(sketch, lambda c: F.concat_ws(".", F.hex(c["n"].cast("long")), F.hex(c["k"]), F.hex(c["c"]))), "-")
+    return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["n"].cast("long")), F.hex(c["k"]), F.hex(c["c"]))), "-")
+
+
+def subtract(first: Column, second: Column) -> Column:
+    """Cell by cell difference of two sketches."""
+    return F.zip_with(first, second, lambda a, b: _add(a, b, -1))
 
 
-def _peel(cells: DataFrame, keys: list[str], width: str, digests: bool) -> DataFrame:
-    """``cells`` (keys, width, slot, n, k, c) of differences -> (keys, left, n_gained, n_lost[, gained, lost]):
-    the number of cells that did not peel, and the digests peeled from the second and the first version.
+def _full(cell: Column) -> Column:
+    return (cell["n"] != 0) | (cell["k"] != 0) | (cell["c"] != 0)
+
+
+_GOT = "array<struct<n: int, k: bigint>>"
+
+
+def peel(cells: Column, seed: Column) -> Column:
+    """(left, got) of a difference of sketches: whether cells remain, and the digests with their sign (1: of the first version only).
 
     Pass after pass the pure cells of one row hand their digest to its three cells with the opposite sign; a
-    digest has one cell in a row, so it is handed on once. ``cells`` come dealt by ``keys`` and every pass
-    groups within them, so no pass shuffles.
+    digest has one cell in a row, so it is handed on once.
     """
-    empty = (F.col("n") == 0) & (F.col("k") == 0) & (F.col("c") == 0)
-    now = cells.select(*keys, width, F.lit(False).alias("peeled"), "slot", "n", "k", "c").where(~empty)
-    for i in range(3 * CYCLES):
+
+    def one_pass(state: Column, i: Column) -> Column:
         row = i % 3
-        w = F.col(width)
-        pure = ((~F.col("peeled")) & (F.col("n").isin(1, -1)) & (F.col("c") == _check(F.col("k"))) & (F.col("slot") >= row * w)
-                & (F.col("slot") < (row + 1) * w) & (F.col("slot") == _cell(F.col("k"), row, w)))
-        entry = lambda peeled, slot, n, k, c: F.struct(
-            peeled.alias("peeled"), slot.alias("slot"), n.alias("n"), k.alias("k"), c.alias("c"))
-        same = entry(F.col("peeled"), F.col("slot"), F.col("n"), F.col("k"), F.col("c"))
-        gone = [entry(F.lit(False), _cell(F.col("k"), r, w), -F.col("n"), F.col("k"), F.col("c")) for r in range(3) if r != row]
-        kept = entry(F.lit(True), F.col("k"), F.col("n"), F.lit(0).cast("long"), F.lit(0).cast("long"))
-        rows = now.select(*keys, width, F.explode(F.when(pure, F.array(kept, *gone)).otherwise(F.array(same))).alias("e")).select(*keys, width, "e.*")
-        now = rows.groupBy(*keys, width, "peeled", "slot").agg(
-            F.sum("n").cast("int").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c")).where(F.col("peeled") | ~empty)
-    of = lambda sign: F.col("peeled") & (F.col("n") * sign > 0)
-    lists = [F.array_sort(F.collect_list(F.when(of(s), F.col("slot")))).alias(name) for s, name in ((-1, "gained"), (1, "lost"))]
-    return now.groupBy(*keys).agg(F.count_if(~F.col("peeled")).alias("left"), F.count_if(of(-1)).alias("n_gained"), F.count_if(of(1)).alias("n_lost"),
-                                  *(lists if digests else []))
-
-
-def _signed(digests: Column, sign: int) -> Column:
-    return F.transform(digests, lambda k: F.struct(k.alias("k"), F.lit(sign).alias("n")))
-
-
-def differing_digests(pairs: DataFrame, keys: list[str], first: str, second: str, digests: bool = True) -> DataFrame:
-    """(keys, n_gained, n_lost[, gained, lost]) for each pair of digest arrays that differ: digests only in
-    ``second``, only in ``first``.
-
-    The fingerprints' own sketches are subtracted first. Pairs that do not peel are sketched anew with
-    cells for all their digests, then with twice as many, until none is left; the loop sees only whether
-    pairs remain. ``keys`` tell the pairs apart; pairs without a difference have no row. Each attempt
-    deals its pairs by ``keys`` once.
+        own = F.slice(F.transform(state["cells"], lambda c, at: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["c"].alias("c"), at.alias("slot"))),
+                      row * BASE_ROW + 1, F.lit(BASE_ROW))
+        pure = F.filter(own, lambda c: c["n"].isin(1, -1) & (c["c"] == _check(c["k"])))
+        placed = F.filter(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["c"].alias("c"), c["slot"].alias("slot"),
+                                                               _places(c["k"], seed).alias("at"))), lambda c: c["at"][row] == c["slot"])
+
+        def handed(found: Column) -> Column:
+            cells = F.transform(state["cells"], lambda c, at: F.aggregate(
+                F.filter(found, lambda p: p["at"][F.floor(at / BASE_ROW).cast("int")] == at), c, lambda a, p: _add(a, p, -1)))
+            got = F.concat(state["got"], F.transform(found, lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"))))
+            return F.when(F.size(found) == 0, state).otherwise(F.struct(cells.alias("cells"), got.alias("got")))
+
+        return F.when(~F.exists(state["cells"], _full), state).otherwise(_let(placed, handed))
+
+    start = F.struct(cells.alias("cells"), F.expr(f"cast(array() as {_GOT})").alias("got"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(3 * CYCLES - 1)), start, one_pass,
+                       lambda s: F.struct(F.exists(s["cells"], _full).alias("left"), s["got"].alias("got")))
+
+
+def _power(n: Column) -> Column:
+    """The least power of two that is not below ``n``."""
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n.cast("double"), F.lit(1.0))))).cast("long")
+
+
+def _among(digests: Column, shift: int, parts: Column, part: Column) -> Column:
+    """The digests of one of ``parts`` (a power of two) shares, told apart by the digests' own bits."""
+    return F.filter(digests, lambda k: F.shiftrightunsigned(k, shift).bitwiseAND(parts - 1) == part)
+
+
+def difference(first: Column, second: Column, base: Column, attempt: int = 1) -> Column:
+    """(got, failed) of two digest arrays whose subtracted sketch ``base`` did not peel.
+
+    The squares of the counts in ``base`` sum up to about the number of differing digests per row; there is one
+    sketch for every ``SHARE`` of them (as many as both arrays hold at most). ``failed`` has the (first, second) of the shares that did
+    not peel. Each attempt takes its shares by other bits and its cells by another seed.
     """
-    done: list[DataFrame] = []
-    rest = pairs.select(*keys, column(first).alias("first"), column(second).alias("second"))
-    attempt = 0
+    seed = F.lit(attempt)
+    squares = F.aggregate(base, F.lit(0), lambda a, c: a + F.least(c["n"] * c["n"], F.lit(1 << 20))) / 3
+    nothing = F.struct(F.expr(f"cast(array() as {_GOT})").alias("got"), F.expr("cast(array() as array<struct<first: array<bigint>, second: array<bigint>>>)").alias("failed"))
+
+    def share(acc: Column, a: Column, b: Column) -> Column:
+        def taken(r: Column) -> Column:
+            got = F.when(r["left"], acc["got"]).otherwise(F.concat(acc["got"], r["got"]))
+            failed = F.when(r["left"], F.concat(acc["failed"], F.array(F.struct(a.alias("first"), b.alias("second"))))).otherwise(acc["failed"])
+            return F.struct(got.alias("got"), failed.alias("failed"))
+
+        return _let(peel(subtract(sketch(a, seed), sketch(b, seed)), seed), taken)
+
+    def chunk(acc: Column, both: Column, chunks: Column) -> Column:
+        size = F.size(both["a"]) + F.size(both["b"])
+        shares = F.greatest(_power(F.least(squares / chunks, size.cast("double")) / SHARE), F.lit(2).cast("long"))
+        split = lambda n: F.aggregate(F.sequence(F.lit(0).cast("long"), n - 1), acc, lambda acc2, i: _let(
+            F.struct(_among(both["a"], 8 * attempt % 40, n, i).alias("a"), _among(both["b"], 8 * attempt % 40, n, i).alias("b")), lambda part: share(acc2, part["a"], part["b"])))
+        return _let(shares, split)
+
+    in_chunks = lambda chunks: F.aggregate(F.sequence(F.lit(0).cast("long"), chunks - 1), nothing, lambda acc, i: _let(
+        F.struct(_among(first, 48, chunks, i).alias("a"), _among(second, 48, chunks, i).alias("b")), lambda both: chunk(acc, both, chunks)))
+    return _let(_power((F.size(first) + F.size(second)) / CHUNK), in_chunks)
+
+
+def compare(first: Column, second: Column, first_sketch: Column, second_sketch: Column) -> Column:
+    """(got, failed) of two versions: their sketches subtracted and peeled, then with more cells where that fails."""
+    seed = F.lit(0)
+    none = F.expr("cast(array() as array<struct<first: array<bigint>, second: array<bigint>>>)")
+    return _let(subtract(first_sketch, second_sketch), lambda base: _let(peel(base, seed), lambda r: F.when(
+        r["left"], difference(first, second, base)).otherwise(F.struct(r["got"].alias("got"), none.alias("failed")))))
+
+
+def _counted(got: Column, digests: bool) -> list[Column]:
+    of = lambda sign: F.filter(got, lambda g: g["n"] == sign)
+    keys = lambda sign: F.transform(of(sign), lambda g: g["k"])
+    return [F.size(of(-1)).alias("n_gained"), F.size(of(1)).alias("n_lost"), *([keys(-1).alias("gained"), keys(1).alias("lost")] if digests else [])]
+
+
+def retry(failed: DataFrame, keys: list[str], digests: bool) -> DataFrame:
+    """(keys, n_gained, n_lost[, gained, lost]) over the shares of ``failed`` (keys, first, second), attempt after attempt until all peel.
+
+    ``keys`` name the pair a share belongs to; a pair's shares are summed. The loop sees only whether shares remain.
+    """
+    done, attempt = None, 2
+    rest = failed
     while True:
-        dealt = rest.repartition(*keys)
-        if attempt == 0:
-            both = F.arrays_zip(base_sketch(F.col("first")).alias("a"), base_sketch(F.col("second")).alias("b"))
-            cells = dealt.select(*keys, F.lit(BASE_ROW).cast("long").alias("width"), F.posexplode(both)).select(
-                *keys, "width", F.col("pos").cast("long").alias("slot"), (F.col("col.a.n") - F.col("col.b.n")).alias("n"),
-                F.col("col.a.k").bitwiseXOR(F.col("col.b.k")).alias("k"), F.col("col.a.c").bitwiseXOR(F.col("col.b.c")).alias("c"))
-        else:
-            need = F.size("first") + F.size("second")
-            width = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(need, F.lit(1)) * 0.8)) + attempt - 1).cast("long")
-            hits = dealt.select(*keys, F.greatest(width, F.lit(4).cast("long")).alias("width"),
-                                F.explode(F.concat(_signed(F.col("first"), 1), _signed(F.col("second"), -1))).alias("h"))
-            hits = hits.select(*keys, "width", F.col("h.n").alias("n"), F.col("h.k").alias("k"), _check(F.col("h.k")).alias("c"))
-            hits = hits.select(*keys, "width", "n", "k", "c", F.explode(F.array(*[_cell(F.col("k"), r, F.col("width")) for r in range(3)])).alias("slot"))
-            cells = hits.groupBy(*keys, "width", "slot").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
-        result = cut(_peel(cells, keys, "width", digests))
-        done.append(result.where("left = 0").drop("left"))
-        failed = result.where("left > 0").select(*keys)
-        if failed.isEmpty():
-            return reduce(DataFrame.unionByName, done)
+        base = subtract(sketch(F.col("first"), F.lit(attempt)), sketch(F.col("second"), F.lit(attempt)))
+        tried = cut(rest.repartition(*keys).select(*keys, F.size("first").alias("_n"), _let(base, lambda c: difference(F.col("first"), F.col("second"), c, attempt)).alias("r")))
+        part = tried.select(*keys, *_counted(F.col("r.got"), digests))
+        done = part if done is None else done.unionByName(part)
+        rest = tried.select(*keys, F.explode("r.failed").alias("f")).select(*keys, "f.first", "f.second")
+        if rest.isEmpty():
+            break
         attempt += 1
-        rest = pairs.join(failed, keys, "left_semi").select(*keys, column(first).alias("first"), column(second).alias("second"))
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("gained", "lost")] if digests else []  # as long as the text's own digests
+    return done.groupBy(*keys).agg(F.sum("n_gained").alias("n_gained"), F.sum("n_lost").alias("n_lost"), *lists)
 
 
 def likeness(size_a: Column, size_b: Column, differing: Column) -> Column:
@@ -144,34 +200,72 @@ def likeness(size_a: Column, size_b: Column, differing: Column) -> Column:
     return F.when(union > 0, (union - differing) / union).otherwise(F.lit(1.0))
 
 
-def with_next(rows: DataFrame, order: str, tie: str, carry: list[str]) -> DataFrame:
-    """Adds ``next_<c>`` for each column of ``carry``: its value in the row of the next lower ``order``.
+def _scale(rows: DataFrame, order: str) -> tuple[Column, float, float, int]:
+    """(the order's values on a line, its least and largest, the number of rows). Values that the line cannot tell apart stay together.
+
+    Numbers, dates and times lie by their size; text and bytes by the six bytes behind what the least and the largest have in
+    common, so ids with a common beginning spread as well.
+    """
+    kind = rows.schema[order].dataType.simpleString()
+    value = column(order)
+    if kind in ("string", "binary") or kind.startswith(("char", "varchar")):
+        raw = value.cast("binary")
+        least, largest, n = rows.agg(F.hex(F.min(raw)), F.hex(F.max(raw)), F.count(F.lit(1))).first()
+        same = 0
+        while least and largest and same < min(len(least), len(largest)) and least[same:same + 2] == largest[same:same + 2]:
+            same += 2
+        digits = F.rpad(F.substring(F.hex(raw), same + 1, 12), 12, "0")
+        return F.conv(digits, 16, 10).cast("double"), 0.0, float(1 << 48), n
+    line = F.unix_micros(value).cast("double") if kind == "timestamp" else F.unix_date(value).cast("double") if kind == "date" else value.cast("double")
+    least, largest, n = rows.agg(F.min(line), F.max(line), F.count(F.lit(1))).first()
+    return line, least or 0.0, largest or 0.0, n
+
+
+def _chain(groups: DataFrame) -> DataFrame:
+    """(bucket, after): for each row of ``groups`` (bucket, first, second) the hashes of the first row of the next lower bucket; the lowest is followed by the highest.
+
+    At most ``MOST_GROUPS`` narrow rows; they are sorted in ranges, and one row a range names the next range's first.
+    """
+    rows = cut(groups.repartitionByRange(F.col("bucket").desc()).sortWithinPartitions(F.col("bucket").desc()).withColumn("part", F.spark_partition_id()))
+    inside = Window.partitionBy("part").orderBy(F.col("bucket").desc())
+    whole = Window.orderBy("part")
+    heads = rows.withColumn("at", F.row_number().over(inside)).where("at = 1").select("part", F.struct("first", "second").alias("head"))
+    heads = heads.select("part", F.coalesce(F.lead("head").over(whole), F.first("head").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("turn"))
+    return rows.withColumn("after", F.lead(F.struct("first", "second")).over(inside)).join(heads, "part").select(
+        "bucket", F.coalesce("after", "turn").alias("after"))
+
+
+def with_next(rows: DataFrame, order: str, tie: str, carry: list[str], derive=None) -> DataFrame:
+    """Adds ``next_<c>`` for each column of ``carry``: its value in the row of the next lower ``order`` (of any type that sorts).
 
     The last row's next is the first; nulls come last; rows of equal order follow ``tie`` (a long). Rows are
-    sorted in buckets of neighbouring values, so no task sees the whole table; only one narrow row per
-    coarse bucket (2 ** 16 values) meets in one place to name the following bucket.
-    Also adds ``bucket`` and ``place``, which together identify a row.
+    sorted in groups of neighbours, so no task sees the whole table and ids may be dense, sparse or hashed; rows of
+    equal order (but null) share a group. ``derive`` adds columns to rows; it runs once a row. Also adds ``bucket`` and ``place``, which
+    together identify a row.
     """
-    value = column(order).cast("long")
-    # buckets of null values lie below those of all longs
-    number = F.when(value.isNull(), F.lit(-(1 << 62)) + F.shiftright(column(tie), 40)).otherwise(F.shiftright(value, BUCKET_BITS))
-    df = rows.withColumn("bucket", number)
-    w = Window.partitionBy("bucket").orderBy(value.desc_nulls_last(), column(tie).desc())
-    df = df.withColumn("place", F.row_number().over(w))
+    derive = derive or (lambda df: df)
+    line, least, largest, n = _scale(rows, order)
+    groups = min(max(n // GROUP_ROWS, 1), MOST_GROUPS)
+    width = (largest - least) / groups or 1.0
+    # nulls lie below all values, in groups by their tie
+    nulls = F.lit(-1) - F.floor((F.lit(float(1 << 63)) - column(tie).cast("double")) / (float(1 << 64) / groups)).cast("long")
+    number = F.when(column(order).isNull(), nulls).otherwise(F.floor((line - least) / width).cast("long"))
+    hashes = [F.xxhash64(F.lit(i), column(order), column(tie)).alias(name) for i, name in enumerate(("first", "second"))]
+    placed = rows.withColumn("bucket", number)
+    rank = F.struct(column(order).isNotNull().alias("some"), column(order).alias("value"), column(tie).alias("tie"))
+    tops = placed.select("bucket", rank.alias("rank"), *hashes).groupBy("bucket").agg(F.max_by(F.struct("first", "second"), "rank").alias("h")).select("bucket", "h.*")
+    chain = cut(_chain(tops))
     packed = F.struct(*[column(c).alias(c) for c in carry])
-    df = df.withColumn("following", F.lead(packed).over(w))
-    buckets = rows.select(number.alias("bucket")).distinct().withColumn("coarse", F.shiftright("bucket", _COARSE_BITS))
-    inner = Window.partitionBy("coarse").orderBy(F.col("bucket").desc())
-    chain = buckets.withColumn("after", F.lead("bucket").over(inner))
-    tops = buckets.groupBy("coarse").agg(F.max("bucket").alias("top"))
-    whole = Window.orderBy(F.col("coarse").desc())
-    tops = tops.select("coarse", F.coalesce(F.lead("top").over(whole), F.first("top").over(whole)).alias("turn"))
-    chain = chain.join(tops, "coarse").select("bucket", F.coalesce("after", "turn").alias("after"))
-    firsts = df.where("place = 1").select(F.col("bucket").alias("after"), packed.alias("edge"))
-    edges = chain.join(firsts, "after").select("bucket", "edge")
+    # the first rows of the groups, found again by their hashes: sixteen bytes a group to every task
+    wanted = F.broadcast(chain.select("after.*").distinct())
+    firsts = derive(placed.select("*", *hashes).join(wanted, ["first", "second"], "left_semi"))
+    edges = chain.select("bucket", "after.first", "after.second").join(
+        firsts.groupBy("first", "second").agg(F.any_value(packed).alias("edge")), ["first", "second"]).select("bucket", "edge")
+    w = Window.partitionBy("bucket").orderBy(column(order).desc_nulls_last(), column(tie).desc())
+    df = derive(placed).withColumn("place", F.row_number().over(w)).withColumn("following", F.lead(packed).over(w))
     df = df.join(edges, "bucket", "left")
-    return df.select(*[column(c) for c in rows.columns], "bucket", "place",
-                     *[F.coalesce(F.col("following"), F.col("edge"))[c].alias(f"next_{c}") for c in carry])
+    kept = [c for c in df.columns if c not in ("following", "edge", "bucket", "place")]
+    return df.select(*[column(c) for c in kept], "bucket", "place", *[F.coalesce(F.col("following"), F.col("edge"))[c].alias(f"next_{c}") for c in carry])
 
 
 def fingerprint_versions(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", digests: bool = True) -> DataFrame:
@@ -181,27 +275,38 @@ def fingerprint_versions(docs: DataFrame, text_col: str = "text", id_col: str =
     descending id (see ``with_next``; a table of one row follows itself). Returns the id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and, with ``digests``, the peeled
     ``edited_gained`` / ``edited_lost``. Null texts count as empty; the likeness of two empty texts is 1, of
-    an empty and another 0. Equal texts have equal fingerprints. Rows of equal id stay separate rows.
-    Other columns are ignored. What is kept between the steps are digests, not texts.
+    an empty and another 0. Equal texts have equal fingerprints. Ids may be of any type that sorts; rows of equal id stay
+    separate rows. Other columns are ignored. The text is shuffled once; what is kept is narrow.
     """
     rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("digests", paragraph_digests(F.col("text")))
-    rows = with_next(rows, "id", "tie", ["text", "digests"])
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    rows = with_next(rows, "id", "tie", ["text", "digests"], lambda df: df.withColumn("digests", paragraph_digests(F.col("text"))))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
+    one = F.explode(F.array(F.struct(F.unhex(F.sha2("edited", 256)).alias("edited_sha"), paragraph_digests(F.col("edited")).alias("edited_digests"))))
     rows = rows.select("bucket", "place", "id", F.length("text").cast("long").alias("n_chars"), "digests", "next_digests", edited.alias("edited"))
-    rows = cut(rows.select("bucket", "place", "id", "n_chars", "digests", "next_digests", F.unhex(F.sha2("edited", 256)).alias("edited_sha"),
-                           paragraph_digests(F.col("edited")).alias("edited_digests")))
-    sides = F.array(F.struct(F.lit(0).alias("version"), F.col("edited_digests").alias("other")), F.struct(F.lit(1).alias("version"), F.col("next_digests").alias("other")))
-    pairs = rows.select("bucket", "place", "digests", F.explode(sides).alias("s")).select("bucket", "place", "digests", "s.*")
-    found = differing_digests(pairs, ["bucket", "place", "version"], "digests", "other", digests)
-    kept = [c for c in found.columns if c not in ("bucket", "place", "version")]
+    rows = rows.select("bucket", "place", "id", "n_chars", "digests", "next_digests", one.alias("e"))  # exploded as a list of one: made once
+    cells = F.explode(F.array(F.struct(*[base_sketch(F.col(c)).alias(name) for c, name in (("digests", "own"), ("e.edited_digests", "edited"), ("next_digests", "next"))])))
+    rows = rows.select("*", cells.alias("s"))
+    found = F.explode(F.array(F.struct(compare(F.col("digests"), F.col("e.edited_digests"), F.col("s.own"), F.col("s.edited")).alias("edited"),
+                                       compare(F.col("digests"), F.col("next_digests"), F.col("s.own"), F.col("s.next")).alias("next"))))
+    sizes = [F.size(c).alias(n) for c, n in (("digests", "n_own"), ("e.edited_digests", "n_edited"), ("next_digests", "n_next"))]
+    rows = rows.select("bucket", "place", "id", "n_chars", "e.edited_sha", F.col("s.own").alias("own"), F.col("s.edited").alias("edited"), *sizes, found.alias("f"))
+    versions = ("edited", "next")
+    counts = [c.alias(f"{v}_{name}") for v in versions for c, name in zip(_counted(F.col(f"f.{v}.got"), digests and v == "edited"), ("n_gained", "n_lost", "gained", "lost"), strict=False)]
+    rows = cut(rows.select("bucket", "place", "id", "n_chars", "edited_sha", "own", "edited", "n_own", "n_edited", "n_next", *counts,
+                           *[F.col(f"f.{v}.failed").alias(f"{v}_failed") for v in versions]))
+    sides = F.array(*[F.struct(F.lit(v).alias("version"), F.col(f"{v}_failed").alias("failed")) for v in versions])
+    failed = rows.where("size(edited_failed) + size(next_failed) > 0").select("bucket", "place", F.explode(sides).alias("s")).select(
+        "bucket", "place", "s.version", F.explode("s.failed").alias("f")).select("bucket", "place", "version", "f.first", "f.second")
+    more = retry(failed, ["bucket", "place", "version"], digests)
     of = lambda v, c: F.max(F.when(F.col("version") == v, F.col(c)))
-    found = found.groupBy("bucket", "place").agg(*[of(v, c).alias(f"{name}_{c}") for v, name in enumerate(("edited", "next")) for c in kept])
-    done = rows.join(found, ["bucket", "place"], "left")
-    count = lambda v: sum((F.coalesce(F.col(f"{v}_{c}"), F.lit(0)) for c in ("n_gained", "n_lost")), F.lit(0))
-    near = lambda v: likeness(F.size("digests"), F.size(f"{v}_digests"), count(v)).alias(f"near_{v}")
+    extra = [c for c in more.columns if c not in ("bucket", "place", "version")]
+    more = more.groupBy("bucket", "place").agg(*[of(v, c).alias(f"{v}_{c}_more") for v in versions for c in extra])
+    done = rows.join(more, ["bucket", "place"], "left")
+    count = lambda v: sum((F.col(f"{v}_{c}") + F.coalesce(F.col(f"{v}_{c}_more"), F.lit(0)) for c in ("n_gained", "n_lost")), F.lit(0))
+    near = lambda v: likeness(F.col("n_own"), F.col(f"n_{v}"), count(v)).alias(f"near_{v}")
     none = F.expr("cast(array() as array<bigint>)")
-    lists = [F.coalesce(F.col(c), none).alias(c) for c in ("edited_gained", "edited_lost")] if digests else []
-    return done.select("id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), sketch_text(base_sketch(F.col("digests"))).alias("fingerprint"),
-                       sketch_text(base_sketch(F.col("edited_digests"))).alias("edited_fingerprint"), near("edited"), near("next"), *lists)
+    lists = [F.array_sort(F.concat(f"edited_{c}", F.coalesce(F.col(f"edited_{c}_more"), none))).alias(f"edited_{c}") for c in ("gained", "lost")] if digests else []
+    return done.select("id", "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), sketch_text(F.col("own")).alias("fingerprint"),
+                       sketch_text(F.col("edited")).alias("edited_fingerprint"), near("edited"), near("next"), *lists)

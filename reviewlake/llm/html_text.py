@@ -51,14 +51,19 @@ APART = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|disqus|respond|relat
 #: Elements whose subtrees may be template.
 CONTAINERS = set("div section ul ol dl table header center figure details fieldset tr li dd dt".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
+#: A quote opens a value only behind an equals sign; elsewhere, as in ``title=it's``, it is a character like any other.
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)", re.S)
 #: A last tag that is cut off, perhaps inside a quoted value.
 _OPEN_TAG = re.compile(r"</?[a-zA-Z][^>]*\Z")
-_ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s\"'/>]|\Z)", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+#: What a form around a whole page holds, and a form of the page does not.
+FRAME = set("h1 nav".split())
+#: Elements that the search for an open item, its list or an open paragraph may stop at; all others are skipped at once.
+_ANCHORS = set("p article body button table ul ol menu dl select".split()) | set(CLOSES)
 
 
 class _Node:
-    __slots__ = ("tag", "marks", "parent", "parts", "article", "hash", "gone", "marked", "main", "holds")
+    __slots__ = ("tag", "marks", "parent", "parts", "article", "hash", "gone", "marked", "main", "holds", "frames", "anchor")
 
     def __init__(self, tag: str, marks: str, parent: _Node | None) -> None:
         self.tag, self.marks, self.parent, self.parts = tag, marks, parent, []
@@ -69,11 +74,18 @@ class _Node:
         self.marked = bool(plain) and not self.main and bool(MARKS.search(plain) or (not self.article and OUTER.search(plain)))
         self.gone = self.marked or tag in FURNITURE or _HIDDEN in marks or (tag == "header" and not self.article)
         self.hash = 0
+        self.frames = False  # a page's own parts, at any depth
+        self.anchor = parent if parent is None or parent.tag in _ANCHORS else parent.anchor
         if self.main:
             up = parent
             while up is not None and not up.holds:
                 up.holds = True
                 up = up.parent
+        if tag in FRAME:
+            up = parent
+            while up is not None and not up.frames:
+                up.frames = True
+                up = up.parent
 
 
 #: Stands among the marks for the attribute ``hidden``.
@@ -86,10 +98,9 @@ def _plain(marks: str) -> str:
 
 
 def _spare_articles(root: _Node) -> None:
-    """Takes back that elements which hold an article or main part are furniture by a class word (see ``APART``)."""
-    if not root.holds:
-        return
-    nodes = list(_walk(root))
+    """Takes back that elements which hold an article or main part are furniture by a class word (see ``APART``), and that a form
+    around an article or around a page's own parts is a form."""
+    nodes = list(_walk(root)) if root.holds or root.frames else []
     apart = {id(n) for n in nodes if n.marked and n.holds and APART.search(_plain(n.marks))}
     elsewhere = False
     for node in nodes if apart else ():
@@ -99,23 +110,48 @@ def _spare_articles(root: _Node) -> None:
                 up = up.parent
             elsewhere = up is None
     for node in nodes:
-        if node.marked and node.holds and not (elsewhere and id(node) in apart):
-            node.gone = node.tag in FURNITURE or _HIDDEN in node.marks or (node.tag == "header" and not node.article)
+        shell = node.tag == "form" and (node.holds or node.frames)
+        spared = node.marked and node.holds and not (elsewhere and id(node) in apart)
+        if shell or spared:
+            by_element = (node.tag in FURNITURE and not shell) or (node.tag == "header" and not node.article)
+            node.gone = by_element or _HIDDEN in node.marks or (node.marked and not spared)
 
 
 def _attributes(text: str) -> str:
     found = []
     for name, a, b, c in _ATTR.findall(text):
-        name = name.lower()
-        found.append(_HIDDEN if name == "hidden" or (name == "aria-hidden" and (a or b or c).lower() == "true") else "" if name == "aria-hidden" else a or b or c)
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            found.append(_HIDDEN)
+        elif name in ("class", "id", "role"):
+            found.append(value)
     return " ".join(f for f in found if f)
 
 
+def _open_anchor(node: _Node | None, wanted, stop) -> _Node | None:
+    """The nearest open element from ``node`` up whose tag is in ``wanted``, unless one in ``stop`` stands before it."""
+    up = node if node is None or node.tag in _ANCHORS else node.anchor
+    while up is not None and up.tag not in wanted:
+        if up.tag in stop:
+            return None
+        up = up.anchor
+    return up
+
+
 def parse(page: str) -> _Node:
     """The page's tree: nodes hold text pieces and child nodes. Unclosed and misplaced tags are mended as
     browsers do in the common cases: implied ends, void elements, stray end tags; a cut last tag is dropped."""
     root = _Node("html", "", None)
     node, at, n = root, 0, len(page)
+    opened: dict[str, int] = {}  # open elements per tag, so that a stray end tag costs nothing
+
+    def close(to: _Node) -> _Node:
+        up = node
+        while up is not to:
+            opened[up.tag] -= 1
+            up = up.parent
+        return to
+
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
@@ -133,26 +169,22 @@ def parse(page: str) -> _Node:
             break
         tag = tag.lower()
         if m.group(1):
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if opened.get(tag):
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                node = close(up.parent)
             continue
         if tag in ("html", "body"):
             continue
-        if tag in BLOCK:
-            up = node
-            while up is not None and up.tag != "p" and up.tag not in ("article", "body", "button", "td", "th", "table"):
-                up = up.parent
-            if up is not None and up.tag == "p":
-                node = up.parent
-        if tag in CLOSES:
-            up = node
-            while up is not None and up.tag not in _SCOPE[tag] and up.tag not in CLOSES[tag]:
-                up = up.parent
+        if tag in BLOCK and opened.get("p"):
+            up = _open_anchor(node, ("p",), ("article", "body", "button", "td", "th", "table"))
+            if up is not None:
+                node = close(up.parent)
+        if tag in CLOSES and any(opened.get(t) for t in CLOSES[tag]):
+            up = _open_anchor(node, CLOSES[tag], _SCOPE[tag])
             while up is not None and up.tag in CLOSES[tag]:
-                node = up.parent
+                node = close(up.parent)
                 up = node
         child = _Node(tag, _attributes(m.group(3)) if "=" in m.group(3) or "hidden" in m.group(3) else "", node)
         node.parts.append(child)
@@ -164,6 +196,7 @@ def parse(page: str) -> _Node:
             continue
         if not m.group(3).endswith("/") or tag in BLOCK:
             node = child
+            opened[tag] = opened.get(tag, 0) + 1
     _spare_articles(root)
     return root
 
@@ -188,6 +221,11 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _may_be_template(node: _Node) -> bool:
+    """Containers, but in an article no single rows: only its lists, tables and sections."""
+    return node.tag in CONTAINERS and not (node.article and node.tag in ("li", "tr", "dd", "dt"))
+
+
 def blocks(root: _Node, template: set[int] | None = None) -> list[str]:
     """The text blocks that stay, in page order: of the articles (or main part) if there are any, else of the page."""
     whole = not any(node.article for node in _walk(root))
@@ -213,7 +251,7 @@ def blocks(root: _Node, template: set[int] | None = None) -> list[str]:
                 pieces.append(part)
         elif part.tag == "br":
             pieces.append(" ")
-        elif part.gone or (template and part.tag in CONTAINERS and _signed(part.hash) in template):
+        elif part.gone or (template and _may_be_template(part) and _signed(part.hash) in template):
             if part.tag in BLOCK:
                 flush()
         else:
@@ -233,7 +271,7 @@ def _candidates(root: _Node) -> tuple[set[int], int]:
     hash_subtrees(root)
     out = set()
     for node in _walk(root):
-        if node.tag in CONTAINERS and not node.gone and not (node.article and node.tag in ("li", "tr", "dd", "dt")):
+        if not node.gone and _may_be_template(node):
             out.add(_signed(node.hash))
     text = "\n".join(blocks(root))
     return out, _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")))

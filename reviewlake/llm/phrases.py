@@ -1,10 +1,13 @@
 """Phrase collocation mining after Toivonen.
 
 A sample of the documents proposes phrases: it is mined level by level (words, pairs, triples) with a lowered
-threshold. One pass over all documents then counts exactly every proposed phrase and the negative border: a
-phrase is counted where the phrases without its last and without its first word are both proposed. If
-a border phrase turns out frequent, it joins the proposed ones and a further pass counts what that adds, until
-no border phrase fails. Every frequent phrase has frequent parts, so then none is missed, whatever the sample.
+threshold. Full passes then count every proposed phrase and the negative border: a phrase is counted where the
+phrases without its last and without its first word are both proposed. If a border phrase turns out frequent, it joins
+the proposed ones and a further pass counts what that adds, until no border phrase fails. Every frequent phrase has
+frequent parts, so then none is missed, whatever the sample.
+
+Most of the border is rare. The first full pass therefore counts hashes: the count of a hash is never below that of
+a phrase with it. Phrases are spelled out and counted exactly in the second pass, and only where their hash reached the threshold.
 
 Proposed phrases are looked up in a Bloom filter of fixed size; a phrase that it lets pass by mistake is
 counted in vain and changes no result.
@@ -26,12 +29,12 @@ from pyspark.sql.types import ByteType, LongType, StringType, StructField, Struc
 from reviewlake.llm.batches import column, cut
 
 MAX_WORDS = 4
-#: Share of the documents that proposes phrases, and the counts in it that a proposed phrase must reach.
-SAMPLE = 0.1
-#: Bits of the filter of proposed phrases; every task holds one or two copies of it (8 MB each).
+#: Share of the documents that proposes phrases; a proposed phrase reaches this share of its part of the threshold there.
+SAMPLE, LOWERED = 0.2, 0.6
+#: Bits of a filter of phrases; every task holds up to three of them (8 MB each).
 FILTER_BITS = 1 << 26
 #: Tokens counted together within a task (local word numbers must fit 21 bits).
-SLICE_TOKENS = 1_500_000
+SLICE_TOKENS = 600_000
 #: Longer texts are cut into parts of about so many bytes; no phrase is lost at a cut.
 PART_BYTES = 1_000_000
 
@@ -39,7 +42,9 @@ PART_BYTES = 1_000_000
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else 46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 _BREAK = re.compile(rb"[ .]")
 _SPREAD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
-_COUNTS = StructType([StructField("lang", StringType()), StructField("k", ByteType()), StructField("phrase", StringType()), StructField("f", LongType())])
+_COUNTS = StructType([StructField("lang", StringType()), StructField("k", ByteType()), StructField("phrase", StringType()), StructField("h", LongType()),
+                      StructField("f", LongType())])
+_HASHES = StructType([StructField("h", LongType()), StructField("f", LongType())])
 
 
 class _Words(dict):
@@ -107,106 +112,138 @@ def _seed(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode())
 
 
-def _slice_counts(items: list, words: list[bytes], langs: list[str], levels: tuple[int, ...], table, old) -> Iterator[pa.RecordBatch]:
-    """Counts of one slice's phrases of ``levels`` words whose two parts are in ``table`` (and not both in ``old``)."""
-    size = sum(len(ids) + 1 for ids, _ in items)
-    w, starts, at = np.full(size + MAX_WORDS, -1, np.int64), np.zeros(size, bool), 0
-    for ids, n in items:
-        w[at:at + len(ids)] = ids
-        starts[at:at + n] = True
-        at += len(ids) + 1
-    starts &= w[:size] >= 0
-    words_a, langs_a = pa.array(words, pa.binary()).cast(pa.string()), pa.array(langs, pa.string())
-
-    def batch(k: int, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        parts = [words_a.take(pa.array(w[first + j])) for j in range(k)]
+class _Slice:
+    """The tokens of one slice as an array, and the hashes of the words."""
+
+    def __init__(self, items: list, words: list[bytes], langs: list[str]):
+        self.size = sum(len(ids) + 1 for ids, _ in items)
+        w, starts, at = np.full(self.size + MAX_WORDS, -1, np.int64), np.zeros(self.size, bool), 0
+        for ids, n in items:
+            w[at:at + len(ids)] = ids
+            starts[at:at + n] = True
+            at += len(ids) + 1
+        self.w, self.starts = w, starts & (w[:self.size] >= 0)
+        self.words, self.langs = pa.array(words, pa.binary()).cast(pa.string()), pa.array(langs, pa.string())
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words, map({g: _seed(g) for g in set(langs)}.__getitem__, langs)), np.uint64, len(words))
+
+    def places(self, levels: tuple[int, ...], table, old) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(k, places, hashes) of the phrases of ``levels`` words to be counted: both parts in ``table`` and not both in ``old``."""
+        size, w = self.size, self.w
+        whole = w >= 0
+        hw = np.zeros(len(w), np.uint64)
+        hw[whole] = self.hashes[w[whole]]
+        h = hw
+        if 1 in levels:
+            at = np.flatnonzero(self.starts)
+            yield 1, at, h[at]
+        for k in range(2, max(levels) + 1):
+            new = np.zeros(len(whole), bool)
+            new[whole] = _within(h[whole], table)
+            known = new[:-1] & new[1:]
+            if old is not None:
+                was = np.zeros(len(whole), bool)
+                was[new] = _within(h[new], old)
+                known &= ~(was[:-1] & was[1:])
+            h = _mix(h[:-1], hw[k - 1:])
+            whole = whole[:-1] & (w[k - 1:] >= 0)
+            if k in levels:
+                at = np.flatnonzero(known[:size] & whole[:size] & self.starts)
+                yield k, at, h[at]
+
+    def spelled(self, k: int, at: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+        """Exact counts of the k-word phrases at the given places; equal words have equal numbers, so no hash decides."""
+        w = self.w
+        if k < 4:
+            code = w[at]
+            for j in range(1, k):
+                code = (code << 21) | w[at + j]
+        else:
+            _, both = np.unique(np.concatenate([(w[at] << 21) | w[at + 1], (w[at + 2] << 21) | w[at + 3]]), return_inverse=True)
+            code = (both[:len(at)] << 31) | both[len(at):]
+        _, first, n = np.unique(code, return_index=True, return_counts=True)
+        place = at[first]
+        parts = [self.words.take(pa.array(w[place + j])) for j in range(k)]
         phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
-        return pa.RecordBatch.from_arrays([langs_a.take(pa.array(w[first])), pa.array(np.full(len(first), k, np.int8)), phrase, pa.array(n)], names=_COUNTS.names)
-
-    if 1 in levels:
-        n = np.bincount(w[:size][starts], minlength=len(words))
-        first = np.zeros(len(words), np.int64)
-        first[w[:size][starts][::-1]] = np.flatnonzero(starts)[::-1]
-        some = n > 0
-        yield batch(1, first[some], n[some])
-        per = pa.table({"lang": langs_a, "f": pa.array(n)}).group_by("lang").aggregate([("f", "sum")])
-        yield pa.RecordBatch.from_arrays([per["lang"].combine_chunks(), pa.array(np.zeros(len(per), np.int8)), pa.array([""] * len(per)),
-                                          per["f_sum"].combine_chunks()], names=_COUNTS.names)
-    if max(levels) < 2:
-        return
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words, map({g: _seed(g) for g in set(langs)}.__getitem__, langs)), np.uint64, len(words))
-    whole = w >= 0
-    hw = np.zeros(len(w), np.uint64)
-    hw[whole] = hashes[w[whole]]
-    h, k = hw, 1  # hash and wholeness of the k-word phrase at each place
-    while k < max(levels):
-        new = np.zeros(len(whole), bool)
-        new[whole] = _within(h[whole], table)
-        known = new[:-1] & new[1:]
-        if old is not None:
-            was = np.zeros(len(whole), bool)
-            was[new] = _within(h[new], old)
-            known &= ~(was[:-1] & was[1:])
-        k += 1
-        h = _mix(h[:-1], hw[k - 1:])
-        whole = whole[:-1] & (w[k - 1:] >= 0)
-        if k in levels:
-            sel = np.flatnonzero(known[:size] & whole[:size] & starts)
-            if not len(sel):
-                continue
-            if k < 4:
-                code = w[sel]
-                for j in range(1, k):
-                    code = (code << 21) | w[sel + j]
-            else:
-                pair = (w[:-1] << 21) | w[1:]
-                _, both = np.unique(np.concatenate([pair[sel], pair[sel + 2]]), return_inverse=True)
-                code = (both[:len(sel)] << 31) | both[len(sel):]
-            _, first, n = np.unique(code, return_index=True, return_counts=True)
-            yield batch(k, sel[first], n)
-
-
-def _counts(docs: DataFrame, levels: tuple[int, ...], bits=None, old=None) -> DataFrame:
-    """Exact counts (lang, k, phrase, f) over ``docs`` (lang, text); k = 0 counts the language's words."""
+        return pa.RecordBatch.from_arrays([self.langs.take(pa.array(w[place])), pa.array(np.full(len(place), k, np.int8)), phrase,
+                                           pa.array(h[first].view(np.int64)), pa.array(n)], names=_COUNTS.names)
+
+    def totals(self) -> pa.RecordBatch:
+        """The number of words per language, as rows with k = 0."""
+        n = np.bincount(self.w[:self.size][self.starts], minlength=len(self.words))
+        per = pa.table({"lang": self.langs, "f": pa.array(n)}).group_by("lang").aggregate([("f", "sum")])
+        return pa.RecordBatch.from_arrays([per["lang"].combine_chunks(), pa.array(np.zeros(len(per), np.int8)), pa.array([""] * len(per)),
+                                           pa.array(np.zeros(len(per), np.int64)), per["f_sum"].combine_chunks()], names=_COUNTS.names)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
+    words, langs, vocab, items, held = [], [], {}, [], 0
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()), strict=True):
+            for tokens, n in _parts(text.as_py() or b""):
+                if lang not in vocab:
+                    vocab[lang] = _Words(lang, words, langs)
+                items.append((np.fromiter(map(vocab[lang].__getitem__, tokens), np.int64, len(tokens)), n))
+                held += len(tokens)
+                if held >= SLICE_TOKENS:
+                    yield _Slice(items, words, langs)
+                    words, langs, vocab, items, held = [], [], {}, [], 0
+    if held:
+        yield _Slice(items, words, langs)
+
+
+def _table(bits) -> np.ndarray | None:
+    return None if bits is None else np.frombuffer(bits.value, np.uint64)
+
+
+def _hash_counts(docs: DataFrame, levels: tuple[int, ...], bits) -> DataFrame:
+    """(h, f): for each hash the number of phrases with it among those of ``levels`` words that ``bits`` asks for, over ``docs`` (lang, text).
+
+    Slices are counted in the tasks; the rows are exchanged as they are, since what is left hardly repeats in a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None if bits is None else np.frombuffer(bits.value, np.uint64)
-        before = None if old is None else np.frombuffer(old.value, np.uint64)
-        words, langs, vocab, items, held = [], [], {}, [], 0
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()), strict=True):
-                for tokens, n in _parts(text.as_py() or b""):
-                    if lang not in vocab:
-                        vocab[lang] = _Words(lang, words, langs)
-                    items.append((np.fromiter(map(vocab[lang].__getitem__, tokens), np.int64, len(tokens)), n))
-                    held += len(tokens)
-                    if held >= SLICE_TOKENS:
-                        yield from _slice_counts(items, words, langs, levels, table, before)
-                        words, langs, vocab, items, held = [], [], {}, [], 0
-        if held:
-            yield from _slice_counts(items, words, langs, levels, table, before)
+        table = _table(bits)
+        for part in _slices(batches):
+            for _, _, h in part.places(levels, table, None):
+                values, n = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=_HASHES.names)
+
+    return docs.mapInArrow(run, _HASHES).repartition("h").groupBy("h").agg(F.sum("f").alias("f"))
+
+
+def _counts(docs: DataFrame, bits, old, wanted) -> DataFrame:
+    """Exact counts (lang, k, phrase, h, f) of the phrases that ``bits`` asks for beyond ``old``, and of those of ``old`` whose hash is in ``wanted``.
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+    With ``wanted`` this counts words too, and k = 0 the words of a language.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, before, hashes = _table(bits), _table(old), _table(wanted)
+        for part in _slices(batches):
+            if hashes is not None:
+                yield part.totals()
+                for k, at, h in part.places(tuple(range(1, MAX_WORDS + 1)), before, None):
+                    some = _within(h, hashes)
+                    yield part.spelled(k, at[some], h[some])
+            if (table != before).any():
+                for k, at, h in part.places(tuple(range(2, MAX_WORDS + 1)), table, before):
+                    yield part.spelled(k, at, h)
 
+    return docs.mapInArrow(run, _COUNTS).groupBy(*_COUNTS.names[:-1]).agg(F.sum("f").alias("f"))
 
-def _filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
-    """Filter of the phrases of fewer than ``MAX_WORDS`` words in ``phrases``; as many words go to the driver whatever their number."""
+
+def _filter_of(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Filter of the column ``h``; as many numbers go to the driver whatever its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [[xxhash.xxh3_64_intdigest(t, _seed(g)) for t in p.encode().split(b" ")] for g, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            for k in range(1, MAX_WORDS):
-                rows = np.array([p for p in parts if len(p) == k], np.uint64).reshape(-1, k)
-                h = rows[:, 0]
-                for j in range(1, k):
-                    h = _mix(h, rows[:, j])
-                for p in _places(h, bits):
-                    yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int64))], names=["place"])
-
-    places = phrases.where(F.col("k").between(1, MAX_WORDS - 1)).select("lang", "phrase").mapInArrow(run, "place long")
+            for p in _places(b.column(0).to_numpy().view(np.uint64), bits):
+                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int64))], names=["place"])
+
+    places = hashes.select("h").mapInArrow(run, "place long")
     one = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    words = places.select(F.expr("shiftright(place, 6)").alias("word"), one.alias("v")).groupBy("word").agg(F.bit_or("v").alias("v"))
-    empty = phrases.sparkSession.range(bits >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("v"))
+    words = places.select(F.expr("shiftright(place, 6)").alias("word"), one.alias("v"))
+    empty = hashes.sparkSession.range(bits >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("v"))
     found = words.unionByName(empty).groupBy("word").agg(F.bit_or("v").alias("v")).toArrow()
     out = np.zeros(bits >> 6, np.uint64)
     out[found["word"].to_numpy()] = found["v"].to_numpy().view(np.uint64)
@@ -220,28 +257,29 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, text_col: str = "text
     Texts are lower-cased in A-Z, split into pieces at ``.,;:!?`` and line breaks and into words at spaces and tabs;
     occurrences may overlap and lie within a piece. Rows with k = 0 hold the number of all words. A null text counts as
     empty, a null language as ``und``; repeated rows count each; other columns are ignored; an empty table gives an empty table.
-    ``sample`` (0 to 1) only decides how much the first pass counts. Counts are summed in tasks before the shuffle, so neither
+    ``sample`` (0 to 1) only decides how much each pass counts. Counts are summed in tasks before the shuffle, so neither
     a frequent word nor a large language meets in one task.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("lang"), column(text_col).cast("string").alias("text"))
     share = rows.sample(False, sample, seed=7) if 0 < sample < 1 else rows
-    least = max(2, int(min_count * sample * 0.7))
-    table = np.zeros(filter_bits >> 6, np.uint64)
+    least = max(2, int(min_count * sample * LOWERED))
+    send = lambda table: spark.sparkContext.broadcast(table.tobytes())
+    proposed = np.zeros(filter_bits >> 6, np.uint64)
     for k in range(1, MAX_WORDS):
-        bits = spark.sparkContext.broadcast(table.tobytes())
-        proposed = _counts(share, (k,), bits).where((F.col("f") >= least) & (F.col("k") == k))
-        table = table | _filter_of(proposed, filter_bits)
-    known, old = None, None
+        proposed = proposed | _filter_of(_hash_counts(share, (k,), send(proposed)).where(F.col("f") >= least), filter_bits)
+    old = send(proposed)
+    hashed = cut(_hash_counts(rows, tuple(range(1, MAX_WORDS + 1)), old).where(F.col("f") >= min_count))
+    wanted = _filter_of(hashed, filter_bits)
+    grown, wanted, known = proposed | wanted, send(wanted), None  # a border phrase whose hash failed is proposed at once
     while True:
-        bits = spark.sparkContext.broadcast(table.tobytes())
-        levels = tuple(range(1 if known is None else 2, MAX_WORDS + 1))
-        found = cut(_counts(rows, levels, bits, old).where((F.col("f") >= min_count) | (F.col("k") == 0)))
+        bits = send(grown)
+        found = cut(_counts(rows, bits, old, wanted).where((F.col("f") >= min_count) | (F.col("k") == 0)))
         known = found if known is None else known.unionByName(found)
-        grown = table | _filter_of(found, filter_bits)
+        table, old, wanted = grown, bits, None
+        grown = table | _filter_of(found.where(F.col("k").between(1, MAX_WORDS - 1)), filter_bits)
         if (grown == table).all():
-            return known
-        old, table = bits, grown
+            return known.drop("h")
 
 
 def collocations(docs: DataFrame, min_count: int = 30, top: int = 2000, text_col: str = "text", lang_col: str = "lang", sample: float = SAMPLE,

@@ -254,10 +254,12 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     group's ids are null. Other columns are ignored.
     """
     rows = cut(fingerprints(docs.select(column(id_col).alias("id"), column(text_col).alias("text")), "text", words=words, keep=["id"]))
-    least = rows.groupBy("simhash").agg(F.min("id").alias("least"))
-    roots = components(fingerprint_links(least, "simhash", bits))
-    rooted = cut(least.join(roots.withColumnRenamed("node", "simhash"), "simhash", "left")
-                 .withColumn("root", F.coalesce("root", "simhash")))
-    whole = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    by_print = rooted.join(whole, "root").select("simhash", "component")
+    # a fingerprint's node is ordered by its least id, so a component's least node names the component
+    nodes = rows.groupBy("simhash").agg(F.min("id").alias("least")).withColumn("node", F.struct(F.col("least").isNull().alias("none"), "least", "simhash"))
+    nodes = cut(nodes)
+    end = lambda name: nodes.select(F.col("simhash").alias(name), F.col("node").alias(f"{name}_node"))
+    links = fingerprint_links(nodes, "simhash", bits).join(end("a"), "a").join(end("b"), "b")
+    roots = components(links.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
+    moved = roots.select(F.col("node.simhash").alias("simhash"), F.col("root.least").alias("reached"), F.lit(True).alias("linked"))
+    by_print = nodes.join(moved, "simhash", "left").select("simhash", F.when(F.col("linked"), F.col("reached")).otherwise(F.col("least")).alias("component"))
     return rows.join(by_print, "simhash").select("id", "simhash", "component")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions.casts import BOXOFFICE_TYPES, REGION_TYPES, cast_declared
@@ -49,6 +49,21 @@ def movie_list(charts: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.union(b), parts).distinct()
 
 
+def fill_open_dates(charts: DataFrame, daily: DataFrame) -> DataFrame:
+    """``charts`` (with movieNm and boxoffice_date) with the ``openDt`` of the film's last daily chart at or before the row's day.
+
+    An as-of join as one sorted pass: both sides are reduced to one row per film and day, so a film with a third of all
+    rows is a few thousand days; the opening day is carried forward over them and joined back. Charts that give
+    several opening days on one day count with the earliest; no daily chart so far, or no film, gives null.
+    """
+    known = daily.where(F.col("openDt").isNotNull() & F.col("movieNm").isNotNull()).groupBy("movieNm", "boxoffice_date").agg(F.min("openDt").alias("openDt"))
+    asked = charts.where("movieNm is not null and boxoffice_date is not null").select("movieNm", "boxoffice_date").distinct()
+    days = known.withColumn("_ask", F.lit(0)).unionByName(asked.withColumn("openDt", F.lit(None).cast(known.schema["openDt"].dataType)).withColumn("_ask", F.lit(1)))
+    so_far = Window.partitionBy("movieNm").orderBy("boxoffice_date", "_ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = days.withColumn("openDt", F.last("openDt", ignorenulls=True).over(so_far)).where("_ask = 1").drop("_ask")
+    return charts.drop("openDt").join(filled, ["movieNm", "boxoffice_date"], "left").select(*[c for c in charts.columns if c != "openDt"], "openDt")
+
+
 def movies_to_collect(candidates: DataFrame, charts: DataFrame, key: str = "movieNm") -> DataFrame:
     """Candidates whose title appears in the charts (semi join).
 

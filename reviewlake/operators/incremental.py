@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.functions.dates import parse_review_date
-from reviewlake.operators.skew import keep_first
+from reviewlake.operators.skew import keep_first, key_digest
 
 
 def latest_per_movie(stored: DataFrame, date_col: str = "date") -> DataFrame:
@@ -39,20 +39,22 @@ def new_since_latest(new: DataFrame, latest: DataFrame, date_col: str = "date")
     return joined.where(keep).select(*new.columns)
 
 
-def merge_append(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_append(existing: DataFrame, new: DataFrame, keys: Sequence[str], texts: Sequence[str] = ("context",)) -> DataFrame:
     """Existing rows plus new rows, one row per ``keys``; an existing
     row wins over a new one (the reference's ``drop_duplicates`` keeps the
-    first, and existing rows come first)."""
+    first, and existing rows come first). Long key columns (``texts``) are
+    grouped by their digest. This rewrites the history; a table that grows
+    is better kept by ``sources.keyindex.merge_into``."""
     both = existing.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)))
-    return keep_first(both, keys, order=["_src"]).drop("_src")
+    return keep_first(both, keys, order=["_src"], digest=[k for k in keys if k in texts]).drop("_src")
 
 
 def append_new(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """S22, append form: only the new rows whose keys are not stored yet
-    (null keys compare equal, as in the merge)."""
-    stored = existing.select(*keys).distinct()  # hot keys collapse map-side
-    cond = [stored[k].eqNullSafe(new[k]) for k in keys]
-    return new.join(stored, cond, "left_anti")
+    (null keys compare equal, as in the merge). Keys meet by their digest,
+    so neither side moves its texts to find out."""
+    stored = existing.select(key_digest(keys).alias("_key")).distinct()  # hot keys collapse map-side
+    return new.withColumn("_key", key_digest(keys)).join(stored, "_key", "left_anti").drop("_key")
 
 
 def date_bound(df: DataFrame, columns: Sequence[str], lo: _dt.date | str,

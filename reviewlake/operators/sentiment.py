@@ -113,18 +113,22 @@ def review_key(*cols: str) -> Column:
 
 
 def score_lexicon_table(df: DataFrame, lexicon: DataFrame, charset: str = "hangul+jamo") -> DataFrame:
-    """U1(a) for a lexicon table (word, weight): explode, join, re-aggregate per review.
+    """U1(a) for a lexicon table (word, weight): explode, join, sum per review.
 
-    Words are counted per review before the join, so a common word reaches
-    the join once per review; scores meet their reviews by ``review_key``.
+    Words meet the lexicon before anything is grouped: what the lexicon does
+    not hold never leaves the scan stage when the planner can broadcast the
+    lexicon, and is not grouped by review in any case. Scores meet
+    their reviews by ``review_key``, so texts are not moved for them.
     """
-    base = review_inputs(df).withColumn("_review", review_key(*[c for c in ("id", "context", "movieNm") if c in df.columns]))
-    words = (base.select("_review", "context").distinct()
-             .select("_review", F.explode(split_words(clean_for_tokens("context", charset))).alias("word"))
-             .groupBy("_review", "word").agg(F.count(F.lit(1)).alias("_n")))
+    key = review_key(*[c for c in ("id", "context", "movieNm") if c in df.columns])
     lex = lexicon.select("word", F.col("weight").cast("bigint").alias("weight"))
-    scores = words.join(lex, "word", "inner").groupBy("_review").agg(F.sum(F.col("weight") * F.col("_n")).alias("score"))
-    out = base.join(scores, "_review", "left").withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))).drop("_review")
+    words = review_inputs(df).select(key.alias("_review"), F.explode(split_words(clean_for_tokens("context", charset))).alias("word"))
+    hits = words.join(lex, "word", "inner").groupBy("_review").agg(F.sum("weight").alias("score"))
+    # equal reviews share a key and were summed together: divide by how many there are
+    copies = review_inputs(df).groupBy(key.alias("_review")).agg(F.count(F.lit(1)).alias("_copies"))
+    scores = hits.join(copies, "_review").select("_review", F.expr("score div _copies").alias("score"))
+    out = review_inputs(df).withColumn("_review", key).join(scores, "_review", "left")
+    out = out.withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))).drop("_review")
     return out.withColumn("raw_label", label_of("score")).withColumn("sentiment", value_map("raw_label", LABELS))
 
 

@@ -22,6 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def key_digest(keys: Sequence[str]) -> Column:
+    """SHA-256 of the key columns; nulls compare equal, and no two different keys are spelled alike."""
+    spelled = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.unhex(F.sha2(F.concat_ws(",", *spelled), 256))
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
                digest: Sequence[str] = ()) -> DataFrame:
     """One row per ``keys``: the smallest by ``order``, then by every other column.
@@ -86,3 +92,23 @@ def share_of_total(df: DataFrame, value_col: str, share_col: str = "share", digi
     if digits is not None:
         share = F.round(share, digits)
     return df.withColumn(share_col, share)
+
+
+def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``df`` with ``<value>_before`` per value: its sum over all rows earlier by ``order`` (a unique key), over the whole table.
+
+    A window without partition keys would bring every row to one task. Here
+    the rows are cut into ranges by ``order`` and written once to the
+    checkpoint folder; each range is summed on its own and starts from the
+    totals of the ranges before it (one row a range).
+    """
+    from reviewlake.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    sums = rows.groupBy("_range").agg(*[F.sum(v).alias(v) for v in values])
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_range", *[F.coalesce(F.sum(v).over(ahead), F.lit(0)).alias(f"_{v}_start") for v in values])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumns({f"_{v}_in": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}).join(starts, "_range")
+    return summed.select(*df.columns, *[(F.col(f"_{v}_start") + F.col(f"_{v}_in")).alias(f"{v}_before") for v in values])

@@ -24,6 +24,7 @@ from reviewlake.operators import sentiment as se
 from reviewlake.operators.clean import clean_reviews, distinct_rows, keep_first
 from reviewlake.operators.matching import candidate_match
 from reviewlake.operators.unify import normalize_platform, union_platforms
+from reviewlake.plans import landing
 from reviewlake.sources import testdata as td
 from reviewlake.sources.pages import extract_reviews
 
@@ -575,6 +576,7 @@ def candidate_match_q(spark, d):
 
 
 QUERIES: dict[str, Query] = {
+    **landing.QUERIES,
     "unify_platforms": unify_platforms,
     "clean_reviews": clean_reviews_q,
     "dedup_keys": dedup_keys,

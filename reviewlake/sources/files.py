@@ -180,7 +180,9 @@ def read_region_codes(spark: SparkSession, path: str, fmt: str = "json") -> Data
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with header; explicit schema when given, else inferred."""
-    r = spark.read.option("header", "true")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-    return r.csv(path)
+    """CSV with header; explicit schema when given, else inferred. Quoted fields may hold commas, doubled
+    quotes and line breaks, so the reader takes back whatever ``write_csv`` (S21) wrote."""
+    r = spark.read.options(**CSV_OPTIONS)
+    if schema is None:
+        return r.option("enforceSchema", "true").option("inferSchema", "true").csv(path)
+    return r.schema(schema).csv(path)

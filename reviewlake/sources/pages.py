@@ -1,11 +1,16 @@
 """Landed review pages to review rows.
 
 The crawlers read fields out of live pages with a browser. Here landed
-HTML (``page_id, url, html``) is parsed by native regex functions inside
-the scan stage: the review container is cut out, split into blocks, and
-each block's text is taken with its tags removed. The patterns are a
-per-site rule; none needs look-around, so they read the same in Java and
-RE2.
+HTML (``page_id, url, html``) is parsed by native functions inside the
+scan stage: the review container is cut out, split into blocks, and each
+block's text is taken with its tags removed. The patterns are a per-site
+rule; none needs look-around, so they read the same in Java and RE2.
+
+A pattern cannot find the end of an element that holds its like. Where a
+rule says ``Element``, the tags of that kind become a list of tokens and
+the running depth over it finds the matching end (``element``) or the
+direct items of a list (``list_items``), so nested lists and boxes lose
+nothing.
 """
 
 from __future__ import annotations
@@ -22,13 +27,21 @@ from reviewlake.functions.tags import clean_tags, tags_literal
 from reviewlake.functions.text import has_reviewer, strip_ws
 
 
+@dataclass(frozen=True)
+class Element:
+    """An element by its opening tag (a pattern without groups) and the kinds of tags that nest in it (``ul|ol``)."""
+
+    opening: str
+    tags: str
+
+
 @dataclass(frozen=True)
 class SiteRule:
-    container: str = "(?s)<article[^>]*>(.*)</article>"   # group 1: the review list
+    container: str | Element = "(?s)<article[^>]*>(.*)</article>"   # group 1: the review list; a list element's direct items are its reviews
     block_split: str = "<p[^>]*>"                          # one review per piece after the first
     title: str = "(?s)<h1[^>]*>(.*?)</h1>"
-    context: str | None = None        # group 1: the review text; the whole block when None
-    fields: tuple = ()                # (column, pattern with group 1) read inside each block
+    context: str | Element | None = None        # group 1: the review text; the whole block when None
+    fields: tuple = ()                # (column, pattern with group 1 or Element) read inside each block
     tag_area: str | None = None       # group 1: the part of a block holding the tags
     tag: str = "(?s)<em[^>]*>(.*?)</em>"   # group 1: one tag inside the tag area
 
@@ -81,23 +94,87 @@ def strip_tags(c) -> F.Column:
     return strip_ws(F.when(plain.contains("&"), decode_entities(plain)).otherwise(plain))
 
 
-def _field(block, pattern: str):
-    v = strip_tags(F.regexp_extract(block, pattern, 1))
+COMMENT = "(?s)<!--.*?-->"
+#: Stands for the start of a direct item while a list is cut; no landed text holds it (it is taken out first).
+_MARK = "\u0001"
+
+
+def _is_closing(token) -> F.Column:
+    return F.substring(token, 1, 2) == "</"
+
+
+def element(html, spec: Element) -> F.Column:
+    """Inner HTML of the first element that ``spec`` opens, up to its own end tag; without one to the end of the text, "" where there is none.
+
+    The depth runs over the tags of the element's kind only; it starts at 1 behind the opening tag and the element ends
+    where it reaches 0.
+    """
+    at = F.regexp_instr(html, F.lit(f"(?s){spec.opening}"))
+    rest = F.substring(html, at + F.length(F.regexp_extract(html, f"(?s){spec.opening}", 0)), F.length(html))
+    pattern = f"(?i)</?(?:{spec.tags})(?:\\s[^>]*|/)?>"
+
+    def cut(r):
+        tokens, pieces = F.regexp_extract_all(r, F.lit(pattern), 0), F.split(r, pattern, -1)
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("read"))
+        step = lambda acc, t: F.when(acc["depth"] == 0, acc).otherwise(F.struct(
+            (acc["depth"] + F.when(_is_closing(t), -1).when(t.endswith("/>"), 0).otherwise(1)).alias("depth"), (acc["read"] + 1).alias("read")))
+        # pieces in front of the token that ends the element, with the tokens between them; all of them if nothing ends it
+        whole = F.aggregate(tokens, start, step, lambda acc: F.when(acc["depth"] == 0, acc["read"]).otherwise(acc["read"] + 1))
+        return F.transform(F.array(whole), lambda n: F.array_join(F.zip_with(
+            F.slice(pieces, 1, n), F.slice(tokens, 1, n - 1), lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), ""))[0]
+
+    return F.when(at > 0, F.transform(F.array(rest), cut)[0]).otherwise(F.lit(""))
+
+
+def list_items(inner, item: str, tags: str) -> F.Column:
+    """The direct items of a list's inner HTML as an array; what stands before the first is its element 0.
+
+    ``item`` is the pattern of an item's opening tag, ``tags`` the kinds of lists. An item begins where such a tag stands at depth 0.
+    """
+    pattern = f"(?s){item}|(?i:</?(?:{tags})(?:\\s[^>]*|/)?>)"
+    list_tag = f"(?i)^</?(?:{tags})(?:\\s[^>]*|/)?>$"
+
+    def cut(html):
+        tokens, pieces = F.regexp_extract_all(html, F.lit(pattern), 0), F.split(html, pattern, -1)
+        start = F.struct(F.lit(0).alias("depth"), F.expr("cast(array() as array<boolean>)").alias("begins"))
+
+        def step(acc, t):
+            change = F.when(~t.rlike(list_tag), 0).when(_is_closing(t), -1).when(t.endswith("/>"), 0).otherwise(1)
+            begins = (acc["depth"] == 0) & ~t.rlike(list_tag)
+            return F.struct(F.greatest(acc["depth"] + change, F.lit(0)).alias("depth"), F.concat(acc["begins"], F.array(begins)).alias("begins"))
+
+        marked = lambda begins: F.zip_with(tokens, begins, lambda t, b: F.when(b, F.lit(_MARK)).otherwise(t))
+        joined = F.aggregate(tokens, start, step, lambda acc: F.array_join(F.zip_with(
+            pieces, marked(acc["begins"]), lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), ""))
+        return F.split(joined, _MARK, -1)
+
+    return F.transform(F.array(F.translate(inner, _MARK, "")), cut)[0]
+
+
+def _part(html, spec: str | Element) -> F.Column:
+    return element(html, spec) if isinstance(spec, Element) else F.regexp_extract(html, spec, 1)
+
+
+def _field(block, spec: str | Element):
+    v = strip_tags(_part(block, spec))
     return F.when(F.length(v) > 0, v)
 
 
 def extract_reviews(pages: DataFrame, rule: SiteRule = DEFAULT_RULE) -> DataFrame:
     """One row per non-blank review block: page_id, domain, title, pos, context,
     n_chars, then the rule's fields and, with a tag area, ``tags`` (array)."""
-    body = F.regexp_extract("html", rule.container, 1)
+    if isinstance(rule.container, Element):
+        body = list_items(element(F.regexp_replace("html", COMMENT, ""), rule.container), rule.block_split, rule.container.tags)
+    else:
+        body = F.split(F.regexp_extract("html", rule.container, 1), rule.block_split)
     blocks = pages.select(
         "page_id",
         domain_of(F.col("url")).alias("domain"),
         strip_tags(F.regexp_extract("html", rule.title, 1)).alias("title"),
-        F.posexplode(F.split(body, rule.block_split)).alias("pos", "block"),
+        F.posexplode(body).alias("pos", "block"),
     )
     block = F.col("block")
-    text = strip_tags(F.regexp_extract(block, rule.context, 1)) if rule.context else strip_tags(block)
+    text = strip_tags(_part(block, rule.context)) if rule.context else strip_tags(block)
     extra = [_field(block, rx).alias(name) for name, rx in rule.fields]
     if rule.tag_area:
         area = F.regexp_extract(block, rule.tag_area, 1)
@@ -146,10 +223,9 @@ def megabox_review_rows(pages: DataFrame, as_of) -> DataFrame:
 
 
 # The markup of the other sites' review lists, named as in the
-# crawlers' selectors. Lists are read to their closing tag, so a block may
-# hold nested elements but the two flat lists no nested list.
+# crawlers' selectors. Lists and texts are read to their own closing tag.
 CINE_EXPERT_RULE = SiteRule(
-    container='(?s)<ul class="expert_rating"[^>]*>(.*?)</ul>',
+    container=Element('<ul class="expert_rating"[^>]*>', "ul|ol"),
     block_split="<li[^>]*>",
     context='(?s)<div class="comment_area"[^>]*>.*?</a>\\s*<span[^>]*>(.*?)</span>',
     fields=(
@@ -158,9 +234,9 @@ CINE_EXPERT_RULE = SiteRule(
     ),
 )
 CINE_NETIZEN_RULE = SiteRule(
-    container='(?s)<ul class="reply_box"[^>]*>(.*?)</ul>',
+    container=Element('<ul class="reply_box"[^>]*>', "ul|ol"),
     block_split="<li[^>]*>",
-    context='(?s)<div class="comment(?: ellipsis_3)?"[^>]*>(.*?)</div>',
+    context=Element('<div class="comment(?: ellipsis_3)?"[^>]*>', "div"),
     fields=(
         ("name", '(?s)class="id"[^>]*>(.*?)</'),
         ("date", '(?s)class="date"[^>]*>(.*?)</'),

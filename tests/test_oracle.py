@@ -8,10 +8,13 @@ import math
 import pytest
 
 import __spark_entry__ as E
-from reviewlake.plans.oracle import ORACLE
+from reviewlake.plans.landing_oracle import ORACLE as LANDING_ORACLE
+from reviewlake.plans.oracle import ORACLE as PLAIN_ORACLE
 from reviewlake.plans.queries import QUERIES
 from tests.conftest import SF001, SF01
 
+ORACLE = {**PLAIN_ORACLE, **LANDING_ORACLE}
+
 
 def _norm(v):
     if isinstance(v, float):
