@@ -78,7 +78,7 @@ def test_secret_stage_updates_lengths(spark, tmp):
 
 def test_one_query_for_each_operator():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert E.queries()["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
     assert set(ORACLE) <= set(QUERIES)
 
