@@ -34,13 +34,17 @@ def test_pipeline_equals_brute_force(spark, tmp):
     texts[9] = "intro words " + items[0][1] + " closing words here"  # a leak
     texts[11] += ' token = "a1b2c3d4e5f6a7b8c9d0a1b2c3d4e5f6" end'   # a secret
     rows = [(i, t, "en") for i, t in enumerate(texts)] + [(100, None, "en"), (101, "12 34 !!", None), (102, "", "en"), (None, plain[0] + " tail", "en"), (5, texts[5], "en")]
+    rows.append((None, lone := prose(random.Random(77), 90), "en"))  # without an id and like no other
     write_tables(spark, tmp, rows, items)
     out = corpus_pipeline.run(spark, tmp).collect()
-    roots = closure([slow_simhash(t) for t in texts], 4)
+    everything = [*texts, plain[0] + " tail", lone]
+    roots = closure([slow_simhash(t) for t in everything], 4)
     stays = {i for i in range(len(texts)) if roots[i] == i and i != 9}
     assert roots[7] == 3 and stays >= set(range(3)) | {3, 11}
     assert sorted((r.doc_id is None, r.doc_id) for r in out if r.doc_id is not None) == sorted((False, i) for i in stays)
-    assert sum(r.doc_id is None for r in out) == 1
+    # a document without an id goes where one with an id is like it; the other one stays
+    assert roots[-2] == 0 and roots[-1] == len(everything) - 1
+    assert [r.decoded_sha256 for r in out if r.doc_id is None] == [hashlib.sha256(lone.encode()).hexdigest()]
     by_id = {r.doc_id: r for r in out}
     for i in stays:
         want = re.sub(r'token = "a1b2c3d4e5f6a7b8c9d0a1b2c3d4e5f6', "[SECRET]", texts[i])
