@@ -12,12 +12,6 @@ from pyspark.sql import functions as F
 from reviewlake.functions.text import col_
 
 
-def source_file_name() -> Column:
-    """The file a row came from (hidden ``_metadata`` column)."""
-    return F.col("_metadata.file_name")
-
-
-
 def decode_name(c) -> Column:
     """Percent-decode a title.
 
@@ -28,6 +22,11 @@ def decode_name(c) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
 
 
+def source_file_name() -> Column:
+    """The file a row came from, as the folder lists it (the hidden ``_metadata`` column has the name as in a URI)."""
+    return decode_name(F.col("_metadata.file_name"))
+
+
 def title_from_file(c, platform: str) -> Column:
     """Film title from a review file name, dated or undated, decoded."""
     raw = F.regexp_extract(col_(c), f"^(.+?)(?:_(\\d{{8}}))?_{platform}_reviews\\.csv$", 1)

@@ -137,7 +137,7 @@ def region_csv_ingest(spark, d):
     land, codes_json, codes_csv = (scratch(spark, x) for x in ("region-csv", "region-codes", "region-codes-csv"))
     raw = td.raw_region_strings(spark, d)
     name = F.concat(F.lit("daily_region_box_office_"), F.substring("day", 1, 4), F.lit("0101"))
-    write_named_csv(raw.drop("day").withColumn("region_name", F.lit("?")).withColumn("_file", name), land, "_file")
+    write_named_csv(raw.withColumn("_file", name).withColumn("region_name", F.lit("?")).drop("day"), land, "_file")
     codes = td.region_codes(spark, d)
     payload = codes.agg(F.to_json(F.struct(F.collect_list(F.struct("fullCd", "korNm")).alias("codes"))).alias("value"))  # one row a region
     payload.write.text(codes_json)

@@ -11,13 +11,14 @@ Keys are recorded per batch, under the batch's name, so a batch that runs again
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.operators.skew import keep_first, key_digest
-from reviewlake.sources.versions import CommitConflict, commit, commit_note, publish, read_version
+from reviewlake.sources.versions import CommitConflict, commit, commit_note, file_system, publish, read_version
 
 #: Bits of one filter chunk (what Spark's bitmap functions hold) and the bits of it that a key sets.
 CHUNK_BITS, KEY_BITS = 32768, 3
@@ -41,6 +42,8 @@ def index_table(spark: SparkSession, path: str, buckets: int) -> str:
     """Name of the catalog's table over the index files at ``path`` (registered on first use in a catalog)."""
     name = f"keys_{hashlib.sha256(path.encode()).hexdigest()[:20]}"
     if not spark.catalog.tableExists(name):
+        fs, folder = file_system(spark, f"{path}/keys")
+        fs.mkdirs(folder)  # partitions are looked for in it
         place = path.replace("'", "''")
         spark.sql(f"CREATE TABLE {name} ({KEY} BINARY, batch STRING) USING parquet PARTITIONED BY (batch) "
                   f"CLUSTERED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{place}/keys'")
@@ -124,13 +127,14 @@ def merge_into(new: DataFrame, path: str, keys: Sequence[str], batch: str, parti
     lost driver, with other rows or with none) replaces its own rows and nothing else; keys of other batches win over it.
     """
     spark = new.sparkSession
-    added = unseen(new, f"{path}/index", keys, batch, buckets, expected_keys, order).persist()
-    try:
-        record_keys(added, f"{path}/index", batch, buckets, expected_keys)
-        w = added.drop(KEY).write.mode("overwrite")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/rows/batch={batch}")
-    finally:
-        added.unpersist()
+    staged = f"{path}/staged/{uuid.uuid4().hex}"  # what follows overwrites a part of the index, which it may not read any more
+    unseen(new, f"{path}/index", keys, batch, buckets, expected_keys, order).write.parquet(staged)
+    added = spark.read.parquet(staged)
+    record_keys(added, f"{path}/index", batch, buckets, expected_keys)
+    w = added.drop(KEY).write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/rows/batch={batch}")
+    fs, folder = file_system(spark, staged)
+    fs.delete(folder, True)
     return read_merged(spark, path)
 
 
