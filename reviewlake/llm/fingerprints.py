@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.batches import column, cut
 
-#: Cells of a stored fingerprint (three rows of a power of two).
+#: Cells of a row of a sketch, which has three (a power of two).
 BASE_ROW = 8
 #: A paragraph is a line's stretch up to a sentence end (of any script), or up to a place that its own characters
 #: define, so that places behind an edit are found again; without either it ends after so many characters.
@@ -27,11 +27,14 @@ _SENTENCE = r"""[.!?\u2026]["'\u201d\u2019)\]]*(?:[ \t\r]+|(?![^\n]))|[\u3002\uf
 #: Spaces and signs before some letters, some common characters of scripts without spaces, and rare ones inside long codes.
 _PLACE = (r"[ \t,:=&/|](?=[bmpwBMPW07\u03ba\u03c4\u0432\u043f\u0441\u05d4\u0627\u0915\u0938\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\uadf8\uc774])"
           r"|[;{}\u3001\uff0c\uff1b\u7684\u662f\u3092\u304c]|[7Q](?=[0-9A-Za-z+/_-]{12})")
-PARAGRAPH = rf"[^\n]{{0,{LONGEST - 1}}}?(?:{_SENTENCE}|{_PLACE})|[^\n]{{1,{LONGEST}}}"
-#: Passes over each row of cells in one attempt; what is not peeled by then is tried again with more cells.
-CYCLES = 3
-#: Differing digests that one sketch is meant for in a further attempt, and digests of a pair that are handled at once.
-SHARE, CHUNK = 6, 4096
+#: Most characters begin none of these ends; one look at them spares a try of every alternative.
+_NO_END = r"(?![a-zA-PR-Z0-689\u00c0-\u024f\u0370-\u0588\uac00-\ud7a3])"
+PARAGRAPH = rf"[^\n]{{0,{LONGEST - 1}}}?{_NO_END}(?:{_SENTENCE}|{_PLACE})|[^\n]{{1,{LONGEST}}}"
+#: Passes over the cells in one attempt; what is not peeled by then is tried again with more cells.
+PASSES = 5
+#: Differing digests that one sketch is meant for in a further attempt, and digests of a pair that are cut into shares at once:
+#: a pair is cut into blocks, a block into chunks and a chunk into shares, so that a digest is looked at a bounded number of times.
+SHARE, CHUNK, BLOCK = 5, 64, 4096
 #: Rows that are sorted together to find their successors, and the most such groups there are (their first rows are broadcast by digest).
 GROUP_ROWS, MOST_GROUPS = 512, 200_000
 
@@ -50,23 +53,37 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _places(key: Column, seed: Column) -> Column:
-    """The cells of a digest, one in each row of a sketch; attempts differ in ``seed``."""
-    return F.array(*[(F.pmod(F.xxhash64(key, seed, F.lit(r)), F.lit(BASE_ROW)) + r * BASE_ROW).cast("int") for r in range(3)])
+def _place(key: Column, seed: Column, r: int) -> Column:
+    """The cell of a digest in row ``r`` of a sketch; attempts differ in ``seed``."""
+    return (F.pmod(F.xxhash64(key, seed, F.lit(r)), F.lit(BASE_ROW)) + r * BASE_ROW).cast("int")
 
 
 def _add(cell: Column, hit: Column, sign: int | Column) -> Column:
     return F.struct((cell["n"] + hit["n"] * sign).alias("n"), cell["k"].bitwiseXOR(hit["k"]).alias("k"), cell["c"].bitwiseXOR(hit["c"]).alias("c"))
 
 
+def _cells(hits: Column) -> Column:
+    """The sketch of ``hits`` (see ``_hits``): what falls into a cell is summed there, with its sign."""
+    slots = lambda r: F.array(*[F.lit(r * BASE_ROW + i) for i in range(BASE_ROW)])
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
+    row = lambda all_hits, r: F.transform(slots(r), lambda i: F.aggregate(
+        F.filter(all_hits, lambda h: h[f"at{r}"] == i), zero, lambda a, h: _add(a, h, 1)))
+    return _let(hits, lambda all_hits: F.concat(*[row(all_hits, r) for r in range(3)]))
+
+
+def _hits(digests: Column, seed: Column, sign: int = 1) -> Column:
+    return F.transform(digests, lambda k: F.struct(F.lit(sign).alias("n"), k.alias("k"), _check(k).alias("c"),
+                                                   *[_place(k, seed, r).alias(f"at{r}") for r in range(3)]))
+
+
 def sketch(digests: Column, seed: Column) -> Column:
     """Array of (n, k, c) with 3 x ``BASE_ROW`` cells."""
-    hits = F.transform(digests, lambda k: F.struct(F.lit(1).alias("n"), k.alias("k"), _check(k).alias("c"), _places(k, seed).alias("at")))
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
-    slots = F.sequence(F.lit(0), F.lit(3 * BASE_ROW - 1))
-    cells = lambda all_hits: F.transform(slots, lambda i: F.aggregate(
-        F.filter(all_hits, lambda h: h["at"][F.floor(i / BASE_ROW).cast("int")] == i), zero, lambda a, h: _add(a, h, 1)))
-    return _let(hits, cells)
+    return _cells(_hits(digests, seed))
+
+
+def difference_sketch(first: Column, second: Column, seed: Column) -> Column:
+    """``subtract`` of the sketches of two digest arrays, made at once."""
+    return _cells(F.concat(_hits(first, seed), _hits(second, seed, -1)))
 
 
 def base_sketch(digests: Column) -> Column:
@@ -94,39 +111,36 @@ _GOT = "array<struct<n: int, k: bigint>>"
 def peel(cells: Column, seed: Column) -> Column:
     """(left, got) of a difference of sketches: whether cells remain, and the digests with their sign (1: of the first version only).
 
-    Pass after pass the pure cells of one row hand their digest to its three cells with the opposite sign; a
-    digest has one cell in a row, so it is handed on once.
+    In each pass all pure cells hand their digests, each once, to their three cells with the opposite sign; passes
+    end when no cell is left or none is pure.
     """
 
-    def one_pass(state: Column, i: Column) -> Column:
-        row = i % 3
-        own = F.slice(F.transform(state["cells"], lambda c, at: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["c"].alias("c"), at.alias("slot"))),
-                      row * BASE_ROW + 1, F.lit(BASE_ROW))
-        pure = F.filter(own, lambda c: c["n"].isin(1, -1) & (c["c"] == _check(c["k"])))
-        placed = F.filter(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["c"].alias("c"), c["slot"].alias("slot"),
-                                                               _places(c["k"], seed).alias("at"))), lambda c: c["at"][row] == c["slot"])
+    def one_pass(state: Column, _: Column) -> Column:
+        pure = F.filter(state["cells"], lambda c: c["n"].isin(1, -1) & (c["c"] == _check(c["k"])))
+        placed = F.transform(F.array_distinct(pure), lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["c"].alias("c"),
+                                                                        *[_place(c["k"], seed, r).alias(f"at{r}") for r in range(3)]))
 
         def handed(found: Column) -> Column:
-            cells = F.transform(state["cells"], lambda c, at: F.aggregate(
-                F.filter(found, lambda p: p["at"][F.floor(at / BASE_ROW).cast("int")] == at), c, lambda a, p: _add(a, p, -1)))
+            row = lambda r: F.transform(F.slice(state["cells"], r * BASE_ROW + 1, BASE_ROW), lambda c, i: F.aggregate(
+                F.filter(found, lambda p: p[f"at{r}"] == i + r * BASE_ROW), c, lambda a, p: _add(a, p, -1)))
             got = F.concat(state["got"], F.transform(found, lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"))))
-            return F.when(F.size(found) == 0, state).otherwise(F.struct(cells.alias("cells"), got.alias("got")))
+            return _let(F.concat(*[row(r) for r in range(3)]), lambda cells: F.struct(
+                cells.alias("cells"), got.alias("got"), F.exists(cells, _full).alias("left"), (F.size(found) > 0).alias("more")))
 
-        return F.when(~F.exists(state["cells"], _full), state).otherwise(_let(placed, handed))
+        return F.when(state["left"] & state["more"], _let(placed, handed)).otherwise(state)
 
-    start = F.struct(cells.alias("cells"), F.expr(f"cast(array() as {_GOT})").alias("got"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(3 * CYCLES - 1)), start, one_pass,
-                       lambda s: F.struct(F.exists(s["cells"], _full).alias("left"), s["got"].alias("got")))
+    start = F.struct(cells.alias("cells"), F.expr(f"cast(array() as {_GOT})").alias("got"), F.exists(cells, _full).alias("left"), F.lit(True).alias("more"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, one_pass, lambda s: F.struct(s["left"].alias("left"), s["got"].alias("got")))
 
 
-def _power(n: Column) -> Column:
-    """The least power of two that is not below ``n``."""
-    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n.cast("double"), F.lit(1.0))))).cast("long")
+def _parts(n: Column) -> Column:
+    """``n`` as a number of parts: a whole number, at least 1."""
+    return F.greatest(F.ceil(n).cast("long"), F.lit(1).cast("long"))
 
 
 def _among(digests: Column, shift: int, parts: Column, part: Column) -> Column:
-    """The digests of one of ``parts`` (a power of two) shares, told apart by the digests' own bits."""
-    return F.filter(digests, lambda k: F.shiftrightunsigned(k, shift).bitwiseAND(parts - 1) == part)
+    """The digests of one of ``parts`` parts, told apart by the digests' own bits from ``shift`` on."""
+    return F.filter(digests, lambda k: F.pmod(F.shiftrightunsigned(k, shift), parts) == part)
 
 
 def difference(first: Column, second: Column, base: Column, attempt: int = 1) -> Column:
@@ -138,26 +152,33 @@ def difference(first: Column, second: Column, base: Column, attempt: int = 1) ->
     """
     seed = F.lit(attempt)
     squares = F.aggregate(base, F.lit(0), lambda a, c: a + F.least(c["n"] * c["n"], F.lit(1 << 20))) / 3
-    nothing = F.struct(F.expr(f"cast(array() as {_GOT})").alias("got"), F.expr("cast(array() as array<struct<first: array<bigint>, second: array<bigint>>>)").alias("failed"))
+    all_digests = F.size(first) + F.size(second)
+
+    def parts(a: Column, b: Column, shift: int, n: Column, body) -> Column:
+        """``body`` of each of ``n`` parts of (a, b), told apart by the digests' bits from ``shift`` on, put together.
+
+        Each part gives lists of its own, joined once a level: a value that grows from part to part would be copied for each.
+        """
+        each = _let(n, lambda m: F.transform(F.sequence(F.lit(0).cast("long"), m - 1), lambda i: _let(
+            F.struct(_among(a, shift, m, i).alias("a"), _among(b, shift, m, i).alias("b")), lambda part: body(part["a"], part["b"]))))
+        return _let(each, lambda rs: F.struct(F.flatten(F.transform(rs, lambda r: r["got"])).alias("got"),
+                                              F.flatten(F.transform(rs, lambda r: r["failed"])).alias("failed")))
 
-    def share(acc: Column, a: Column, b: Column) -> Column:
-        def taken(r: Column) -> Column:
-            got = F.when(r["left"], acc["got"]).otherwise(F.concat(acc["got"], r["got"]))
-            failed = F.when(r["left"], F.concat(acc["failed"], F.array(F.struct(a.alias("first"), b.alias("second"))))).otherwise(acc["failed"])
-            return F.struct(got.alias("got"), failed.alias("failed"))
+    def share(a: Column, b: Column) -> Column:
+        none = F.expr("cast(array() as array<struct<first: array<bigint>, second: array<bigint>>>)")
+        return _let(peel(difference_sketch(a, b, seed), seed), lambda r: F.when(
+            r["left"], F.struct(F.expr(f"cast(array() as {_GOT})").alias("got"), F.array(F.struct(a.alias("first"), b.alias("second"))).alias("failed")))
+            .otherwise(F.struct(r["got"].alias("got"), none.alias("failed"))))
 
-        return _let(peel(subtract(sketch(a, seed), sketch(b, seed)), seed), taken)
+    def chunk(a: Column, b: Column) -> Column:
+        size = (F.size(a) + F.size(b)).cast("double")
+        shares = F.greatest(_parts(F.least(squares / all_digests * size, size) / SHARE), F.lit(2).cast("long"))
+        return parts(a, b, 8 * attempt % 40, shares, share)
 
-    def chunk(acc: Column, both: Column, chunks: Column) -> Column:
-        size = F.size(both["a"]) + F.size(both["b"])
-        shares = F.greatest(_power(F.least(squares / chunks, size.cast("double")) / SHARE), F.lit(2).cast("long"))
-        split = lambda n: F.aggregate(F.sequence(F.lit(0).cast("long"), n - 1), acc, lambda acc2, i: _let(
-            F.struct(_among(both["a"], 8 * attempt % 40, n, i).alias("a"), _among(both["b"], 8 * attempt % 40, n, i).alias("b")), lambda part: share(acc2, part["a"], part["b"])))
-        return _let(shares, split)
+    def block(a: Column, b: Column) -> Column:
+        return parts(a, b, 43, _parts((F.size(a) + F.size(b)) / CHUNK), chunk)
 
-    in_chunks = lambda chunks: F.aggregate(F.sequence(F.lit(0).cast("long"), chunks - 1), nothing, lambda acc, i: _let(
-        F.struct(_among(first, 48, chunks, i).alias("a"), _among(second, 48, chunks, i).alias("b")), lambda both: chunk(acc, both, chunks)))
-    return _let(_power((F.size(first) + F.size(second)) / CHUNK), in_chunks)
+    return parts(first, second, 50, _parts(all_digests / BLOCK), block)
 
 
 def compare(first: Column, second: Column, first_sketch: Column, second_sketch: Column) -> Column:
@@ -182,7 +203,7 @@ def retry(failed: DataFrame, keys: list[str], digests: bool) -> DataFrame:
     done, attempt = None, 2
     rest = failed
     while True:
-        base = subtract(sketch(F.col("first"), F.lit(attempt)), sketch(F.col("second"), F.lit(attempt)))
+        base = difference_sketch(F.col("first"), F.col("second"), F.lit(attempt))
         tried = cut(rest.repartition(*keys).select(*keys, F.size("first").alias("_n"), _let(base, lambda c: difference(F.col("first"), F.col("second"), c, attempt)).alias("r")))
         part = tried.select(*keys, *_counted(F.col("r.got"), digests))
         done = part if done is None else done.unionByName(part)
