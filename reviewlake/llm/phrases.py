@@ -107,6 +107,14 @@ def _within(h: np.ndarray, table: np.ndarray) -> np.ndarray:
     return found
 
 
+def _touches(h: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether any bit of a hash is set."""
+    found = np.zeros(len(h), bool)
+    for p in _places(h, len(table) * 64):
+        found |= (table[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+    return found
+
+
 def _seed(lang: str) -> int:
     """Seed of the hashes of a language's words."""
     return xxhash.xxh3_64_intdigest(lang.encode())
@@ -136,18 +144,20 @@ class _Slice:
         if 1 in levels:
             at = np.flatnonzero(self.starts)
             yield 1, at, h[at]
+        fresh = None if old is None else table & ~old
         for k in range(2, max(levels) + 1):
-            new = np.zeros(len(whole), bool)
-            new[whole] = _within(h[whole], table)
-            known = new[:-1] & new[1:]
-            if old is not None:
-                was = np.zeros(len(whole), bool)
-                was[new] = _within(h[new], old)
-                known &= ~(was[:-1] & was[1:])
+            part = np.zeros(len(whole), bool)  # where a phrase of k - 1 words is asked for; with ``old``, newly
+            test = (lambda x: _within(x, table)) if old is None else (lambda x: _touches(x, fresh))
+            part[whole] = test(self.hashes)[w[whole]] if k == 2 else test(h[whole])  # each word of the slice is tested once
+            both = part[:-1] & part[1:] if old is None else part[:-1] | part[1:]
+            shorter = h
             h = _mix(h[:-1], hw[k - 1:])
             whole = whole[:-1] & (w[k - 1:] >= 0)
             if k in levels:
-                at = np.flatnonzero(known[:size] & whole[:size] & self.starts)
+                at = np.flatnonzero(both[:size] & whole[:size] & self.starts)
+                if old is not None:  # few are left: a part that touches fresh bits is asked for only if all its bits are set
+                    one, two = shorter[at], shorter[at + 1]
+                    at = at[_within(one, table) & _within(two, table)]
                 yield k, at, h[at]
 
     def spelled(self, k: int, at: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
