@@ -120,14 +120,16 @@ def score_lexicon_table(df: DataFrame, lexicon: DataFrame, charset: str = "hangu
     lexicon, and is not grouped by review in any case. Scores meet
     their reviews by ``review_key``, so texts are not moved for them.
     """
-    key = review_key(*[c for c in ("id", "context", "movieNm") if c in df.columns])
+    key = F.unhex(review_key(*[c for c in ("id", "context", "movieNm") if c in df.columns]))
     lex = lexicon.select("word", F.col("weight").cast("bigint").alias("weight"))
-    words = review_inputs(df).select(key.alias("_review"), F.explode(split_words(clean_for_tokens("context", charset))).alias("word"))
+    # the key is a column before the words are: selected beside explode, the text would be hashed again for each of its words
+    rows = review_inputs(df).withColumn("_review", key)
+    words = rows.select("_review", F.explode(split_words(clean_for_tokens("context", charset))).alias("word"))
     hits = words.join(lex, "word", "inner").groupBy("_review").agg(F.sum("weight").alias("score"))
     # equal reviews share a key and were summed together: divide by how many there are
-    copies = review_inputs(df).groupBy(key.alias("_review")).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = rows.groupBy("_review").agg(F.count(F.lit(1)).alias("_copies"))
     scores = hits.join(copies, "_review").select("_review", F.expr("score div _copies").alias("score"))
-    out = review_inputs(df).withColumn("_review", key).join(scores, "_review", "left")
+    out = rows.join(scores, "_review", "left")
     out = out.withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))).drop("_review")
     return out.withColumn("raw_label", label_of("score")).withColumn("sentiment", value_map("raw_label", LABELS))
 

@@ -163,6 +163,17 @@ def test_reviews_of_one_reviewer_stay_apart(spark):
     assert sorted(r["count"] for r in words.where("word = '최고'").collect()) == [1, 2]
 
 
+def test_a_review_is_keyed_once_not_once_a_word(spark):
+    """The digest of a text stands below the explode of its words; above it, it is taken again for every word."""
+    df = raw(spark, [("A", "u1", "최고 감동 입니다 정말로", None, "2025.03.18", "p", None)])
+    lexicon = spark.createDataFrame([("최고", 2)], "word string, weight int")
+    scored = se.score_lexicon_table(clean_reviews(df), lexicon)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = [plan[i - 1] for i, line in enumerate(plan) if "Generate explode" in line]
+    assert above and not any("sha2(" in line for line in above)
+    assert [r.score for r in scored.collect()] == [2]
+
+
 def test_trained_models_read_hangul(spark):
     rows = [("최고 감동 영화 추천", 1), ("감동 최고 연기 추천", 1), ("최악 지루 영화 실망", 0), ("지루 실망 최악 별로", 0)]
     labelled = spark.createDataFrame(rows, "context string, label int")
