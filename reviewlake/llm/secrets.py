@@ -4,7 +4,7 @@ The smallest encoding that holds all characters of a token is inferred (digits,
 and its symbols are tested against uniform draws: chi-squared of the symbol counts, runs above and below the
 middle, and lag-one serial correlation. The squared z values add up to a distance from randomness; a token
 further off than uniform draws come (``FARTHEST``) is no secret. Words are the null population: their law is a
-chain of letters, case, digits and separators, whose letter pairs are fixed values refined by a sample of the
+chain of letters, case, digits and separators, whose letter pairs are fixed values refined by all the
 words of the documents. The chance of a token under that law, divided by its chance under uniform draws of
 its encoding, is a p value of "this is a word" (by Markov's inequality, for any number of words, also none),
 and Benjamini-Hochberg keeps the expected share of words among the reported tokens below ``FDR``. Tokens of
@@ -36,8 +36,6 @@ FDR = 0.01
 FARTHEST = 16.27
 #: p values are counted by powers of two, up to so many.
 P_BINS = 1024
-#: The words' law is refined by at most about so many texts, of each so many characters (a documented bound).
-LAW_ROWS, LAW_CHARS = 4000, 8000
 #: Weight of the fixed letter pairs: so many seen pairs a letter, and this share however many are seen.
 PAIR_PRIOR, PAIR_SHARE = 50.0, 0.1
 _BLOCK = 256
@@ -93,13 +91,16 @@ def _word_law(seen: dict[str, float]) -> list[float]:
 
 
 def word_law(docs: DataFrame, text_col: str = "text") -> list[float]:
-    """The words' law (see ``_word_law``) refined by the letter pairs of a sample of the texts, chosen by hash."""
+    """The words' law (see ``_word_law``) refined by the letter pairs of all words of all texts.
+
+    What leaves Spark is a count for each pair of letters, 27 x 26 at most.
+    """
     rows = docs.select(column(text_col).cast("string").alias("t")).where("t is not null")
-    n = rows.count()
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("word law"), "t"), F.lit(1_000_000)) < min(1.0, LAW_ROWS / max(n, 1)) * 1_000_000)
-    found = F.regexp_extract_all(F.substring("t", 1, LAW_CHARS), F.lit(f"(?<![{TOKEN_CHARS}])[A-Za-z]{{2,}}+(?![{TOKEN_CHARS}])"), 0)
-    words = sample.select(F.explode(found).alias("w")).groupBy(F.concat(F.lit("^"), F.lower("w")).alias("w")).agg(F.count("*").alias("n"))
-    pairs = words.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring(F.col("w"), i, F.lit(2)))).alias("pair"))
+    found = F.regexp_extract_all("t", F.lit(f"(?<![{TOKEN_CHARS}])[A-Za-z]{{2,}}+(?![{TOKEN_CHARS}])"), 0)
+    words = rows.select(F.explode(found).alias("w")).groupBy(F.lower("w").alias("w")).agg(F.count("*").alias("n"))
+    letters = words.select("n", F.filter(F.split("w", ""), lambda c: c != "").alias("c"))  # an array: a word of any length costs no square
+    before = F.concat(F.array(F.lit("^")), F.slice("c", 1, F.size("c") - 1))
+    pairs = letters.select("n", F.explode(F.zip_with(before, "c", lambda a, b: F.concat(a, b))).alias("pair"))
     return _word_law({r["pair"]: float(r["n"]) for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()})
 
 

@@ -358,6 +358,17 @@ def test_base_spans_equal_brute_force_and_redaction(spark):
     assert secrets.scan_secrets(table(spark, [])).count() == 0
 
 
+def test_word_law_counts_every_word(spark):
+    """The law comes from all words: those behind the first thousands of characters, of very long words, and of the last of many rows."""
+    texts = ["1 2 " * 2500 + "zqzq Zq", "qz" * 20_000, None, "", "ab-cd x notaword1"] + ["jx kv"] * 6000
+    seen: dict[str, float] = {}
+    for w in (w for t in texts if t for w in re.findall(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{2,}(?![A-Za-z0-9+/_=-])", t)):
+        for a, b in zip("^" + w.lower()[:-1], w.lower(), strict=True):
+            seen[a + b] = seen.get(a + b, 0.0) + 1
+    assert seen["zq"] > 3 and seen["jx"] == 6000
+    assert secrets.word_law(table(spark, texts)) == secrets._word_law(seen)
+
+
 def test_random_tokens_are_found_among_words(spark):
     rng = random.Random(6)
     abc = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
