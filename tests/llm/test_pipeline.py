@@ -80,6 +80,16 @@ def test_secret_stage_updates_lengths(spark, tmp):
     assert got == {1: ("key [SECRET] end", 16), 2: ("none", 4), 3: (None, 0)}
 
 
+def test_secret_stage_learns_from_all_texts(spark, tmp, monkeypatch):
+    """The stage's law of words counts all rows and whole texts."""
+    laws, limit = [], corpus_pipeline.secrets.randomness_limit
+    monkeypatch.setattr(corpus_pipeline.secrets, "randomness_limit", lambda docs, law, *a: laws.append(law) or limit(docs, law, *a))
+    write_tables(spark, tmp, [(1, "1 2 " * 2500 + "zq", "en"), *[(i, "jx", "en") for i in range(2, 6002)]], [(1, "a")])
+    docs = spark.read.parquet(os.path.join(tmp, "documents.parquet"))
+    assert corpus_pipeline.secret_stage(spark, docs, tmp).count() == 6001
+    assert laws == [corpus_pipeline.secrets._word_law({"^z": 1.0, "zq": 1.0, "^j": 6000.0, "jx": 6000.0})]
+
+
 def test_one_query_for_each_operator():
     names = [n for n in E.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
