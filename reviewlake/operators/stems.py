@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions.text import STOPWORDS_KO
 from reviewlake.operators.keywords import tokens
+from reviewlake.session import checkpoint_dir
 
 #: Stems have two syllables at least and this many at most; the rest of a word is its ending, however long.
 MIN_STEM, MAX_STEM = 2, 10
@@ -56,10 +57,17 @@ def split_stems(words: DataFrame) -> DataFrame:
     return cut.select("word", "n", F.expr("substring(word, 1, k)").alias("stem"), F.expr("substring(word, k + 1, length(word))").alias("ending"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stem_keywords(df: DataFrame, charset: str = "hangul", stopwords: Sequence[str] = STOPWORDS_KO) -> DataFrame:
     """A5 over stems: (movieNm, keyword, count, spellings), ``spellings`` being the number of different words that share the stem in the film."""
-    counts = tokens(df, charset=charset, stopwords=stopwords).groupBy("movieNm", "word").agg(F.count(F.lit(1)).alias("count"))
-    stems = split_stems(counts.groupBy("word").agg(F.sum("count").alias("n"))).select("word", "stem")
+    # counted once and kept: each later step reads other columns of it, so that Spark would go through the texts again for each
+    counts = _kept(tokens(df, charset=charset, stopwords=stopwords).groupBy("movieNm", "word").agg(F.count(F.lit(1)).alias("count")))
+    stems = split_stems(_kept(counts.groupBy("word").agg(F.sum("count").alias("n")))).select("word", "stem")
     return counts.join(stems, "word").groupBy("movieNm", F.col("stem").alias("keyword")).agg(
         F.sum("count").alias("count"), F.count(F.lit(1)).alias("spellings"))
 

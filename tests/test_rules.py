@@ -217,3 +217,13 @@ def test_d25_star_scale_per_source(spark):
     out = {r.id: r.star for r in normalize_platform(experts, "cine", title_col="t", who="expert",
                                                      star_divisor=2).collect()}
     assert out == {"critic": "4.0", "other": None}
+
+
+def test_stem_counts_go_through_the_texts_once(spark):
+    """What follows the words' counts reads the counts, not the texts again."""
+    from reviewlake.operators.stems import stem_keywords
+
+    df = raw(spark, [("A", "u1", "영화관에서 영화관을 영화관은", None, "2025.03.18", "p", None), ("B", "u2", "영화관에서", None, "2025.03.18", "p", None)])
+    got = stem_keywords(df)
+    assert "Generate explode(split" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(r["count"] for r in got.collect()) == 4
