@@ -24,6 +24,10 @@ from reviewlake.operators.incremental import merge_append
 from reviewlake.sources.versions import commit_note, file_system, publish
 
 
+#: Files that a task of ``write_named_csv`` has open at once, and the setting for it; beyond them it sorts what is left.
+NAMES_AT_ONCE, OPEN_FILES = 64, "spark.sql.maxConcurrentOutputFileWriters"
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """S17."""
     w = df.write.mode("overwrite")
@@ -75,13 +79,19 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_named_csv(df: DataFrame, path: str, name_col: str) -> int:
     """S21 for hand-off: one CSV file per value of ``name_col``, named ``<value>.csv``; how many.
 
-    The rows of a name are written by one task, as one file asks for. Files appear one by one under their names
+    The rows of a name are written by one task, as one file asks for, row by row as they come. Files appear one by one under their names
     after all of them are written; the names (not the rows) pass through the driver.
     """
     spark = df.sparkSession
     draft = f"{path}/_draft-{uuid.uuid4().hex}"
-    (df.repartition(name_col).withColumn("_name", F.col(name_col)).drop(name_col).write.partitionBy("_name").option("header", "true")
-     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(draft))
+    rows = df.repartition(name_col).withColumn("_name", F.col(name_col)).drop(name_col)
+    before = spark.conf.get(OPEN_FILES, None)
+    spark.conf.set(OPEN_FILES, str(NAMES_AT_ONCE))  # a task's files are open side by side, so that it need not sort its rows by name
+    try:
+        (rows.write.partitionBy("_name").option("header", "true").option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(draft))
+    finally:
+        spark.conf.unset(OPEN_FILES) if before is None else spark.conf.set(OPEN_FILES, before)
     fs, root = file_system(spark, draft)
     names = 0
     for folder in fs.listStatus(root):

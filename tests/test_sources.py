@@ -261,3 +261,20 @@ def test_review_pages_of_the_other_sites(spark):
         ("expert", "평론가", "좋은 & 깊은\n영화", "8", None), ("netizen", "관객", "재미있는 영화", "3.5", "2025.03.18")]
     assert sorted(map(tuple, pg.cgv_review_rows(df).drop("page_id").collect())) == [("nick", "정말 좋은 영화", "2025.03.17"), ("둘째", "별로예요", "2025.03.16")]
     assert sorted(map(tuple, pg.watcha_review_rows(df).drop("page_id").collect())) == [("둘째", "None", "그저 그런 영화"), ("별명", "4.5", "볼만한 영화")]
+
+
+def test_named_files_are_written_without_sorting_their_rows(spark, tmp_path, monkeypatch):
+    """Files of several names are open side by side, as a sort would hold a name's rows in memory; the setting is given back."""
+    from pyspark.sql import DataFrameWriter
+
+    from reviewlake.sources import sinks
+
+    seen, csv, setting = [], DataFrameWriter.csv, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *a, **k: (seen.append(spark.conf.get(setting, "0")), csv(self, *a, **k))[1])
+    rows = spark.range(300).selectExpr("id", "concat('n', id % 3) AS f", "'a\"b' AS t")
+    assert sinks.write_named_csv(rows, str(tmp_path), "f") == 3
+    assert int(seen[0]) >= 3 and spark.conf.get(setting, None) == before
+    got = {n: spark.read.options(header=True, escape='"').csv(f"{tmp_path}/{n}.csv").collect() for n in ("n0", "n1", "n2")}
+    assert {n: sorted(int(r.id) for r in v) for n, v in got.items()} == {f"n{k}": list(range(k, 300, 3)) for k in range(3)}
+    assert {r.t for v in got.values() for r in v} == {'a"b'}
