@@ -227,3 +227,19 @@ def test_stem_counts_go_through_the_texts_once(spark):
     got = stem_keywords(df)
     assert "Generate explode(split" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert sum(r["count"] for r in got.collect()) == 4
+
+
+def test_word_counts_of_a_review_need_no_group_by_word(spark):
+    """Words are counted inside their review; equal reviews add up, and a part-of-speech table keeps the columns."""
+    cols = "movieNm string, id string, context string, platform string, date date, sentiment string"
+    day = dt.date(2025, 3, 18)
+    rows = [("A", "u1", "최고 최고 감동", "p", day, "positive")] * 2 + [("A", "u1", "최고", "p", day, "positive"), ("A", None, "감동", None, day, None)]
+    scored = spark.createDataFrame(rows, cols)
+    words = se.sentiment_words(scored)
+    plan = words._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("word#" in line for line in plan if "Aggregate [" in line)
+    assert words.columns == ["movieNm", "platform", "date", "sentiment", "word", "count"]
+    assert sorted((r.word, r["count"]) for r in words.collect()) == [("감동", 1), ("감동", 2), ("최고", 1), ("최고", 4)]
+    nouns = spark.createDataFrame([("감동", "Noun")], "word string, pos string")
+    kept = se.sentiment_words(scored, pos_lexicon=nouns)
+    assert kept.columns == words.columns and sorted(r["count"] for r in kept.collect()) == [1, 2]
