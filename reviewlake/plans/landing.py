@@ -36,6 +36,8 @@ from reviewlake.sources.versions import read_version
 Query = Callable[[SparkSession, str], DataFrame]
 
 MERGE_KEYS = ("id", "context", "date")
+#: Compression of landed responses, whose field names repeat in every line.
+LANDED = "gzip"
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -177,7 +179,7 @@ def json_drift(spark, d):
     day = F.regexp_replace("openDt", "-", "")
     rest = F.when(kind == 3, F.lit("")).otherwise(F.concat(F.lit(',"dailyBoxOfficeList":'), lst))
     doc = F.concat(F.lit('{"boxOfficeResult":{"showRange":"'), day, F.lit("~"), day, F.lit('"'), rest, F.when(kind == 4, F.lit("}")).otherwise(F.lit("}}")))
-    per.select(doc.alias("value")).write.text(land)
+    per.select(doc.alias("value")).write.text(land, compression=LANDED)
     rows, audit = read_boxoffice_drifting(spark, land, multi_line=False)
     seen = audit.groupBy("boxoffice_date", "status").agg(F.count(F.lit(1)).alias("responses"), F.sum("entries").alias("entries"), F.sum("unknown").alias("unknown"),
                                                          F.sum("missing").alias("missing"), F.sum("mistyped").alias("mistyped"))

@@ -408,7 +408,7 @@ def api_json_ingest(spark, d):
         F.array(F.struct(*[F.col(c) for c in BOXOFFICE_FIELDS])).alias("dailyBoxOfficeList"),
     ).alias("boxOfficeResult")))
     out = _scratch(spark, "api-json")
-    raw.select(doc.alias("value")).write.mode("overwrite").text(out)
+    raw.select(doc.alias("value")).write.mode("overwrite").text(out, compression=landing.LANDED)
     return read_boxoffice_json(spark, out, multi_line=False)
 
 
@@ -426,7 +426,7 @@ def region_json_ingest(spark, d):
                           F.array(entry).alias("dailyBoxOfficeList")).alias("boxOfficeResult")).alias("data"),
     ))
     out = _scratch(spark, "region-json")
-    raw.select(doc.alias("value")).write.mode("overwrite").text(out)
+    raw.select(doc.alias("value")).write.mode("overwrite").text(out, compression=landing.LANDED)
     return read_region_json(spark, out, multi_line=False)
 
 

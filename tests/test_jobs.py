@@ -123,3 +123,19 @@ def test_boxoffice_daily_job_from_landed_json(spark, tmp):
         (d, k, n, 1000) for d in ("2025-03-18", "2025-03-19") for k, n in ((1, "A"), (2, "B"))]
     regional = spark.read.parquet(paths["region_boxoffice"])
     assert sorted((str(r.boxoffice_date), r.region_name, r.audiCnt) for r in regional.collect()) == [("2025-03-18", "서울", 7), ("2025-03-19", "서울", 7)]
+
+
+def test_landed_responses_are_packed(spark):
+    """Responses of one a line land compressed, and all their rows come back."""
+    import glob
+
+    import __spark_entry__ as entry
+    from reviewlake.session import checkpoint_dir
+    from tests.conftest import SF001
+
+    base = checkpoint_dir(spark).removeprefix("file:")
+    for name, tag in (("api_json_ingest", "api-json"), ("region_json_ingest", "region-json"), ("json_drift", "json-drift")):
+        old = set(glob.glob(f"{base}/**/{tag}-*/part-*", recursive=True))
+        assert entry.queries()[name](spark, SF001).count() > 0
+        new = set(glob.glob(f"{base}/**/{tag}-*/part-*", recursive=True)) - old
+        assert new and all(f.endswith(".txt.gz") for f in new), name
