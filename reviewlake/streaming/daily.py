@@ -160,6 +160,12 @@ def read_counts(spark: SparkSession, path: str, keys: Sequence[str] = ("movieNm"
     return _summed([spark.read.parquet(*count_folders(spark, path))], [*keys, day_col])
 
 
+def compact_counts(spark: SparkSession, path: str, out_path: str, keys: Sequence[str] = ("movieNm",),
+                   day_col: str = "review_date") -> None:
+    """Writes the counts at ``path`` as a table of one folder at ``out_path``; a second call there adds nothing."""
+    add_counts(read_counts(spark, path, keys, day_col), out_path, run_name(path), 0, [*keys, day_col])
+
+
 def clean_counts(spark: SparkSession, path: str) -> list[str]:
     """Deletes the folders that merging left behind; call it when no stream writes."""
     return clean_versions(spark, path, 1, lambda note: [f["name"] for f in note["folders"]])
