@@ -20,6 +20,8 @@ driver. Here the label is a column computed inside the executors:
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions.text import (STOPWORDS_KO_LONG, clean_for_tokens, col_, split_words)
 from reviewlake.operators.keywords import tokens
 from reviewlake.operators.skew import share_of_group, top_n
+from reviewlake.session import checkpoint_dir
 
 # The reference's model labels and their meaning.
 LABELS = {"LABEL_0": "negative", "LABEL_1": "positive"}
@@ -253,7 +256,7 @@ def fit_naive_bayes(labelled: DataFrame, text_col: str = "context", label_col: s
 def fit_sentiment_model(labelled: DataFrame, text_col: str = "context", label_col: str = "label",
                         num_features: int = 1 << 18, max_iter: int = 20, charset: str = "hangul+jamo"):
     """Train T-chain words -> hashing TF -> IDF -> logistic regression."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF
 
@@ -265,7 +268,10 @@ def fit_sentiment_model(labelled: DataFrame, text_col: str = "context", label_co
                            rawPredictionCol="_raw"),
     ]
     rows = labelled.select(text_col, F.col(label_col).cast("double").alias(label_col))
-    return Pipeline(stages=stages).fit(_with_tokens(rows, text_col, charset))
+    # saved and loaded, the model leaves its training summary behind: that holds the session, which no task takes once an Observation ran in it
+    path = os.path.join(checkpoint_dir(labelled.sparkSession), f"model-{uuid.uuid4().hex}")
+    Pipeline(stages=stages).fit(_with_tokens(rows, text_col, charset)).save(path)
+    return PipelineModel.load(path)
 
 
 def score_model(df: DataFrame, model, charset: str = "hangul+jamo") -> DataFrame:
