@@ -26,13 +26,13 @@ UNDETERMINED = "und"
 BUCKET_BITS = 16
 #: A label changes inside a text only where the other language's words win by this many nats.
 SWITCH_PENALTY = 9.0
-#: At most about so many training texts per language are read (a documented bound of the classifier).
-TRAIN_ROWS_PER_LANG = 3000
 #: A language is written in a script that holds at least this share of its training letters.
 SCRIPT_SHARE = 0.01
 _EXCLUDED = -1e4
 #: Code points whose words are labelled at once.
 _LABEL_CHARS = 3_000_000
+#: Languages that a task counts side by side.
+_TABLES_AT_ONCE = 64
 
 #: First and last code point of each script's main blocks (Unicode).
 SCRIPT_RANGES = [
@@ -102,37 +102,38 @@ class LanguageModel:
     allowed: np.ndarray = field(repr=False)
 
 
-def train_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id",
-                         max_rows_per_lang: int = TRAIN_ROWS_PER_LANG) -> LanguageModel:
-    """Trigram counts of each language over at most about ``max_rows_per_lang`` texts, chosen by a hash of the key.
+def train_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Trigram and script counts of each language over all texts of ``docs``.
 
-    Rows without text or language teach nothing. Counting runs on Spark; the driver gets one row per
-    language and bucket (at most 2 ** BUCKET_BITS) and one per language and script.
+    Rows without text or language teach nothing. Counting runs on Spark, a table of fixed size a language in each task; the driver
+    gets one row per language and bucket (at most 2 ** BUCKET_BITS) and one per language and script.
     """
-    rows = docs.select(column(key_col).cast("string").alias("k"), column(text_col).cast("string").alias("t"),
-                       column(lang_col).cast("string").alias("l")).where("t is not null and l is not null")
-    sizes = {r["l"]: r["n"] for r in docs.select(column(lang_col).cast("string").alias("l"))
-             .where("l is not null").groupBy("l").agg(F.count("*").alias("n")).collect()}
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("l") == lang, min(1.0, max_rows_per_lang / n)).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("language sample"), "k"), F.lit(1_000_000)) < share * 1_000_000)
+    rows = docs.select(column(text_col).cast("string").alias("t"), column(lang_col).cast("string").alias("l")).where("t is not null and l is not null")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, found in tables.items():
+                for kind, counts in zip(("gram", "script"), found, strict=True):
+                    ids = np.flatnonzero(counts)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ids), pa.string()), pa.array([kind] * len(ids), pa.string()),
+                                                      pa.array(ids, pa.int32()), pa.array(counts[ids])], names=["l", "kind", "id", "n"])
+            tables.clear()
+
         for b in batches:
             langs, texts = b.column(1).to_pylist(), b.column(0).to_pylist()
-            for lang in sorted(set(langs)):
+            for lang in set(langs):
+                if len(tables) == _TABLES_AT_ONCE:
+                    yield from counted()
+                grams, letters = tables.setdefault(lang, (np.zeros(2 ** BUCKET_BITS, np.int64), np.zeros(len(SCRIPTS), np.int64)))
                 for _, part in slices([t for t, x in zip(texts, langs, strict=True) if x == lang]):
                     g = _grams(part)
-                    for kind, values, weight in (("gram", g["bucket"], None), ("script", g["script"], g["letters"])):
-                        counts = np.bincount(values, weight) if len(values) else np.zeros(0)
-                        ids = np.flatnonzero(counts)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(ids), pa.string()), pa.array([kind] * len(ids), pa.string()),
-                             pa.array(ids, pa.int32()), pa.array(counts[ids], pa.int64())], names=["l", "kind", "id", "n"])
-
-    counts = (sample.select("t", "l").mapInArrow(count, "l string, kind string, id int, n long")
-              .groupBy("l", "kind", "id").agg(F.sum("n").alias("n")).collect())
+                    grams += np.bincount(g["bucket"], minlength=len(grams))
+                    letters += np.bincount(g["script"], g["letters"], len(letters)).astype(np.int64)
+        yield from counted()
+
+    counts = rows.mapInArrow(count, "l string, kind string, id int, n long").groupBy("l", "kind", "id").agg(F.sum("n").alias("n")).collect()
     langs = sorted({r["l"] for r in counts if r["kind"] == "gram"})
     grams = np.zeros((2 ** BUCKET_BITS, len(langs)))
     letters = np.zeros((len(SCRIPTS), len(langs)))

@@ -6,7 +6,9 @@ import hashlib
 import os
 import random
 import re
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,19 @@ def test_language_stage_drops_texts_of_unknown_scripts(spark, tmp):
     assert {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, tmp).collect()} == {*range(12), 51}
 
 
+def test_language_stage_learns_from_all_texts(spark, tmp, monkeypatch):
+    """The stage's language model counts the trigrams of every text that is not held out."""
+    lid, models = corpus_pipeline.language_id, []
+    monkeypatch.setattr(lid, "identify_languages", lambda docs, model, *a, f=lid.identify_languages, **k: models.append(model) or f(docs, model, *a, **k))
+    rows = [(i, f"word{'abcdefgh'[i % 8]} {'xyz'[i % 3]}", "en" if i % 50 else "de") for i in range(6000)] + [(None, "lone", "en"), (6001, None, "en"), (6002, "none", None)]
+    write_tables(spark, tmp, rows, [(1, "a")])
+    corpus_pipeline.language_stage(spark, spark.read.parquet(os.path.join(tmp, "documents.parquet")), tmp).count()
+    taught = [(t, x) for i, t, x in rows if t and x and (i is None or zlib.crc32(str(i).encode()) % 3 != 1)]
+    counts = np.stack([np.bincount(lid._grams([t for t, x in taught if x == lang])["bucket"], minlength=2 ** lid.BUCKET_BITS) for lang in ("de", "en")], axis=1) + 0.1
+    assert models[0].langs == ["de", "en"]
+    assert np.allclose(models[0].weights, np.log(counts) - np.log(counts.sum(axis=0)), atol=1e-5)
+
+
 def test_secret_stage_updates_lengths(spark, tmp):
     write_tables(spark, tmp, [(1, "key token=abcdefgh12 end", "en"), (2, "none", "en"), (3, None, "en")], [(1, "a")])
     docs = spark.read.parquet(os.path.join(tmp, "documents.parquet"))
