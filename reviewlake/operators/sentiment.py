@@ -247,6 +247,10 @@ def fit_naive_bayes(labelled: DataFrame, text_col: str = "context", label_col: s
     words = _with_tokens(labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()), text_col, charset)
     counts = (words.select(F.explode("_tokens").alias("word"), (F.col(label_col) > 0).alias("_pos")).groupBy("word")
               .agg(F.count_if("_pos").alias("pos"), F.count_if(~F.col("_pos")).alias("neg")))
+    # written once: the texts are counted once, and what reads the lexicon knows its size (a small one is broadcast to the texts' words)
+    path = os.path.join(checkpoint_dir(labelled.sparkSession), f"lexicon-{uuid.uuid4().hex}")
+    counts.write.parquet(path)
+    counts = labelled.sparkSession.read.parquet(path)
     totals = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("words"))).scalar()
     ratio = (F.log((F.col("pos") + 1) / (totals["pos"] + totals["words"]).cast("double"))
              - F.log((F.col("neg") + 1) / (totals["neg"] + totals["words"]).cast("double")))

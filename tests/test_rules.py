@@ -243,3 +243,13 @@ def test_word_counts_of_a_review_need_no_group_by_word(spark):
     nouns = spark.createDataFrame([("감동", "Noun")], "word string, pos string")
     kept = se.sentiment_words(scored, pos_lexicon=nouns)
     assert kept.columns == words.columns and sorted(r["count"] for r in kept.collect()) == [1, 2]
+
+
+def test_a_fitted_lexicon_knows_its_size(spark):
+    """The lexicon is written once, so a small one is broadcast to the texts' words, which then need no shuffle."""
+    labelled = spark.createDataFrame([("최고 연기", 1), ("지루 연기", 0)], "context string, label int")
+    df = spark.createDataFrame([("m", "최고 최고", "p", "2024-01-01", "1")], "movieNm string, context string, platform string, date string, id string")
+    scored = se.score_lexicon_table(df, se.fit_naive_bayes(labelled))
+    plan = scored._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin [word" in plan and "SortMergeJoin [word" not in plan
+    assert [r.sentiment for r in scored.collect()] == ["positive"]
