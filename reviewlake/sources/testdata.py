@@ -29,6 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(spread) if spread > 1 and name in FACT_TABLES else df
 
 
+#: Rows of a large table that one task of a join sorts, where the session's shuffle partitions would give it more.
+JOIN_ROWS = 500_000
+
+
+def spread_join(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join, dealt by key over as many partitions as their rows ask for, so that a task's sort does not grow with them.
+
+    Tables for which the session's shuffle partitions are enough stay as they are (the planner may broadcast one).
+    """
+    parts = max(left.count(), right.count()) // JOIN_ROWS
+    if parts <= int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return left, right
+    return left.repartition(parts, left_key), right.repartition(parts, right_key)
+
+
 def reviews_from_events(events: DataFrame) -> DataFrame:
     """``reviews_rt``: one review per event.
 
@@ -173,6 +188,7 @@ def raw_chart_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     non-number, numbers above 2^31 and ``yyyy-MM-dd`` days."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    li, o = spread_join(li, "l_orderkey", o, "o_orderkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     s = lambda c: c.cast("string")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")

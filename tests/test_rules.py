@@ -253,3 +253,31 @@ def test_a_fitted_lexicon_knows_its_size(spark):
     plan = scored._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin [word" in plan and "SortMergeJoin [word" not in plan
     assert [r.sentiment for r in scored.collect()] == ["positive"]
+
+
+def test_a_join_deals_its_rows_over_tasks_of_bounded_size(spark, monkeypatch):
+    """The rows of a join's task do not grow with the tables; small tables are left to the planner."""
+    from reviewlake.sources import testdata as td
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) + 3
+    big = spark.range(parts * 10).select(F.col("id").alias("a"), F.lit(None).cast("long").alias("x")).unionByName(spark.sql("SELECT 1L AS a, 2L AS x"))
+    small = spark.range(20).select(F.col("id").alias("b"))
+    assert td.spread_join(big, "a", small, "b") == (big, small)
+    monkeypatch.setattr(td, "JOIN_ROWS", 10)
+    left, right = td.spread_join(big, "a", small, "b")
+    assert left.rdd.getNumPartitions() == right.rdd.getNumPartitions() == parts
+    assert sorted(r.a for r in left.join(right, left.a == right.b).collect()) == sorted([1, *range(20)])
+
+
+def test_charts_are_joined_by_dealt_rows(spark, tmp_path, monkeypatch):
+    from reviewlake.sources import testdata as td
+
+    path = str(tmp_path)
+    spark.sql("SELECT id AS o_orderkey, timestamp'1996-04-05' AS o_orderdate, 10.5D AS o_totalprice FROM range(5)").write.parquet(path + "/orders.parquet")
+    spark.sql("SELECT id % 6 AS l_orderkey, id AS l_partkey, 3L AS l_suppkey, cast(id % 7 + 1 AS int) AS l_linenumber, 4D AS l_quantity, 7.5D AS l_extendedprice, "
+              "0.1D AS l_discount, 0.2D AS l_tax FROM range(400)").write.parquet(path + "/lineitem.parquet")
+    want = sorted(td.raw_chart_strings(spark, path).collect())
+    monkeypatch.setattr(td, "JOIN_ROWS", 1)
+    rows = td.raw_chart_strings(spark, path)
+    assert rows._jdf.queryExecution().analyzed().toString().count("RepartitionByExpression") == 2
+    assert len(want) == 334 and sorted(rows.collect()) == want
