@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, ByteType, LongType, StringType, StructField, StructType
 
 from reviewlake.llm.batches import column, cut
 
@@ -35,6 +36,8 @@ SAMPLE, LOWERED = 0.2, 0.6
 FILTER_BITS = 1 << 26
 #: Tokens counted together within a task (local word numbers must fit 21 bits).
 SLICE_TOKENS = 600_000
+#: Hashes of slices that a task counts together before they are exchanged.
+MERGED_HASHES = 800_000
 #: Longer texts are cut into parts of about so many bytes; no phrase is lost at a cut.
 PART_BYTES = 1_000_000
 
@@ -44,6 +47,11 @@ _BREAK = re.compile(rb"[ .]")
 _SPREAD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 _COUNTS = StructType([StructField("lang", StringType()), StructField("k", ByteType()), StructField("phrase", StringType()), StructField("h", LongType()),
                       StructField("f", LongType())])
+#: The slices as they are kept, packed: word numbers (16 bits each where they fit, ``_NONE`` for what ends a piece), where a phrase may start, the words.
+_SLICES = StructType([StructField("pick", BooleanType()), StructField("size", LongType()), StructField("w", BinaryType()), StructField("starts", BinaryType()),
+                      StructField("words", BinaryType()), StructField("lang_of", BinaryType()), StructField("langs", ArrayType(StringType()))])
+_SLICE_TYPES = [pa.bool_(), pa.int64(), *[pa.binary()] * 4, pa.list_(pa.string())]
+_NONE = 65535
 _HASHES = StructType([StructField("h", LongType()), StructField("f", LongType())])
 
 
@@ -120,8 +128,27 @@ def _seed(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode())
 
 
+def _packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All low bytes, then all next ones: numbers in this order pack better."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _of_planes(data: bytes, dtype: type) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
 class _Slice:
-    """The tokens of one slice as an array, and the hashes of the words."""
+    """The tokens of one slice as an array, and the words with their hashes."""
 
     def __init__(self, items: list, words: list[bytes], langs: list[str]):
         self.size = sum(len(ids) + 1 for ids, _ in items)
@@ -131,8 +158,44 @@ class _Slice:
             starts[at:at + n] = True
             at += len(ids) + 1
         self.w, self.starts = w, starts & (w[:self.size] >= 0)
-        self.words, self.langs = pa.array(words, pa.binary()).cast(pa.string()), pa.array(langs, pa.string())
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words, map({g: _seed(g) for g in set(langs)}.__getitem__, langs)), np.uint64, len(words))
+        self.names = list(dict.fromkeys(langs))
+        number = {g: i for i, g in enumerate(self.names)}
+        self.spelling, self.of = words, np.fromiter(map(number.__getitem__, langs), np.int32, len(langs))
+
+    def row(self, pick: bool) -> pa.RecordBatch:
+        """The slice as a row of ``_SLICES``."""
+        short = len(self.spelling) < _NONE  # such a slice's word numbers fit 16 bits
+        ids = np.where(self.w[:self.size] < 0, _NONE, self.w[:self.size]).astype(np.uint16) if short else self.w[:self.size].astype(np.int32)
+        values = [pick, self.size, *map(_packed, (_planes(ids), np.packbits(self.starts).tobytes(), b" ".join(self.spelling), self.of.tobytes())), self.names]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _SLICE_TYPES, strict=True)], names=_SLICES.names)
+
+    @classmethod
+    def of_row(cls, row: dict) -> _Slice:
+        part = cls.__new__(cls)
+        w, starts, words, of = (_unpacked(row[c]) for c in ("w", "starts", "words", "lang_of"))
+        part.size, part.names, part.of = row["size"], row["langs"], np.frombuffer(of, np.int32)
+        part.spelling = words.split(b" ") if words else []
+        part.w = np.full(part.size + MAX_WORDS, -1, np.int64)
+        if len(part.spelling) < _NONE:
+            ids = _of_planes(w, np.uint16)
+            part.w[:part.size] = np.where(ids == _NONE, -1, ids.astype(np.int64))
+        else:
+            part.w[:part.size] = _of_planes(w, np.int32)
+        part.starts = np.unpackbits(np.frombuffer(starts, np.uint8), count=part.size).astype(bool)
+        return part
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        seeds = [_seed(g) for g in self.names]
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.spelling, map(seeds.__getitem__, self.of.tolist())), np.uint64, len(self.spelling))
+
+    @cached_property
+    def words(self) -> pa.Array:
+        return pa.array(self.spelling, pa.binary()).cast(pa.string())
+
+    @cached_property
+    def langs(self) -> pa.Array:
+        return pa.array(self.names, pa.string()).take(pa.array(self.of))
 
     def places(self, levels: tuple[int, ...], table, old) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(k, places, hashes) of the phrases of ``levels`` words to be counted: both parts in ``table`` and not both in ``old``."""
@@ -185,20 +248,45 @@ class _Slice:
                                            pa.array(np.zeros(len(per), np.int64)), per["f_sum"].combine_chunks()], names=_COUNTS.names)
 
 
+class _Gathered:
+    """Texts that are gathered to slices."""
+
+    def __init__(self):
+        self.words, self.langs, self.vocab, self.items, self.held = [], [], {}, [], 0
+
+    def add(self, lang: str, tokens: list[bytes], n: int) -> None:
+        if lang not in self.vocab:
+            self.vocab[lang] = _Words(lang, self.words, self.langs)
+        self.items.append((np.fromiter(map(self.vocab[lang].__getitem__, tokens), np.int64, len(tokens)), n))
+        self.held += len(tokens)
+
+    def slice(self) -> _Slice:
+        return _Slice(self.items, self.words, self.langs)
+
+
+def _sliced(docs: DataFrame) -> DataFrame:
+    """The slices of ``docs`` (pick, lang, text), written once, so that each pass reads word numbers; picked texts have slices of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = {True: _Gathered(), False: _Gathered()}
+        for b in batches:
+            for pick, lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()), strict=True):
+                for tokens, n in _parts(text.as_py() or b""):
+                    open_[pick].add(lang, tokens, n)
+                    if open_[pick].held >= SLICE_TOKENS:
+                        yield open_[pick].slice().row(pick)
+                        open_[pick] = _Gathered()
+        for pick, rest in open_.items():
+            if rest.held:
+                yield rest.slice().row(pick)
+
+    return cut(docs.select("pick", "lang", "text").mapInArrow(run, _SLICES))
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
-    words, langs, vocab, items, held = [], [], {}, [], 0
     for b in batches:
-        for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()), strict=True):
-            for tokens, n in _parts(text.as_py() or b""):
-                if lang not in vocab:
-                    vocab[lang] = _Words(lang, words, langs)
-                items.append((np.fromiter(map(vocab[lang].__getitem__, tokens), np.int64, len(tokens)), n))
-                held += len(tokens)
-                if held >= SLICE_TOKENS:
-                    yield _Slice(items, words, langs)
-                    words, langs, vocab, items, held = [], [], {}, [], 0
-    if held:
-        yield _Slice(items, words, langs)
+        for i in range(b.num_rows):
+            yield _Slice.of_row({name: b.column(j)[i].as_py() for j, name in enumerate(b.schema.names)})
 
 
 def _table(bits) -> np.ndarray | None:
@@ -206,17 +294,27 @@ def _table(bits) -> np.ndarray | None:
 
 
 def _hash_counts(docs: DataFrame, levels: tuple[int, ...], bits) -> DataFrame:
-    """(h, f): for each hash the number of phrases with it among those of ``levels`` words that ``bits`` asks for, over ``docs`` (lang, text).
+    """(h, f): for each hash the number of phrases with it among those of ``levels`` words that ``bits`` asks for, over ``docs`` (slices).
 
-    Slices are counted in the tasks; the rows are exchanged as they are, since what is left hardly repeats in a task.
+    Slices are counted in the tasks, ``MERGED_HASHES`` hashes together; the rows are exchanged as they are, since what is left hardly repeats in a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(bits)
+        table, held = _table(bits), []
+
+        def merged() -> pa.RecordBatch:
+            values, at = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n for _, n in held]))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=_HASHES.names)
+
         for part in _slices(batches):
             for _, _, h in part.places(levels, table, None):
-                values, n = np.unique(h, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=_HASHES.names)
+                held.append(np.unique(h, return_counts=True))
+            if sum(len(v) for v, _ in held) >= MERGED_HASHES:
+                yield merged()
+        if held:
+            yield merged()
 
     return docs.mapInArrow(run, _HASHES).repartition("h").groupBy("h").agg(F.sum("f").alias("f"))
 
@@ -272,7 +370,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, text_col: str = "text
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("lang"), column(text_col).cast("string").alias("text"))
-    share = rows.sample(False, sample, seed=7) if 0 < sample < 1 else rows
+    rows = _sliced(rows.withColumn("pick", F.rand(7) < sample if 0 < sample < 1 else F.lit(True)))
+    share = rows.where("pick")
     least = max(2, int(min_count * sample * LOWERED))
     send = lambda table: spark.sparkContext.broadcast(table.tobytes())
     proposed = np.zeros(filter_bits >> 6, np.uint64)

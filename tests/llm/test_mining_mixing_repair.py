@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,32 @@ def test_slices_within_a_task_add_up(spark):
     assert part.totals().to_pydict() == {"lang": ["en", "de"], "k": [0, 0], "phrase": ["", ""], "h": [0, 0], "f": [2, 1]}
 
 
+def test_texts_are_tokenised_once_whatever_the_passes(spark, tmp_path):
+    """Each pass reads the kept word numbers; the texts themselves are read by one task, once."""
+    reads, made = [], phrases._sliced
+    texts = [("en", f"u{i} v{i}") for i in range(3000)] + [("en", "north east south west wind")] * 30
+    path = str(tmp_path / "texts")
+    spark.createDataFrame(texts, "lang string, text string").coalesce(1).write.parquet(path)
+    phrases._sliced = lambda docs: reads.append(1) or made(docs)
+    try:
+        known = phrases.frequent_phrases(spark.read.parquet(path), 30, sample=0.0001, filter_bits=BITS)
+    finally:
+        phrases._sliced = made
+    assert reads == [1] and "FileScan" not in known._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.phrase): r.f for r in known.collect()} == {(k, p): n for (_, k, p), n in brute_counts(texts).items() if n >= 30 or not k}
+
+
+def test_a_kept_slice_comes_back_as_it_was():
+    for n in (0, 3, 70_000):  # no words, and more of them than 16 bits number
+        words, langs = [b"w%d" % i for i in range(n)], ["en", "de"] * (n // 2) + ["en"] * (n % 2)
+        items = [(np.r_[np.arange(n, dtype=np.int64), -1], max(n - 1, 0))] * 2
+        part = phrases._Slice(items, words, langs)
+        row = part.row(True).to_pylist()[0]
+        back = phrases._Slice.of_row(row)
+        assert row["pick"] and back.size == part.size and (back.w == part.w).all() and (back.starts == part.starts).all()
+        assert back.spelling == words and back.langs.to_pylist() == langs and (back.hashes == part.hashes).all()
+
+
 def test_collocations_of_an_empty_table(spark):
     df = spark.createDataFrame([], "lang string, text string")
     assert phrases.collocations(df, filter_bits=BITS).collect() == []
