@@ -123,14 +123,16 @@ def merge_into(new: DataFrame, path: str, keys: Sequence[str], batch: str, parti
                expected_keys: int = 10_000_000, order: Sequence[str] = ()) -> DataFrame:
     """Adds to the table at ``path`` the rows of ``new`` whose keys it lacks; the rows of the table.
 
-    ``path/rows/batch=<batch>`` holds what each batch added, ``path/index`` the key index. A batch that runs again (after a
+    ``path/rows/batch=<batch>`` holds what each batch added, ``path/_index`` the key index (hidden from readers of the folder; a table that has ``path/index`` keeps it there). A batch that runs again (after a
     lost driver, with other rows or with none) replaces its own rows and nothing else; keys of other batches win over it.
     """
     spark = new.sparkSession
     staged = f"{path}/staged/{uuid.uuid4().hex}"  # what follows overwrites a part of the index, which it may not read any more
-    unseen(new, f"{path}/index", keys, batch, buckets, expected_keys, order).write.parquet(staged)
+    old_fs, old = file_system(spark, f"{path}/index")
+    index = f"{path}/index" if old_fs.exists(old) else f"{path}/_index"
+    unseen(new, index, keys, batch, buckets, expected_keys, order).write.parquet(staged)
     added = spark.read.parquet(staged)
-    record_keys(added, f"{path}/index", batch, buckets, expected_keys)
+    record_keys(added, index, batch, buckets, expected_keys)
     w = added.drop(KEY).write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/rows/batch={batch}")
     fs, folder = file_system(spark, staged)

@@ -87,7 +87,7 @@ def upsert_batches(df: DataFrame, out_path: str, keys: Sequence[str], checkpoint
                    partition_col: str | None = None, buckets: int = 64, expected_keys: int = 10_000_000) -> StreamingQuery:
     """R2 + R4: adds each micro-batch's rows whose keys the table lacks.
 
-    Null keys compare equal. ``out_path/rows`` holds the rows (read them with ``read_merged``), ``out_path/index``
+    Null keys compare equal. ``out_path/rows`` holds the rows (read them with ``read_merged``), ``out_path/_index``
     the stored keys, so the cost of a batch follows the batch, not the table. A batch's rows lie under the batch's own
     name: rerunning it (after a lost executor or a restart) replaces them. ``partition_col`` divides them further.
     """
