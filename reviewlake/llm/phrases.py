@@ -38,6 +38,10 @@ FILTER_BITS = 1 << 26
 SLICE_TOKENS = 600_000
 #: Hashes of slices that a task counts together before they are exchanged.
 MERGED_HASHES = 800_000
+#: Bits of a hash that are kept: a collision only lets a rare phrase be spelled out in vain.
+HASH_BITS = 40
+#: Hashes are exchanged by their first bits, in so many parts of a power of two; a task merges one part at a time.
+PART_BITS = 10
 #: Longer texts are cut into parts of about so many bytes; no phrase is lost at a cut.
 PART_BYTES = 1_000_000
 
@@ -52,7 +56,9 @@ _SLICES = StructType([StructField("pick", BooleanType()), StructField("size", Lo
                       StructField("words", BinaryType()), StructField("lang_of", BinaryType()), StructField("langs", ArrayType(StringType()))])
 _SLICE_TYPES = [pa.bool_(), pa.int64(), *[pa.binary()] * 4, pa.list_(pa.string())]
 _NONE = 65535
+_PACKED = StructType([StructField("part", LongType()), StructField("hashes", BinaryType())])
 _HASHES = StructType([StructField("h", LongType()), StructField("f", LongType())])
+_DROPPED, _LOW = np.uint64(64 - HASH_BITS), np.uint64(HASH_BITS - PART_BITS)
 
 
 class _Words(dict):
@@ -100,8 +106,9 @@ def _mix(state: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    """The filter bits of a hash."""
+    """The filter bits of a hash, by those of its bits that are kept."""
     shift = np.uint64(64 - (bits.bit_length() - 1))
+    h = (h >> _DROPPED) << _DROPPED
     return [(h * s) >> shift for s in _SPREAD]
 
 
@@ -293,10 +300,26 @@ def _table(bits) -> np.ndarray | None:
     return None if bits is None else np.frombuffer(bits.value, np.uint64)
 
 
-def _hash_counts(docs: DataFrame, levels: tuple[int, ...], bits) -> DataFrame:
-    """(h, f): for each hash the number of phrases with it among those of ``levels`` words that ``bits`` asks for, over ``docs`` (slices).
+def _packed_parts(values: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Sorted hashes (``HASH_BITS`` each) and their counts as rows of ``_PACKED``: steps from hash to hash, then the counts."""
+    parts, starts = np.unique(values >> _LOW, return_index=True)
+    low = (values & ((np.uint64(1) << _LOW) - np.uint64(1))).astype(np.uint32)
+    steps = np.diff(low, prepend=np.uint32(0))
+    steps[starts] = low[starts]
+    blobs = [_packed(_planes(steps[i:j]) + _planes(n[i:j])) for i, j in zip(starts, [*starts[1:], len(values)], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int64)), pa.array(blobs, pa.binary())], names=_PACKED.names)
 
-    Slices are counted in the tasks, ``MERGED_HASHES`` hashes together; the rows are exchanged as they are, since what is left hardly repeats in a task.
+
+def _of_packed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = _unpacked(blob)
+    size = len(data) // 12
+    return _of_planes(data[:4 * size], np.uint32).astype(np.uint64).cumsum(), _of_planes(data[4 * size:], np.int64)
+
+
+def _hash_counts(docs: DataFrame, levels: tuple[int, ...], bits, least: int) -> DataFrame:
+    """(h, f): the hashes that at least ``least`` phrases share among those of ``levels`` words that ``bits`` asks for, over ``docs`` (slices).
+
+    Slices are counted in the tasks, ``MERGED_HASHES`` hashes together, and exchanged packed, sorted by hash: about a third of the bytes of plain rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,26 +329,38 @@ def _hash_counts(docs: DataFrame, levels: tuple[int, ...], bits) -> DataFrame:
             values, at = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
             n = np.bincount(at, np.concatenate([n for _, n in held]))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=_HASHES.names)
+            return _packed_parts(values, n.astype(np.int64))
 
         for part in _slices(batches):
             for _, _, h in part.places(levels, table, None):
-                held.append(np.unique(h, return_counts=True))
+                held.append(np.unique(h >> _DROPPED, return_counts=True))
             if sum(len(v) for v, _ in held) >= MERGED_HASHES:
                 yield merged()
         if held:
             yield merged()
 
-    return docs.mapInArrow(run, _HASHES).repartition("h").groupBy("h").agg(F.sum("f").alias("f"))
+    def summed(rows: pa.Table) -> pa.Table:
+        first = np.uint64(rows["part"][0].as_py()) << _LOW
+        values, n = map(np.concatenate, zip(*(_of_packed(x.as_py()) for x in rows["hashes"]), strict=True))
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        starts = np.flatnonzero(np.diff(values, prepend=values[:1] + np.uint64(1)))
+        f = np.add.reduceat(n[order], starts)
+        enough = f >= least
+        h = ((values[starts[enough]] | first) << _DROPPED).view(np.int64)
+        return pa.table({"h": pa.array(h), "f": pa.array(f[enough])})
+
+    return docs.mapInArrow(run, _PACKED).groupBy("part").applyInArrow(summed, _HASHES)
 
 
 def _counts(docs: DataFrame, bits, old, wanted) -> DataFrame:
-    """Exact counts (lang, k, phrase, h, f) of the phrases that ``bits`` asks for beyond ``old``, and of those of ``old`` whose hash is in ``wanted``.
+    """Exact counts (lang, k, phrase, f) of the phrases that ``bits`` asks for beyond ``old``, and of those of ``old`` whose hash is in ``wanted``.
 
-    With ``wanted`` this counts words too, and k = 0 the words of a language.
+    With ``wanted`` this counts words too, and k = 0 the words of a language. Hashes are not exchanged; see ``_hashed``.
     """
+    schema = StructType([f for f in _COUNTS if f.name != "h"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, before, hashes = _table(bits), _table(old), _table(wanted)
         for part in _slices(batches):
             if hashes is not None:
@@ -337,7 +372,28 @@ def _counts(docs: DataFrame, bits, old, wanted) -> DataFrame:
                 for k, at, h in part.places(tuple(range(2, MAX_WORDS + 1)), table, before):
                     yield part.spelled(k, at, h)
 
-    return docs.mapInArrow(run, _COUNTS).groupBy(*_COUNTS.names[:-1]).agg(F.sum("f").alias("f"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (b.select(schema.names) for b in counted(batches))
+
+    return docs.mapInArrow(run, schema).groupBy(*schema.names[:-1]).agg(F.sum("f").alias("f"))
+
+
+def _hashed(known: DataFrame) -> DataFrame:
+    """(h): the hashes, as ``_Slice.places`` gives them, of phrases (lang, k, phrase) of one word and more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seeds = {g: _seed(g) for g in b.column(0).unique().to_pylist()}
+            langs = [seeds[g] for g in b.column(0).to_pylist()]
+            k, words = b.column(1).to_numpy(), [p.split(b" ") for p in b.column(2).cast(pa.binary()).to_pylist()]
+            h = np.zeros(b.num_rows, np.uint64)
+            for j in range(MAX_WORDS):
+                at = np.flatnonzero(k > j)
+                word = np.fromiter((xxhash.xxh3_64_intdigest(words[i][j], langs[i]) for i in at), np.uint64, len(at))
+                h[at] = _mix(h[at], word) if j else word
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    return known.select("lang", "k", "phrase").mapInArrow(run, "h long")
 
 
 def _filter_of(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -376,9 +432,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, text_col: str = "text
     send = lambda table: spark.sparkContext.broadcast(table.tobytes())
     proposed = np.zeros(filter_bits >> 6, np.uint64)
     for k in range(1, MAX_WORDS):
-        proposed = proposed | _filter_of(_hash_counts(share, (k,), send(proposed)).where(F.col("f") >= least), filter_bits)
+        proposed = proposed | _filter_of(_hash_counts(share, (k,), send(proposed), least), filter_bits)
     old = send(proposed)
-    hashed = cut(_hash_counts(rows, tuple(range(1, MAX_WORDS + 1)), old).where(F.col("f") >= min_count))
+    hashed = cut(_hash_counts(rows, tuple(range(1, MAX_WORDS + 1)), old, min_count))
     wanted = _filter_of(hashed, filter_bits)
     grown, wanted, known = proposed | wanted, send(wanted), None  # a border phrase whose hash failed is proposed at once
     while True:
@@ -386,9 +442,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, text_col: str = "text
         found = cut(_counts(rows, bits, old, wanted).where((F.col("f") >= min_count) | (F.col("k") == 0)))
         known = found if known is None else known.unionByName(found)
         table, old, wanted = grown, bits, None
-        grown = table | _filter_of(found.where(F.col("k").between(1, MAX_WORDS - 1)), filter_bits)
+        grown = table | _filter_of(_hashed(found.where(F.col("k").between(1, MAX_WORDS - 1))), filter_bits)
         if (grown == table).all():
-            return known.drop("h")
+            return known
 
 
 def collocations(docs: DataFrame, min_count: int = 30, top: int = 2000, text_col: str = "text", lang_col: str = "lang", sample: float = SAMPLE,

@@ -140,6 +140,30 @@ def test_a_kept_slice_comes_back_as_it_was():
         assert back.spelling == words and back.langs.to_pylist() == langs and (back.hashes == part.hashes).all()
 
 
+def test_hashes_are_exchanged_packed(spark):
+    """Sorted hashes take a few bytes each, come back as they were and meet by their first bits; counted phrases travel without a hash."""
+    rng = np.random.default_rng(1)
+    values = np.unique(np.r_[rng.integers(0, 1 << phrases.HASH_BITS, 300_000, np.uint64), np.uint64(0), np.uint64((1 << phrases.HASH_BITS) - 1)])
+    n = rng.integers(1, 4, len(values)) + (rng.random(len(values)) < 0.001) * (1 << 33)
+    rows = phrases._packed_parts(values, n)
+    assert sum(map(len, rows["hashes"].to_pylist())) < 5 * len(values)
+    back = [(part, *phrases._of_packed(blob)) for part, blob in zip(rows["part"].to_pylist(), rows["hashes"].to_pylist(), strict=True)]
+    assert (np.concatenate([(np.uint64(p) << phrases._LOW) | v for p, v, _ in back]) == values).all() and (np.concatenate([f for *_, f in back]) == n).all()
+    texts = [("en", "a b c d"), ("de", "a b"), ("en", "A b. c d")] * 9
+    docs = phrases._sliced(spark.createDataFrame(texts, "lang string, text string").withColumn("pick", F.lit(True)).repartition(3))
+    full = spark.sparkContext.broadcast(np.full(BITS >> 6, 2**64 - 1, np.uint64).tobytes())
+    none = spark.sparkContext.broadcast(np.zeros(BITS >> 6, np.uint64).tobytes())
+    known = phrases._counts(docs, full, none, full)
+    assert known.columns == ["lang", "k", "phrase", "f"]
+    of = {(r.lang, r.k, r.phrase): r.f for r in known.where("k > 0").collect()}
+    assert of == {key: f for key, f in brute_counts(texts).items() if key[1]}
+    counted = sorted(r.f for r in phrases._hash_counts(docs, (1, 2, 3, 4), full, 10).collect())
+    assert counted == sorted(f for f in of.values() if f >= 10)  # no two of these few phrases share a hash
+    hashes = {r.h for r in phrases._hash_counts(docs, (1, 2, 3, 4), full, 1).collect()}
+    dropped = 64 - phrases.HASH_BITS
+    assert {r.h >> dropped << dropped for r in phrases._hashed(known.where("k > 0")).collect()} == hashes
+
+
 def test_collocations_of_an_empty_table(spark):
     df = spark.createDataFrame([], "lang string, text string")
     assert phrases.collocations(df, filter_bits=BITS).collect() == []
