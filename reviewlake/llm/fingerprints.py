@@ -44,8 +44,9 @@ def paragraph_digests(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), 0), lambda p: F.xxhash64(p))))
 
 
-def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit("check"))
+def _check(key: Column, seed: int) -> Column:
+    """The check sum of a digest in the stored sketch (``seed`` 0) or in the attempt ``seed``."""
+    return F.xxhash64(key, F.lit(seed)) if seed else F.xxhash64(key, F.lit("check"))
 
 
 def _let(value: Column, body) -> Column:
@@ -53,13 +54,15 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _place(key: Column, seed: Column, r: int) -> Column:
-    """The cell of a digest in row ``r`` of a sketch; attempts differ in ``seed``."""
-    return (F.pmod(F.xxhash64(key, seed, F.lit(r)), F.lit(BASE_ROW)) + r * BASE_ROW).cast("int")
+def _place(key: Column, check: Column, seed: int, r: int) -> Column:
+    """The cell of a digest in row ``r`` of a sketch. Further attempts differ in ``seed`` and take it from bits of the check sum, so that they hash once."""
+    own = F.shiftrightunsigned(check, 8 * r) if seed else F.xxhash64(key, F.lit(0), F.lit(r))
+    return (F.pmod(own, F.lit(BASE_ROW)) + r * BASE_ROW).cast("int")
 
 
-def _add(cell: Column, hit: Column, sign: int | Column) -> Column:
-    return F.struct((cell["n"] + hit["n"] * sign).alias("n"), cell["k"].bitwiseXOR(hit["k"]).alias("k"), cell["c"].bitwiseXOR(hit["c"]).alias("c"))
+def _add(cell: Column, hit: Column, sign: int = 1) -> Column:
+    n = cell["n"] + hit["n"] if sign > 0 else cell["n"] - hit["n"]
+    return F.struct(n.alias("n"), cell["k"].bitwiseXOR(hit["k"]).alias("k"), cell["c"].bitwiseXOR(hit["c"]).alias("c"))
 
 
 def _cells(hits: Column) -> Column:
@@ -67,28 +70,29 @@ def _cells(hits: Column) -> Column:
     slots = lambda r: F.array(*[F.lit(r * BASE_ROW + i) for i in range(BASE_ROW)])
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
     row = lambda all_hits, r: F.transform(slots(r), lambda i: F.aggregate(
-        F.filter(all_hits, lambda h: h[f"at{r}"] == i), zero, lambda a, h: _add(a, h, 1)))
+        F.filter(all_hits, lambda h: h[f"at{r}"] == i), zero, lambda a, h: _add(a, h)))
     return _let(hits, lambda all_hits: F.concat(*[row(all_hits, r) for r in range(3)]))
 
 
-def _hits(digests: Column, seed: Column, sign: int = 1) -> Column:
-    return F.transform(digests, lambda k: F.struct(F.lit(sign).alias("n"), k.alias("k"), _check(k).alias("c"),
-                                                   *[_place(k, seed, r).alias(f"at{r}") for r in range(3)]))
+def _hits(digests: Column, seed: int, sign: int = 1) -> Column:
+    checked = F.transform(digests, lambda k: F.struct(k.alias("k"), _check(k, seed).alias("c")))
+    return F.transform(checked, lambda h: F.struct(F.lit(sign).alias("n"), h["k"].alias("k"), h["c"].alias("c"),
+                                                   *[_place(h["k"], h["c"], seed, r).alias(f"at{r}") for r in range(3)]))
 
 
-def sketch(digests: Column, seed: Column) -> Column:
+def sketch(digests: Column, seed: int) -> Column:
     """Array of (n, k, c) with 3 x ``BASE_ROW`` cells."""
     return _cells(_hits(digests, seed))
 
 
-def difference_sketch(first: Column, second: Column, seed: Column) -> Column:
+def difference_sketch(first: Column, second: Column, seed: int) -> Column:
     """``subtract`` of the sketches of two digest arrays, made at once."""
     return _cells(F.concat(_hits(first, seed), _hits(second, seed, -1)))
 
 
 def base_sketch(digests: Column) -> Column:
     """The stored sketch."""
-    return sketch(digests, F.lit(0))
+    return sketch(digests, 0)
 
 
 def sketch_text(cells: Column) -> Column:
@@ -105,31 +109,46 @@ def _full(cell: Column) -> Column:
     return (cell["n"] != 0) | (cell["k"] != 0) | (cell["c"] != 0)
 
 
-_GOT = "array<struct<n: int, k: bigint>>"
+_GOT = "struct(cast(array() as array<bigint>) as lost, cast(array() as array<bigint>) as gained)"
 
 
-def peel(cells: Column, seed: Column) -> Column:
-    """(left, got) of a difference of sketches: whether cells remain, and the digests with their sign (1: of the first version only).
+def _joined(all_got: Column) -> Column:
+    """A list of ``got`` as one."""
+    return F.struct(*[F.flatten(all_got[c]).alias(c) for c in ("lost", "gained")])
 
-    In each pass all pure cells hand their digests, each once, to their three cells with the opposite sign; passes
-    end when no cell is left or none is pure.
-    """
-
-    def one_pass(state: Column, _: Column) -> Column:
-        pure = F.filter(state["cells"], lambda c: c["n"].isin(1, -1) & (c["c"] == _check(c["k"])))
-        placed = F.transform(F.array_distinct(pure), lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), c["c"].alias("c"),
-                                                                        *[_place(c["k"], seed, r).alias(f"at{r}") for r in range(3)]))
 
-        def handed(found: Column) -> Column:
-            row = lambda r: F.transform(F.slice(state["cells"], r * BASE_ROW + 1, BASE_ROW), lambda c, i: F.aggregate(
-                F.filter(found, lambda p: p[f"at{r}"] == i + r * BASE_ROW), c, lambda a, p: _add(a, p, -1)))
-            got = F.concat(state["got"], F.transform(found, lambda p: F.struct(p["n"].alias("n"), p["k"].alias("k"))))
-            return _let(F.concat(*[row(r) for r in range(3)]), lambda cells: F.struct(
-                cells.alias("cells"), got.alias("got"), F.exists(cells, _full).alias("left"), (F.size(found) > 0).alias("more")))
+def peel(cells: Column, seed: int) -> Column:
+    """(left, got) of a difference of sketches: whether cells remain, and the digests of the first version only (lost) and the second only (gained).
 
-        return F.when(state["left"] & state["more"], _let(placed, handed)).otherwise(state)
+    In each pass all pure cells hand their digests, each once, to their three cells with the opposite sign; passes end when no cell is left or none
+    is pure. A row of cells holds the check sums of all digests that differ: where those just found make up its sum, nothing is left and nothing is handed on.
+    """
 
-    start = F.struct(cells.alias("cells"), F.expr(f"cast(array() as {_GOT})").alias("got"), F.exists(cells, _full).alias("left"), F.lit(True).alias("more"))
+    def one_pass(state: Column, _: Column) -> Column:
+        pure = lambda sign: F.array_distinct(F.transform(
+            F.filter(state["cells"], lambda c: (c["n"] == sign) & (c["c"] == _check(c["k"], seed))), lambda c: c["k"]))
+        after = lambda cells, got, left, more: F.struct(cells.alias("cells"), got.alias("got"), left.alias("left"), more.alias("more"))
+        yes, no = F.lit(True), F.lit(False)
+
+        def handed(found: Column, got: Column) -> Column:
+            row = lambda hits, r: F.transform(F.slice(state["cells"], r * BASE_ROW + 1, BASE_ROW), lambda c, i: F.aggregate(
+                F.filter(hits, lambda p: p[f"at{r}"] == i + r * BASE_ROW), c, lambda a, p: _add(a, p, -1)))
+            cells = _let(F.concat(_hits(found["lost"], seed), _hits(found["gained"], seed, -1)), lambda hits: F.concat(*[row(hits, r) for r in range(3)]))
+            return after(cells, got, yes, yes)
+
+        def taken(found: Column) -> Column:
+            zero = F.lit(0).cast("long")
+            sums = [F.aggregate(found[c], zero, lambda a, k: a.bitwiseXOR(_check(k, seed))) for c in ("lost", "gained")]
+            total = F.aggregate(F.slice(state["cells"], 1, BASE_ROW), zero, lambda a, c: a.bitwiseXOR(c["c"]))
+            got = F.struct(*[F.concat(state["got"][c], found[c]).alias(c) for c in ("lost", "gained")])
+            return (F.when(F.size(found["lost"]) + F.size(found["gained"]) == 0, after(state["cells"], state["got"], F.exists(state["cells"], _full), no))
+                    .when(sums[0].bitwiseXOR(sums[1]) == total, after(state["cells"], got, no, no))
+                    .otherwise(handed(found, got)))
+
+        return F.when(state["left"] & state["more"], _let(F.struct(pure(1).alias("lost"), pure(-1).alias("gained")), taken)).otherwise(state)
+
+    # ``cells`` is named once, as it is made anew wherever it is named; whether any is full is asked where no digest is found
+    start = F.struct(cells.alias("cells"), F.expr(_GOT).alias("got"), F.lit(True).alias("left"), F.lit(True).alias("more"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(PASSES)), start, one_pass, lambda s: F.struct(s["left"].alias("left"), s["got"].alias("got")))
 
 
@@ -150,7 +169,6 @@ def difference(first: Column, second: Column, base: Column, attempt: int = 1) ->
     sketch for every ``SHARE`` of them (as many as both arrays hold at most). ``failed`` has the (first, second) of the shares that did
     not peel. Each attempt takes its shares by other bits and its cells by another seed.
     """
-    seed = F.lit(attempt)
     squares = F.aggregate(base, F.lit(0), lambda a, c: a + F.least(c["n"] * c["n"], F.lit(1 << 20))) / 3
     all_digests = F.size(first) + F.size(second)
 
@@ -161,38 +179,36 @@ def difference(first: Column, second: Column, base: Column, attempt: int = 1) ->
         """
         each = _let(n, lambda m: F.transform(F.sequence(F.lit(0).cast("long"), m - 1), lambda i: _let(
             F.struct(_among(a, shift, m, i).alias("a"), _among(b, shift, m, i).alias("b")), lambda part: body(part["a"], part["b"]))))
-        return _let(each, lambda rs: F.struct(F.flatten(F.transform(rs, lambda r: r["got"])).alias("got"),
+        return _let(each, lambda rs: F.struct(_joined(F.transform(rs, lambda r: r["got"])).alias("got"),
                                               F.flatten(F.transform(rs, lambda r: r["failed"])).alias("failed")))
 
     def share(a: Column, b: Column) -> Column:
         none = F.expr("cast(array() as array<struct<first: array<bigint>, second: array<bigint>>>)")
-        return _let(peel(difference_sketch(a, b, seed), seed), lambda r: F.when(
-            r["left"], F.struct(F.expr(f"cast(array() as {_GOT})").alias("got"), F.array(F.struct(a.alias("first"), b.alias("second"))).alias("failed")))
+        return _let(peel(difference_sketch(a, b, attempt), attempt), lambda r: F.when(
+            r["left"], F.struct(F.expr(_GOT).alias("got"), F.array(F.struct(a.alias("first"), b.alias("second"))).alias("failed")))
             .otherwise(F.struct(r["got"].alias("got"), none.alias("failed"))))
 
-    def chunk(a: Column, b: Column) -> Column:
+    def chunk(a: Column, b: Column, rate: Column) -> Column:
         size = (F.size(a) + F.size(b)).cast("double")
-        shares = F.greatest(_parts(F.least(squares / all_digests * size, size) / SHARE), F.lit(2).cast("long"))
+        shares = F.greatest(_parts(F.least(rate * size, size) / SHARE), F.lit(2).cast("long"))
         return parts(a, b, 8 * attempt % 40, shares, share)
 
-    def block(a: Column, b: Column) -> Column:
-        return parts(a, b, 43, _parts((F.size(a) + F.size(b)) / CHUNK), chunk)
+    def block(a: Column, b: Column, rate: Column) -> Column:
+        return parts(a, b, 43, _parts((F.size(a) + F.size(b)) / CHUNK), lambda a, b: chunk(a, b, rate))
 
-    return parts(first, second, 50, _parts(all_digests / BLOCK), block)
+    return _let(squares / all_digests, lambda rate: parts(first, second, 50, _parts(all_digests / BLOCK), lambda a, b: block(a, b, rate)))
 
 
 def compare(first: Column, second: Column, first_sketch: Column, second_sketch: Column) -> Column:
     """(got, failed) of two versions: their sketches subtracted and peeled, then with more cells where that fails."""
-    seed = F.lit(0)
     none = F.expr("cast(array() as array<struct<first: array<bigint>, second: array<bigint>>>)")
-    return _let(subtract(first_sketch, second_sketch), lambda base: _let(peel(base, seed), lambda r: F.when(
+    return _let(subtract(first_sketch, second_sketch), lambda base: _let(peel(base, 0), lambda r: F.when(
         r["left"], difference(first, second, base)).otherwise(F.struct(r["got"].alias("got"), none.alias("failed")))))
 
 
 def _counted(got: Column, digests: bool) -> list[Column]:
-    of = lambda sign: F.filter(got, lambda g: g["n"] == sign)
-    keys = lambda sign: F.transform(of(sign), lambda g: g["k"])
-    return [F.size(of(-1)).alias("n_gained"), F.size(of(1)).alias("n_lost"), *([keys(-1).alias("gained"), keys(1).alias("lost")] if digests else [])]
+    sides = ("gained", "lost")
+    return [F.size(got[c]).alias(f"n_{c}") for c in sides] + [got[c].alias(c) for c in sides if digests]
 
 
 def retry(failed: DataFrame, keys: list[str], digests: bool) -> DataFrame:
@@ -203,7 +219,7 @@ def retry(failed: DataFrame, keys: list[str], digests: bool) -> DataFrame:
     done, attempt = None, 2
     rest = failed
     while True:
-        base = difference_sketch(F.col("first"), F.col("second"), F.lit(attempt))
+        base = difference_sketch(F.col("first"), F.col("second"), attempt)
         tried = cut(rest.repartition(*keys).select(*keys, F.size("first").alias("_n"), _let(base, lambda c: difference(F.col("first"), F.col("second"), c, attempt)).alias("r")))
         part = tried.select(*keys, *_counted(F.col("r.got"), digests))
         done = part if done is None else done.unionByName(part)
@@ -283,7 +299,8 @@ def with_next(rows: DataFrame, order: str, tie: str, carry: list[str], derive=No
     edges = chain.select("bucket", "after.first", "after.second").join(
         firsts.groupBy("first", "second").agg(F.any_value(packed).alias("edge")), ["first", "second"]).select("bucket", "edge")
     w = Window.partitionBy("bucket").orderBy(column(order).desc_nulls_last(), column(tie).desc())
-    df = derive(placed).withColumn("place", F.row_number().over(w)).withColumn("following", F.lead(packed).over(w))
+    # derived behind the shuffle, which carries the rows as they are
+    df = derive(placed.withColumn("place", F.row_number().over(w))).withColumn("following", F.lead(packed).over(w))
     df = df.join(edges, "bucket", "left")
     kept = [c for c in df.columns if c not in ("following", "edge", "bucket", "place")]
     return df.select(*[column(c) for c in kept], "bucket", "place", *[F.coalesce(F.col("following"), F.col("edge"))[c].alias(f"next_{c}") for c in carry])
@@ -301,18 +318,19 @@ def fingerprint_versions(docs: DataFrame, text_col: str = "text", id_col: str =
     """
     rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    rows = with_next(rows, "id", "tie", ["text", "digests"], lambda df: df.withColumn("digests", paragraph_digests(F.col("text"))))
+    rows = with_next(rows, "id", "tie", ["text", "digests", "own"],
+                     lambda df: df.withColumn("digests", paragraph_digests(F.col("text"))).withColumn("own", base_sketch(F.col("digests"))))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     one = F.explode(F.array(F.struct(F.unhex(F.sha2("edited", 256)).alias("edited_sha"), paragraph_digests(F.col("edited")).alias("edited_digests"))))
-    rows = rows.select("bucket", "place", "id", F.length("text").cast("long").alias("n_chars"), "digests", "next_digests", edited.alias("edited"))
-    rows = rows.select("bucket", "place", "id", "n_chars", "digests", "next_digests", one.alias("e"))  # exploded as a list of one: made once
-    cells = F.explode(F.array(F.struct(*[base_sketch(F.col(c)).alias(name) for c, name in (("digests", "own"), ("e.edited_digests", "edited"), ("next_digests", "next"))])))
-    rows = rows.select("*", cells.alias("s"))
-    found = F.explode(F.array(F.struct(compare(F.col("digests"), F.col("e.edited_digests"), F.col("s.own"), F.col("s.edited")).alias("edited"),
-                                       compare(F.col("digests"), F.col("next_digests"), F.col("s.own"), F.col("s.next")).alias("next"))))
+    both = ("digests", "next_digests", "own", "next_own")
+    rows = rows.select("bucket", "place", "id", F.length("text").cast("long").alias("n_chars"), *both, edited.alias("edited"))
+    rows = rows.select("bucket", "place", "id", "n_chars", *both, one.alias("e"))  # exploded as a list of one: made once
+    rows = rows.select("*", F.explode(F.array(base_sketch(F.col("e.edited_digests")))).alias("edited"))
+    found = F.explode(F.array(F.struct(compare(F.col("digests"), F.col("e.edited_digests"), F.col("own"), F.col("edited")).alias("edited"),
+                                       compare(F.col("digests"), F.col("next_digests"), F.col("own"), F.col("next_own")).alias("next"))))
     sizes = [F.size(c).alias(n) for c, n in (("digests", "n_own"), ("e.edited_digests", "n_edited"), ("next_digests", "n_next"))]
-    rows = rows.select("bucket", "place", "id", "n_chars", "e.edited_sha", F.col("s.own").alias("own"), F.col("s.edited").alias("edited"), *sizes, found.alias("f"))
+    rows = rows.select("bucket", "place", "id", "n_chars", "e.edited_sha", "own", "edited", *sizes, found.alias("f"))
     versions = ("edited", "next")
     counts = [c.alias(f"{v}_{name}") for v in versions for c, name in zip(_counted(F.col(f"f.{v}.got"), digests and v == "edited"), ("n_gained", "n_lost", "gained", "lost"), strict=False)]
     rows = cut(rows.select("bucket", "place", "id", "n_chars", "edited_sha", "own", "edited", "n_own", "n_edited", "n_next", *counts,

@@ -93,6 +93,23 @@ def test_sketches_recover_exact_differences(spark):
         assert len(r.edited_gained) == len(parts(edited) - parts(t)) and len(r.edited_lost) == len(parts(t) - parts(edited))
 
 
+def test_a_sketch_is_made_once_and_peels_to_the_difference(spark):
+    rng = random.Random(9)
+    pool = [rng.getrandbits(63) for _ in range(40)]
+    pairs = [(pool[:a], pool[a - common:a - common + b]) for a, b, common in ((0, 0, 0), (3, 3, 3), (4, 5, 3), (1, 0, 0), (0, 4, 0), (12, 12, 9), (20, 20, 0))]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(pairs)], "i int, first array<long>, second array<long>")
+    for seed in (0, 1, 2):  # the stored form and further attempts
+        sketches = df.select("i", "first", "second", fingerprints.difference_sketch(F.col("first"), F.col("second"), seed).alias("cells"))
+        peeled = sketches.select("i", fingerprints.peel(F.col("cells"), seed).alias("r"))
+        rows = [r.r for r in peeled.orderBy("i").collect()]
+        assert not any(r.left for r in rows[:5]) and rows[6].left  # 40 digests do not fit 24 cells
+        for (a, b), r in zip(pairs, rows, strict=True):
+            assert set(r.got.lost) <= set(a) - set(b) and set(r.got.gained) <= set(b) - set(a)
+            assert r.left or (len(r.got.lost), len(r.got.gained)) == (len(set(a) - set(b)), len(set(b) - set(a)))
+    plan = sketches.withColumnRenamed("cells", "made_once").select(fingerprints.peel(F.col("made_once"), 1).alias("r"))._jdf.queryExecution().analyzed().toString()
+    assert plan.splitlines()[0].count("made_once") == 1
+
+
 def test_sketches_of_tiny_tables(spark):
     empty = fingerprints.fingerprint_versions(table(spark, []))
     assert empty.count() == 0
