@@ -167,11 +167,11 @@ def review_files(spark, d):
 def json_drift(spark, d):
     """S13 for drifting payloads: one response per order with all its entries; some lists empty, absent, mistyped or a single entry, some fields nested or unknown."""
     land = scratch(spark, "json-drift")
-    raw = td.raw_chart_strings(spark, d).withColumn("cd", F.col("movieCd").cast("long"))
+    raw = td.raw_chart_strings(spark, d, deal=("salesAcc", "openDt")).withColumn("cd", F.col("movieCd").cast("long"))
     entry = F.to_json(F.struct(*schemas.BOXOFFICE_FIELDS))
     nested = F.to_json(F.struct(*[c for c in schemas.BOXOFFICE_FIELDS if c != "showCnt"], F.struct("showCnt").alias("showCnt"), F.lit(1).alias("extra")))
     raw = raw.withColumn("entry", F.when(F.col("cd") % 5 == 0, nested).otherwise(entry))
-    per = raw.groupBy("openDt", "salesAcc").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "cd", "entry"))), lambda e: e["entry"]).alias("entries"),
+    per = raw.groupBy("salesAcc", "openDt").agg(F.sort_array(F.collect_list(F.struct("rank", "cd", "entry")))["entry"].alias("entries"),
                                               F.min("cd").alias("cd"))  # an order has seven lines at most
     kind = F.col("cd") % 8
     lst = (F.when(kind == 0, F.lit("[]")).when(kind == 1, F.lit('"none"')).when(kind == 2, F.element_at("entries", 1))
@@ -180,12 +180,12 @@ def json_drift(spark, d):
     rest = F.when(kind == 3, F.lit("")).otherwise(F.concat(F.lit(',"dailyBoxOfficeList":'), lst))
     doc = F.concat(F.lit('{"boxOfficeResult":{"showRange":"'), day, F.lit("~"), day, F.lit('"'), rest, F.when(kind == 4, F.lit("}")).otherwise(F.lit("}}")))
     per.select(doc.alias("value")).write.text(land, compression=LANDED)
-    rows, audit = read_boxoffice_drifting(spark, land, multi_line=False)
-    seen = audit.groupBy("boxoffice_date", "status").agg(F.count(F.lit(1)).alias("responses"), F.sum("entries").alias("entries"), F.sum("unknown").alias("unknown"),
-                                                         F.sum("missing").alias("missing"), F.sum("mistyped").alias("mistyped"))
-    sold = rows.groupBy("boxoffice_date", F.lit("rows").alias("status")).agg(
-        F.count(F.lit(1)).alias("entries"), F.count_if(F.col("showCnt").isNull()).alias("missing"), F.sum(F.col("salesAmt").cast("bigint")).alias("sales"))
-    return seen.unionByName(sold, allowMissingColumns=True)
+    both = read_boxoffice_drifting(spark, land, multi_line=False, together=True)
+    row, audit = F.col("place") > 0, lambda c: F.when(F.col("place") == 0, c)
+    return both.groupBy("boxoffice_date", F.when(row, "rows").otherwise(F.col("status")).alias("status")).agg(
+        F.sum(audit(F.lit(1))).alias("responses"), F.sum(F.when(row, 1).otherwise(F.col("entries"))).alias("entries"), F.sum(audit(F.col("unknown"))).alias("unknown"),
+        F.sum(F.when(row, F.col("showCnt").isNull().cast("int")).otherwise(F.col("missing"))).alias("missing"), F.sum(audit(F.col("mistyped"))).alias("mistyped"),
+        F.sum(F.when(row, F.col("salesAmt").cast("bigint"))).alias("sales"))
 
 
 # ------------------------------------------------------------ tables

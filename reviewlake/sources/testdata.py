@@ -8,6 +8,8 @@ data. The same mappings are written in SQL in ``plans.oracle``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,34 +185,42 @@ def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("r_regionkey").cast("string").alias("fullCd"), F.col("r_name").alias("korNm"))
 
 
-def raw_chart_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_chart_strings(spark: SparkSession, sf_dir: str, deal: Sequence[str] = ()) -> DataFrame:
     """Daily chart rows as landed text (lineitem ⋈ orders), including a
-    non-number, numbers above 2^31 and ``yyyy-MM-dd`` days."""
+    non-number, numbers above 2^31 and ``yyyy-MM-dd`` days.
+
+    ``deal``: columns by which the rows are dealt to partitions before they are
+    spelled out, for a grouping by them; as many partitions as a join's."""
     li = table(spark, sf_dir, "lineitem")
+    parts = li.count() // JOIN_ROWS if deal else 0
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     li, o = spread_join(li, "l_orderkey", o, "o_orderkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     s = lambda c: c.cast("string")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return j.select(
-        s(F.col("l_linenumber")).alias("rank"),
-        F.when(F.col("l_linenumber") == 7, F.lit("x")).otherwise(s(F.col("l_linenumber") - 4)).alias("rankInten"),
-        F.when(F.col("l_linenumber") == 1, F.lit("NEW")).otherwise(F.lit("OLD")).alias("rankOldAndNew"),
-        s(F.col("l_partkey")).alias("movieCd"),
-        F.concat(F.lit("movie_"), s(F.col("l_partkey"))).alias("movieNm"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("openDt"),
-        s(cents).alias("salesAmt"),
-        s(F.col("l_discount") * 100).alias("salesShare"),
-        s(F.round(F.col("l_tax") * 10000).cast("bigint")).alias("salesInten"),
-        s(F.col("l_tax") * 100).alias("salesChange"),
-        s(F.round(F.col("o_totalprice") * 100).cast("bigint") * 1000).alias("salesAcc"),
-        s(F.col("l_quantity").cast("bigint")).alias("audiCnt"),
-        F.concat(F.lit(" "), s(F.col("l_quantity").cast("bigint") - 25), F.lit(" ")).alias("audiInten"),
-        s(F.col("l_discount")).alias("audiChange"),
-        s(F.col("l_quantity").cast("bigint") * 1000 + F.col("l_linenumber")).alias("audiAcc"),
-        s(F.col("l_suppkey")).alias("scrnCnt"),
-        s(F.col("l_linenumber") * 3).alias("showCnt"),
-    )
+    columns = {
+        "rank": s(F.col("l_linenumber")),
+        "rankInten": F.when(F.col("l_linenumber") == 7, F.lit("x")).otherwise(s(F.col("l_linenumber") - 4)),
+        "rankOldAndNew": F.when(F.col("l_linenumber") == 1, F.lit("NEW")).otherwise(F.lit("OLD")),
+        "movieCd": s(F.col("l_partkey")),
+        "movieNm": F.concat(F.lit("movie_"), s(F.col("l_partkey"))),
+        "openDt": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "salesAmt": s(cents),
+        "salesShare": s(F.col("l_discount") * 100),
+        "salesInten": s(F.round(F.col("l_tax") * 10000).cast("bigint")),
+        "salesChange": s(F.col("l_tax") * 100),
+        "salesAcc": s(F.round(F.col("o_totalprice") * 100).cast("bigint") * 1000),
+        "audiCnt": s(F.col("l_quantity").cast("bigint")),
+        "audiInten": F.concat(F.lit(" "), s(F.col("l_quantity").cast("bigint") - 25), F.lit(" ")),
+        "audiChange": s(F.col("l_discount")),
+        "audiAcc": s(F.col("l_quantity").cast("bigint") * 1000 + F.col("l_linenumber")),
+        "scrnCnt": s(F.col("l_suppkey")),
+        "showCnt": s(F.col("l_linenumber") * 3),
+    }
+    if deal:
+        keys = [columns[c] for c in deal]
+        j = j.repartition(parts, *keys) if parts > int(spark.conf.get("spark.sql.shuffle.partitions")) else j.repartition(*keys)
+    return j.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def search_hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

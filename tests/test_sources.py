@@ -278,3 +278,47 @@ def test_named_files_are_written_without_sorting_their_rows(spark, tmp_path, mon
     got = {n: spark.read.options(header=True, escape='"').csv(f"{tmp_path}/{n}.csv").collect() for n in ("n0", "n1", "n2")}
     assert {n: sorted(int(r.id) for r in v) for n, v in got.items()} == {f"n{k}": list(range(k, 300, 3)) for k in range(3)}
     assert {r.t for v in got.values() for r in v} == {'a"b'}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_drifting_responses_are_parsed_once(spark, tmp):
+    """Neither the rows nor the audit parse a response again for each mention of it, and both come out of one reading."""
+    import json
+
+    from reviewlake.sources.responses import lost_fields, read_boxoffice_drifting
+
+    lists = [[{"rank": "1", "showCnt": 2}, None, 5, {"rank": [1], "x": {}, "showCnt": {"y": 1}}], [], {"rank": True}, "none", None]
+    lines = [json.dumps({"boxOfficeResult": {"showRange": "20250318~20250318", "dailyBoxOfficeList": x}}) for x in lists] + ["{", "{}"]
+    with open(os.path.join(tmp, "a.json"), "w") as f:
+        f.write("\n".join(lines))
+    fields = ("rank", "showCnt")
+    rows, audit = read_boxoffice_drifting(spark, tmp, multi_line=False, fields=fields)
+    assert sorted(map(repr, (tuple(r)[1:] for r in rows.collect()))) == sorted(map(repr, [("1", "2"), (None, None), (None, None), (None, None), ("true", None)]))
+    assert sorted((r.status, r.entries, r.unknown, r.missing, r.mistyped, r.raw is None) for r in audit.collect()) == sorted([
+        ("ok", 4, 1, 4, 2, True), ("empty", 0, 0, 0, 0, False), ("single", 1, 0, 1, 0, True), ("mistyped", 0, 0, 0, 0, False), ("absent", 0, 0, 0, 0, False),
+        ("absent", 0, 0, 0, 0, False), ("unparsed", 0, 0, 0, 0, False)])
+    assert _plan(rows).count("parseJson(") == 1 and _plan(audit).count("parseJson(") == 1
+    both = read_boxoffice_drifting(spark, tmp, multi_line=False, fields=fields, together=True)
+    assert _plan(both).count("parseJson(") == 1
+    assert sorted(map(repr, both.where("place = 0").select(*audit.columns).collect())) == sorted(map(repr, audit.collect()))
+    assert sorted(map(repr, both.where("place > 0").select(*rows.columns).collect())) == sorted(map(repr, rows.collect()))
+    entry = F.try_parse_json(F.lit('{"b": {}, "x": 1, "a": {"c": [1]}}'))
+    assert [sorted(x) for x in spark.range(1).select(*lost_fields(entry, ("a.c", "b", "d"))).first()] == [["a", "x"], ["a.c", "d"], ["a.c", "b"]]
+
+
+def test_chart_rows_dealt_for_a_grouping(spark, tmp):
+    """Rows dealt by a grouping's columns are the same rows, and the grouping need not deal them again."""
+    from reviewlake.sources import testdata as td
+
+    orders = [(k, dt.datetime(2024, 1, 1 + k % 3), 10.5 * (k % 4)) for k in range(20)] + [(None, None, None), (20, None, None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(f"{tmp}/orders.parquet")
+    lines = [(k % 22, k, k, 1 + k % 7, float(k), 1.25 * k, 0.01, 0.02) for k in range(80)] + [(None,) * 8, (3,) + (None,) * 7]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                                 "l_tax double").write.parquet(f"{tmp}/lineitem.parquet")
+    keys = ("salesAcc", "openDt")
+    dealt = td.raw_chart_strings(spark, tmp, deal=keys)
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, td.raw_chart_strings(spark, tmp).collect())) and dealt.count() > 70
+    assert _plan(dealt.groupBy(*keys).agg(F.collect_list("rank"))).count("Exchange hashpartitioning") == 1
